@@ -125,6 +125,8 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
       CASE {K} % 4 WHEN 0 THEN 'mpirun ' WHEN 1 THEN 'srun ' WHEN 2 THEN 'OMP_NUM_THREADS=4 ' ELSE '' END,
       './run /work/u', o_custkey, '/o', CASE WHEN {K} % 3 = 0 THEN {K} + 10000000 ELSE {K} END, '.dat.', chr(10)) AS script
   FROM orders""", ()),
+    "job_requests": (f"""SELECT CASE WHEN {K} % 50 = 0 THEN concat({K}, '!') WHEN {K} % 7 = 0 THEN concat('x', {K})
+    ELSE CAST({K} AS VARCHAR) END AS job_id FROM orders""", ()),
     "users": ("SELECT concat('u', c_custkey) AS user_name FROM customer", ()),
     "assoc": ("SELECT concat('acct', c_nationkey) AS account, concat('u', c_custkey) AS user_name FROM customer", ()),
 }

@@ -356,7 +356,15 @@ def assoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def job_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested job ids (orders): mostly known ids, some unknown (``x<k>``), some invalid (``<k>!``)."""
+    k = _k()
+    rid = F.when(k % 50 == 0, F.concat(_s(k), F.lit("!"))).when(k % 7 == 0, F.concat(F.lit("x"), _s(k))).otherwise(_s(k))
+    return table(spark, sf_dir, "orders").select(rid.alias("job_id"))
+
+
 TABLES = {
+    "job_requests": job_requests,
     "jobs": jobs, "job_steps": job_steps, "queue": queue, "priorities": priorities, "nodes": nodes,
     "shares": shares, "samples": samples, "docs": docs, "log_lines": log_lines, "files": files,
     "scripts": scripts, "users": users, "assoc": assoc,
