@@ -127,6 +127,10 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
   FROM orders""", ()),
     "job_requests": (f"""SELECT CASE WHEN {K} % 50 = 0 THEN concat({K}, '!') WHEN {K} % 7 = 0 THEN concat('x', {K})
     ELSE CAST({K} AS VARCHAR) END AS job_id FROM orders""", ()),
+    "jobs_recent": (f"""SELECT CAST({K} AS VARCHAR) AS job_id, {_TWO_NODES} AS node_list,
+    TIMESTAMP '2024-01-01 00:00:00' + to_hours((date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) % 30) * 24 + {K} % 24) - to_seconds(({_ELAPSED}) * 12) AS start_ts,
+    CASE WHEN {K} % 20 != 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_hours((date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) % 30) * 24 + {K} % 24) END AS end_ts
+  FROM orders""", ()),
     "users": ("SELECT concat('u', c_custkey) AS user_name FROM customer", ()),
     "assoc": ("SELECT concat('acct', c_nationkey) AS account, concat('u', c_custkey) AS user_name FROM customer", ()),
 }

@@ -10,8 +10,6 @@ All derivations are narrow projections or joins against the small
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -256,7 +254,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
              (F.lit("modelName"), F.when(F.col("user_id") % 2 == 0, "NVIDIA A100").otherwise("NVIDIA H100"))]
     frames = [
         emit("click", [("node_load5", v, node_l),
-                       ("node_boot_time_seconds", F.unix_seconds(F.to_timestamp(F.col("ts"))) - F.floor(v) * 3600, node_l)]),
+                       ("node_boot_time_seconds", F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 - F.floor(v) * 3600, node_l)]),
         emit("view", [("node_load1", v, node_l)]),
         emit("signup", [("node_memory_MemTotal_bytes", F.lit(274877906944.0), node_l),
                         ("node_memory_MemFree_bytes", F.floor(v) * 268435456, node_l),
@@ -356,6 +354,19 @@ def assoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jobs_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs moved into the metric month (orders): 2024-01 ends, 12× longer runs, every 20th still running."""
+    k = _k()
+    end = F.timestamp_add("HOUR", (F.datediff(F.col("o_orderdate"), F.lit("1995-01-01")) % 30) * 24 + k % 24,
+                          F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")))
+    return table(spark, sf_dir, "orders").select(
+        _s(k).alias("job_id"),
+        _two_nodes(k).alias("node_list"),
+        F.timestamp_add("SECOND", -_elapsed() * 12, end).alias("start_ts"),
+        F.when(k % 20 != 0, end).alias("end_ts"),
+    )
+
+
 def job_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested job ids (orders): mostly known ids, some unknown (``x<k>``), some invalid (``<k>!``)."""
     k = _k()
@@ -364,7 +375,7 @@ def job_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TABLES = {
-    "job_requests": job_requests,
+    "job_requests": job_requests, "jobs_recent": jobs_recent,
     "jobs": jobs, "job_steps": job_steps, "queue": queue, "priorities": priorities, "nodes": nodes,
     "shares": shares, "samples": samples, "docs": docs, "log_lines": log_lines, "files": files,
     "scripts": scripts, "users": users, "assoc": assoc,
