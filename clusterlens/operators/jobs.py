@@ -89,24 +89,24 @@ def failure_clusters(
         *by,
         P.norm_job_name("job_name").alias("pattern"),
         Q.bad_state_key(P.first_state("state")).alias("state"),
-        _user().alias("user_name"),
+        _user().alias("_user"),
         F.coalesce(F.nullif(F.col("exit_code"), F.lit("")), F.lit("?")).alias("exit_code"),
-        "job_id",
-        "end_ts",
+        F.col("job_id").alias("_job"),
+        F.col("end_ts").alias("_end"),
     ).where(F.col("state").isNotNull())
 
-    sample_key = F.when(F.col("end_ts").isNotNull(), F.struct("end_ts", "job_id"))
+    sample_key = F.when(F.col("_end").isNotNull(), F.struct("_end", "_job"))
     clusters = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.max_by("job_id", sample_key).alias("sample_job"),
-        F.max("end_ts").alias("sample_end"),
+        F.max_by("_job", sample_key).alias("sample_job"),
+        F.max("_end").alias("sample_end"),
     ).where(F.col("n") >= min_size)
     ranked = top_per_group(clusters, by, [F.desc("n"), F.asc("pattern"), F.asc("state")], top)
 
-    users = base.select(*keys, "user_name").distinct()
+    users = base.select(*keys, "_user").distinct()
     n_users = users.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_users"))
-    shown = (top_per_group(users, keys, [F.asc("user_name")], users_shown, "_r")
-             .groupBy(*keys).agg(F.array_sort(F.collect_list("user_name")).alias("users")))
+    shown = (top_per_group(users, keys, [F.asc("_user")], users_shown, "_r")
+             .groupBy(*keys).agg(F.array_sort(F.collect_list("_user")).alias("users")))
 
     exits = base.groupBy(*keys, "exit_code").agg(F.count(F.lit(1)).alias("c"))
     exits_top = (top_per_group(exits, keys, [F.desc("c"), F.asc("exit_code")], exits_shown, "_r")

@@ -156,8 +156,7 @@ def q_short_job_stats(spark, sf_dir):
     return J.short_job_stats(Tables(spark, sf_dir).jobs, JOBS_AS_OF, days=3650)
 
 
-_EFF_SQL = W(r"""
-WITH s AS (
+EFF_CTES = r"""s AS (
   SELECT *, split_part(step_id, '.', 1) AS job_id, NOT contains(step_id, '.') AS is_main,
          CASE WHEN trim(max_rss) = '' OR trim(max_rss) IN ('0', 'INVALID', 'Unknown') THEN NULL
               ELSE TRY_CAST(regexp_extract(trim(max_rss), '^([0-9.]+)', 1) AS DOUBLE)
@@ -196,7 +195,9 @@ v AS (
       CASE WHEN has_time AND contains(coalesce(state, ''), 'TIMEOUT') THEN 'timeout'
            WHEN has_time AND NOT is_service AND time_eff < 0.2 AND coalesce(elapsed_s, 0) > 600 THEN 'time_over' END,
       CASE WHEN contains(coalesce(state, ''), 'OUT_OF_MEMORY') THEN 'oom' END) AS verdicts
-  FROM f)
+  FROM f)"""
+
+_EFF_SQL = W("WITH " + EFF_CTES + r"""
 SELECT job_id, state, elapsed_s, alloc_cpus, n_nodes, is_service, round(cpu_eff, 6) AS cpu_eff, max_rss_bytes, req_bytes,
        round(mem_eff, 6) AS mem_eff, round(time_eff, 6) AS time_eff, verdicts, verdicts = '' AND NOT is_service AS ok
 FROM v""", "job_steps", "jobs")

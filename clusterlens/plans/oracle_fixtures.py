@@ -131,6 +131,10 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     TIMESTAMP '2024-01-01 00:00:00' + to_hours((date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) % 30) * 24 + {K} % 24) - to_seconds(({_ELAPSED}) * 12) AS start_ts,
     CASE WHEN {K} % 20 != 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_hours((date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) % 30) * 24 + {K} % 24) END AS end_ts
   FROM orders""", ()),
+    "login_requests": ("""SELECT CASE WHEN c_custkey % 50 = 0 THEN concat('u', c_custkey, ';') WHEN c_custkey % 13 = 0 THEN concat('v', c_custkey)
+    ELSE concat('u', c_custkey) END AS user_name FROM customer""", ()),
+    "account_requests": ("""SELECT CASE WHEN n_nationkey % 7 = 0 THEN concat('grp', n_nationkey) ELSE concat('acct', n_nationkey) END AS account
+  FROM nation""", ()),
     "users": ("SELECT concat('u', c_custkey) AS user_name FROM customer", ()),
     "assoc": ("SELECT concat('acct', c_nationkey) AS account, concat('u', c_custkey) AS user_name FROM customer", ()),
 }

@@ -45,25 +45,30 @@ _RESOLVE = """replace(replace(replace(replace(replace(replace(replace(replace(ra
     '%u', coalesce(user_name, '')), '%a', CASE WHEN contains(job_id, '_') THEN string_split(job_id, '_')[-1] ELSE '0' END), chr(0), '%')"""
 
 
-@query("job_log_tail", W(f"""
-WITH p AS (
-  SELECT job_id, job_name, user_name, work_dir, 0 AS ord, 'StdErr' AS label, stderr AS raw FROM jobs
-  UNION ALL SELECT job_id, job_name, user_name, work_dir, 1, 'StdOut', stdout FROM jobs),
-u AS (SELECT job_id, ord, label, work_dir, {_RESOLVE} AS r FROM p WHERE raw IS NOT NULL AND raw != '' AND raw != '/dev/null'),
-u2 AS (SELECT job_id, ord, label, CASE WHEN NOT starts_with(r, '/') AND coalesce(work_dir, '') != ''
-                                     THEN concat(regexp_replace(work_dir, '/+$', ''), '/', r) ELSE r END AS path FROM u),
-fp AS (SELECT job_id, path, arg_min(label, ord) AS label FROM u2 GROUP BY job_id, path),
-wanted AS (SELECT DISTINCT path FROM fp),
-found AS (SELECT DISTINCT path FROM log_lines WHERE path IN (SELECT path FROM wanted)),
-t AS (SELECT * FROM (SELECT path, lineno, line, row_number() OVER (PARTITION BY path ORDER BY lineno DESC) AS from_end
-                     FROM log_lines WHERE path IN (SELECT path FROM wanted)) WHERE from_end <= 100)
-SELECT fp.job_id, fp.label, fp.path, t.lineno, t.line, t.from_end, 'ok' AS status FROM fp JOIN t USING (path)
+def log_tail_ctes(jobs_src: str, n: int) -> str:
+    """CTE chain (names ``lt_*``) ending in ``lt_out(job_id, label, path, lineno, line, from_end, status)``."""
+    return f"""lt_p AS (
+  SELECT job_id, job_name, user_name, work_dir, 0 AS ord, 'StdErr' AS label, stderr AS raw FROM {jobs_src}
+  UNION ALL SELECT job_id, job_name, user_name, work_dir, 1, 'StdOut', stdout FROM {jobs_src}),
+lt_u AS (SELECT job_id, ord, label, work_dir, {_RESOLVE} AS r FROM lt_p WHERE raw IS NOT NULL AND raw != '' AND raw != '/dev/null'),
+lt_u2 AS (SELECT job_id, ord, label, CASE WHEN NOT starts_with(r, '/') AND coalesce(work_dir, '') != ''
+                                     THEN concat(regexp_replace(work_dir, '/+$', ''), '/', r) ELSE r END AS path FROM lt_u),
+lt_fp AS (SELECT job_id, path, arg_min(label, ord) AS label FROM lt_u2 GROUP BY job_id, path),
+lt_wanted AS (SELECT DISTINCT path FROM lt_fp),
+lt_found AS (SELECT DISTINCT path FROM log_lines WHERE path IN (SELECT path FROM lt_wanted)),
+lt_t AS (SELECT * FROM (SELECT path, lineno, line, row_number() OVER (PARTITION BY path ORDER BY lineno DESC) AS from_end
+                     FROM log_lines WHERE path IN (SELECT path FROM lt_wanted)) WHERE from_end <= {n}),
+lt_out AS (
+SELECT lt_fp.job_id, lt_fp.label, lt_fp.path, lt_t.lineno, lt_t.line, lt_t.from_end, 'ok' AS status FROM lt_fp JOIN lt_t USING (path)
 UNION ALL
-SELECT job_id, label, path, NULL, NULL, NULL, 'file_not_found' FROM fp WHERE path NOT IN (SELECT path FROM found)
+SELECT job_id, label, path, NULL, NULL, NULL, 'file_not_found' FROM lt_fp WHERE path NOT IN (SELECT path FROM lt_found)
 UNION ALL
 SELECT job_id, NULL, NULL, NULL, NULL, NULL,
        CASE WHEN coalesce(stdout, '') = '' AND coalesce(stderr, '') = '' THEN 'no_paths' ELSE 'no_usable_file' END
-FROM jobs WHERE job_id NOT IN (SELECT job_id FROM fp)""", "jobs", "log_lines"))
+FROM {jobs_src} WHERE job_id NOT IN (SELECT job_id FROM lt_fp))"""
+
+
+@query("job_log_tail", W("WITH " + log_tail_ctes("jobs", 100) + "\nSELECT * FROM lt_out", "jobs", "log_lines"))
 def q_job_log_tail(spark, sf_dir):
     """Last 100 lines of the StdErr then StdOut file of every job (patterns resolved, each file once)."""
     t = Tables(spark, sf_dir)

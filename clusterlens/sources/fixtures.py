@@ -374,7 +374,23 @@ def job_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(rid.alias("job_id"))
 
 
+def login_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested logins (customer): mostly known, some unknown (``v<c>``), some invalid (``u<c>;``)."""
+    c = F.col("c_custkey")
+    lid = (F.when(c % 50 == 0, F.concat(F.lit("u"), _s(c), F.lit(";"))).when(c % 13 == 0, F.concat(F.lit("v"), _s(c)))
+           .otherwise(F.concat(F.lit("u"), _s(c))))
+    return table(spark, sf_dir, "customer").select(lid.alias("user_name"))
+
+
+def account_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested accounts (nation): known ``acct<n>``, unknown ``grp<n>`` for every 7th nation."""
+    n = F.col("n_nationkey")
+    return table(spark, sf_dir, "nation").select(
+        F.when(n % 7 == 0, F.concat(F.lit("grp"), _s(n))).otherwise(F.concat(F.lit("acct"), _s(n))).alias("account"))
+
+
 TABLES = {
+    "login_requests": login_requests, "account_requests": account_requests,
     "job_requests": job_requests, "jobs_recent": jobs_recent,
     "jobs": jobs, "job_steps": job_steps, "queue": queue, "priorities": priorities, "nodes": nodes,
     "shares": shares, "samples": samples, "docs": docs, "log_lines": log_lines, "files": files,
