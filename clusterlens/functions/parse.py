@@ -47,16 +47,13 @@ def mem_bytes(c) -> Column:
     ``Unknown`` and unreadable numbers give null.
     """
     s = F.trim(col_or_lit(c))
-    last = F.substring(s, -1, 1)
-    has_mode = last.isin("n", "c")
-    mode = F.when(has_mode, last).otherwise(F.lit(""))
-    body = F.when(has_mode, F.substring(s, F.lit(1), F.length(s) - 1)).otherwise(s)
-    unit = F.upper(F.substring(body, -1, 1))
-    number_txt = F.when(unit.isin(*MEM_UNITS), F.substring(body, F.lit(1), F.length(body) - 1)).otherwise(body)
+    rx = r"^(.*?)([KMGTkmgt]?)([nc]?)$"
+    unit = F.upper(F.regexp_extract(s, rx, 2))
+    num_txt = F.regexp_extract(s, rx, 1)
+    num = F.when(num_txt.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), num_txt.try_cast("double"))
     mult = F.coalesce(*[F.when(unit == k, F.lit(float(v))) for k, v in MEM_UNITS.items()], F.lit(1.0))
-    num = F.when(number_txt.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), F.trim(number_txt).try_cast("double"))
-    bad = s.isNull() | (s == "") | s.isin("0", "INVALID", "Unknown") | num.isNull()
-    return F.when(~bad, F.struct((num * mult).alias("bytes"), mode.alias("mode")))
+    bad = s.isNull() | s.isin("", "0", "INVALID", "Unknown") | num.isNull()
+    return F.when(~bad, F.struct((num * mult).alias("bytes"), F.regexp_extract(s, rx, 3).alias("mode")))
 
 
 # GB per unit letter of ``mem=`` in a TRES string (no unit = MB).

@@ -198,41 +198,47 @@ def short_job_note(elapsed: Column, is_service: Column, total_short: Column) ->
 def job_efficiency(job_steps: DataFrame, jobs: DataFrame, interactive_partitions: Sequence[str] = ("visu",)) -> DataFrame:
     """CPU, memory and walltime efficiency with verdict codes, for every job (and array task).
 
-    One ``groupBy`` on the base id (text before the first ``.``) gathers the
-    main row's fields and the steps' peak RSS in a single shuffle; the job's
+    Main rows (no ``.`` in the id) carry the job's fields; step rows are
+    reduced per base id (text before the first ``.``) to their peak RSS and
+    count; a job with no main row keeps a row with null main fields. The
     interactive flag comes from a left join to ``jobs``.
     """
     is_main = ~F.col("step_id").contains(".")
-    mark = F.when(is_main, F.lit(1))
     rss = P.mem_bytes("max_rss")["bytes"]
-    g = job_steps.groupBy(P.step_base_id("step_id").alias("job_id")).agg(
-        F.max_by("state", mark).alias("state"),
-        F.max_by("elapsed_s", mark).alias("elapsed_s"),
-        F.max_by("alloc_cpus", mark).alias("alloc_cpus"),
-        F.max_by("n_nodes", mark).alias("n_nodes"),
-        F.max_by("total_cpu", mark).alias("total_cpu"),
-        F.max_by("req_mem", mark).alias("req_mem"),
-        F.max_by("timelimit_min", mark).alias("timelimit_min"),
-        F.max(F.when(is_main, rss)).alias("main_rss"),
-        F.max(F.when(~is_main, rss)).alias("step_rss"),
-        F.count_if(~is_main).alias("n_steps"),
-    )
+    # Main rows pass through as they are; the steps are reduced to numbers per
+    # job (peak RSS, count), a fixed-width hash aggregate with map-side combine.
+    main = job_steps.where(is_main).select(
+        F.col("step_id").alias("job_id"), "state", "elapsed_s", "alloc_cpus", "n_nodes", "total_cpu", "req_mem",
+        "timelimit_min", rss.alias("main_rss"))
+    steps = job_steps.where(~is_main).groupBy(P.step_base_id("step_id").alias("job_id")).agg(
+        F.max(rss).alias("step_rss"), F.count(F.lit(1)).alias("n_steps"))
+    g = main.join(steps, "job_id", "full").withColumn("n_steps", F.coalesce("n_steps", F.lit(0)))
     info = jobs.select("job_id", F.col("batch_flag"), F.col("partition"))
     e = g.join(info, "job_id", "left")
 
+    # Each parsed text is computed once, in its own projection, and referenced by name below.
+    e = e.select(
+        "*",
+        P.duration_seconds("total_cpu").alias("_cpu_used"),
+        P.mem_bytes("req_mem").alias("_req"),
+        P.limit_minutes("timelimit_min").alias("_limit"),
+        F.when(F.col("n_steps") > 0, F.col("step_rss")).otherwise(F.col("main_rss")).alias("_rss"),
+    )
     service = Q.is_interactive("batch_flag", "partition", interactive_partitions)
     elapsed = F.coalesce(F.col("elapsed_s"), F.lit(0))
     cpus = F.coalesce(F.col("alloc_cpus"), F.lit(0))
     nodes = F.coalesce(F.col("n_nodes"), F.lit(1))
-    cpu_used = P.duration_seconds("total_cpu")
+    cpu_used = F.col("_cpu_used")
     cpu_eff = F.when(cpu_used.isNotNull() & (elapsed != 0) & (cpus != 0), cpu_used / (elapsed * cpus))
-    max_rss = F.when(F.col("n_steps") > 0, F.col("step_rss")).otherwise(F.col("main_rss"))
-    req = P.mem_bytes("req_mem")
+    max_rss = F.col("_rss")
+    req = F.col("_req")
     req_bytes = (F.when(req["mode"] == "c", req["bytes"] * F.greatest(cpus, F.lit(1)))
                  .when(req["mode"] == "n", req["bytes"] * F.greatest(nodes, F.lit(1)))
                  .otherwise(req["bytes"]))
-    mem_eff = F.when(max_rss.isNotNull() & req.isNotNull(), F.when(req_bytes != 0, max_rss / req_bytes).otherwise(F.lit(0.0)))
-    limit = P.limit_minutes("timelimit_min")
+    e = e.withColumn("_req_bytes", F.when(req.isNotNull(), req_bytes))
+    req_bytes = F.col("_req_bytes")
+    mem_eff = F.when(max_rss.isNotNull() & req_bytes.isNotNull(), F.when(req_bytes != 0, max_rss / req_bytes).otherwise(F.lit(0.0)))
+    limit = F.col("_limit")
     time_eff = F.when(limit.isNotNull() & (elapsed != 0) & (limit != 0), elapsed / (limit * 60))
     has_time = limit.isNotNull() & (elapsed != 0)
     state = F.coalesce(F.col("state"), F.lit(""))
@@ -242,7 +248,7 @@ def job_efficiency(job_steps: DataFrame, jobs: DataFrame, interactive_partitions
         service.alias("is_service"),
         cpu_eff.alias("cpu_eff"),
         max_rss.alias("max_rss_bytes"),
-        F.when(req.isNotNull(), req_bytes).alias("req_bytes"),
+        req_bytes.alias("req_bytes"),
         mem_eff.alias("mem_eff"),
         time_eff.alias("time_eff"),
         has_time.alias("_has_time"),

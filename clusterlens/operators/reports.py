@@ -127,18 +127,26 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
         "job_id", "modules", "mechanisms", F.col("status").alias("script_status"))
     fc = Fi.file_check(scripts.join(ok, "job_id", "left_semi"), files, roots, 5).groupBy("job_id").agg(
         F.count_if(F.col("check") == "OK").alias("files_ok"), F.count_if(F.col("check") == "ABSENT").alias("files_absent"))
-    logs = L.job_log_tail(mine, log_lines, log_n).groupBy("job_id").agg(
-        F.count("lineno").alias("log_lines"), F.count_if(F.col("status") == "file_not_found").alias("log_files_missing"))
+    # Only the size of each tail is reported here: lines per file (capped at
+    # log_n) summed per job, without carrying the lines themselves.
+    paths = L.job_log_paths(mine)
+    per_file = log_lines.join(paths.select("path").distinct(), "path", "left_semi").groupBy("path").agg(
+        F.least(F.count(F.lit(1)), F.lit(log_n)).alias("_n"))
+    logs = mine.select("job_id").join(paths.join(per_file, "path", "left"), "job_id", "left").groupBy("job_id").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("log_lines"),
+        F.count_if(F.col("path").isNotNull() & F.col("_n").isNull()).alias("log_files_missing"))
     mj = (metric_jobs if metric_jobs is not None else jobs).join(ok, "job_id", "left_semi")
     met = I.join_interval_metrics(mj, samples, metrics_as_of or as_of, ["node_load5"]).groupBy("job_id").agg(
         F.max("max").alias("load5_max"), F.sum("n").alias("load5_samples"))
-    short = J.short_job_stats(jobs, as_of, 7).select("user_name", "total_short")
-    me = mine.select("job_id", "user_name", "elapsed_s", "state")
+    short = J.short_job_stats(jobs, as_of, 7).select("user_name", F.col("total_short").alias("short_total"),
+                                                      F.col("median_elapsed").alias("short_median"))
+    same = J.short_name_counts(jobs, as_of, 7).withColumnRenamed("same_name", "short_same_name")
+    me = mine.select("job_id", "user_name", "job_name", "elapsed_s", "state")
 
     out = req.join(qb, "job_id", "left").join(me, "job_id", "left")
     for part in (pend, eff, sf, fc, logs, met):
         out = out.join(part, "job_id", "left")
-    out = out.join(short, "user_name", "left")
+    out = out.join(short, "user_name", "left").join(same, ["user_name", "job_name"], "left")
     svc = F.coalesce(F.col("is_service"), F.lit(False))
     status = (F.when(~F.col("_valid"), "invalid_key")
               .when(F.col("queue_state") == "PENDING", "pending")
@@ -149,5 +157,6 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
         "state", "elapsed_s", "cpu_eff", "mem_eff", "time_eff", "verdicts", "modules", "script_status", "files_ok", "files_absent",
         F.when(F.col("script_status") == "ok", S.parallel_note(F.col("mechanisms"), F.col("alloc_cpus"), F.col("n_nodes"))).alias("parallel_note"),
         "log_lines", "log_files_missing", "load5_max", "load5_samples",
-        J.short_job_note(F.coalesce(F.col("elapsed_s"), F.lit(0)), svc, F.col("total_short")).alias("short_note"),
+        J.short_job_note(F.coalesce(F.col("elapsed_s"), F.lit(0)), svc, F.col("short_total")).alias("short_note"),
+        "short_total", "short_same_name", "short_median",
     )

@@ -44,6 +44,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        # Compiled plans are cached by generated code; many distinct plans run per session.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -51,19 +53,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for cutting lineage.
+    """Shared folder for cutting lineage and storing derived tables.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared folder there). Only when it is unset, as in local tests, a
-    fresh scratch folder is created and registered.
+    shared folder there). Only when it is unset, as in local tests, a fresh
+    scratch folder is created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="clusterlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
-    os.makedirs(current, exist_ok=True) if current.startswith("/") else None
+    if current.startswith("/"):
+        os.makedirs(current, exist_ok=True)
     return current

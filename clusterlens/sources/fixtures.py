@@ -10,6 +10,9 @@ All derivations are narrow projections or joins against the small
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -398,18 +401,61 @@ TABLES = {
 }
 
 
+def _input_signature(sf_dir: str) -> str:
+    """Identity of the test tables: path, and size and mtime of local files (remote paths: path only)."""
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode() if sf_dir.startswith("/") else sf_dir.encode())
+    if sf_dir.startswith("/") and os.path.isdir(sf_dir):
+        for f in sorted(os.listdir(sf_dir)):
+            st = os.stat(os.path.join(sf_dir, f))
+            h.update(f"{f}:{st.st_size}:{int(st.st_mtime)}".encode())
+    h.update(hashlib.sha1(open(__file__, "rb").read()).digest())  # derivation code
+    return h.hexdigest()[:16]
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The derived table, written once as parquet under the session's checkpoint folder.
+
+    The folder comes from ``spark.checkpoint.dir`` (the cluster's shared
+    folder); only when it is unset, as in local tests, a scratch folder is
+    registered. The table is written in ``defaultParallelism`` files so that
+    later scans are spread over all cores, and a finished table is marked by
+    ``_SUCCESS``. Queries then scan the stored table instead of re-deriving
+    it, as they would scan canonical tables on a cluster.
+    """
+    from ..session import checkpoint_dir
+
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/clusterlens-tables/{_input_signature(sf_dir)}/{name}"
+    local = path.startswith("/") or path.startswith("file:")
+    marker = os.path.join(path.removeprefix("file:"), "_SUCCESS")
+    if not (local and os.path.exists(marker)):
+        df = build(spark, sf_dir)
+        df.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 class Tables:
-    """Lazy accessor: ``t.jobs`` builds the derived DataFrame once per accessor."""
+    """Lazy accessor: ``t.jobs`` is the derived table, stored once per input (see ``materialized``).
+
+    ``materialize=False`` (or ``CLUSTERLENS_MATERIALIZE=0``) derives the
+    tables inside every query plan instead.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
         self.spark, self.sf_dir = spark, sf_dir
+        if materialize is None:
+            materialize = os.environ.get("CLUSTERLENS_MATERIALIZE", "1") != "0"
+        self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = TABLES[name](self.spark, self.sf_dir)
+            if self.materialize:
+                self._cache[name] = materialized(self.spark, self.sf_dir, name, TABLES[name])
+            else:
+                self._cache[name] = TABLES[name](self.spark, self.sf_dir)
         return self._cache[name]
 
     def raw(self, name: str) -> DataFrame:

@@ -168,3 +168,29 @@ def test_range_grid_and_counter(spark):
     assert inc["increase"] == 1 + 1 + 0 + 5  # 1→2→3, reset to 0, then 0→5
     rate = M.irate(s, "m", "2024-01-10 00:40:00", lookback="30m").collect()[0]
     assert abs(rate["rate"] - 5 / 660) < 1e-12
+
+
+def test_interval_join_matches_brute_force(spark):
+    import random
+    from clusterlens.operators import intervals as I
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    jobs = [(str(i), f"n[{rnd.randint(1, 3)}-{rnd.randint(4, 5)}]", base + dt.timedelta(minutes=rnd.randint(0, 3000)), None) for i in range(60)]
+    jobs = [(j, nl, st, st + dt.timedelta(minutes=rnd.randint(0, 900)) if int(j) % 7 else None) for j, nl, st, _ in jobs]
+    samples = [("node_load1", {"instance": f"n{rnd.randint(1, 5)}:9100"}, base + dt.timedelta(seconds=rnd.randint(0, 200000)), float(rnd.randint(0, 50)))
+               for _ in range(3000)]
+    jdf = spark.createDataFrame(jobs, "job_id string, node_list string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    sdf = spark.createDataFrame(samples, "metric string, labels map<string,string>, ts timestamp_ntz, value double")
+    as_of = "2024-01-04 00:00:00"
+    end_open = dt.datetime(2024, 1, 4)
+    want = {}
+    for j, nl, st, en in jobs:
+        lo, hi = int(nl[2]), int(nl[4])
+        for node in [f"n{k}" for k in range(lo, hi + 1)][:4]:
+            vals = sorted((ts, v) for m, lab, ts, v in samples if lab["instance"] == f"{node}:9100" and st <= ts <= (en or end_open))
+            if vals:
+                want[(j, node)] = (len(vals), min(v for _, v in vals), max(v for _, v in vals), vals[0][1], vals[-1][1])
+    for bucket in (None, "10m", "1d"):
+        got = {(r["job_id"], r["node"]): (r["n"], r["min"], r["max"], r["first"], r["last"])
+               for r in I.join_interval_metrics(jdf, sdf, as_of, ["node_load1"], bucket=bucket).collect()}
+        assert got == want, bucket
