@@ -1,0 +1 @@
+"""Incremental (Structured Streaming) runs of the snapshot operators; see ``snapshots``."""
