@@ -267,6 +267,15 @@ def job_efficiency(job_steps: DataFrame, jobs: DataFrame, interactive_partitions
         "ok", (F.size("verdicts") == 0) & ~svc).drop("_has_time", "_state")
 
 
+def max_rss(job_steps: DataFrame) -> DataFrame:
+    """Peak resident memory of each job: the largest over its steps if it has any, else its main row's."""
+    is_main = ~F.col("step_id").contains(".")
+    rss = P.mem_bytes("max_rss")["bytes"]
+    return job_steps.groupBy(P.step_base_id("step_id").alias("job_id")).agg(
+        F.coalesce(F.max(F.when(~is_main, rss)), F.when(F.count_if(~is_main) == 0, F.max(F.when(is_main, rss)))).alias("max_rss_bytes"),
+        F.count_if(~is_main).alias("n_steps"))
+
+
 def job_details(ids: DataFrame, queue: DataFrame, job_steps: DataFrame) -> DataFrame:
     """Live queue record and all accounting rows of each requested job, side by side.
 
