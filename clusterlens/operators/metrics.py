@@ -84,9 +84,10 @@ def range_points(samples: DataFrame, metric: str | Sequence[str] | None, as_of:
                  regex_matchers: Mapping[str, str] | None = None) -> DataFrame:
     """Values of every series on the grid start + i·step (start = as_of − hours, i = 0..N).
 
-    A grid point p takes the latest sample in (p − lookback, p]. Each sample
-    is expanded to the grid points it can serve, p ∈ [t, t + lookback), with
-    ``sequence`` over grid indices — no join — then ``max_by`` per
+    A grid point p takes the latest sample in (p − lookback, p]. Samples are
+    first reduced to the latest one per (series, first servable point); each
+    survivor is expanded to the grid points it can serve, p ∈ [t, t + lookback),
+    with ``sequence`` over grid indices — no join — then ``max_by`` per
     (series, point). NaN and null values are dropped.
     """
     step_us, lb_us = duration_us(step), duration_us(lookback)
@@ -96,7 +97,16 @@ def range_points(samples: DataFrame, metric: str | Sequence[str] | None, as_of:
     s = select_series(samples, metric, matchers, regex_matchers)
     s = s.where((F.col("ts") > _since(as_of, span_us + lb_us)) & (F.col("ts") <= _asof(as_of)) & Q.not_nan("value"))
     off = F.timestamp_diff("MICROSECOND", start, F.col("ts"))
-    lo = F.greatest(F.ceil(off / F.lit(float(step_us))), F.lit(0)).cast("bigint")
+    # First grid point a sample can serve: k = ceil(off / step). Only the latest
+    # sample of each (series, k) can ever win a grid point, so samples are first
+    # reduced to one per (series, k) — a partial/final aggregate — and only
+    # those are expanded to the points they serve.
+    s = s.withColumn("k", F.ceil(off / F.lit(float(step_us))).cast("bigint"))
+    latest = F.struct("ts", "value")
+    s = s.groupBy("metric", "series", "k").agg(F.max(latest).alias("_l"), F.max_by("labels", latest).alias("labels")).select(
+        "metric", "series", "k", "labels", F.col("_l.ts").alias("ts"), F.col("_l.value").alias("value"))
+    off = F.timestamp_diff("MICROSECOND", start, F.col("ts"))
+    lo = F.greatest(F.col("k"), F.lit(0)).cast("bigint")
     hi = F.least(F.ceil((off + F.lit(lb_us)) / F.lit(float(step_us))) - 1, F.lit(n_points)).cast("bigint")
     pts = s.where(hi >= lo).select("metric", "series", "labels", "ts", "value", F.explode(F.sequence(lo, hi)).alias("i"))
     return pts.groupBy("metric", "series", "i").agg(

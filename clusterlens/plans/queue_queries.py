@@ -215,3 +215,16 @@ def q_job_details(spark, sf_dir):
     """Live record and all accounting rows of every requested job id."""
     t = Tables(spark, sf_dir)
     return J.job_details(t.job_requests, t.queue, t.job_steps)
+
+
+_OVERRIDES = {"building": 2.0, "machinery": 6.5}
+
+
+@query("join_ratio_override", W(f"""WITH {_RATIO}
+SELECT partition, round(measured_ratio, 6) AS measured_ratio,
+       round(coalesce(CASE partition WHEN 'building' THEN 2.0 WHEN 'machinery' THEN 6.5 END, measured_ratio), 6) AS ratio
+FROM ratio""", "nodes"))
+def q_join_ratio_override(spark, sf_dir):
+    """GB/CPU of every partition with configured overrides (building 2.0, machinery 6.5) winning over the measured value."""
+    df = Qo.partition_mem_ratio(Tables(spark, sf_dir).nodes, _OVERRIDES)
+    return df.select("partition", F.round("measured_ratio", 6).alias("measured_ratio"), F.round("ratio", 6).alias("ratio"))
