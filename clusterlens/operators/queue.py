@@ -138,11 +138,12 @@ def stuck_jobs(queue: DataFrame, as_of: str, by: Sequence[str] = (), top_users:
     )
     flagged = pend.where(F.col("bucket") != "NORMAL")
     rk = [*by, "bucket", "reason"]
-    per_reason = flagged.groupBy(*rk).agg(F.sum("tasks").alias("reason_tasks"), F.countDistinct("user_name").alias("reason_users"))
     per_user = flagged.groupBy(*rk, "user_name").agg(
         F.sum("tasks").alias("user_tasks"),
         F.greatest(F.lit(0.0), F.max("age_h")).alias("oldest_h"),
     )
+    # reason totals from the per-user rows: distinct users counted without a distinct aggregate
+    per_reason = per_user.groupBy(*rk).agg(F.sum("user_tasks").alias("reason_tasks"), F.count(F.lit(1)).alias("reason_users"))
     top_u = top_per_group(per_user, rk, [F.desc("user_tasks"), F.asc("user_name")], top_users, "user_rank")
     ids = flagged.select(*rk, "user_name", "job_id")
     smp = (top_per_group(ids, [*rk, "user_name"], [F.asc("job_id")], samples, "_r")
@@ -233,13 +234,21 @@ def running_counts(queue: DataFrame, by: str = "account", top_users: int = 8) ->
 
 
 def jobs_by_node(queue: DataFrame, wanted: DataFrame, states: Sequence[str] = ("RUNNING", "COMPLETING")) -> DataFrame:
-    """Jobs on each wanted node (host lists expanded); a node without jobs keeps one row, status ``none_running``."""
+    """Jobs on each wanted node (host lists expanded); a node without jobs keeps one row, status ``none_running``.
+
+    Written as inner join ∪ anti join rather than a left join: the wanted
+    nodes are the small side and can be broadcast (a left outer join could
+    only build the big side), and a node running a third of all jobs is
+    then never a skewed shuffle partition.
+    """
     on = (queue.where(F.col("state").isin(*states))
           .select("job_id", "user_name", "account", "job_name", "state", "n_cpus", F.explode(P.host_list("node_list")).alias("node")))
     w = wanted.select("node").distinct().withColumn("_valid", Q.valid_name("node"))
-    out = w.join(on, ["node"], "left")
-    status = (F.when(~F.col("_valid"), "invalid_key").when(F.col("job_id").isNull(), "none_running").otherwise("ok"))
-    return out.withColumn("status", status).drop("_valid")
+    valid = w.where("_valid").select("node")
+    hits = on.join(valid, "node", "inner").withColumn("status", F.lit("ok"))
+    idle = valid.join(on.select("node"), "node", "left_anti").withColumn("status", F.lit("none_running"))
+    bad = w.where(~F.col("_valid")).select("node").withColumn("status", F.lit("invalid_key"))
+    return hits.unionByName(idle, allowMissingColumns=True).unionByName(bad, allowMissingColumns=True)
 
 
 def fairshare_lookup(shares: DataFrame, user: str | None = None, account: str | None = None, top: int | None = None) -> DataFrame:
