@@ -78,3 +78,18 @@ def guard_keys(
         .otherwise("ok")
     )
     return out.withColumn("status", status).withColumnRenamed("__req", key).drop("__k", "__known", "__rk", "__hit", "__valid")
+
+
+def left_join_split(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``left`` LEFT OUTER JOIN ``right`` written as inner join ∪ anti join.
+
+    Same rows as the left outer join, but the big, possibly skewed side
+    (``right``: one key may hold a third of its rows) goes through an inner
+    join, where AQE may split a skewed partition on either side or broadcast
+    the small left side; the unmatched left rows come from an anti join
+    against the *distinct* right keys, which are pre-aggregated map-side.
+    """
+    on = list(on)
+    hits = left.join(right, on, "inner")
+    miss = left.join(right.select(*on).distinct(), on, "left_anti")
+    return hits.unionByName(miss, allowMissingColumns=True)

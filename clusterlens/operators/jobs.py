@@ -15,7 +15,7 @@ from pyspark.sql import Window
 
 from ..functions import parse as P
 from ..functions import predicates as Q
-from .guards import top_per_group, with_total
+from .guards import left_join_split, top_per_group, with_total
 
 
 def _user(c: str = "user_name") -> Column:
@@ -287,13 +287,14 @@ def job_details(ids: DataFrame, queue: DataFrame, job_steps: DataFrame) -> DataF
                      F.col("state").alias("queue_state"), "reason", "partition", "submit_ts", "node_list")
     s = job_steps.select(P.step_base_id("step_id").alias("sid"), "step_id", F.col("state").alias("acct_state"),
                          "elapsed_s", "max_rss", "exit_code" if "exit_code" in job_steps.columns else F.lit(None).cast("string").alias("exit_code"))
-    valid = Q.valid_job_id("req_id")
-    out = (req.withColumn("_valid", valid)
-           .join(q, (F.col("req_id") == F.col("qid")) & F.col("_valid"), "left")
-           .join(s, (F.col("req_id") == F.col("sid")) & F.col("_valid"), "left"))
+    req = req.withColumn("_valid", Q.valid_job_id("req_id"))
+    # Queue rows are one per job; accounting may hold very many steps for one
+    # job, so that side is joined as inner ∪ anti (skew-splittable).
+    out = req.join(q, (F.col("req_id") == F.col("qid")) & F.col("_valid"), "left")
+    out = left_join_split(out.withColumn("sid", F.when(F.col("_valid"), F.col("req_id"))), s.withColumn("_acct", F.lit(True)), ["sid"])
     status = (F.when(~F.col("_valid"), "invalid_key")
-              .when(F.col("qid").isNull() & F.col("sid").isNull(), "unknown_key")
+              .when(F.col("qid").isNull() & F.col("_acct").isNull(), "unknown_key")
               .when(F.col("qid").isNull(), "not_in_queue")
-              .when(F.col("sid").isNull(), "no_accounting")
+              .when(F.col("_acct").isNull(), "no_accounting")
               .otherwise("ok"))
-    return out.withColumn("status", status).drop("qid", "sid", "_valid").withColumnRenamed("req_id", "job_id")
+    return out.withColumn("status", status).drop("qid", "sid", "_valid", "_acct").withColumnRenamed("req_id", "job_id")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse as P
 from ..functions import predicates as Q
+from . import guards as G
 from .guards import top_per_group, with_total
 
 # Pending reasons that never resolve without intervention.
@@ -87,9 +88,11 @@ def pending_context(ids: DataFrame, queue: DataFrame, nodes: DataFrame) -> DataF
     or purged: not pending), ``invalid_key``.
     """
     req = ids.select(F.col("job_id").alias("req_id")).distinct().withColumn("_valid", Q.valid_job_id("req_id"))
-    q = queue.select(P.base_job_id("job_id").alias("_qid"), F.col("job_id").alias("queue_job_id"), "state", "reason",
-                     "priority", "partition")
-    out = req.join(q, (F.col("req_id") == F.col("_qid")) & F.col("_valid"), "left")
+    req = req.withColumn("_key", F.when(F.col("_valid"), F.col("req_id")))
+    # an array job's tasks share one base id: join as inner ∪ anti (skew-splittable)
+    q = queue.select(P.base_job_id("job_id").alias("_key"), F.col("job_id").alias("queue_job_id"), "state", "reason",
+                     "priority", "partition").withColumn("_qid", F.lit(True))
+    out = G.left_join_split(req, q, ["_key"]).drop("_key")
     pn = partition_node_states(nodes).select("partition", "allocated", "idle", "other", "total")
     out = out.join(pending_count(queue), "partition", "left").join(pn, "partition", "left")
     status = F.when(~F.col("_valid"), "invalid_key").when(F.col("_qid").isNull(), "not_in_queue").otherwise("ok")
