@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import predicates as Q
 from ..functions import render as R
-from .guards import top_per_group, with_total
+from .guards import attach_row, top_per_group, with_total
 
 SOURCE_FIELDS = ("idx", "doc_id", "level", "host", "event_type", "message", "value", "props")
 
@@ -64,7 +64,7 @@ def terms_agg(docs: DataFrame, field: str, predicate: Column | str | None = None
     buckets = m.where(F.col(field).isNotNull()).groupBy(F.col(field).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     shown = top_per_group(buckets, [], [F.desc("n"), F.asc("value")], top)
     shown_sum = shown.agg(F.sum("n").alias("_shown"))
-    out = shown.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(shown_sum)).select(
+    out = attach_row(attach_row(shown, total), shown_sum).select(
         "value", "n", "rank", (F.col("with_field") - F.col("_shown")).alias("other"), "total", F.lit("ok").alias("status"))
     guard = total.select(
         F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("int").alias("rank"),
@@ -102,7 +102,7 @@ def index_catalog(docs: DataFrame, pattern: str = "*", allowed: Sequence[str] |
     per = per.withColumn("_visible", Q.index_allowed("idx", allowed))
     counts = per.agg(F.count_if("_visible").alias("n_visible"), F.count_if(~F.col("_visible")).alias("n_hidden"))
     shown = top_per_group(per.where("_visible"), [], [F.asc("idx")], top).drop("_visible")
-    return shown.crossJoin(F.broadcast(counts))
+    return attach_row(shown, counts)
 
 
 # ---------------------------------------------------------------- field catalog
@@ -157,9 +157,9 @@ def field_catalog(docs: DataFrame, json_fields: Sequence[str] = ("props",), top:
     per index — goes through a small Arrow-batched parser.
     """
     plain = [(c, t) for c, t in docs.dtypes if c not in json_fields and c != "idx"]
-    idx = docs.select("idx").distinct()
-    cols = docs.sparkSession.createDataFrame(plain, "field string, type string")
-    base = idx.crossJoin(F.broadcast(cols))
+    # the table's own columns, listed for every index (a literal array, no join)
+    cols = F.array(*[F.struct(F.lit(c).alias("field"), F.lit(t).alias("type")) for c, t in plain])
+    base = docs.select("idx").distinct().select("idx", F.explode(cols).alias("c")).select("idx", "c.field", "c.type")
     frames = [base]
     for jf in json_fields:
         agg = docs.groupBy("idx").agg(F.schema_of_variant_agg(F.try_parse_json(jf)).alias("_schema"))

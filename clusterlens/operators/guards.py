@@ -38,8 +38,18 @@ def with_total(limited: DataFrame, full: DataFrame, by: Sequence[str] = (), tota
         totals = full.groupBy(*by).agg(F.count(F.lit(1)).alias(total_col))
         return limited.join(totals, list(by), "left")
     totals = full.agg(F.count(F.lit(1)).alias(total_col))
-    # One row: a cross join with it is a broadcast of a single row.
-    return limited.crossJoin(F.broadcast(totals))
+    return attach_row(limited, totals)
+
+
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Append the columns of a one-row aggregate (a global total) to every row of ``df``.
+
+    ``one_row`` is a global aggregate, so it has exactly one row by
+    construction: it is broadcast and joined on a constant key — no pairs are
+    formed beyond that single row.
+    """
+    k = "__one"
+    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k, "inner").drop(k)
 
 
 def keys_frame(spark, name: str, keys: Sequence[str]) -> DataFrame:

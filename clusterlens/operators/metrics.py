@@ -15,7 +15,7 @@ from pyspark.sql import Window
 
 from ..functions import predicates as Q
 from ..functions import render as R
-from .guards import top_per_group, with_total
+from .guards import attach_row, top_per_group, with_total
 
 US = 1_000_000
 STEP_UNITS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
@@ -293,7 +293,7 @@ def gpu_overview(samples: DataFrame, as_of: str, lookback: str | int = "5m", top
     hosts = per_host.agg(F.count(F.lit(1)).alias("fleet_hosts"))
     ranks = top_per_group(per_host.select("host", "mean_util"), [], [F.desc("mean_util"), F.asc("host")], top, "busy_rank").drop("mean_util")
     ranked = per_host.join(ranks, "host", "left").where(F.col("busy_rank").isNotNull() | (F.col("idle_gpus") > 0))
-    return ranked.crossJoin(F.broadcast(fleet)).crossJoin(F.broadcast(hosts))
+    return attach_row(attach_row(ranked, fleet), hosts)
 
 
 def gpu_errors(samples: DataFrame, as_of: str, window: str = "24h", top: int = 10) -> DataFrame:

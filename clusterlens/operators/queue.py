@@ -166,7 +166,7 @@ def stuck_jobs(queue: DataFrame, as_of: str, by: Sequence[str] = (), top_users:
     rows = flagged_rows.unionByName(normal_rows)
     if by:
         return rows.join(totals, list(by), "left")
-    return rows.crossJoin(F.broadcast(totals))
+    return G.attach_row(rows, totals)
 
 
 # ------------------------------------------------------------------- memory
@@ -279,5 +279,5 @@ def fairshare_lookup(shares: DataFrame, user: str | None = None, account: str |
             F.lit(None).cast("double").alias("norm_usage"), F.lit(None).cast("double").alias("level_fs"),
             F.lit(None).cast("boolean").alias("below_share"), F.lit("no_association").alias("status"))
         found = s.agg(F.count(F.lit(1)).alias("_n"))
-        return s.unionByName(probe.crossJoin(found).where(F.col("_n") == 0).drop("_n"), allowMissingColumns=True)
+        return s.unionByName(G.attach_row(probe, found).where(F.col("_n") == 0).drop("_n"), allowMissingColumns=True)
     return s
