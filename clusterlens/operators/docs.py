@@ -67,7 +67,7 @@ def terms_agg(docs: DataFrame, field: str, predicate: Column | str | None = None
     out = attach_row(attach_row(shown, total), shown_sum).select(
         "value", "n", "rank", (F.col("with_field") - F.col("_shown")).alias("other"), "total", F.lit("ok").alias("status"))
     guard = total.select(
-        F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("int").alias("rank"),
+        F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("rank"),
         F.lit(None).cast("bigint").alias("other"), "total",
         F.when(F.col("total") == 0, "no_match").otherwise("field_absent").alias("status"),
         "with_field").where(F.col("with_field") == 0).drop("with_field")

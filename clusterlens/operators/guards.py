@@ -26,10 +26,12 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n:
     """
     w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
     if by:
-        return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+        # filter on the raw row_number (so Spark infers the group limit), then widen to BIGINT
+        ranked = df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+        return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))
     limited = df.orderBy(*order).limit(n)
     # n rows at most: the global window below runs on the limited rows only.
-    return limited.withColumn(rank_col, F.row_number().over(w))
+    return limited.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
 
 
 def with_total(limited: DataFrame, full: DataFrame, by: Sequence[str] = (), total_col: str = "total") -> DataFrame:

@@ -271,7 +271,7 @@ def gpu_host_detail(samples: DataFrame, as_of: str, lookback: str | int = "5m",
         (F.col("fb_used_mib") / 1024).alias("fb_used_gib"),
         F.when(F.col("fb_used_mib").isNotNull() & (total > 0), total / 1024).alias("fb_total_gib"),
         "temp_c", "power_w", "model",
-        F.row_number().over(Window.partitionBy("host").orderBy(F.col("gpu").try_cast("int").asc_nulls_last(), F.asc("gpu"))).alias("gpu_order"),
+        F.row_number().over(Window.partitionBy("host").orderBy(F.col("gpu").try_cast("int").asc_nulls_last(), F.asc("gpu"))).cast("bigint").alias("gpu_order"),
     )
 
 

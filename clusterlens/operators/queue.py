@@ -157,7 +157,7 @@ def stuck_jobs(queue: DataFrame, as_of: str, by: Sequence[str] = (), top_users:
     normal = top_per_group(normal, list(by), [F.desc("reason_tasks"), F.asc("reason")], top_normal, "reason_rank")
     normal_rows = normal.select(
         *rk, F.lit(None).cast("string").alias("user_name"), F.lit(None).cast("bigint").alias("user_tasks"),
-        F.lit(None).cast("double").alias("oldest_h"), F.lit(None).cast("int").alias("user_rank"),
+        F.lit(None).cast("double").alias("oldest_h"), F.lit(None).cast("bigint").alias("user_rank"),
         "reason_tasks", F.lit(None).cast("bigint").alias("reason_users"),
         F.lit(None).cast("array<string>").alias("samples"), "reason_rank")
     rr = per_reason.select(*rk, "reason_tasks")

@@ -69,11 +69,11 @@ def q_tres_fields(spark, sf_dir):
 
 @query("array_task_count", W(r"""
 SELECT job_id, split_part(split_part(job_id, '_', 1), '.', 1) AS base_id,
-  CASE WHEN regexp_matches(job_id, '_\[([^\]]+)\]') THEN greatest(1, list_sum(list_transform(
+  CASE WHEN regexp_matches(job_id, '_\[([^\]]+)\]') THEN CAST(greatest(1, list_sum(list_transform(
     string_split(split_part(regexp_extract(job_id, '_\[([^\]]+)\]', 1), '%', 1), ','),
     lambda p: CASE WHEN contains(trim(p), '-') THEN coalesce(CASE WHEN len(string_split(trim(p), '-')) = 2 THEN
         TRY_CAST(split_part(trim(p), '-', 2) AS BIGINT) - TRY_CAST(split_part(trim(p), '-', 1) AS BIGINT) + 1 END, 1)
-      WHEN regexp_matches(trim(p), '^[0-9]+$') THEN 1 ELSE 0 END))) ELSE 1 END AS tasks
+      WHEN regexp_matches(trim(p), '^[0-9]+$') THEN 1 ELSE 0 END))) AS BIGINT) ELSE 1 END AS tasks
 FROM queue""", "queue"))
 def q_array_task_count(spark, sf_dir):
     """Task count and base id of every queue job id (array ranges, lists and limits)."""

@@ -12,11 +12,11 @@ from .registry import query
 
 _VALID_ID = "regexp_matches(replace(replace({x}, '_', ''), '.', ''), '^[A-Za-z0-9]+$')"
 _BASE_ID = "split_part(split_part({x}, '_', 1), '.', 1)"
-_TASKS = r"""CASE WHEN regexp_matches(job_id, '_\[([^\]]+)\]') THEN greatest(1, list_sum(list_transform(
+_TASKS = r"""CASE WHEN regexp_matches(job_id, '_\[([^\]]+)\]') THEN CAST(greatest(1, list_sum(list_transform(
     string_split(split_part(regexp_extract(job_id, '_\[([^\]]+)\]', 1), '%', 1), ','),
     lambda p: CASE WHEN contains(trim(p), '-') THEN coalesce(CASE WHEN len(string_split(trim(p), '-')) = 2 THEN
         TRY_CAST(split_part(trim(p), '-', 2) AS BIGINT) - TRY_CAST(split_part(trim(p), '-', 1) AS BIGINT) + 1 END, 1)
-      WHEN regexp_matches(trim(p), '^[0-9]+$') THEN 1 ELSE 0 END))) ELSE 1 END"""
+      WHEN regexp_matches(trim(p), '^[0-9]+$') THEN 1 ELSE 0 END))) AS BIGINT) ELSE 1 END"""
 _TOKEN = r"coalesce(nullif(regexp_extract(split_part(reason, ',', 1), '^\s*(\S+)', 1), ''), 'None')"
 _FATAL = ("'DependencyNeverSatisfied', 'JobHeldAdmin', 'JobHeldUser', 'launch_failed_requeued_held', 'PartitionNodeLimit', "
           "'PartitionTimeLimit', 'PartitionConfig', 'InvalidQOS', 'InvalidAccount', 'AccountNotAllowed', 'QOSUsageThreshold'")
@@ -92,16 +92,16 @@ WITH p AS (
          (epoch_us(TIMESTAMP '{JOBS_AS_OF}') - epoch_us(submit_ts)) / 3.6e9 AS age_h
   FROM queue WHERE state = 'PENDING'),
 b AS (SELECT *, CASE WHEN reason IN ({_FATAL}) THEN 'FATAL' WHEN reason IN ({_SUSPECT}) THEN 'SUSPECT' ELSE 'NORMAL' END AS bucket FROM p),
-tot AS (SELECT sum(tasks) AS n_tasks, sum(CASE WHEN bucket = 'FATAL' THEN tasks ELSE 0 END) AS n_fatal,
-               sum(CASE WHEN bucket = 'SUSPECT' THEN tasks ELSE 0 END) AS n_suspect FROM b),
+tot AS (SELECT CAST(sum(tasks) AS BIGINT) AS n_tasks, CAST(sum(CASE WHEN bucket = 'FATAL' THEN tasks ELSE 0 END) AS BIGINT) AS n_fatal,
+               CAST(sum(CASE WHEN bucket = 'SUSPECT' THEN tasks ELSE 0 END) AS BIGINT) AS n_suspect FROM b),
 f AS (SELECT * FROM b WHERE bucket != 'NORMAL'),
-pr AS (SELECT bucket, reason, sum(tasks) AS reason_tasks, count(DISTINCT user_name) AS reason_users FROM f GROUP BY ALL),
+pr AS (SELECT bucket, reason, CAST(sum(tasks) AS BIGINT) AS reason_tasks, count(DISTINCT user_name) AS reason_users FROM f GROUP BY ALL),
 prr AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY reason_tasks DESC, reason) AS reason_rank FROM pr),
-pu AS (SELECT bucket, reason, user_name, sum(tasks) AS user_tasks, greatest(0.0, max(age_h)) AS oldest_h FROM f GROUP BY ALL),
+pu AS (SELECT bucket, reason, user_name, CAST(sum(tasks) AS BIGINT) AS user_tasks, greatest(0.0, max(age_h)) AS oldest_h FROM f GROUP BY ALL),
 pur AS (SELECT *, row_number() OVER (PARTITION BY bucket, reason ORDER BY user_tasks DESC, user_name) AS user_rank FROM pu QUALIFY user_rank <= 10),
 sm AS (SELECT bucket, reason, user_name, string_agg(job_id, ',' ORDER BY job_id) AS samples FROM (
          SELECT *, row_number() OVER (PARTITION BY bucket, reason, user_name ORDER BY job_id) AS r FROM f) WHERE r <= 4 GROUP BY ALL),
-nr AS (SELECT bucket, reason, sum(tasks) AS reason_tasks FROM b WHERE bucket = 'NORMAL' GROUP BY ALL),
+nr AS (SELECT bucket, reason, CAST(sum(tasks) AS BIGINT) AS reason_tasks FROM b WHERE bucket = 'NORMAL' GROUP BY ALL),
 nrr AS (SELECT *, row_number() OVER (ORDER BY reason_tasks DESC, reason) AS reason_rank FROM nr QUALIFY reason_rank <= 6)
 SELECT pur.bucket, pur.reason, pur.user_name, pur.user_tasks, round(pur.oldest_h, 6) AS oldest_h, pur.user_rank,
        prr.reason_tasks, prr.reason_users, sm.samples, prr.reason_rank, tot.n_tasks, tot.n_fatal, tot.n_suspect

@@ -159,7 +159,7 @@ def q_doc_search(spark, sf_dir):
 WITH m AS (SELECT * FROM docs WHERE level = 'ERROR'),
 b AS (SELECT CAST(host AS VARCHAR) AS value, count(*) AS n FROM m WHERE host IS NOT NULL GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (ORDER BY n DESC, value) AS rank FROM b QUALIFY rank <= 10)
-SELECT value, n, rank, (SELECT count(host) FROM m) - (SELECT sum(n) FROM r) AS other, (SELECT count(*) FROM m) AS total, 'ok' AS status FROM r""", "docs"))
+SELECT value, n, rank, CAST((SELECT count(host) FROM m) - (SELECT sum(n) FROM r) AS BIGINT) AS other, (SELECT count(*) FROM m) AS total, 'ok' AS status FROM r""", "docs"))
 def q_terms_agg(spark, sf_dir):
     """Top 10 hosts of ERROR documents, with the rest and the exact total."""
     return D.terms_agg(Tables(spark, sf_dir).docs, "host", "level = 'ERROR'", top=10)
