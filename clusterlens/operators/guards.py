@@ -1,7 +1,8 @@
 """Result guards shared by all operators.
 
 * ``with_total``: a limited listing always carries the exact total of the
-  rows it was cut from, computed by a separate aggregate (never
+  rows it was cut from, computed by a separate aggregate — per group a
+  grouped count joined on the group key, globally a scalar subquery (never
   ``count(*) over ()``, which funnels every row through one task).
 * ``guard_keys``: one row per requested key with a ``status`` saying why a
   result is empty (``ok``, ``empty``, ``unknown_key``, ``invalid_key``).
@@ -39,19 +40,19 @@ def with_total(limited: DataFrame, full: DataFrame, by: Sequence[str] = (), tota
     if by:
         totals = full.groupBy(*by).agg(F.count(F.lit(1)).alias(total_col))
         return limited.join(totals, list(by), "left")
-    totals = full.agg(F.count(F.lit(1)).alias(total_col))
-    return attach_row(limited, totals)
+    return limited.withColumn(total_col, full.agg(F.count(F.lit(1))).scalar())
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row aggregate (a global total) to every row of ``df``.
+    """Append the columns of a one-row global aggregate (a total) to every row of ``df``.
 
-    ``one_row`` is a global aggregate, so it has exactly one row by
-    construction: it is broadcast and joined on a constant key — no pairs are
-    formed beyond that single row.
+    Each value is a scalar subquery (``DataFrame.scalar()``): computed once
+    by its own partial/final aggregate and inlined as a constant — no join,
+    no pairs. Spark merges the scalar subqueries over the same input.
     """
-    k = "__one"
-    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k, "inner").drop(k)
+    for c in one_row.columns:
+        df = df.withColumn(c, one_row.select(c).scalar())
+    return df
 
 
 def keys_frame(spark, name: str, keys: Sequence[str]) -> DataFrame:

@@ -70,3 +70,17 @@ def test_derived_tables_unmaterialized_match(spark):
     for name in ("jobs", "queue", "samples", "log_lines"):
         x, y = comparable(getattr(a, name)), comparable(getattr(b, name))
         assert x.count() == y.count() and x.exceptAll(y).count() == 0, name
+
+
+def test_per_group_top_n_is_a_group_limit(spark):
+    """row_number() <= n per group is planned as WindowGroupLimit (partial limit before the shuffle)."""
+    for key in ("tail_lines", "job_history", "dir_listing"):
+        df = E.queries()[key](spark, SF)
+        df.write.format("noop").mode("overwrite").save()
+        assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString(), key
+
+
+def test_no_cartesian_products(spark):
+    for key in sorted(E.queries()):
+        plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
