@@ -43,9 +43,24 @@ def snapshot_at(df: DataFrame, as_of: str | None) -> DataFrame:
 
 
 def queue_filter(queue: DataFrame, user: str | None = None, account: str | None = None,
-                 state: str | None = None, partition: str | None = None) -> DataFrame:
-    """Queue rows matching every non-empty equality filter."""
-    return queue.where(Q.opt_equals(user_name=user, account=account, state=state, partition=partition))
+                 state: str | None = None, partition: str | None = None, users: DataFrame | None = None) -> DataFrame:
+    """Queue rows matching every non-empty equality filter.
+
+    With ``users`` (the known logins) and a ``user``, the rows carry
+    ``status = ok``, and one guard row says why there are none:
+    ``invalid_key``, ``unknown_key`` (an unknown login is not an empty
+    queue) or ``empty``.
+    """
+    rows = queue.where(Q.opt_equals(user_name=user, account=account, state=state, partition=partition))
+    if users is None or not user:
+        return rows
+    spark = queue.sparkSession
+    known = users.where(F.col("user_name") == user).agg(F.count(F.lit(1))).scalar()
+    found = rows.agg(F.count(F.lit(1))).scalar()
+    status = (F.when(~Q.valid_name(F.lit(user)), "invalid_key").when(known == 0, "unknown_key")
+              .when(found == 0, "empty"))
+    guard = spark.range(1).select(F.lit(user).alias("user_name"), status.alias("status")).where(F.col("status").isNotNull())
+    return rows.withColumn("status", F.lit("ok")).unionByName(guard, allowMissingColumns=True)
 
 
 # ------------------------------------------------------------- node states

@@ -194,3 +194,13 @@ def test_interval_join_matches_brute_force(spark):
         got = {(r["job_id"], r["node"]): (r["n"], r["min"], r["max"], r["first"], r["last"])
                for r in I.join_interval_metrics(jdf, sdf, as_of, ["node_load1"], bucket=bucket).collect()}
         assert got == want, bucket
+
+
+def test_queue_filter_guards_unknown_user(spark):
+    q = spark.createDataFrame([("1", "u1", "a", "PENDING", "p")], "job_id string, user_name string, account string, state string, partition string")
+    users = spark.createDataFrame([("u1",), ("u2",)], "user_name string")
+    assert [r["status"] for r in Qo.queue_filter(q, user="u1", users=users).collect()] == ["ok"]
+    assert [r["status"] for r in Qo.queue_filter(q, user="u2", users=users).collect()] == ["empty"]
+    assert [r["status"] for r in Qo.queue_filter(q, user="zz", users=users).collect()] == ["unknown_key"]
+    assert [r["status"] for r in Qo.queue_filter(q, user="a;b", users=users).collect()] == ["invalid_key"]
+    assert Qo.queue_filter(q, state="PENDING").count() == 1
