@@ -117,8 +117,12 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
     req = ids.select("job_id").distinct().withColumn("_valid", Q.valid_job_id("job_id"))
     ok = req.where("_valid").select("job_id")
     qb = queue.select(P.base_job_id("job_id").alias("job_id"), F.col("state").alias("queue_state")).join(ok, "job_id", "left_semi")
-    pend = Qo.pending_context(ok, queue, nodes).where(F.col("status") == "ok").where(F.col("state") == "PENDING").select(
-        "job_id", "reason", "priority", "partition", "pending_in_partition")
+    # pending context of the pending ones: reason, priority, partition and the partition's pending total
+    pend = (queue.where(F.col("state") == "PENDING")
+            .select(P.base_job_id("job_id").alias("job_id"), "reason", "priority", "partition")
+            .join(ok, "job_id", "left_semi")
+            .join(Qo.pending_count(queue), "partition", "left")
+            .withColumn("pending_in_partition", F.coalesce("pending_in_partition", F.lit(0))))
     mine = jobs.join(ok, "job_id", "left_semi")
     steps = job_steps.join(ok, P.step_base_id(job_steps["step_id"]) == ok["job_id"], "left_semi")
     eff = J.job_efficiency(steps, mine, interactive_partitions).select(
