@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -419,6 +420,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def _publish(spark: SparkSession, tmp: str, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+        fs.delete(src, True)  # another writer finished first
+        return
+    if fs.exists(dst):
+        fs.delete(dst, True)  # an unfinished earlier attempt
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        fs.delete(src, True)
+
+
 def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """The derived table, written once as parquet under the session's checkpoint folder.
 
@@ -441,7 +456,11 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
         # cores; a large input keeps its own split count (one file per split).
         if df.rdd.getNumPartitions() < target:
             df = df.repartition(target)
-        df.write.mode("overwrite").parquet(path)
+        # Written aside, then renamed into place: a reader never sees a half
+        # written table, and a concurrent writer's finished table is kept.
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(tmp)
+        _publish(spark, tmp, path)
     return spark.read.parquet(path)
 
 
