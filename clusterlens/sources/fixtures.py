@@ -468,7 +468,8 @@ class Tables:
     """Lazy accessor: ``t.jobs`` is the derived table, stored once per input (see ``materialized``).
 
     ``materialize=False`` (or ``CLUSTERLENS_MATERIALIZE=0``) derives the
-    tables inside every query plan instead.
+    tables inside every query plan instead; so does a session where the
+    tables cannot be stored (no JVM handle, no writable checkpoint folder).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
@@ -482,10 +483,13 @@ class Tables:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
+            df = None
             if self.materialize:
-                self._cache[name] = materialized(self.spark, self.sf_dir, name, TABLES[name])
-            else:
-                self._cache[name] = TABLES[name](self.spark, self.sf_dir)
+                try:
+                    df = materialized(self.spark, self.sf_dir, name, TABLES[name])
+                except Exception:  # noqa: BLE001  (no JVM handle, e.g. a Connect session; or no writable folder)
+                    df = None
+            self._cache[name] = df if df is not None else TABLES[name](self.spark, self.sf_dir)
         return self._cache[name]
 
     def raw(self, name: str) -> DataFrame:
