@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -143,6 +146,10 @@ def _leaves(schema_text: str) -> list[tuple[str, str]]:
 
 _LEAF = ArrayType(StructType([StructField("field", StringType()), StructField("type", StringType())]))
 
+# Ship this module's functions to the Python workers by value, so the schema
+# parser runs even where the package is not installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @F.pandas_udf(_LEAF)
 def _leaves_udf(s: pd.Series) -> pd.Series:
