@@ -24,13 +24,13 @@ def q_tail_lines(spark, sf_dir):
 
 
 @query("grep_lines", W("""
-WITH l AS (SELECT path, lineno, substr(line, 1, 2000) AS line FROM log_lines),
+WITH l AS (SELECT path, lineno, line FROM log_lines),
 h AS (SELECT path, lineno FROM l WHERE regexp_matches(line, '(?i)the')),
 k AS (SELECT path, lineno FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY lineno) AS r FROM h) WHERE r <= 50),
 w AS (SELECT path, lineno + d AS lineno, max(CASE WHEN d = 0 THEN 1 ELSE 0 END) AS is_match
       FROM k CROSS JOIN (SELECT unnest(range(-1, 2)) AS d) GROUP BY ALL),
 c AS (SELECT path, count(*) FILTER (WHERE regexp_matches(line, '(?i)the')) AS n_matches FROM l GROUP BY path)
-SELECT w.path, w.lineno, l.line, CASE WHEN is_match = 1 THEN 'match' ELSE 'context' END AS kind, c.n_matches, 'ok' AS status
+SELECT w.path, w.lineno, substr(l.line, 1, 2000) AS line, CASE WHEN is_match = 1 THEN 'match' ELSE 'context' END AS kind, c.n_matches, 'ok' AS status
 FROM w JOIN l USING (path, lineno) JOIN c USING (path)
 UNION ALL
 SELECT path, NULL, NULL, NULL, n_matches, 'no_match' FROM c WHERE n_matches = 0""", "log_lines"))
@@ -116,14 +116,14 @@ _MODULES = r"""flatten(list_transform(regexp_extract_all(script, '(?m)^\s*module
 
 @query("script_facts", W(f"""
 SELECT j.job_id, length(s.script) AS script_chars, array_to_string({_MODULES}, ',') AS modules,
-       array_to_string({_PATHS}[1:8], ',') AS paths, {_MECH} AS mechanisms,
+       array_to_string({_PATHS}[1:8], ',') AS paths, CASE WHEN s.script IS NULL THEN -1 ELSE len({_PATHS}) END AS n_paths, {_MECH} AS mechanisms,
        CASE WHEN coalesce(j.batch_flag, 1) = 0 THEN 'interactive' WHEN s.script IS NULL THEN 'unavailable' ELSE 'ok' END AS status
 FROM jobs j LEFT JOIN scripts s USING (job_id)""", "jobs", "scripts"))
 def q_script_facts(spark, sf_dir):
     """Modules, referenced paths and parallelism found in the script of every job."""
     t = Tables(spark, sf_dir)
     df = Fi.script_facts(t.jobs, t.scripts, READ_ROOTS)
-    return df.select("job_id", "script_chars", F.array_join("modules", ",").alias("modules"), F.array_join("paths", ",").alias("paths"),
+    return df.select("job_id", "script_chars", F.array_join("modules", ",").alias("modules"), F.array_join("paths", ",").alias("paths"), "n_paths",
                      F.array_join("mechanisms", ",").alias("mechanisms"), "status")
 
 
