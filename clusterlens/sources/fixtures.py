@@ -235,9 +235,17 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     error → counters (idle CPU seconds, network bytes, XID errors) that
     reset every 7 samples; purchase → five per-GPU gauges.
     """
-    ev = table(spark, sf_dir, "events")
-    w = Window.partitionBy("event_type", "user_id").orderBy("ts", "event_id")
-    ev = ev.withColumn("counter", (F.row_number().over(w) % 7).cast("double"))
+    ev = table(spark, sf_dir, "events").withColumn("_d", F.to_date("ts"))
+    # Counter = position of the event in its (type, user) series, mod 7. The
+    # position is numbered per day and offset by the counts of earlier days,
+    # so a user holding a third of all events is still split across tasks.
+    g = ["event_type", "user_id"]
+    in_day = F.row_number().over(Window.partitionBy(*g, "_d").orderBy("ts", "event_id"))
+    per_day = ev.groupBy(*g, "_d").agg(F.count(F.lit(1)).alias("_n"))
+    per_day = per_day.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*g).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ev = ev.withColumn("_r", in_day).join(per_day.select(*g, "_d", "_off"), [*g, "_d"], "inner")
+    ev = ev.withColumn("counter", ((F.col("_off") + F.col("_r")) % 7).cast("double"))
     inst = _instance(F.col("user_id"))
     host = F.concat(F.lit("node"), _pad3(F.col("user_id")))
     gpu = _s(F.col("event_id") % 4)
