@@ -204,3 +204,23 @@ def test_queue_filter_guards_unknown_user(spark):
     assert [r["status"] for r in Qo.queue_filter(q, user="zz", users=users).collect()] == ["unknown_key"]
     assert [r["status"] for r in Qo.queue_filter(q, user="a;b", users=users).collect()] == ["invalid_key"]
     assert Qo.queue_filter(q, state="PENDING").count() == 1
+
+
+def test_snapshot_at_reads_latest_snapshot_not_after_as_of(spark):
+    rows = [(dt.datetime(2024, 1, 1, h), str(i)) for h, n in ((1, 2), (2, 3), (5, 1)) for i in range(n)]
+    q = spark.createDataFrame(rows, "snapshot_ts timestamp_ntz, job_id string")
+    got = Qo.snapshot_at(q, "2024-01-01 03:00:00").collect()
+    assert len(got) == 3 and {r["snapshot_ts"].hour for r in got} == {2}
+    assert Qo.snapshot_at(q, None).count() == 6
+
+
+def test_index_globs(spark):
+    from clusterlens.functions import predicates as Qp
+    names = ["logs-2024.01", "logs-x", "app", "apps", "a1", "ab"]
+    df = spark.createDataFrame([(n,) for n in names], "x string")
+    got = [r[0] for r in df.select(Qp.index_glob(F.col("x"), "logs-2024.*,app")).collect()]
+    assert got == [True, False, True, False, False, False]
+    got = [r[0] for r in df.select(Qp.index_glob(F.col("x"), "a[0-9]")).collect()]
+    assert got == [False, False, False, False, True, False]
+    got = [r[0] for r in df.select(Qp.index_glob(F.col("x"), "a?")).collect()]
+    assert got == [False, False, False, False, True, True]
