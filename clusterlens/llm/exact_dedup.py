@@ -49,8 +49,8 @@ def duplicate_groups(docs: DataFrame, prefix: int = PREFIX) -> Groups:
         "dedup-keys",
     )
     lengths = keys.groupBy("len").agg(F.count("*").alias("n")).where("n > 1").select("len")
-    # A length shared by a third of all rows is split: the semi join has both sides exchanged and nothing on top but a partial count.
-    prefixes = keys.join(lengths, "len", "left_semi").groupBy("len", "pre").agg(F.count("*").alias("n")).where("n > 1").select("len", "pre")
+    # There are no more lengths than the longest text has characters; a length shared by a third of all rows stays where it is read.
+    prefixes = join_ids(keys, lengths, ["len"], "left_semi", lengths.count()).groupBy("len", "pre").agg(F.count("*").alias("n")).where("n > 1").select("len", "pre")
     survivors = stored(keys.join(prefixes, ["len", "pre"], "left_semi").select("doc_id").distinct(), "dedup-survivors")
     full = join_ids(docs.select("doc_id", "text"), survivors, ["doc_id"], "left_semi", survivors.count())
     by_id = full.select("doc_id", text_sha256(F.col("text")).alias("sha")).groupBy("sha", "doc_id").agg(F.count("*").alias("rows"))

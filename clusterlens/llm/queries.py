@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm import byte_bpe, exact_dedup, url_filter, wavelet_tokens
-from clusterlens.llm.common import read, small_batches
+from clusterlens.llm import byte_bpe, exact_dedup, latent_vote, mixing, rule_forest, toxicity, url_filter, wavelet_tokens
+from clusterlens.llm.common import held_out, read, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,20 @@ URL_RULES = [
 ]
 
 
+#: Fixed values of the task: weights of the sources in turn, and the mix's share of all words.
+SOURCE_WEIGHTS, MIX_SHARE = [3.0, 1.0, 2.0], 1.5
+#: Scores from here on count as label 1.
+QUALITY_CUT, TOXIC_CUT = 0.3, 0.5
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = read(spark, sf_dir, "documents")
+    voter = latent_vote.train(docs, read(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), latent_vote.score(F.col("text"), voter).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page url against the rules; urls without a rule are allowed."""
     small_batches(spark, 2048)
@@ -30,6 +44,14 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "j.host", "j.path", "j.rule", "j.verdict")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of every document and the forest's verdict."""
+    docs = read(spark, sf_dir, "documents")
+    forest = rule_forest.train(docs, read(spark, sf_dir, "labels"))
+    judged = docs.select("doc_id", rule_forest.judge(F.col("text"), forest).alias("j"))
+    return judged.select("doc_id", "j.n_words", "j.word_chars", "j.n_symbols", "j.n_dup_lines", "j.n_repeat_words", "j.base_failed", "j.kept", "j.anomaly")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and their decoding, as counts and digests."""
     small_batches(spark)
@@ -52,6 +74,13 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(docs, exact_dedup.duplicate_groups(docs))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = mixing.mix(read(spark, sf_dir, "documents"), SOURCE_WEIGHTS, MIX_SHARE, n_shards=shards)
+    return found.docs.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as read back from the wavelet files."""
     docs = read(spark, sf_dir, "documents")
@@ -59,11 +88,23 @@ def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_CUT).cast("int"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filter": op2_url_filter,
+    "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_source_mixing": op6_source_mixing,
     "op7_wavelet_tokens": op7_wavelet_tokens,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
