@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm import byte_bpe, exact_dedup, latent_vote, mixing, rule_forest, toxicity, url_filter, wavelet_tokens
+from clusterlens.llm import byte_bpe, exact_dedup, html_extract, latent_vote, mixing, rule_forest, toxicity, url_filter, wavelet_tokens
 from clusterlens.llm.common import held_out, read, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,13 @@ def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages")
+    weights = html_extract.train(pages)
+    return pages.select("page_id", "url", html_extract.main_text(F.col("html"), weights).alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = read(spark, sf_dir, "documents")
@@ -104,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_wavelet_tokens": op7_wavelet_tokens,
+    "op9_html_extract": op9_html_extract,
     "op10_toxicity": op10_toxicity,
 }
 
