@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm import byte_bpe, exact_dedup, html_extract, latent_vote, mixing, rule_forest, toxicity, url_filter, wavelet_tokens
+from clusterlens.llm import byte_bpe, exact_dedup, html_extract, jaccard_join, latent_vote, mixing, rule_forest, toxicity, url_filter, wavelet_tokens
 from clusterlens.llm.common import held_out, read, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,12 @@ def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    found = jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = read(spark, sf_dir, "pages")
@@ -111,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_wavelet_tokens": op7_wavelet_tokens,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_html_extract": op9_html_extract,
     "op10_toxicity": op10_toxicity,
 }
