@@ -13,12 +13,13 @@ number of subclasses follows the size level (levels grow by 4/3, and partners
 lie at most one level apart, so every document signs for its own level and
 the one below).
 
-Documents with equal token sets are one node. Nodes that share a signature
-are verified, exactly, on their texts. Verification goes by components: first
-every node against one centre of each signature, a few rounds, then every
-pair of a signature that still lies in different components. Pairs inside one
-component can change nothing, so a group of n near copies costs about n
-verifications and no link between different groups is lost.
+Documents with equal token sets are one node. Nodes that share a signature and
+whose sizes allow the similarity are verified, exactly, on their texts: first
+every node against one centre of its signature, then, of signatures that
+still hold different components, every pair across them. Pairs inside one
+component can change nothing, so most of a group of near copies costs one
+verification a node, and no link is lost. The pairs that remain are compared
+in blocks of their family, a text once a block pair.
 """
 
 from __future__ import annotations
@@ -49,8 +50,8 @@ SMALL = 8
 BATCH_CHARS = 4 << 20
 #: Cells counted together by one task before they are sent.
 CHUNK_CELLS = 2_000_000
-#: Rounds of centre verification before the remaining pairs are verified one and all, while these are many.
-ROUNDS = 4
+#: Nodes of a family in one block, on average, and tokens compared at once: what one comparing task holds.
+FAMILY_BLOCK, SLICE = 128, 1 << 14
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -264,7 +265,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # of this task's documents: a group of copies sends its signatures once a task
         for batch in gathered(batches, "text", BATCH_CHARS):
-            sigs, nodes, sizes = [], [], []
+            sigs, nodes, sizes, counts = [], [], [], []
             for tokens in token_sets([utf8(t) for t in batch["text"]]):
                 if len(tokens) and (node := set_id(tokens)) not in seen:
                     seen.add(node)
@@ -272,8 +273,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     sigs.append(own.astype(np.int64))
                     nodes.append(node)
                     sizes.append(len(own))
+                    counts.append(len(tokens))
             if sigs:
-                yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(np.array(nodes, np.int64), sizes)})
+                yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(np.array(nodes, np.int64), sizes), "n": np.repeat(np.array(counts, np.int32), sizes)})
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer = zstandard.ZstdCompressor(level=3).compress
@@ -285,20 +287,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # doc_id goes through pandas as it is; nulls by way of text keep integers whole
     members = stored(docs.mapInPandas(name, "doc_id long, n_shingles long, node long"), "members")
 
-    of_sig = Window.partitionBy("sig")
-    index = docs.select("text").mapInPandas(sign, "sig long, node long")
-    index = index.withColumn("centre", F.min("node").over(of_sig)).withColumn("last", F.max("node").over(of_sig))
-    live = stored(index.where("centre < last").select("sig", "node").distinct(), "live-signatures")
+    # A posting is live if a neighbour by size is another node of fitting size.
+    by_size = Window.partitionBy("sig").orderBy("n", "node")
+    index = docs.select("text").mapInPandas(sign, "sig long, node long, n int")
+    for side, step in (("before", F.lag), ("behind", F.lead)):
+        index = index.withColumn(side, step(F.struct("node", "n")).over(by_size))
+    fits = " or ".join(f"({x}.node <> node and {_sizes_fit('n', x + '.n')})" for x in ("before", "behind"))
+    live = stored(index.where(fits).select("sig", "node", "n").distinct(), "live-signatures")
     nodes = stored(live.select("node").distinct(), "live-nodes")
-    by_node = members.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"))
+    by_node = members.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     chosen = stored(by_node.join(nodes, "node", "left_semi"), "live-documents")
     n_live = chosen.count()
     reps = chosen.select(F.col("first").alias("doc_id")).where("doc_id is not null").distinct()
     texts = join_ids(docs, reps, ["doc_id"], "left_semi", n_live)
     packed = texts.mapInPandas(pack, "node long, packed binary").dropDuplicates(["node"])
     packed = stored(packed.join(chosen.select("node"), "node", "left_semi"), "live-texts")
-    live = stored(live.join(chosen.select("node", "n"), "node"), "live-sizes")
-
     labels = _link(live, packed)
     least = chosen.join(labels, "node").groupBy("comp").agg(F.min("first").alias("least"))
     placed = labels.join(least, "comp").select("node", "least")
@@ -309,38 +312,65 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _link(live: DataFrame, packed: DataFrame) -> DataFrame:
     """(node, comp) of all linked nodes, out of the signatures (sig, node, n) that several nodes share."""
-    edges = None
-    tried = None
-    labels = None
-    for turn in range(ROUNDS + 1):
-        if labels is None:
-            now = live.withColumn("comp", F.col("node"))
-        else:
-            now = live.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            spans = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-            now = stored(now.join(spans, "sig", "left_semi"), "open-signatures")
-            groups = now.groupBy("sig", "comp").agg(F.count("*").alias("m")).groupBy("sig").agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
-            left = groups.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs"), F.sum("s").alias("rows")).first()
-            if not left["pairs"]:
-                break
-            if turn == ROUNDS or left["pairs"] <= 4 * left["rows"]:
-                turn = ROUNDS
-        own = now.select("sig", "node", "n", "comp")
-        if turn < ROUNDS:  # each node against its signature's centre, another centre in each round
-            centre = own.groupBy("sig").agg(F.min_by(F.struct("node", "n", "comp"), F.xxhash64(F.lit(turn), F.col("node"))).alias("c"))
-            pairs = own.join(centre, "sig").where("comp <> c.comp").where(_sizes_fit("n", "c.n")).select(F.col("node").alias("x"), F.col("c.node").alias("y"))
-        else:
-            other = own.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
-            pairs = own.join(other, "sig").where("comp < cy").where(_sizes_fit("n", "ny")).select(F.col("node").alias("x"), "y")
-        # the centre stands second while its rounds last: tasks keep the tokens of the last one
-        pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "candidates")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = stored(verified(pairs, packed), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges)
-        if turn == ROUNDS:
-            break
-    return labels
+    # Every node against its signature's centre. The centre is the least node, so most signatures of a group share it.
+    centre = live.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("c"))
+    pairs = live.join(centre, "sig").where("node <> c.node").where(_sizes_fit("n", "c.n")).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
+    pairs = stored(pairs.distinct(), "candidates")
+    edges = stored(verified(pairs, packed), "links")
+    labels = components(edges)
+
+    # What is left open: signatures of three nodes or more in different components (two nodes have just been compared).
+    now = live.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    spans = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("sig", "m", F.col("lo").alias("c"))
+    now = stored(now.join(spans.select("sig"), "sig", "left_semi"), "open-signatures")
+    if now.isEmpty():
+        return labels
+    # Families: nodes that open signatures connect.
+    first = now.groupBy("sig").agg(F.min("node").alias("b"), F.count("*").alias("m"))
+    families = components(now.join(first, "sig").select(F.col("node").alias("a"), "b")).select("node", F.col("comp").alias("family"))
+    sizes = families.groupBy("family").agg(F.count("*").alias("s"))
+    shared = first.select(F.col("b").alias("node"), "m").join(families, "node").groupBy("family").agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("by_sig"))
+    # Of the two ways to compare what remains, the one with fewer pairs: all of a family, or those of each signature.
+    plan = stored(sizes.join(shared, "family").select("family", "s", (F.col("s") * (F.col("s") - 1) / 2 <= F.col("by_sig")).alias("whole")), "families")
+    nodes = stored(now.select("node", "n", "comp").distinct().join(families, "node").join(plan, "family"), "family-nodes")
+
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("s") / FAMILY_BLOCK)).cast("int")
+    dealt = nodes.where("whole").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("s") / FAMILY_BLOCK) - 1).cast("int"))))
+    dealt = dealt.select("family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "comp")
+    more = dealt.join(packed, "node").groupBy("family", "lo", "hi").applyInPandas(_compare_blocks, "a long, b long")
+
+    rest = now.join(nodes.where("not whole").select("node"), "node", "left_semi").select("sig", "node", "n", "comp")
+    other = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
+    pairs = rest.join(other, "sig").where("comp < cy").where(_sizes_fit("n", "ny")).select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b")).distinct()
+    tried = stored(pairs, "rest-candidates")
+    edges = edges.unionByName(stored(more, "block-links")).unionByName(stored(verified(tried, packed), "rest-links"))
+    return components(edges)
+
+
+def _compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between two blocks of a family (or inside one), by products of their token incidence, a slice of tokens at a time."""
+    rows = rows.reset_index(drop=True)
+    unpack = zstandard.ZstdDecompressor().decompress
+    sets = token_sets([unpack(bytes(t)) for t in rows["packed"]])
+    sizes = np.array([len(s) for s in sets])
+    if rows["lo"].iloc[0] == rows["hi"].iloc[0]:
+        left = right = np.arange(len(rows))
+    else:
+        left, right = np.flatnonzero(rows["own"] == rows["lo"]), np.flatnonzero(rows["own"] == rows["hi"])
+    distinct, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    often = count > 1  # the others are in no intersection
+    place = np.cumsum(often) - 1
+    keep = often[code]
+    row, code = row[keep], place[code[keep]]
+    both = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, int(often.sum()), SLICE):
+        part = (code >= at) & (code < at + SLICE)
+        held = np.zeros((len(sets), SLICE), np.float32)
+        held[row[part], code[part] - at] = 1
+        both += (held[left] @ held[right].T).astype(np.int64)
+    union = sizes[left][:, None] + sizes[right][None, :] - both
+    comp, node = rows["comp"].to_numpy(), rows["node"].to_numpy()
+    i, j = np.nonzero((both > 0) & (100 * both >= PERCENT * union) & (comp[left][:, None] != comp[right][None, :]))
+    a, b = node[left[i]], node[right[j]]
+    return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
