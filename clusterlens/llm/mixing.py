@@ -155,17 +155,24 @@ def mix(docs: DataFrame, weights: list[float], share: float, n_shards: int = 16,
 
 
 def fill(sizes: np.ndarray, room: float) -> np.ndarray:
-    """Of documents in a random order, take each that still fits; at the end the smallest one left, if that comes nearer."""
+    """Of documents in a random order, take each that still fits. Where the smallest one left then comes nearer, take it
+    too, and leave out others as far as it reaches beyond."""
     taken = np.zeros(len(sizes), bool)
     for k, size in enumerate(sizes):
         if size <= room:
             taken[k] = True
             room -= size
     left = np.flatnonzero(~taken)
-    if len(left):
+    if len(left) and room > 0:
         least = left[np.argmin(sizes[left])]
-        if sizes[least] - room < room:
+        beyond, out = sizes[least] - room, []
+        for k in np.flatnonzero(taken)[np.argsort(-sizes[taken], kind="stable")]:
+            if 0 < sizes[k] <= beyond:
+                out.append(k)
+                beyond -= sizes[k]
+        if beyond < room:
             taken[least] = True
+            taken[out] = False
     return taken
 
 
