@@ -100,11 +100,11 @@ def _levels() -> np.ndarray:
 LEVELS = _levels()
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The signatures of one document; ``frequent`` holds the frequent cells, sorted."""
+def signatures(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The signatures of one document, and whether they are single rare tokens alone; ``frequent`` holds the frequent cells, sorted."""
     n = len(tokens)
     if not n:
-        return tokens
+        return tokens, False
     need = n // 4 + 1
     often = np.zeros(n, bool)
     if len(frequent):
@@ -135,7 +135,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
                     if not same.any():
                         break
                     out.append(_mix(token[:-gap][same] * _A + token[gap:][same] * _B + np.uint64(at + 1)))
-    return np.unique(np.concatenate(out) & SIGNATURE)
+    return np.unique(np.concatenate(out) & SIGNATURE), not need
 
 
 def frequent_cells(docs: DataFrame, least: int) -> np.ndarray:
@@ -215,6 +215,13 @@ def _sizes_fit(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
 
 
+def _may_link() -> str:
+    """What c shared signatures still allow. Of two prefixes of single tokens, the one that ends first misses, for good,
+    all of its tokens but the c shared ones; what is left of its document must reach the overlap that the similarity asks."""
+    overlap = f"ceil({PERCENT} * (n + ny) / {100 + PERCENT}.0)"
+    return f"not (single and sy) or {overlap} <= greatest(n - (n div 4 + 1) + c, ny - (ny div 4 + 1) + c)"
+
+
 def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The (a, b) pairs whose token sets are similar enough, computed from the texts of ``nodes`` (node, packed)."""
 
@@ -269,11 +276,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             for tokens in token_sets([utf8(t) for t in batch["text"]]):
                 if len(tokens) and (node := set_id(tokens)) not in seen:
                     seen.add(node)
-                    own = signatures(tokens, shared.value)
+                    own, single = signatures(tokens, shared.value)
                     sigs.append(own.astype(np.int64))
                     nodes.append(node)
                     sizes.append(len(own))
-                    counts.append(len(tokens))
+                    counts.append(len(tokens) if single else -len(tokens))
             if sigs:
                 yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(np.array(nodes, np.int64), sizes), "n": np.repeat(np.array(counts, np.int32), sizes)})
 
@@ -290,10 +297,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # A posting is live if a neighbour by size is another node of fitting size.
     by_size = Window.partitionBy("sig").orderBy("n", "node")
     index = docs.select("text").mapInPandas(sign, "sig long, node long, n int")
+    index = index.withColumn("single", F.col("n") > 0).withColumn("n", F.abs("n"))
     for side, step in (("before", F.lag), ("behind", F.lead)):
         index = index.withColumn(side, step(F.struct("node", "n")).over(by_size))
     fits = " or ".join(f"({x}.node <> node and {_sizes_fit('n', x + '.n')})" for x in ("before", "behind"))
-    live = stored(index.where(fits).select("sig", "node", "n").distinct(), "live-signatures")
+    live = stored(index.where(fits).select("sig", "node", "n", "single").distinct(), "live-signatures")
     nodes = stored(live.select("node").distinct(), "live-nodes")
     by_node = members.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     chosen = stored(by_node.join(nodes, "node", "left_semi"), "live-documents")
@@ -339,9 +347,11 @@ def _link(live: DataFrame, packed: DataFrame) -> DataFrame:
     dealt = dealt.select("family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "comp")
     more = dealt.join(packed, "node").groupBy("family", "lo", "hi").applyInPandas(_compare_blocks, "a long, b long")
 
-    rest = now.join(nodes.where("not whole").select("node"), "node", "left_semi").select("sig", "node", "n", "comp")
-    other = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
-    pairs = rest.join(other, "sig").where("comp < cy").where(_sizes_fit("n", "ny")).select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b")).distinct()
+    rest = live.join(nodes.where("not whole").select("node", "comp"), "node")
+    other = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("single").alias("sy"), F.col("comp").alias("cy"))
+    shared = rest.join(other, "sig").where("comp < cy").where(_sizes_fit("n", "ny"))
+    shared = shared.groupBy("node", "y").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("ny").alias("ny"), F.first("single").alias("single"), F.first("sy").alias("sy"))
+    pairs = shared.where(_may_link()).select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b"))
     tried = stored(pairs, "rest-candidates")
     edges = edges.unionByName(stored(more, "block-links")).unionByName(stored(verified(tried, packed), "rest-links"))
     return components(edges)
