@@ -25,7 +25,7 @@ _STATE = f"""CASE {K} % 10 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'TIMEOUT' WHEN 2 THE
       WHEN 3 THEN 'NODE_FAIL' WHEN 4 THEN concat('CANCELLED by ', o_custkey) WHEN 5 THEN '' ELSE 'COMPLETED' END"""
 
 _ELAPSED = "CAST(floor(o_totalprice) AS BIGINT) % 7200"
-_TWO_NODES = f"concat('node[', lpad(CAST({K} % 100 AS VARCHAR), 3, '0'), '-', lpad(CAST({K} % 100 + 1 AS VARCHAR), 3, '0'), ']')"
+_TWO_NODES = f"concat('node[', lpad(CAST({K} % 100 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 AS VARCHAR))) AS INTEGER), '0'), '-', lpad(CAST({K} % 100 + 1 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 + 1 AS VARCHAR))) AS INTEGER), '0'), ']')"
 
 
 def _log(expr: str) -> str:
@@ -84,14 +84,14 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
       WHEN 2 THEN 'ReqNodeNotAvail, UnavailableNodes:node001' WHEN 3 THEN 'Licenses' WHEN 4 THEN 'Resources'
       WHEN 5 THEN '' ELSE 'Priority' END AS reason,
     CAST(floor(o_totalprice) AS BIGINT) % 100000 AS priority,
-    concat('node[', lpad(CAST({K} % 100 AS VARCHAR), 3, '0'), '-', lpad(CAST({K} % 100 + 2 AS VARCHAR), 3, '0'), ']') AS node_list
+    concat('node[', lpad(CAST({K} % 100 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 AS VARCHAR))) AS INTEGER), '0'), '-', lpad(CAST({K} % 100 + 2 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 + 2 AS VARCHAR))) AS INTEGER), '0'), ']') AS node_list
   FROM orders JOIN customer ON o_custkey = c_custkey""", ()),
     "priorities": ("""SELECT snapshot_ts, job_id, user_name, partition, priority, priority % 1000 AS age,
     CAST(floor(priority / 1000) AS BIGINT) % 50 AS fairshare,
     priority - priority % 1000 - (CAST(floor(priority / 1000) AS BIGINT) % 50) * 1000 AS jobsize
   FROM queue WHERE state = 'PENDING'""", ("queue",)),
     "nodes": ("""SELECT TIMESTAMP '2001-08-01 00:00:00' AS snapshot_ts,
-    concat('node', lpad(CAST(s_suppkey AS VARCHAR), 3, '0')) AS node,
+    concat('node', lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(3, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0')) AS node,
     CASE s_suppkey % 5 WHEN 0 THEN 'automobile' WHEN 1 THEN 'building' WHEN 2 THEN 'furniture' WHEN 3 THEN 'household' ELSE 'machinery' END AS partition,
     CASE WHEN s_acctbal < 0 THEN 'down' WHEN s_suppkey % 3 = 0 THEN 'idle' WHEN s_suppkey % 3 = 1 THEN 'allocated' ELSE 'mixed' END AS state,
     CASE WHEN s_acctbal < 0 THEN concat('maintenance ', s_suppkey % 4) END AS reason,
@@ -140,8 +140,8 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 _EV_COUNTER = "CAST(row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) % 7 AS DOUBLE)"
-_INST = "concat('node', lpad(CAST(user_id AS VARCHAR), 3, '0'), ':9100')"
-_HOST = "concat('node', lpad(CAST(user_id AS VARCHAR), 3, '0'))"
+_INST = "concat('node', lpad(CAST(user_id AS VARCHAR), CAST(greatest(3, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0'), ':9100')"
+_HOST = "concat('node', lpad(CAST(user_id AS VARCHAR), CAST(greatest(3, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0'))"
 _GPU_COLS = (f"concat({_HOST}, ':9400') AS instance, CAST(event_id % 4 AS VARCHAR) AS gpu, NULL AS mode, NULL AS cpu, NULL AS device, "
              f"{_HOST} AS hostname, CASE WHEN user_id % 2 = 0 THEN 'NVIDIA A100' ELSE 'NVIDIA H100' END AS model")
 _NODE_COLS = f"{_INST} AS instance, NULL AS gpu, NULL AS mode, NULL AS cpu, NULL AS device, NULL AS hostname, NULL AS model"

@@ -19,18 +19,14 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    # Maps parsed from key=value records keep the last duplicate key.
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULTS.items():
-        if key == "spark.sql.session.timeZone" or spark.conf.get(key, None) is None:
+        if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     return spark
 
 

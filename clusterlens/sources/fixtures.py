@@ -10,9 +10,6 @@ All derivations are narrow projections or joins against the small
 
 from __future__ import annotations
 
-import hashlib
-import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +35,8 @@ def _s(c: Column) -> Column:
 
 
 def _pad3(c: Column) -> Column:
-    return F.lpad(_s(c), 3, "0")
+    text = _s(c)  # longer numbers stay whole
+    return F.lpad(text, F.greatest(F.lit(3), F.length(text)), F.lit("0"))
 
 
 def _mem_unit(k: Column) -> Column:
@@ -410,94 +408,18 @@ TABLES = {
 }
 
 
-def _input_signature(sf_dir: str) -> str:
-    """Identity of the test tables: path, and size and mtime of local files (remote paths: path only)."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode() if sf_dir.startswith("/") else sf_dir.encode())
-    if sf_dir.startswith("/") and os.path.isdir(sf_dir):
-        for f in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, f))
-            h.update(f"{f}:{st.st_size}:{int(st.st_mtime)}".encode())
-    h.update(hashlib.sha1(open(__file__, "rb").read()).digest())  # derivation code
-    return h.hexdigest()[:16]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence of a path on whatever file system holds it (Hadoop FileSystem API)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
-def _publish(spark: SparkSession, tmp: str, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
-    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
-        fs.delete(src, True)  # another writer finished first
-        return
-    if fs.exists(dst):
-        fs.delete(dst, True)  # an unfinished earlier attempt
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        fs.delete(src, True)
-
-
-def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """The derived table, written once as parquet under the session's checkpoint folder.
-
-    The folder comes from ``spark.checkpoint.dir`` (the cluster's shared
-    folder); only when it is unset, as in local tests, a scratch folder is
-    registered. An under-split table is written in ``defaultParallelism``
-    files so that later scans are spread over all cores (a large one keeps
-    one file per input split), and a finished table is marked by
-    ``_SUCCESS``. Queries then scan the stored table instead of re-deriving
-    it, as they would scan canonical tables on a cluster.
-    """
-    from ..session import checkpoint_dir
-
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/clusterlens-tables/{_input_signature(sf_dir)}/{name}"
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        df = build(spark, sf_dir)
-        target = spark.sparkContext.defaultParallelism
-        # Under-split inputs (single-row-group test files) are spread over all
-        # cores; a large input keeps its own split count (one file per split).
-        if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target)
-        # Written aside, then renamed into place: a reader never sees a half
-        # written table, and a concurrent writer's finished table is kept.
-        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(tmp)
-        _publish(spark, tmp, path)
-    return spark.read.parquet(path)
-
-
 class Tables:
-    """Lazy accessor: ``t.jobs`` is the derived table, stored once per input (see ``materialized``).
-
-    ``materialize=False`` (or ``CLUSTERLENS_MATERIALIZE=0``) derives the
-    tables inside every query plan instead; so does a session where the
-    tables cannot be stored (no JVM handle, no writable checkpoint folder).
-    """
+    """Lazy accessor: ``t.jobs`` is the derived table, derived inside the query's own plan."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        if materialize is None:
-            materialize = os.environ.get("CLUSTERLENS_MATERIALIZE", "1") != "0"
-        self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            df = None
-            if self.materialize:
-                try:
-                    df = materialized(self.spark, self.sf_dir, name, TABLES[name])
-                except Exception:  # noqa: BLE001  (no JVM handle, e.g. a Connect session; or no writable folder)
-                    df = None
-            self._cache[name] = df if df is not None else TABLES[name](self.spark, self.sf_dir)
+            self._cache[name] = TABLES[name](self.spark, self.sf_dir)
         return self._cache[name]
 
     def raw(self, name: str) -> DataFrame:

@@ -27,12 +27,13 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = "
     Blank lines are skipped, a short row leaves the missing columns null,
     extra cells are dropped, and there is no quoting. Column names come
     from the header unless ``columns`` pins them (a fixed schema is cheaper:
-    no header pass).
+    no header pass). A file whose header differs from these names fails the
+    job: its cells would stand in the wrong columns.
     """
     reader = (spark.read.option("sep", sep).option("header", True).option("quote", "\u0000").option("escape", "\u0000")
-              .option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+              .option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("enforceSchema", False))
     if columns:
-        reader = reader.schema(StructType([StructField(c, StringType()) for c in columns])).option("enforceSchema", True)
+        reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
@@ -40,11 +41,12 @@ def parse_kv_records(text) -> Column:
     """``key=value`` tokens of a record → MAP<STRING,STRING>.
 
     Tokens are split on whitespace; only tokens holding ``=`` count; the
-    key is the text before the first ``=``; the last duplicate wins
-    (``spark.sql.mapKeyDedupPolicy=LAST_WIN``, set by ``session.configure``).
+    key is the text before the first ``=``; the last duplicate wins.
     """
     toks = F.filter(F.split(F.coalesce(col_or_lit(text), F.lit("")), r"\s+"), lambda t: F.instr(t, "=") > 0)
-    return F.map_from_entries(F.transform(toks, lambda t: F.struct(
+    keys = F.reverse(F.transform(toks, lambda t: F.substring_index(t, "=", 1)))
+    last = F.filter(toks, lambda t, i: F.array_position(keys, F.substring_index(t, "=", 1)) == F.size(toks) - i)
+    return F.map_from_entries(F.transform(last, lambda t: F.struct(
         F.substring_index(t, "=", 1).alias("key"), F.substring(t, F.instr(t, "=") + 1, 1 << 30).alias("value"))))
 
 

@@ -183,17 +183,19 @@ def test_interval_join_matches_brute_force(spark):
     sdf = spark.createDataFrame(samples, "metric string, labels map<string,string>, ts timestamp_ntz, value double")
     as_of = "2024-01-04 00:00:00"
     end_open = dt.datetime(2024, 1, 4)
-    want = {}
-    for j, nl, st, en in jobs:
-        lo, hi = int(nl[2]), int(nl[4])
-        for node in [f"n{k}" for k in range(lo, hi + 1)][:4]:
-            vals = sorted((ts, v) for m, lab, ts, v in samples if lab["instance"] == f"{node}:9100" and st <= ts <= (en or end_open))
-            if vals:
-                want[(j, node)] = (len(vals), min(v for _, v in vals), max(v for _, v in vals), vals[0][1], vals[-1][1])
-    for bucket in (None, "10m", "1d"):
-        got = {(r["job_id"], r["node"]): (r["n"], r["min"], r["max"], r["first"], r["last"])
-               for r in I.join_interval_metrics(jdf, sdf, as_of, ["node_load1"], bucket=bucket).collect()}
-        assert got == want, bucket
+    for max_nodes in (4, None):  # the first four hosts of a job, and all (the default)
+        want = {}
+        for j, nl, st, en in jobs:
+            lo, hi = int(nl[2]), int(nl[4])
+            for node in [f"n{k}" for k in range(lo, hi + 1)][:max_nodes]:
+                vals = sorted((ts, v) for m, lab, ts, v in samples if lab["instance"] == f"{node}:9100" and st <= ts <= (en or end_open))
+                if vals:
+                    want[(j, node)] = (len(vals), min(v for _, v in vals), max(v for _, v in vals), vals[0][1], vals[-1][1])
+        for bucket in (None, "10m", "1d"):
+            own = {"max_nodes": max_nodes} if max_nodes else {}
+            got = {(r["job_id"], r["node"]): (r["n"], r["min"], r["max"], r["first"], r["last"])
+                   for r in I.join_interval_metrics(jdf, sdf, as_of, ["node_load1"], bucket=bucket, **own).collect()}
+            assert got == want, (bucket, max_nodes)
 
 
 def test_queue_filter_guards_unknown_user(spark):
