@@ -13,13 +13,15 @@ number of subclasses follows the size level (levels grow by 4/3, and partners
 lie at most one level apart, so every document signs for its own level and
 the one below).
 
-Documents with equal token sets are one node. Nodes that share a signature and
-whose sizes allow the similarity are verified, exactly, on their texts: first
-every node against one centre of its signature, then, of signatures that
-still hold different components, every pair across them. Pairs inside one
-component can change nothing, so most of a group of near copies costs one
-verification a node, and no link is lost. The pairs that remain are compared
-in blocks of their family, a text once a block pair.
+Documents with equal token sets are one node. Of nodes that share a signature
+and whose sizes allow the similarity, first every node is compared with one
+centre of its signature, then, of signatures that still hold different
+components, every pair across them. Pairs inside one component can change
+nothing, so most of a group of near copies costs one verification a node, and
+no link is lost. Every node has a parity bitmap, a few bits a token: two
+bitmaps differ in no more bits than their token sets do, so a pair whose
+bitmaps differ too much is no link. The pairs that pass are verified, exactly,
+on their texts, and only those texts are fetched.
 """
 
 from __future__ import annotations
@@ -50,8 +52,8 @@ SMALL = 8
 BATCH_CHARS = 4 << 20
 #: Cells counted together by one task before they are sent.
 CHUNK_CELLS = 2_000_000
-#: Nodes of a family in one block, on average, and tokens compared at once: what one comparing task holds.
-FAMILY_BLOCK, SLICE = 128, 1 << 14
+#: Nodes of a family in one block, on average: what one comparing task holds.
+FAMILY_BLOCK = 128
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -89,6 +91,24 @@ def set_id(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """Bitmap of 2 to 4 bits a token (64 at least): each token flips the bit that its hash names."""
+    bits = 1 << max(6, (2 * len(tokens) - 1).bit_length())
+    with np.errstate(over="ignore"):
+        at = (_mix(tokens * _B) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bitmaps: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) as they were with fewer bits: places alike in their low bits fall together."""
+    return np.bitwise_xor.reduce(bitmaps.reshape(len(bitmaps), -1, words), axis=1)
+
+
+def _near(differ: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether sets of so many tokens together that differ in so many at least can be similar enough."""
+    return differ * (100 + PERCENT) <= sizes * (100 - PERCENT)
+
+
 def _levels() -> np.ndarray:
     """The least size of each level: each more than 4/3 of the one before."""
     out = [1]
@@ -222,14 +242,36 @@ def _may_link() -> str:
     return f"not (single and sy) or {overlap} <= greatest(n - (n div 4 + 1) + c, ny - (ny div 4 + 1) + c)"
 
 
-def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The (a, b) pairs whose token sets are similar enough, computed from the texts of ``nodes`` (node, packed)."""
+def _with(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
+    """(a, b) pairs with columns of both nodes: <column>_a and <column>_b."""
+    for side in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
+    return pairs
+
+
+def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The (a, b) pairs that the bitmaps of ``nodes`` (node, n, parity) do not rule out."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = np.zeros(len(batch), bool)
+            for k, (x, y) in enumerate(zip(batch["parity_a"], batch["parity_b"], strict=True)):
+                words = min(len(x), len(y)) // 8
+                x, y = (folded(np.frombuffer(z, np.uint64)[None, :], words) for z in (x, y))
+                keep[k] = _near(np.bitwise_count(x ^ y).sum(dtype=np.int64), batch["n_a"].iloc[k] + batch["n_b"].iloc[k])
+            yield batch.loc[keep, ["a", "b"]]
+
+    return _with(pairs, nodes, ["n", "parity"]).mapInPandas(check, "a long, b long")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (a, b) pairs whose token sets are similar enough, computed from ``texts`` (node, packed)."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
         centre: tuple[int | None, np.ndarray] = (None, np.empty(0, np.uint64))
         for batch in batches:
-            texts = dict(zip(batch["a"], batch["pa"], strict=True)) | dict(zip(batch["b"], batch["pb"], strict=True))
+            texts = dict(zip(batch["a"], batch["packed_a"], strict=True)) | dict(zip(batch["b"], batch["packed_b"], strict=True))
             if centre[0] in texts:
                 texts.pop(centre[0])
             own = dict(zip(texts, token_sets([unpack(bytes(t)) for t in texts.values()]), strict=True)) | {centre[0]: centre[1]}
@@ -243,8 +285,25 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 centre = (last, own[last])
             yield batch.loc[linked, ["a", "b"]]
 
-    joined = pairs.join(nodes.select(F.col("node").alias("a"), F.col("packed").alias("pa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("packed").alias("pb")), "b")
-    return joined.select("a", "b", "pa", "pb").mapInPandas(check, "a long, b long")
+    return _with(pairs, texts, ["packed"]).mapInPandas(check, "a long, b long")
+
+
+def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, packed): one compressed text of each of ``nodes`` (node, first), which is stored."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdCompressor(level=3).compress
+        for batch in gathered(batches, "text", BATCH_CHARS):
+            texts = [utf8(t) for t in batch["text"]]
+            rows = [(set_id(s), packer(t)) for t, s in zip(texts, token_sets(texts), strict=True) if len(s)]
+            yield pd.DataFrame(rows, columns=["node", "packed"])
+
+    n = nodes.count()
+    ids = nodes.select(F.col("first").alias("doc_id")).where("doc_id is not null").distinct()
+    own = join_ids(docs, ids, ["doc_id"], "left_semi", n)
+    if n > nodes.where("first is not null").count():
+        own = own.unionByName(docs.where("doc_id is null"))
+    return join_ids(own.select("text").mapInPandas(pack, "node long, packed binary"), nodes.select("node"), ["node"], "left_semi", n).dropDuplicates(["node"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -267,7 +326,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         for batch in gathered(batches, "text", BATCH_CHARS):
             sets = token_sets([utf8(t) for t in batch["text"]])
             node = pd.array([set_id(t) if len(t) else None for t in sets], dtype="Int64")
-            yield pd.DataFrame({"doc_id": pd.array(batch["doc_id"], dtype="Int64"), "n_shingles": [len(t) for t in sets], "node": node})
+            yield pd.DataFrame({"doc_id": pd.array(batch["doc_id"], dtype="Int64"), "n_shingles": [len(t) for t in sets], "node": node, "parity": [parity(t) if len(t) else None for t in sets]})
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # of this task's documents: a group of copies sends its signatures once a task
@@ -284,15 +343,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             if sigs:
                 yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(np.array(nodes, np.int64), sizes), "n": np.repeat(np.array(counts, np.int32), sizes)})
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packer = zstandard.ZstdCompressor(level=3).compress
-        for batch in gathered(batches, "text", BATCH_CHARS):
-            texts = [utf8(t) for t in batch["text"]]
-            rows = [(set_id(s), packer(t)) for t, s in zip(texts, token_sets(texts), strict=True) if len(s)]
-            yield pd.DataFrame(rows, columns=["node", "packed"])
-
     # doc_id goes through pandas as it is; nulls by way of text keep integers whole
-    members = stored(docs.mapInPandas(name, "doc_id long, n_shingles long, node long"), "members")
+    members = stored(docs.mapInPandas(name, "doc_id long, n_shingles long, node long, parity binary"), "members")
 
     # A posting is live if a neighbour by size is another node of fitting size.
     by_size = Window.partitionBy("sig").orderBy("n", "node")
@@ -302,29 +354,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         index = index.withColumn(side, step(F.struct("node", "n")).over(by_size))
     fits = " or ".join(f"({x}.node <> node and {_sizes_fit('n', x + '.n')})" for x in ("before", "behind"))
     live = stored(index.where(fits).select("sig", "node", "n", "single").distinct(), "live-signatures")
-    nodes = stored(live.select("node").distinct(), "live-nodes")
-    by_node = members.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
-    chosen = stored(by_node.join(nodes, "node", "left_semi"), "live-documents")
-    n_live = chosen.count()
-    reps = chosen.select(F.col("first").alias("doc_id")).where("doc_id is not null").distinct()
-    texts = join_ids(docs, reps, ["doc_id"], "left_semi", n_live)
-    packed = texts.mapInPandas(pack, "node long, packed binary").dropDuplicates(["node"])
-    packed = stored(packed.join(chosen.select("node"), "node", "left_semi"), "live-texts")
-    labels = _link(live, packed)
+    worded = members.where("n_shingles > 0")
+    by_node = worded.groupBy("node").agg(F.min("doc_id").alias("first"))
+    maps = worded.join(live.select("node").distinct(), "node", "left_semi").select("node", F.col("n_shingles").alias("n"), "parity").dropDuplicates(["node"])
+    chosen = stored(maps.join(by_node, "node"), "live-nodes")
+    labels = _link(live, chosen, docs)
     least = chosen.join(labels, "node").groupBy("comp").agg(F.min("first").alias("least"))
     placed = labels.join(least, "comp").select("node", "least")
     node_ids = by_node.select("node", "first").join(placed, "node", "left").select("node", F.coalesce("least", "first").alias("component_id"))
-    worded = members.where("n_shingles > 0").join(node_ids, "node").select("doc_id", "n_shingles", "component_id", "node")
-    return worded.unionByName(members.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node"))
+    placed = worded.join(node_ids, "node").select("doc_id", "n_shingles", "component_id", "node")
+    return placed.unionByName(members.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node"))
+
+
+def _link(live: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, comp) of all linked nodes, out of the signatures (sig, node, n) that several nodes share; ``nodes``: (node, n, parity, first)."""
 
+    def links(pairs: DataFrame, name: str) -> DataFrame:
+        tried = stored(pairs, f"{name}-pairs")
+        ends = tried.select(F.col("a").alias("node")).unionByName(tried.select(F.col("b").alias("node"))).distinct()
+        fetched = stored(nodes.join(ends, "node", "left_semi").select("node", "first"), f"{name}-nodes")
+        return stored(verified(tried, packed_texts(docs, fetched)), f"{name}-links")
 
-def _link(live: DataFrame, packed: DataFrame) -> DataFrame:
-    """(node, comp) of all linked nodes, out of the signatures (sig, node, n) that several nodes share."""
     # Every node against its signature's centre. The centre is the least node, so most signatures of a group share it.
     centre = live.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("c"))
     pairs = live.join(centre, "sig").where("node <> c.node").where(_sizes_fit("n", "c.n")).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
-    pairs = stored(pairs.distinct(), "candidates")
-    edges = stored(verified(pairs, packed), "links")
+    edges = links(plausible(pairs.distinct(), nodes), "centre")
     labels = components(edges)
 
     # What is left open: signatures of three nodes or more in different components (two nodes have just been compared).
@@ -340,47 +394,39 @@ def _link(live: DataFrame, packed: DataFrame) -> DataFrame:
     shared = first.select(F.col("b").alias("node"), "m").join(families, "node").groupBy("family").agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("by_sig"))
     # Of the two ways to compare what remains, the one with fewer pairs: all of a family, or those of each signature.
     plan = stored(sizes.join(shared, "family").select("family", "s", (F.col("s") * (F.col("s") - 1) / 2 <= F.col("by_sig")).alias("whole")), "families")
-    nodes = stored(now.select("node", "n", "comp").distinct().join(families, "node").join(plan, "family"), "family-nodes")
+    members = stored(now.select("node", "n", "comp").distinct().join(families, "node").join(plan, "family"), "family-nodes")
 
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("s") / FAMILY_BLOCK)).cast("int")
-    dealt = nodes.where("whole").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("s") / FAMILY_BLOCK) - 1).cast("int"))))
-    dealt = dealt.select("family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "comp")
-    more = dealt.join(packed, "node").groupBy("family", "lo", "hi").applyInPandas(_compare_blocks, "a long, b long")
+    dealt = members.where("whole").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("s") / FAMILY_BLOCK) - 1).cast("int"))))
+    dealt = dealt.select("family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "n", "comp")
+    more = dealt.join(nodes.select("node", "parity"), "node").groupBy("family", "lo", "hi").applyInPandas(_compare_blocks, "a long, b long")
 
-    rest = live.join(nodes.where("not whole").select("node", "comp"), "node")
+    rest = live.join(members.where("not whole").select("node", "comp"), "node")
     other = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("single").alias("sy"), F.col("comp").alias("cy"))
     shared = rest.join(other, "sig").where("comp < cy").where(_sizes_fit("n", "ny"))
     shared = shared.groupBy("node", "y").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("ny").alias("ny"), F.first("single").alias("single"), F.first("sy").alias("sy"))
     pairs = shared.where(_may_link()).select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b"))
-    tried = stored(pairs, "rest-candidates")
-    edges = edges.unionByName(stored(more, "block-links")).unionByName(stored(verified(tried, packed), "rest-links"))
-    return components(edges)
+    return components(edges.unionByName(links(plausible(pairs, nodes).unionByName(more), "rest")))
 
 
 def _compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links between two blocks of a family (or inside one), by products of their token incidence, a slice of tokens at a time."""
-    rows = rows.reset_index(drop=True)
-    unpack = zstandard.ZstdDecompressor().decompress
-    sets = token_sets([unpack(bytes(t)) for t in rows["packed"]])
-    sizes = np.array([len(s) for s in sets])
-    if rows["lo"].iloc[0] == rows["hi"].iloc[0]:
-        left = right = np.arange(len(rows))
-    else:
-        left, right = np.flatnonzero(rows["own"] == rows["lo"]), np.flatnonzero(rows["own"] == rows["hi"])
-    distinct, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    often = count > 1  # the others are in no intersection
-    place = np.cumsum(often) - 1
-    keep = often[code]
-    row, code = row[keep], place[code[keep]]
-    both = np.zeros((len(left), len(right)), np.int64)
-    for at in range(0, int(often.sum()), SLICE):
-        part = (code >= at) & (code < at + SLICE)
-        held = np.zeros((len(sets), SLICE), np.float32)
-        held[row[part], code[part] - at] = 1
-        both += (held[left] @ held[right].T).astype(np.int64)
-    union = sizes[left][:, None] + sizes[right][None, :] - both
-    comp, node = rows["comp"].to_numpy(), rows["node"].to_numpy()
-    i, j = np.nonzero((both > 0) & (100 * both >= PERCENT * union) & (comp[left][:, None] != comp[right][None, :]))
-    a, b = node[left[i]], node[right[j]]
-    return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+    """Pairs of two blocks of a family (or inside one) that lie in different components and that the bitmaps do not rule out."""
+    rows = rows.sort_values("n", ignore_index=True)
+    node, comp, n = (rows[c].to_numpy() for c in ("node", "comp", "n"))
+    own = (rows["own"] == rows["lo"]).to_numpy()
+    inside = rows["lo"].iloc[0] == rows["hi"].iloc[0]
+    left, right = (np.arange(len(rows)),) * 2 if inside else (np.flatnonzero(own), np.flatnonzero(~own))
+    maps = [np.frombuffer(x, np.uint64) for x in rows["parity"]]
+    found = []
+    for words in np.unique([len(maps[k]) for k in right]):  # those of one length together
+        those = np.array([k for k in right if len(maps[k]) == words])
+        theirs = np.stack([maps[k] for k in those])
+        for k in left:
+            fits = those[(100 * np.minimum(n[those], n[k]) >= PERCENT * np.maximum(n[those], n[k])) & (comp[those] != comp[k])]
+            if not len(fits):
+                continue
+            small = min(words, len(maps[k]))
+            other = folded(theirs[np.searchsorted(those, fits)], small)
+            differ = np.bitwise_count(other ^ folded(maps[k][None, :], small)).sum(axis=1, dtype=np.int64)
+            found += [(max(node[k], node[j]), min(node[k], node[j])) for j in fits[_near(differ, n[fits] + n[k])]]
+    return pd.DataFrame(found, columns=["a", "b"]).drop_duplicates().astype("int64")
