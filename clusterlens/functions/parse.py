@@ -127,6 +127,25 @@ def base_job_id(c) -> Column:
     return F.substring_index(F.substring_index(col_or_lit(c), "_", 1), ".", 1)
 
 
+def array_part(c) -> Column:
+    """Array part of a job id: ``123_4.batch`` → ``4``, ``123_[1-9%2]`` → ``[1-9%2]``; null without one."""
+    return F.nullif(F.regexp_extract(F.substring_index(col_or_lit(c), ".", 1), r"^[^_]*_(.*)$", 1), F.lit(""))
+
+
+def holds_task(part, task) -> Column:
+    """Whether the pending array part ``[1,3,5-9:2%4]`` holds the task number ``task``."""
+    inner = F.substring_index(F.regexp_extract(col_or_lit(part), r"^\[([^\]]*)\]", 1), "%", 1)
+    n = _try_int(col_or_lit(task))
+
+    def one(p: Column) -> Column:
+        ends = F.substring_index(p, ":", 1)
+        lo, hi = _try_int(F.substring_index(ends, "-", 1)), _try_int(F.substring_index(ends, "-", -1))
+        step = F.when(F.instr(p, ":") > 0, _try_int(F.substring_index(p, ":", -1)))
+        return F.coalesce((n >= lo) & (n <= hi) & ((n - lo) % F.greatest(step, F.lit(1)) == 0), F.lit(False))
+
+    return F.exists(F.split(inner, ","), one)
+
+
 def step_base_id(c) -> Column:
     """Id of the job a step row belongs to: text before the first ``.``."""
     return F.substring_index(col_or_lit(c), ".", 1)

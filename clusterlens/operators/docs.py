@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import predicates as Q
 from ..functions import render as R
-from .guards import attach_row, top_per_group, with_total
+from .guards import attach_row, positive, top_per_group, with_total
 
 SOURCE_FIELDS = ("idx", "doc_id", "level", "host", "event_type", "message", "value", "props")
 
@@ -44,7 +44,7 @@ def doc_search(docs: DataFrame, predicate: Column | str | None = None, top: int
     With ``sort_field``: descending, documents missing the field last;
     otherwise by document id. Ties break on the document id.
     """
-    top = max(1, min(top, 50))
+    positive(top, "top")
     m = docs.where(_pred(predicate))
     if sort_field and sort_field in docs.columns:
         order = [F.col(sort_field).desc_nulls_last(), F.asc("doc_id")]
@@ -61,7 +61,7 @@ def terms_agg(docs: DataFrame, field: str, predicate: Column | str | None = None
     (documents match, but none has the field). Guard statuses come as a
     single row.
     """
-    top = max(1, min(top, 100))
+    positive(top, "top")
     m = docs.where(_pred(predicate))
     total = m.agg(F.count(F.lit(1)).alias("total"), F.count(F.col(field)).alias("with_field"))
     buckets = m.where(F.col(field).isNotNull()).groupBy(F.col(field).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
@@ -84,8 +84,8 @@ def recent_docs(docs: DataFrame, as_of: str, minutes: int = 60, predicate: Colum
     The range predicate is a plain column comparison, so it is pushed to
     the scan and prunes date partitions.
     """
-    minutes = max(1, min(minutes, 7 * 24 * 60))
-    top = max(1, min(top, 200))
+    positive(minutes, "minutes")
+    positive(top, "top")
     m = docs.where((F.col(time_field) >= Q.lookback_start(as_of, minutes=minutes)) & _pred(predicate))
     shown = top_per_group(m, [], [F.desc(time_field), F.desc("doc_id")], top).select(
         "idx", "doc_id", F.substring(F.col(time_field).cast("string"), 1, 19).alias("ts19"), doc_line(m, 260).alias("line"), "rank")

@@ -55,6 +55,13 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df
 
 
+def positive(n: int, name: str) -> int:
+    """``n`` as it is; a limit below 1 is an error of the caller."""
+    if n < 1:
+        raise ValueError(f"{name} must be at least 1, not {n}")
+    return n
+
+
 def keys_frame(spark, name: str, keys: Sequence[str]) -> DataFrame:
     """Requested keys as a one-column DataFrame (parameters, not data)."""
     return spark.createDataFrame([(k,) for k in keys], f"{name} string")

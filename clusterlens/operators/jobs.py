@@ -15,7 +15,8 @@ from pyspark.sql import Window
 
 from ..functions import parse as P
 from ..functions import predicates as Q
-from .guards import left_join_split, top_per_group, with_total
+from .guards import positive, top_per_group, with_total
+from .queue import match_ids, requested_ids, snapshot_at
 
 
 def _user(c: str = "user_name") -> Column:
@@ -147,7 +148,7 @@ def job_history(
     descending as tie-break; ``rank`` 1 = most recent. ``account`` selects
     all its users (optionally narrowed by ``user``), else ``user``.
     """
-    top = max(1, min(top, 500))
+    positive(top, "top")
     j = in_window(jobs, as_of, days)
     if account:
         j = j.where(F.col("account") == account)
@@ -200,7 +201,7 @@ def job_efficiency(job_steps: DataFrame, jobs: DataFrame, interactive_partitions
 
     Main rows (no ``.`` in the id) carry the job's fields; step rows are
     reduced per base id (text before the first ``.``) to their peak RSS and
-    count; a job with no main row keeps a row with null main fields. The
+    count; of a job with no main row the first step row stands for it. The
     interactive flag comes from a left join to ``jobs``.
     """
     is_main = ~F.col("step_id").contains(".")
@@ -210,9 +211,13 @@ def job_efficiency(job_steps: DataFrame, jobs: DataFrame, interactive_partitions
     main = job_steps.where(is_main).select(
         F.col("step_id").alias("job_id"), "state", "elapsed_s", "alloc_cpus", "n_nodes", "total_cpu", "req_mem",
         "timelimit_min", rss.alias("main_rss"))
+    fields = ["state", "elapsed_s", "alloc_cpus", "n_nodes", "total_cpu", "req_mem", "timelimit_min"]
     steps = job_steps.where(~is_main).groupBy(P.step_base_id("step_id").alias("job_id")).agg(
-        F.max(rss).alias("step_rss"), F.count(F.lit(1)).alias("n_steps"))
+        F.max(rss).alias("step_rss"), F.count(F.lit(1)).alias("n_steps"), F.min_by(F.struct(*fields), "step_id").alias("_first"))
+    main = main.withColumn("_main", F.lit(True))
     g = main.join(steps, "job_id", "full").withColumn("n_steps", F.coalesce("n_steps", F.lit(0)))
+    g = g.select("job_id", "main_rss", "step_rss", "n_steps",
+                 *(F.when(F.col("_main"), F.col(c)).otherwise(F.col("_first")[c]).alias(c) for c in fields))
     info = jobs.select("job_id", F.col("batch_flag"), F.col("partition"))
     e = g.join(info, "job_id", "left")
 
@@ -276,25 +281,24 @@ def max_rss(job_steps: DataFrame) -> DataFrame:
         F.count_if(~is_main).alias("n_steps"))
 
 
-def job_details(ids: DataFrame, queue: DataFrame, job_steps: DataFrame) -> DataFrame:
-    """Live queue record and all accounting rows of each requested job, side by side.
+def job_details(ids: DataFrame, queue: DataFrame, job_steps: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Live queue rows and accounting rows of each requested job or array task, one under the other.
 
-    ``status``: ``ok``; ``not_in_queue`` (accounting only); ``no_accounting``
-    (queue only); ``unknown_key``; ``invalid_key``.
+    ``part`` says which side a row is from (``queue`` or ``accounting``; null
+    where a request has no rows), so a job of Q queue rows and S accounting
+    rows has Q + S rows. ``status``: ``ok``; ``not_in_queue`` (accounting
+    only); ``no_accounting`` (queue only); ``unknown_key``; ``invalid_key``.
     """
-    req = ids.select(F.col("job_id").alias("req_id")).distinct()
-    q = queue.select(P.base_job_id("job_id").alias("qid"), F.col("job_id").alias("queue_job_id"),
-                     F.col("state").alias("queue_state"), "reason", "partition", "submit_ts", "node_list")
-    s = job_steps.select(P.step_base_id("step_id").alias("sid"), "step_id", F.col("state").alias("acct_state"),
-                         "elapsed_s", "max_rss", "exit_code" if "exit_code" in job_steps.columns else F.lit(None).cast("string").alias("exit_code"))
-    req = req.withColumn("_valid", Q.valid_job_id("req_id"))
-    # Queue rows are one per job; accounting may hold very many steps for one
-    # job, so that side is joined as inner ∪ anti (skew-splittable).
-    out = req.join(q, (F.col("req_id") == F.col("qid")) & F.col("_valid"), "left")
-    out = left_join_split(out.withColumn("sid", F.when(F.col("_valid"), F.col("req_id"))), s.withColumn("_acct", F.lit(True)), ["sid"])
-    status = (F.when(~F.col("_valid"), "invalid_key")
-              .when(F.col("qid").isNull() & F.col("_acct").isNull(), "unknown_key")
-              .when(F.col("qid").isNull(), "not_in_queue")
-              .when(F.col("_acct").isNull(), "no_accounting")
-              .otherwise("ok"))
-    return out.withColumn("status", status).drop("qid", "sid", "_valid", "_acct").withColumnRenamed("req_id", "job_id")
+    req = requested_ids(ids)
+    q = snapshot_at(queue, as_of).select(F.col("job_id").alias("queue_job_id"), F.col("state").alias("queue_state"),
+                                         "reason", "partition", "submit_ts", "node_list")
+    s = job_steps.select("step_id", F.col("state").alias("acct_state"), "elapsed_s", "max_rss",
+                         "exit_code" if "exit_code" in job_steps.columns else F.lit(None).cast("string").alias("exit_code"))
+    rows = match_ids(req, q, "queue_job_id").withColumn("part", F.lit("queue")).unionByName(
+        match_ids(req, s, "step_id").withColumn("part", F.lit("accounting")), allowMissingColumns=True)
+    has = rows.groupBy("job_id").agg(F.bool_or(F.col("part") == "queue").alias("_q"), F.bool_or(F.col("part") == "accounting").alias("_s"))
+    status = (F.when(~F.col("_valid"), "invalid_key").when(F.col("_q").isNull(), "unknown_key")
+              .when(~F.col("_q"), "not_in_queue").when(~F.col("_s"), "no_accounting").otherwise("ok"))
+    keyed = req.join(has, "job_id", "left").withColumn("status", status)
+    found = keyed.where(F.col("_q").isNotNull()).select("job_id", "status").join(rows, "job_id", "inner")
+    return found.unionByName(keyed.where(F.col("_q").isNull()).select("job_id", "status"), allowMissingColumns=True)

@@ -15,7 +15,8 @@ from pyspark.sql import Window
 
 from ..functions import predicates as Q
 from ..functions import render as R
-from .guards import attach_row, top_per_group, with_total
+from .guards import attach_row, positive, top_per_group, with_total
+from .queue import snapshot_at
 
 US = 1_000_000
 STEP_UNITS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
@@ -195,7 +196,7 @@ def counter_increase(samples: DataFrame, metric: str | Sequence[str], as_of: str
 
 def topk_nodes(samples: DataFrame, as_of: str, pattern: str = ".*", top: int = 10, lookback: str | int = "5m") -> DataFrame:
     """The ``top`` (1..50) highest load5 among instances fully matching ``pattern`` (optional ``:9100``)."""
-    top = max(1, min(top, 50))
+    positive(top, "top")
     v = instant_vector(samples, "node_load5", as_of, lookback, regex_matchers={"instance": f"(?:{pattern})(:9100)?"})
     v = v.select(R.strip_port(F.col("labels")["instance"]).alias("node"), "value", "series")
     return top_per_group(v, [], [F.desc("value"), F.asc("node"), F.asc("series")], top).drop("series")
@@ -223,7 +224,7 @@ def node_health(wanted: DataFrame, samples: DataFrame, nodes: DataFrame, as_of:
         F.sum(F.when(F.col("metric") == "node_network_receive_bytes_total", F.col("rate"))).alias("rx_rate"),
         F.sum(F.when(F.col("metric") == "node_network_transmit_bytes_total", F.col("rate"))).alias("tx_rate"),
     )
-    sched = nodes.groupBy("node").agg(F.min("state").alias("sched_state"), F.min("reason").alias("sched_reason"))
+    sched = snapshot_at(nodes, as_of).groupBy("node").agg(F.min("state").alias("sched_state"), F.min("reason").alias("sched_reason"))
     w = wanted.select("node").distinct().withColumn("_valid", Q.valid_name("node"))
     out = w.join(gv, "node", "left").join(rv, "node", "left").join(sched, "node", "left")
     used = F.col("node_memory_MemTotal_bytes") - F.col("node_memory_MemFree_bytes") - (F.col("node_memory_Cached_bytes") + F.col("node_memory_Buffers_bytes"))
@@ -283,7 +284,7 @@ def gpu_overview(samples: DataFrame, as_of: str, lookback: str | int = "5m", top
 
     Fleet columns: GPUs, hosts, mean utilisation, busy (> 80) and idle (< 5) GPU counts.
     """
-    top = max(1, min(top, 50))
+    positive(top, "top")
     v = instant_vector(samples, "DCGM_FI_DEV_GPU_UTIL", as_of, lookback).where(Q.not_nan("value"))
     v = v.select(R.host_of(F.col("labels")).alias("host"), "value")
     per_host = v.groupBy("host").agg(F.count(F.lit(1)).alias("gpus"), F.avg("value").alias("mean_util"),

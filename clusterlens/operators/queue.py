@@ -25,25 +25,56 @@ FATAL_REASONS = (
 # Pending reasons worth a check.
 SUSPECT_REASONS = ("ReqNodeNotAvail", "BeginTime", "Licenses", "BadConstraints")
 
+KB_PER_GB = 1 << 20
 ALLOCATED_STATES = ("allocated", "mixed", "completing")
 
 
-def snapshot_at(df: DataFrame, as_of: str | None) -> DataFrame:
-    """Rows of the latest snapshot at or before ``as_of`` (all snapshots when None).
+def snapshot_at(df: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Rows of the latest snapshot at or before ``as_of`` (the latest of all when None).
 
-    The latest snapshot time is a one-row aggregate joined back as a
-    broadcast of that single row; with date-partitioned storage the
-    ``<= as_of`` filter prunes partitions.
+    A table without ``snapshot_ts`` is one snapshot and stays as it is. The
+    snapshot's time is a scalar subquery over that one column; with
+    date-partitioned storage both filters prune partitions.
     """
-    if as_of is None:
+    if "snapshot_ts" not in df.columns:
         return df
-    upto = df.where(F.col("snapshot_ts") <= F.to_timestamp_ntz(F.lit(as_of)))
-    latest = upto.agg(F.max("snapshot_ts").alias("_snap"))
-    return upto.join(F.broadcast(latest), F.col("snapshot_ts") == F.col("_snap"), "inner").drop("_snap")
+    upto = df if as_of is None else df.where(F.col("snapshot_ts") <= F.to_timestamp_ntz(F.lit(as_of)))
+    return upto.where(F.col("snapshot_ts") == upto.agg(F.max("snapshot_ts")).scalar())
+
+
+def current(df: DataFrame, as_of: str | None = None) -> DataFrame:
+    """``snapshot_at`` without the time column: operators called with it take it as it is."""
+    return snapshot_at(df, as_of).drop("snapshot_ts")
+
+
+def requested_ids(ids: DataFrame) -> DataFrame:
+    """Distinct requested ``job_id`` and whether each is well formed (``_valid``)."""
+    return ids.select("job_id").distinct().withColumn("_valid", F.coalesce(Q.valid_job_id("job_id"), F.lit(False)))
+
+
+def match_ids(req: DataFrame, rows: DataFrame, id_col: str) -> DataFrame:
+    """``rows`` of the job or array task that each valid requested ``job_id`` names.
+
+    A base id (``5``) names all rows of the job; a task id (``5_1``) its own
+    rows and the pending array row that holds it (``5_[1-9]``). All three
+    are one equi-join: rows and requests are keyed by base id, by task id,
+    or by base id and an open bracket, so tasks of one array job meet only
+    their own rows.
+    """
+    base, part = P.base_job_id("job_id"), P.array_part("job_id")
+    wanted = req.where("_valid").select(
+        "job_id", part.alias("_task"),
+        F.explode(F.when(part.isNull(), F.array(base)).otherwise(F.array(F.concat(base, F.lit("_"), part), F.concat(base, F.lit("_["))))).alias("_key"))
+    base, part = P.base_job_id(id_col), P.array_part(id_col)
+    inner = F.when(part.startswith("["), F.lit("[")).otherwise(part)
+    own = rows.withColumn("_part", part).withColumn("_key", F.explode(F.array_compact(F.array(base, F.concat(base, F.lit("_"), inner)))))
+    met = wanted.join(own, "_key", "inner")
+    return met.where(~F.col("_key").endswith("_[") | P.holds_task("_part", "_task")).drop("_key", "_task", "_part")
 
 
 def queue_filter(queue: DataFrame, user: str | None = None, account: str | None = None,
-                 state: str | None = None, partition: str | None = None, users: DataFrame | None = None) -> DataFrame:
+                 state: str | None = None, partition: str | None = None, users: DataFrame | None = None,
+                 as_of: str | None = None) -> DataFrame:
     """Queue rows matching every non-empty equality filter.
 
     With ``users`` (the known logins) and a ``user``, the rows carry
@@ -51,7 +82,7 @@ def queue_filter(queue: DataFrame, user: str | None = None, account: str | None
     ``invalid_key``, ``unknown_key`` (an unknown login is not an empty
     queue) or ``empty``.
     """
-    rows = queue.where(Q.opt_equals(user_name=user, account=account, state=state, partition=partition))
+    rows = snapshot_at(queue, as_of).where(Q.opt_equals(user_name=user, account=account, state=state, partition=partition))
     if users is None or not user:
         return rows
     spark = queue.sparkSession
@@ -65,8 +96,9 @@ def queue_filter(queue: DataFrame, user: str | None = None, account: str | None
 
 # ------------------------------------------------------------- node states
 
-def partition_node_states(nodes: DataFrame, gres_shown: int = 20) -> DataFrame:
+def partition_node_states(nodes: DataFrame, gres_shown: int = 20, as_of: str | None = None) -> DataFrame:
     """Per partition: allocated / idle / other / total node counts, availability and GPU resources."""
+    nodes = current(nodes, as_of)
     st = F.lower(F.regexp_replace(F.col("state"), r"[*~#!%$@^-]+$", ""))
     counts = nodes.groupBy("partition").agg(
         F.count_if(st.isin(*ALLOCATED_STATES)).alias("allocated"),
@@ -80,9 +112,9 @@ def partition_node_states(nodes: DataFrame, gres_shown: int = 20) -> DataFrame:
     return counts.join(gl, "partition", "left")
 
 
-def down_nodes(nodes: DataFrame, shown: int = 50) -> DataFrame:
+def down_nodes(nodes: DataFrame, shown: int = 50, as_of: str | None = None) -> DataFrame:
     """Nodes with a down/drain reason grouped by (state, reason): count and the first ``shown`` names."""
-    d = nodes.where(F.col("reason").isNotNull() & (F.trim("reason") != "")).select("state", "reason", "node").distinct()
+    d = current(nodes, as_of).where(F.col("reason").isNotNull() & (F.trim("reason") != "")).select("state", "reason", "node").distinct()
     counts = d.groupBy("state", "reason").agg(F.count(F.lit(1)).alias("n_nodes"))
     names = (top_per_group(d, ["state", "reason"], [F.asc("node")], shown, "_r")
              .groupBy("state", "reason").agg(F.array_sort(F.collect_list("node")).alias("nodes")))
@@ -91,34 +123,33 @@ def down_nodes(nodes: DataFrame, shown: int = 50) -> DataFrame:
 
 # ----------------------------------------------------------- pending jobs
 
-def pending_count(queue: DataFrame) -> DataFrame:
+def pending_count(queue: DataFrame, as_of: str | None = None) -> DataFrame:
     """PENDING rows per partition (arrays count once)."""
-    return queue.where(F.col("state") == "PENDING").groupBy("partition").agg(F.count(F.lit(1)).alias("pending_in_partition"))
+    return snapshot_at(queue, as_of).where(F.col("state") == "PENDING").groupBy("partition").agg(F.count(F.lit(1)).alias("pending_in_partition"))
 
 
-def pending_context(ids: DataFrame, queue: DataFrame, nodes: DataFrame) -> DataFrame:
+def pending_context(ids: DataFrame, queue: DataFrame, nodes: DataFrame, as_of: str | None = None) -> DataFrame:
     """Reason, priority and partition of each requested job, with its partition's pending total and node states.
 
-    ``status``: ``ok`` (in the queue), ``not_in_queue`` (started, finished
-    or purged: not pending), ``invalid_key``.
+    One row per queue row of the requested job or array task. ``status``:
+    ``ok`` (in the queue), ``not_in_queue`` (started, finished or purged:
+    not pending), ``invalid_key``.
     """
-    req = ids.select(F.col("job_id").alias("req_id")).distinct().withColumn("_valid", Q.valid_job_id("req_id"))
-    req = req.withColumn("_key", F.when(F.col("_valid"), F.col("req_id")))
-    # an array job's tasks share one base id: join as inner ∪ anti (skew-splittable)
-    q = queue.select(P.base_job_id("job_id").alias("_key"), F.col("job_id").alias("queue_job_id"), "state", "reason",
-                     "priority", "partition").withColumn("_qid", F.lit(True))
-    out = G.left_join_split(req, q, ["_key"]).drop("_key")
-    pn = partition_node_states(nodes).select("partition", "allocated", "idle", "other", "total")
-    out = out.join(pending_count(queue), "partition", "left").join(pn, "partition", "left")
-    status = F.when(~F.col("_valid"), "invalid_key").when(F.col("_qid").isNull(), "not_in_queue").otherwise("ok")
-    return (out.withColumn("status", status)
-            .withColumn("pending_in_partition", F.when(F.col("_qid").isNotNull(), F.coalesce("pending_in_partition", F.lit(0))))
-            .drop("_qid", "_valid").withColumnRenamed("req_id", "job_id"))
-
-
-def pending_priority(priorities: DataFrame, job_id: str | None = None, partition: str | None = None, top: int = 60) -> DataFrame:
+    req, queue = requested_ids(ids), current(queue, as_of)
+    q = queue.select(F.col("job_id").alias("queue_job_id"), "state", "reason", "priority", "partition")
+    hits = match_ids(req, q, "queue_job_id")
+    pn = partition_node_states(nodes, as_of=as_of).select("partition", "allocated", "idle", "other", "total")
+    out = hits.join(pending_count(queue), "partition", "left").join(pn, "partition", "left")
+    out = out.withColumn("pending_in_partition", F.coalesce("pending_in_partition", F.lit(0))).withColumn("status", F.lit("ok"))
+    miss = req.join(hits.select("job_id").distinct(), "job_id", "left_anti").select(
+        "job_id", F.when(F.col("_valid"), "not_in_queue").otherwise("invalid_key").alias("status"))
+    return out.unionByName(miss, allowMissingColumns=True)
+
+
+def pending_priority(priorities: DataFrame, job_id: str | None = None, partition: str | None = None, top: int = 60,
+                     as_of: str | None = None) -> DataFrame:
     """Priority factors of pending jobs, highest first, with the exact total."""
-    p = priorities
+    p = snapshot_at(priorities, as_of)
     if job_id:
         p = p.where(P.base_job_id("job_id") == P.base_job_id(F.lit(job_id)))
     if partition:
@@ -141,8 +172,8 @@ def stuck_jobs(queue: DataFrame, as_of: str, by: Sequence[str] = (), top_users:
     carries the group's task totals. The reason class is a literal
     expression (no join); all aggregates are partial-then-final.
     """
-    top_users = max(1, min(top_users, 50))
-    pend = queue.where(F.col("state") == "PENDING").select(
+    G.positive(top_users, "top_users")
+    pend = snapshot_at(queue, as_of).where(F.col("state") == "PENDING").select(
         *by, "job_id", F.coalesce(F.col("user_name"), F.lit("")).alias("user_name"),
         P.array_task_count("job_id").alias("tasks"),
         P.reason_token("reason").alias("reason"),
@@ -186,7 +217,8 @@ def stuck_jobs(queue: DataFrame, as_of: str, by: Sequence[str] = (), top_users:
 
 # ------------------------------------------------------------------- memory
 
-def partition_mem_ratio(nodes: DataFrame, overrides: Mapping[str, float] | None = None) -> DataFrame:
+def partition_mem_ratio(nodes: DataFrame, overrides: Mapping[str, float] | None = None,
+                        as_of: str | None = None) -> DataFrame:
     """GB of RAM per CPU of each partition: the highest over its node types; overrides win.
 
     Non-digits are stripped from the CPU and memory texts (``64+`` → 64);
@@ -194,7 +226,7 @@ def partition_mem_ratio(nodes: DataFrame, overrides: Mapping[str, float] | None
     """
     cpus = F.regexp_replace(F.col("cpus").cast("string"), r"[^0-9]", "").try_cast("bigint")
     mem = F.regexp_replace(F.col("mem_mb").cast("string"), r"[^0-9]", "").try_cast("double")
-    measured = (nodes.select("partition", cpus.alias("c"), mem.alias("m"))
+    measured = (snapshot_at(nodes, as_of).select("partition", cpus.alias("c"), mem.alias("m"))
                 .where((F.col("c") > 0) & (F.col("m") > 0))
                 .groupBy("partition").agg(F.max(F.col("m") / 1024 / F.col("c")).alias("measured_ratio")))
     if overrides:
@@ -204,44 +236,53 @@ def partition_mem_ratio(nodes: DataFrame, overrides: Mapping[str, float] | None
 
 
 def memory_overreservation(queue: DataFrame, nodes: DataFrame, overrides: Mapping[str, float] | None = None,
-                           factor: float = 2.0, top: int = 15, samples: int = 3) -> DataFrame:
+                           factor: float = 2.0, top: int = 15, samples: int = 3, as_of: str | None = None) -> DataFrame:
     """RUNNING jobs reserving more than ``factor`` × the partition's GB/CPU, for every partition at once.
 
     Groups by (partition, user, GB/CPU rounded half-even): jobs, excess GB
     (mem − ratio·cpus), up to ``samples`` job ids; top ``top`` groups per
     partition by excess, with the partition totals (analysed, flagged,
-    excess, sterilised CPUs = excess / ratio). The per-partition ratio
-    table has one row per partition: Spark's size-checked broadcast picks it up.
+    excess, sterilised CPUs = excess / ratio). Excesses are summed as whole
+    KB, so ranks do not depend on the order of rows. Every partition with
+    analysed jobs keeps a row; ``status``: ``ok``, ``empty`` (none flagged),
+    ``no_node_data`` (no node of the partition tells its ratio). The
+    per-partition ratio table has one row per partition: Spark's
+    size-checked broadcast picks it up.
     """
-    factor = max(1.0, min(factor, 20.0))
-    top = max(1, min(top, 50))
-    ratio = partition_mem_ratio(nodes, overrides).select("partition", "ratio")
-    run = queue.where(F.col("state") == "RUNNING").select(
+    if factor < 1:
+        raise ValueError(f"factor must be at least 1, not {factor}")
+    G.positive(top, "top")
+    ratio = partition_mem_ratio(nodes, overrides, as_of).select("partition", "ratio")
+    run = snapshot_at(queue, as_of).where(F.col("state") == "RUNNING").select(
         "partition", "job_id", "user_name",
         P.tres_cpu("tres", anchored=False).alias("cpus"), P.tres_mem_gb("tres").alias("mem_gb"),
     ).where(F.col("cpus").isNotNull() & F.col("mem_gb").isNotNull())
-    j = run.join(ratio, "partition", "inner")
+    j = run.join(ratio, "partition", "left")
     j = j.withColumn("mem_cpu", F.when(F.col("cpus") > 0, F.col("mem_gb") / F.col("cpus")))
-    flag = j.where(F.col("mem_cpu") > F.col("ratio") * factor).withColumn(
-        "excess", F.col("mem_gb") - F.col("ratio") * F.col("cpus")).withColumn("gb_per_cpu", F.bround("mem_cpu", 0))
+    over = F.coalesce(F.col("mem_cpu") > F.col("ratio") * factor, F.lit(False))
+    excess_kb = F.round((F.col("mem_gb") - F.col("ratio") * F.col("cpus")) * KB_PER_GB).cast("bigint")
+    j = j.withColumn("excess_kb", F.when(over, excess_kb))
+    flag = j.where(F.col("excess_kb").isNotNull()).withColumn("gb_per_cpu", F.bround("mem_cpu", 0))
     totals = j.groupBy("partition").agg(
         F.count(F.lit(1)).alias("n_analyzed"),
-        F.count_if(F.col("mem_cpu") > F.col("ratio") * factor).alias("n_flagged"),
-        F.sum(F.when(F.col("mem_cpu") > F.col("ratio") * factor, F.col("mem_gb") - F.col("ratio") * F.col("cpus"))).alias("excess_total_gb"),
-        F.first("ratio").alias("ratio"),
+        F.count("excess_kb").alias("n_flagged"),
+        (F.sum("excess_kb") / KB_PER_GB).alias("excess_total_gb"),
+        F.max("ratio").alias("ratio"),
     ).withColumn("sterilized_cpus", F.col("excess_total_gb") / F.col("ratio")).withColumn("threshold", F.col("ratio") * factor)
     gk = ["partition", "user_name", "gb_per_cpu"]
-    groups = flag.groupBy(*gk).agg(F.count(F.lit(1)).alias("jobs"), F.sum("excess").alias("excess_gb"))
-    groups = top_per_group(groups, ["partition"], [F.desc("excess_gb"), F.asc("user_name"), F.asc("gb_per_cpu")], top)
+    groups = flag.groupBy(*gk).agg(F.count(F.lit(1)).alias("jobs"), F.sum("excess_kb").alias("excess_kb"))
+    groups = top_per_group(groups, ["partition"], [F.desc("excess_kb"), F.asc("user_name"), F.asc("gb_per_cpu")], top)
+    groups = groups.withColumn("excess_gb", F.col("excess_kb") / KB_PER_GB).drop("excess_kb")
     smp = (top_per_group(flag.select(*gk, "job_id"), gk, [F.asc("job_id")], samples, "_r")
            .groupBy(*gk).agg(F.array_sort(F.collect_list("job_id")).alias("samples")))
-    return (groups.join(smp, gk, "left").join(totals, "partition", "left")
-            .withColumn("ratio_multiple", F.col("gb_per_cpu") / F.col("ratio")))
+    status = F.when(F.col("ratio").isNull(), "no_node_data").when(F.col("jobs").isNull(), "empty").otherwise("ok")
+    return (totals.join(groups.join(smp, gk, "left"), "partition", "left")
+            .withColumn("ratio_multiple", F.col("gb_per_cpu") / F.col("ratio")).withColumn("status", status))
 
 
-def running_counts(queue: DataFrame, by: str = "account", top_users: int = 8) -> DataFrame:
+def running_counts(queue: DataFrame, by: str = "account", top_users: int = 8, as_of: str | None = None) -> DataFrame:
     """Queue rows of each group counted by state and by user (top ``top_users``), as (dim, value, n, rank)."""
-    q = queue.select(by, "state", "user_name")
+    q = snapshot_at(queue, as_of).select(by, "state", "user_name")
     by_state = q.groupBy(by, "state").agg(F.count(F.lit(1)).alias("n"))
     by_state = top_per_group(by_state, [by], [F.desc("n"), F.asc("state")], 1 << 30).select(
         by, F.lit("state").alias("dim"), F.col("state").alias("value"), "n", "rank")
@@ -251,7 +292,8 @@ def running_counts(queue: DataFrame, by: str = "account", top_users: int = 8) ->
     return by_state.unionByName(by_user)
 
 
-def jobs_by_node(queue: DataFrame, wanted: DataFrame, states: Sequence[str] = ("RUNNING", "COMPLETING")) -> DataFrame:
+def jobs_by_node(queue: DataFrame, wanted: DataFrame, states: Sequence[str] = ("RUNNING", "COMPLETING"),
+                 as_of: str | None = None) -> DataFrame:
     """Jobs on each wanted node (host lists expanded); a node without jobs keeps one row, status ``none_running``.
 
     Written as inner join ∪ anti join rather than a left join: the wanted
@@ -259,7 +301,7 @@ def jobs_by_node(queue: DataFrame, wanted: DataFrame, states: Sequence[str] = ("
     only build the big side), and a node running a third of all jobs is
     then never a skewed shuffle partition.
     """
-    on = (queue.where(F.col("state").isin(*states))
+    on = (snapshot_at(queue, as_of).where(F.col("state").isin(*states))
           .select("job_id", "user_name", "account", "job_name", "state", "n_cpus", F.explode(P.host_list("node_list")).alias("node")))
     w = wanted.select("node").distinct().withColumn("_valid", Q.valid_name("node"))
     valid = w.where("_valid").select("node")
@@ -269,14 +311,15 @@ def jobs_by_node(queue: DataFrame, wanted: DataFrame, states: Sequence[str] = ("
     return hits.unionByName(idle, allowMissingColumns=True).unionByName(bad, allowMissingColumns=True)
 
 
-def fairshare_lookup(shares: DataFrame, user: str | None = None, account: str | None = None, top: int | None = None) -> DataFrame:
+def fairshare_lookup(shares: DataFrame, user: str | None = None, account: str | None = None, top: int | None = None,
+                     as_of: str | None = None) -> DataFrame:
     """Share rows by mode: user only, account only, exactly the pair, or all.
 
     LevelFS falls back to FairShare; ``below_share`` = LevelFS < 1. When a
     user and an account are both given and no row matches, one row with
     ``status = no_association`` is returned.
     """
-    s = shares
+    s = snapshot_at(shares, as_of)
     if user and account:
         s = s.where((F.col("user_name") == user) & (F.col("account") == account))
     elif user:

@@ -52,7 +52,7 @@ def user_overview(logins: DataFrame, users: DataFrame, jobs: DataFrame, queue: D
     """State of each requested login: queue, window history, failure clusters, fair share."""
     req = _request(logins, "user_name", users, Q.valid_name)
     ok = req.where(F.col("status") == "ok").select("user_name")
-    q = queue.join(ok, "user_name", "left_semi")
+    q = Qo.current(queue, as_of).join(ok, "user_name", "left_semi")
     run_n = q.groupBy("user_name").agg(F.count(F.lit(1)).alias("queue_jobs"))
     run_ids = _ranked_list(q, ["user_name"], [F.asc("job_id")], running_shown, ["job_id", "state"], "queue_shown")
     jw = J.in_window(jobs.join(ok, "user_name", "left_semi"), as_of, days)
@@ -61,7 +61,7 @@ def user_overview(logins: DataFrame, users: DataFrame, jobs: DataFrame, queue: D
     parts = _ranked_list(J.partition_histogram(jw, ["user_name"], 6), ["user_name"], [F.asc("rank")], 6, ["partition", "n"], "partitions")
     cl = _ranked_list(J.failure_clusters(jw, by=["user_name"]), ["user_name"], [F.asc("rank")], 3,
                       ["pattern", "state", "n", "sample_job"], "clusters")
-    fs = Qo.fairshare_lookup(shares.join(ok, "user_name", "left_semi"))
+    fs = Qo.fairshare_lookup(Qo.current(shares, as_of).join(ok, "user_name", "left_semi"))
     fair = _ranked_list(fs, ["user_name"], [F.asc("account")], fair_rows, ["account", "level_fs"], "fairshare")
     out = req.drop("_valid", "_known")
     for part in (run_n, run_ids, hist, states, parts, cl, fair):
@@ -75,7 +75,7 @@ def account_overview(accounts: DataFrame, assoc: DataFrame, jobs: DataFrame, que
     req = _request(accounts, "account", assoc, Q.valid_name)
     ok = req.where(F.col("status") == "ok").select("account")
     mem = members(assoc.join(ok, "account", "left_semi"))
-    q = queue.join(ok, "account", "left_semi")
+    q = Qo.current(queue, as_of).join(ok, "account", "left_semi")
     rc = Qo.running_counts(q, "account", top_users)
     q_n = q.groupBy("account").agg(F.count(F.lit(1)).alias("queue_jobs"))
     q_states = _ranked_list(rc.where(F.col("dim") == "state"), ["account"], [F.asc("rank")], 1 << 20,
@@ -108,21 +108,27 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
                   interactive_partitions: Sequence[str] = ("visu",), roots: Sequence[str] = ("/work",), log_n: int = 30) -> DataFrame:
     """Full diagnosis of each requested job in one plan.
 
-    PENDING jobs get the pending context; the others get efficiency and
+    One row per requested id. A job whose queue rows are all PENDING gets the
+    pending context (of its row of highest priority); the others get efficiency and
     verdicts, script facts with the file check of the first 5 paths and the
     parallelism note, their log tail size, node load during the run (from
     ``metric_jobs`` intervals, default ``jobs``) and the short-job note.
     ``status``: ``pending``, ``ok``, ``unknown_key``, ``invalid_key``.
     """
-    req = ids.select("job_id").distinct().withColumn("_valid", Q.valid_job_id("job_id"))
+    req, queue = Qo.requested_ids(ids), Qo.current(queue, as_of)
     ok = req.where("_valid").select("job_id")
-    qb = queue.select(P.base_job_id("job_id").alias("job_id"), F.col("state").alias("queue_state")).join(ok, "job_id", "left_semi")
-    # pending context of the pending ones: reason, priority, partition and the partition's pending total
-    pend = (queue.where(F.col("state") == "PENDING")
-            .select(P.base_job_id("job_id").alias("job_id"), "reason", "priority", "partition")
-            .join(ok, "job_id", "left_semi")
-            .join(Qo.pending_count(queue), "partition", "left")
-            .withColumn("pending_in_partition", F.coalesce("pending_in_partition", F.lit(0))))
+    # the queue rows of an array job are reduced to one row per requested id before any join
+    q = queue.select(F.col("job_id").alias("queue_job_id"), F.col("state").alias("_qstate"), "reason", "priority", "partition")
+    is_pending = F.col("_qstate") == "PENDING"
+    qb = Qo.match_ids(req, q, "queue_job_id").groupBy("job_id").agg(
+        F.count(F.lit(1)).alias("queue_rows"),
+        F.coalesce(F.min(F.when(~is_pending, F.col("_qstate"))), F.max("_qstate")).alias("queue_state"),
+        F.max(F.when(is_pending, F.struct("priority", "queue_job_id", "reason", "partition"))).alias("_p"))
+    all_pending = F.col("queue_state") == "PENDING"
+    qb = qb.select("job_id", "queue_rows", "queue_state",
+                   *(F.when(all_pending, F.col("_p")[c]).alias(c) for c in ("reason", "priority", "partition")))
+    qb = qb.join(Qo.pending_count(queue), "partition", "left").withColumn(
+        "pending_in_partition", F.when(all_pending, F.coalesce("pending_in_partition", F.lit(0))))
     mine = jobs.join(ok, "job_id", "left_semi")
     steps = job_steps.join(ok, P.step_base_id(job_steps["step_id"]) == ok["job_id"], "left_semi")
     eff = J.job_efficiency(steps, mine, interactive_partitions).select(
@@ -148,7 +154,7 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
     me = mine.select("job_id", "user_name", "job_name", "elapsed_s", "state")
 
     out = req.join(qb, "job_id", "left").join(me, "job_id", "left")
-    for part in (pend, eff, sf, fc, logs, met):
+    for part in (eff, sf, fc, logs, met):
         out = out.join(part, "job_id", "left")
     out = out.join(short, "user_name", "left").join(same, ["user_name", "job_name"], "left")
     svc = F.coalesce(F.col("is_service"), F.lit(False))
@@ -157,8 +163,8 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
               .when(F.col("user_name").isNull() & F.col("queue_state").isNull(), "unknown_key")
               .otherwise("ok"))
     return out.select(
-        "job_id", status.alias("status"), "queue_state", "reason", "priority", "partition", "pending_in_partition",
-        "state", "elapsed_s", "cpu_eff", "mem_eff", "time_eff", "verdicts", "modules", "script_status", "files_ok", "files_absent",
+        "job_id", status.alias("status"), "queue_rows", "queue_state", "reason", "priority", "partition", "pending_in_partition",
+        "state", "elapsed_s", *(F.when(~F.coalesce(all_pending, F.lit(False)), F.col(c)).alias(c) for c in ("cpu_eff", "mem_eff", "time_eff", "verdicts")), "modules", "script_status", "files_ok", "files_absent",
         F.when(F.col("script_status") == "ok", S.parallel_note(F.col("mechanisms"), F.col("alloc_cpus"), F.col("n_nodes"))).alias("parallel_note"),
         "log_lines", "log_files_missing", "load5_max", "load5_samples",
         J.short_job_note(F.coalesce(F.col("elapsed_s"), F.lit(0)), svc, F.col("short_total")).alias("short_note"),

@@ -74,9 +74,8 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     NULL, NULL, '', concat(max(CAST(floor(l_extendedprice) AS BIGINT)) * 64, 'K'), '', '', NULL
   FROM lineitem GROUP BY l_orderkey, l_linenumber""", ()),
     "queue": (f"""SELECT TIMESTAMP '2001-08-01 00:00:00' AS snapshot_ts,
-    CASE WHEN {K} % 6 = 0 THEN concat({K}, '_[1-', 1 + {K} % 20, '%4]') WHEN {K} % 6 = 1 THEN concat({K}, '_[1,3,5-7]')
-         ELSE CAST({K} AS VARCHAR) END AS job_id, {_IDENTITY},
-    CASE o_orderstatus WHEN 'P' THEN 'PENDING' WHEN 'O' THEN 'RUNNING' ELSE 'COMPLETING' END AS state,
+    job_id, {_IDENTITY},
+    CASE WHEN {K} % 10 = 7 AND ends_with(job_id, ']') THEN 'PENDING' WHEN o_orderstatus = 'P' THEN 'PENDING' WHEN o_orderstatus = 'O' THEN 'RUNNING' ELSE 'COMPLETING' END AS state,
     CAST(1 + {K} % 4 AS INTEGER) AS n_nodes, CAST(1 + {K} % 64 AS INTEGER) AS n_cpus,
     concat('cpu=', 1 + {K} % 64, ',mem=', 1 + {K} % 512, {_mem_unit()}) AS tres,
     o_orderdate AS submit_ts,
@@ -85,7 +84,10 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
       WHEN 5 THEN '' ELSE 'Priority' END AS reason,
     CAST(floor(o_totalprice) AS BIGINT) % 100000 AS priority,
     concat('node[', lpad(CAST({K} % 100 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 AS VARCHAR))) AS INTEGER), '0'), '-', lpad(CAST({K} % 100 + 2 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 + 2 AS VARCHAR))) AS INTEGER), '0'), ']') AS node_list
-  FROM orders JOIN customer ON o_custkey = c_custkey""", ()),
+  FROM (SELECT *, unnest(CASE WHEN {K} % 10 = 7 THEN [concat({K}, '_1'), concat({K}, '_2'), concat({K}, '_[3-6%2]')]
+      WHEN {K} % 6 = 0 THEN [concat({K}, '_[1-', 1 + {K} % 20, '%4]')] WHEN {K} % 6 = 1 THEN [concat({K}, '_[1,3,5-7]')]
+      ELSE [CAST({K} AS VARCHAR)] END) AS job_id
+    FROM orders JOIN customer ON o_custkey = c_custkey)""", ()),
     "priorities": ("""SELECT snapshot_ts, job_id, user_name, partition, priority, priority % 1000 AS age,
     CAST(floor(priority / 1000) AS BIGINT) % 50 AS fairshare,
     priority - priority % 1000 - (CAST(floor(priority / 1000) AS BIGINT) % 50) * 1000 AS jobsize
@@ -126,7 +128,7 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
       './run /work/u', o_custkey, '/o', CASE WHEN {K} % 3 = 0 THEN {K} + 10000000 ELSE {K} END, '.dat.', chr(10)) AS script
   FROM orders""", ()),
     "job_requests": (f"""SELECT CASE WHEN {K} % 50 = 0 THEN concat({K}, '!') WHEN {K} % 7 = 0 THEN concat('x', {K})
-    ELSE CAST({K} AS VARCHAR) END AS job_id FROM orders""", ()),
+    WHEN {K} % 20 IN (11, 17) THEN concat({K}, '_4') ELSE CAST({K} AS VARCHAR) END AS job_id FROM orders""", ()),
     "jobs_recent": (f"""SELECT CAST({K} AS VARCHAR) AS job_id, {_TWO_NODES} AS node_list,
     TIMESTAMP '2024-01-01 00:00:00' + to_hours((date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) % 30) * 24 + {K} % 24) - to_seconds(({_ELAPSED}) * 12) AS start_ts,
     CASE WHEN {K} % 20 != 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_hours((date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) % 30) * 24 + {K} % 24) END AS end_ts

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import parse as P
 from ..functions import scripts as S
 from ..operators import jobs as J
-from ..sources.fixtures import Tables
+from ..operators.queue import snapshot_at
+from ..sources.fixtures import JOBS_AS_OF, Tables
 from ..sources.readers import parse_kv_records
 from .oracle_fixtures import with_fixtures as W
 from .registry import query
@@ -77,7 +78,7 @@ SELECT job_id, split_part(split_part(job_id, '_', 1), '.', 1) AS base_id,
 FROM queue""", "queue"))
 def q_array_task_count(spark, sf_dir):
     """Task count and base id of every queue job id (array ranges, lists and limits)."""
-    q = Tables(spark, sf_dir).queue
+    q = snapshot_at(Tables(spark, sf_dir).queue, JOBS_AS_OF)
     return q.select("job_id", P.base_job_id("job_id").alias("base_id"), P.array_task_count("job_id").alias("tasks"))
 
 
@@ -88,7 +89,7 @@ SELECT job_id, unnest(list_transform(range(CAST(regexp_extract(node_list, '\[([0
 FROM queue""", "queue"))
 def q_host_list(spark, sf_dir):
     """Every host of every queue job's node list."""
-    q = Tables(spark, sf_dir).queue
+    q = snapshot_at(Tables(spark, sf_dir).queue, JOBS_AS_OF)
     return q.select("job_id", F.explode(P.host_list("node_list")).alias("host"))
 
 
@@ -129,7 +130,7 @@ SELECT regexp_extract(rec, '^.*(?:^|\s)JobId=(\S*)', 1) AS job_id,
 FROM t""", "queue"))
 def q_parse_kv_records(spark, sf_dir):
     """Live job records rendered as key=value text (a duplicate key included) parsed back, last duplicate winning."""
-    q = Tables(spark, sf_dir).queue
+    q = snapshot_at(Tables(spark, sf_dir).queue, JOBS_AS_OF)
     text = F.concat_ws(" ", F.concat(F.lit("JobId="), "job_id"), F.concat(F.lit("UserId="), "user_name", F.lit("(1000)")),
                        F.lit("JobState=UNKNOWN"), F.concat(F.lit("JobState="), "state"), F.concat(F.lit("Partition="), "partition"),
                        F.concat(F.lit("Reason="), "reason"), F.lit("Dependency=(null)"))

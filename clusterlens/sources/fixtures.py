@@ -17,6 +17,8 @@ from pyspark.sql import Window
 
 # The "now" of each data family (the test data is historic).
 JOBS_AS_OF = "2001-08-01 00:00:00"
+# Snapshots taken an hour before and after; state tables hold all of them.
+EARLIER, LATER = "2001-07-31 23:00:00", "2001-08-01 01:00:00"
 METRICS_AS_OF = "2024-01-30 23:59:59"
 INTERACTIVE_PARTITIONS = ("furniture",)
 READ_ROOTS = ("/work",)
@@ -152,19 +154,31 @@ def job_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main.unionByName(steps)
 
 
+def _taken(*times: str) -> Column:
+    return F.array(*(F.to_timestamp_ntz(F.lit(t)) for t in times))
+
+
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queue snapshot rows (orders ⋈ customer) taken at ``JOBS_AS_OF``."""
+    """Queue snapshots (orders ⋈ customer): all jobs at ``JOBS_AS_OF``, every fifth, pending, in the ones before and after.
+
+    Array jobs hold one pending row of several tasks, or (every tenth order)
+    two started tasks beside the pending rest.
+    """
     k = _k()
-    jid = (F.when(k % 6 == 0, F.concat(_s(k), F.lit("_[1-"), _s(1 + k % 20), F.lit("%4]")))
-           .when(k % 6 == 1, F.concat(_s(k), F.lit("_[1,3,5-7]"))).otherwise(_s(k)))
+    jid = (F.when(k % 10 == 7, F.array(*(F.concat(_s(k), F.lit(t)) for t in ("_1", "_2", "_[3-6%2]"))))
+           .when(k % 6 == 0, F.array(F.concat(_s(k), F.lit("_[1-"), _s(1 + k % 20), F.lit("%4]"))))
+           .when(k % 6 == 1, F.array(F.concat(_s(k), F.lit("_[1,3,5-7]")))).otherwise(F.array(_s(k))))
     reason = (F.when(k % 9 == 0, "DependencyNeverSatisfied").when(k % 9 == 1, "JobHeldUser")
               .when(k % 9 == 2, "ReqNodeNotAvail, UnavailableNodes:node001").when(k % 9 == 3, "Licenses")
               .when(k % 9 == 4, "Resources").when(k % 9 == 5, "").otherwise("Priority"))
-    state = (F.when(F.col("o_orderstatus") == "P", "PENDING").when(F.col("o_orderstatus") == "O", "RUNNING")
-             .otherwise("COMPLETING"))
-    return _orders_customer(spark, sf_dir).select(
-        F.to_timestamp_ntz(F.lit(JOBS_AS_OF)).alias("snapshot_ts"),
-        jid.alias("job_id"),
+    now = F.to_timestamp_ntz(F.lit(JOBS_AS_OF))
+    state = (F.when((F.col("snapshot_ts") != now) | F.col("job_id").endswith("]") & (k % 10 == 7), "PENDING")
+             .when(F.col("o_orderstatus") == "P", "PENDING").when(F.col("o_orderstatus") == "O", "RUNNING").otherwise("COMPLETING"))
+    rows = _orders_customer(spark, sf_dir).withColumn("job_id", F.explode(jid))
+    rows = rows.withColumn("snapshot_ts", F.explode(F.when(k % 5 == 0, _taken(EARLIER, JOBS_AS_OF, LATER)).otherwise(_taken(JOBS_AS_OF))))
+    return rows.select(
+        "snapshot_ts",
+        "job_id",
         *_job_identity(k),
         state.alias("state"),
         (1 + k % 4).cast("int").alias("n_nodes"),
@@ -189,35 +203,38 @@ def priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Node states (supplier): partition, state, reason, CPUs (text, ``64+`` form) and memory."""
+    """Node states (supplier): partition, state, reason, CPUs (text, ``64+`` form) and memory; all were drained a snapshot before."""
     n = F.col("s_suppkey")
     part = (F.when(n % 5 == 0, "automobile").when(n % 5 == 1, "building").when(n % 5 == 2, "furniture")
             .when(n % 5 == 3, "household").otherwise("machinery"))
-    state = (F.when(F.col("s_acctbal") < 0, "down").when(n % 3 == 0, "idle").when(n % 3 == 1, "allocated")
+    before = F.col("snapshot_ts") == F.to_timestamp_ntz(F.lit(EARLIER))
+    state = (F.when(before, "drained").when(F.col("s_acctbal") < 0, "down").when(n % 3 == 0, "idle").when(n % 3 == 1, "allocated")
              .otherwise("mixed"))
-    return table(spark, sf_dir, "supplier").select(
-        F.to_timestamp_ntz(F.lit(JOBS_AS_OF)).alias("snapshot_ts"),
+    return table(spark, sf_dir, "supplier").withColumn("snapshot_ts", F.explode(_taken(EARLIER, JOBS_AS_OF))).select(
+        "snapshot_ts",
         F.concat(F.lit("node"), _pad3(n)).alias("node"),
         part.alias("partition"),
         state.alias("state"),
-        F.when(F.col("s_acctbal") < 0, F.concat(F.lit("maintenance "), _s(n % 4))).alias("reason"),
+        F.when(before, "power").when(F.col("s_acctbal") < 0, F.concat(F.lit("maintenance "), _s(n % 4))).alias("reason"),
         F.concat(_s(32 * (1 + n % 2)), F.when(n % 4 == 0, "+").otherwise("")).alias("cpus"),
-        (32 * (1 + n % 2) * (2048 + 1024 * (n % 3))).cast("bigint").alias("mem_mb"),
+        (32 * (1 + n % 2) * F.when(before, 16384).otherwise(2048 + 1024 * (n % 3))).cast("bigint").alias("mem_mb"),
         F.when(n % 5 == 2, F.concat(F.lit("gpu:a100:"), _s(1 + n % 4))).otherwise(F.lit("(null)")).alias("gres"),
     )
 
 
 def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fair-share associations (customer)."""
+    """Fair-share associations (customer); all levels were 9 a snapshot before."""
     c = F.col("c_custkey")
     ns = (1 + c % 10) / F.lit(100.0)
     nu = (1 + c % 37) / F.lit(1000.0)
-    return table(spark, sf_dir, "customer").select(
+    before = F.col("snapshot_ts") == F.to_timestamp_ntz(F.lit(EARLIER))
+    return table(spark, sf_dir, "customer").withColumn("snapshot_ts", F.explode(_taken(EARLIER, JOBS_AS_OF))).select(
+        "snapshot_ts",
         F.concat(F.lit("acct"), _s(F.col("c_nationkey"))).alias("account"),
         F.concat(F.lit("u"), _s(c)).alias("user_name"),
         ns.alias("norm_shares"),
         nu.alias("norm_usage"),
-        F.when(c % 11 != 0, F.round(ns / nu, 6)).alias("level_fs"),
+        F.when(before, 9.0).when(c % 11 != 0, F.round(ns / nu, 6)).alias("level_fs"),
         F.round(ns / (ns + nu), 6).alias("fair_share"),
     )
 
@@ -378,9 +395,10 @@ def jobs_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requested job ids (orders): mostly known ids, some unknown (``x<k>``), some invalid (``<k>!``)."""
+    """Requested job ids (orders): mostly known ids, some unknown (``x<k>``), some invalid (``<k>!``), some array tasks (``<k>_4``)."""
     k = _k()
-    rid = F.when(k % 50 == 0, F.concat(_s(k), F.lit("!"))).when(k % 7 == 0, F.concat(F.lit("x"), _s(k))).otherwise(_s(k))
+    rid = F.when(k % 50 == 0, F.concat(_s(k), F.lit("!"))).when(k % 7 == 0, F.concat(F.lit("x"), _s(k)))
+    rid = rid.when(k % 20 == 17, F.concat(_s(k), F.lit("_4"))).when(k % 20 == 11, F.concat(_s(k), F.lit("_4"))).otherwise(_s(k))
     return table(spark, sf_dir, "orders").select(rid.alias("job_id"))
 
 

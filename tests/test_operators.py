@@ -213,7 +213,75 @@ def test_snapshot_at_reads_latest_snapshot_not_after_as_of(spark):
     q = spark.createDataFrame(rows, "snapshot_ts timestamp_ntz, job_id string")
     got = Qo.snapshot_at(q, "2024-01-01 03:00:00").collect()
     assert len(got) == 3 and {r["snapshot_ts"].hour for r in got} == {2}
-    assert Qo.snapshot_at(q, None).count() == 6
+    assert [r["snapshot_ts"].hour for r in Qo.snapshot_at(q, None).collect()] == [5]
+    assert Qo.snapshot_at(q.drop("snapshot_ts")).count() == 6
+
+
+def test_state_operators_read_one_snapshot(spark):
+    early, late = dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 2)
+    q = spark.createDataFrame([(early, "1", "u", "PENDING", "p", "Priority", early, 1), (late, "1", "u", "PENDING", "p", "Priority", early, 1),
+                               (early, "2", "u", "PENDING", "p", "JobHeldUser", early, 1)],
+                              "snapshot_ts timestamp_ntz, job_id string, user_name string, state string, partition string, reason string, submit_ts timestamp_ntz, priority bigint")
+    assert [r["pending_in_partition"] for r in Qo.pending_count(q).collect()] == [1]
+    assert [r["pending_in_partition"] for r in Qo.pending_count(q, as_of="2024-01-01 01:30:00").collect()] == [2]
+    assert {r["n_tasks"] for r in Qo.stuck_jobs(q, "2024-01-01 03:00:00").collect()} == {1}
+    assert sorted(r["n"] for r in Qo.running_counts(q, "partition").collect()) == [1, 1]
+    nodes = spark.createDataFrame([(early, "n1", "p", "down", "broken", "4", 4096, None), (late, "n1", "p", "idle", None, "4", 4096, None)],
+                                  "snapshot_ts timestamp_ntz, node string, partition string, state string, reason string, cpus string, mem_mb bigint, gres string")
+    assert Qo.down_nodes(nodes).count() == 0 and Qo.down_nodes(nodes, as_of="2024-01-01 01:00:00").count() == 1
+    r = Qo.partition_node_states(nodes).collect()[0]
+    assert (r["idle"], r["other"], r["total"], r["available"]) == (1, 0, 1, "up")
+
+
+def test_array_ids_resolve_by_job_and_by_task(spark):
+    q = spark.createDataFrame([(i, "u", "PENDING", "p", "Priority", T0, 1, "") for i in ("5_1", "5_2", "5_[3-9:2%2]", "6", "7_[1,4]")],
+                              "job_id string, user_name string, state string, partition string, reason string, submit_ts timestamp_ntz, priority bigint, node_list string")
+    nodes = spark.createDataFrame([("n1", "p", "idle", None)], "node string, partition string, state string, gres string")
+    ids = spark.createDataFrame([(i,) for i in ("5", "5_1", "5_4", "5_5", "6", "6_1", "7_4", "x", "b!d", None)], "job_id string")
+    got = {}
+    for r in Qo.pending_context(ids, q, nodes).collect():
+        got.setdefault(r["job_id"], []).append(r["queue_job_id"] or r["status"])
+    assert {k: sorted(v) for k, v in got.items()} == {
+        "5": ["5_1", "5_2", "5_[3-9:2%2]"], "5_1": ["5_1"], "5_4": ["not_in_queue"], "5_5": ["5_[3-9:2%2]"], "6": ["6"],
+        "6_1": ["not_in_queue"], "7_4": ["7_[1,4]"], "x": ["not_in_queue"], "b!d": ["invalid_key"], None: ["invalid_key"]}
+    steps = spark.createDataFrame([_step(i) for i in ("5_1", "5_1.batch", "5_2", "8")], STEPS)
+    rows = J.job_details(spark.createDataFrame([("5",), ("5_1",), ("6",), ("8",), ("9",)], "job_id string"), q, steps).collect()
+    n = {}
+    for r in rows:
+        n[r["job_id"], r["status"], r["part"]] = n.get((r["job_id"], r["status"], r["part"]), 0) + 1
+    assert n == {("5", "ok", "queue"): 3, ("5", "ok", "accounting"): 3, ("5_1", "ok", "queue"): 1, ("5_1", "ok", "accounting"): 2,
+                 ("6", "no_accounting", "queue"): 1, ("8", "not_in_queue", "accounting"): 1, ("9", "unknown_key", None): 1}
+
+
+def test_memory_statuses_keep_every_partition(spark):
+    q = spark.createDataFrame([("1", "u", "p", "RUNNING", "cpu=1,mem=1G"), ("2", "u", "lost", "RUNNING", "cpu=1,mem=1G")],
+                              "job_id string, user_name string, partition string, state string, tres string")
+    nodes = spark.createDataFrame([("n1", "p", "4", 4096)], "node string, partition string, cpus string, mem_mb bigint")
+    got = {r["partition"]: (r["status"], r["n_analyzed"], r["n_flagged"]) for r in Qo.memory_overreservation(q, nodes).collect()}
+    assert got == {"p": ("empty", 1, 0), "lost": ("no_node_data", 1, 0)}
+
+
+def test_efficiency_of_a_job_with_steps_only_uses_its_first_step(spark):
+    steps = spark.createDataFrame([_step("1.0", total_cpu="00:01:40", elapsed_s=1000), _step("1.1", elapsed_s=5, max_rss="900M")], STEPS)
+    r = J.job_efficiency(steps, spark.createDataFrame([_job(1)], JOBS)).collect()
+    assert len(r) == 1 and r[0]["elapsed_s"] == 1000 and abs(r[0]["cpu_eff"] - 0.1) < 1e-12 and not r[0]["ok"]
+
+
+def test_file_check_resolves_and_confines_paths(spark):
+    from clusterlens.operators import files as Fi
+    scripts = spark.createDataFrame([("1", "cat /work/../etc/passwd /work/a/../b.dat /work/c.dat\n")], "job_id string, script string")
+    files = spark.createDataFrame([("/work/b.dat", "f", 5), ("/etc/passwd", "f", 1)], "path string, kind string, size bigint")
+    got = {r["path"]: r["check"] for r in Fi.file_check(scripts, files).collect()}
+    assert got == {"/work/b.dat": "OK", "/work/c.dat": "ABSENT"}
+
+
+def test_limits_are_honoured_or_refused(spark):
+    import pytest
+    q = spark.createDataFrame([(str(i), f"u{i:03d}", "PENDING", "JobHeldUser", T0) for i in range(60)],
+                              "job_id string, user_name string, state string, reason string, submit_ts timestamp_ntz")
+    assert Qo.stuck_jobs(q, "2024-01-11 00:00:00", top_users=60).count() == 60
+    with pytest.raises(ValueError):
+        Qo.stuck_jobs(q, "2024-01-11 00:00:00", top_users=0)
 
 
 def test_index_globs(spark):

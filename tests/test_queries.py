@@ -62,11 +62,12 @@ def test_scan_pushdown_and_pruning(spark, tmp_path, monkeypatch):
 
     fixtures.TABLES["queue"](spark, SF).write.parquet(str(tmp_path / "queue"))
     monkeypatch.setitem(fixtures.TABLES, "queue", lambda spark, sf_dir: spark.read.parquet(str(tmp_path / "queue")))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # show all pushed filters
     text = OWN["queue_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(account,acct1)" in text and "EqualTo(state,RUNNING)" in text
-    # pending_count needs two queue columns: the scan reads only those
+    # pending_count needs two queue columns and the snapshot time: the scan reads only those
     text = OWN["pending_count"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<partition:string,state:string>" in text
+    assert "ReadSchema: struct<snapshot_ts:timestamp_ntz,partition:string,state:string>" in text
 
 
 def test_per_group_top_n_is_a_group_limit(spark):
@@ -77,6 +78,11 @@ def test_per_group_top_n_is_a_group_limit(spark):
         assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString(), key
 
 
+def test_diagnosis_has_one_row_per_request(spark):
+    ids = OWN["job_diagnosis"](spark, SF).select("job_id")
+    assert ids.count() == ids.distinct().count()
+
+
 def test_no_cartesian_products(spark):
     for key in sorted(OWN):
         plan = OWN[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
