@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import predicates as Q
 from ..functions import render as R
-from .guards import attach_row, positive, top_per_group, with_total
+from .guards import attach_row, positive, top_per_group, with_status, with_total
 
 SOURCE_FIELDS = ("idx", "doc_id", "level", "host", "event_type", "message", "value", "props")
 
@@ -39,9 +39,9 @@ def doc_line(docs: DataFrame, max_len: int = 300) -> Column:
 
 def doc_search(docs: DataFrame, predicate: Column | str | None = None, top: int = 10,
                sort_field: str | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Matching documents: exact total plus the top ``top`` (1..50).
+    """Matching documents: exact total plus the top ``top``; ``status``: ``ok``, or one ``no_match`` row of total 0.
 
-    With ``sort_field``: descending, documents missing the field last;
+    Per group (``by``), groups without a match have no row.     With ``sort_field``: descending, documents missing the field last;
     otherwise by document id. Ties break on the document id.
     """
     positive(top, "top")
@@ -51,11 +51,11 @@ def doc_search(docs: DataFrame, predicate: Column | str | None = None, top: int
     else:
         order = [F.asc("doc_id")]
     shown = top_per_group(m, list(by), order, top).select(*by, "idx", "doc_id", "ts", doc_line(m).alias("line"), "rank")
-    return with_total(shown, m, list(by))
+    return with_total(shown, m, list(by)).withColumn("status", F.lit("ok")) if by else with_status(shown, m)
 
 
 def terms_agg(docs: DataFrame, field: str, predicate: Column | str | None = None, top: int = 20) -> DataFrame:
-    """Counts per value of ``field`` among matching documents: top ``top`` (1..100), ``other``, exact total.
+    """Counts per value of ``field`` among matching documents: top ``top``, ``other``, exact total.
 
     ``status``: ``ok``; ``no_match`` (nothing matches); ``field_absent``
     (documents match, but none has the field). Guard statuses come as a
@@ -79,7 +79,7 @@ def terms_agg(docs: DataFrame, field: str, predicate: Column | str | None = None
 
 def recent_docs(docs: DataFrame, as_of: str, minutes: int = 60, predicate: Column | str | None = None,
                 top: int = 50, time_field: str = "ts") -> DataFrame:
-    """Documents with ``time_field >= as_of - minutes`` (1..10,080), newest first, top ``top`` (1..200), exact total.
+    """Documents with ``time_field >= as_of - minutes``, newest first, top ``top``, exact total; ``status``: ``ok`` or one ``no_match`` row.
 
     The range predicate is a plain column comparison, so it is pushed to
     the scan and prunes date partitions.
@@ -89,7 +89,7 @@ def recent_docs(docs: DataFrame, as_of: str, minutes: int = 60, predicate: Colum
     m = docs.where((F.col(time_field) >= Q.lookback_start(as_of, minutes=minutes)) & _pred(predicate))
     shown = top_per_group(m, [], [F.desc(time_field), F.desc("doc_id")], top).select(
         "idx", "doc_id", F.substring(F.col(time_field).cast("string"), 1, 19).alias("ts19"), doc_line(m, 260).alias("line"), "rank")
-    return with_total(shown, m)
+    return with_status(shown, m)
 
 
 def doc_bytes(docs: DataFrame) -> Column:
@@ -99,13 +99,17 @@ def doc_bytes(docs: DataFrame) -> Column:
 
 
 def index_catalog(docs: DataFrame, pattern: str = "*", allowed: Sequence[str] | None = None, top: int = 200) -> DataFrame:
-    """Per index matching ``pattern``: documents and bytes; names outside the allowlist are only counted (``n_hidden``)."""
+    """Per index matching ``pattern``: documents and bytes; names outside the allowlist are only counted (``n_hidden``).
+
+    ``status``: ``ok``; with no index to show one row says why: ``all_hidden`` or ``no_match``.
+    """
     per = docs.where(Q.index_glob("idx", pattern)).groupBy("idx").agg(
         F.count(F.lit(1)).alias("docs"), F.sum(doc_bytes(docs)).alias("bytes"))
     per = per.withColumn("_visible", Q.index_allowed("idx", allowed))
     counts = per.agg(F.count_if("_visible").alias("n_visible"), F.count_if(~F.col("_visible")).alias("n_hidden"))
     shown = top_per_group(per.where("_visible"), [], [F.asc("idx")], top).drop("_visible")
-    return attach_row(shown, counts)
+    none = counts.where("n_visible = 0").withColumn("status", F.when(F.col("n_hidden") > 0, "all_hidden").otherwise("no_match"))
+    return attach_row(shown, counts).withColumn("status", F.lit("ok")).unionByName(none, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- field catalog

@@ -43,6 +43,13 @@ def with_total(limited: DataFrame, full: DataFrame, by: Sequence[str] = (), tota
     return limited.withColumn(total_col, full.agg(F.count(F.lit(1))).scalar())
 
 
+def with_status(limited: DataFrame, full: DataFrame, empty: str = "no_match") -> DataFrame:
+    """``limited`` with the exact ``total`` of ``full`` and ``status = ok``; without any row, one row of ``total = 0`` saying so."""
+    total = full.agg(F.count(F.lit(1)).alias("total"))
+    none = total.where("total = 0").withColumn("status", F.lit(empty))
+    return with_total(limited, full).withColumn("status", F.lit("ok")).unionByName(none, allowMissingColumns=True)
+
+
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row global aggregate (a total) to every row of ``df``.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import parse as P
 from ..functions import predicates as Q
 from . import guards as G
-from .guards import top_per_group, with_total
+from .guards import top_per_group
 
 # Pending reasons that never resolve without intervention.
 FATAL_REASONS = (
@@ -148,13 +148,13 @@ def pending_context(ids: DataFrame, queue: DataFrame, nodes: DataFrame, as_of: s
 
 def pending_priority(priorities: DataFrame, job_id: str | None = None, partition: str | None = None, top: int = 60,
                      as_of: str | None = None) -> DataFrame:
-    """Priority factors of pending jobs, highest first, with the exact total."""
+    """Priority factors of pending jobs, highest first, with the exact total; ``status``: ``ok`` or one ``none_pending`` row."""
     p = snapshot_at(priorities, as_of)
     if job_id:
         p = p.where(P.base_job_id("job_id") == P.base_job_id(F.lit(job_id)))
     if partition:
         p = p.where(F.col("partition") == partition)
-    return with_total(top_per_group(p, [], [F.desc("priority"), F.asc("job_id")], top), p)
+    return G.with_status(top_per_group(p, [], [F.desc("priority"), F.asc("job_id")], top), p, "none_pending")
 
 
 def _reason_class(token: Column) -> Column:

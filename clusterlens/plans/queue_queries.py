@@ -90,7 +90,7 @@ def q_pending_context(spark, sf_dir):
 
 
 @query("pending_priority", W("""WITH p AS (SELECT * FROM priorities WHERE partition = 'building')
-SELECT p.*, row_number() OVER (ORDER BY priority DESC, job_id) AS rank, (SELECT count(*) FROM p) AS total
+SELECT p.*, row_number() OVER (ORDER BY priority DESC, job_id) AS rank, (SELECT count(*) FROM p) AS total, 'ok' AS status
 FROM p QUALIFY rank <= 60""", "priorities"))
 def q_pending_priority(spark, sf_dir):
     """The 60 highest-priority pending jobs of partition building, with factors and the exact total."""

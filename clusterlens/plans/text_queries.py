@@ -100,7 +100,7 @@ def q_file_status(spark, sf_dir):
 @query("dir_listing", W("""
 WITH e AS (SELECT parent, name, kind, CASE WHEN kind = 'd' THEN NULL ELSE size END AS size, mtime, owner FROM files),
 t AS (SELECT parent, count(*) AS n_entries FROM e GROUP BY parent)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY mtime DESC, name) AS rank FROM e) JOIN t USING (parent)
+SELECT *, 'ok' AS status FROM (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY mtime DESC, name) AS rank FROM e) JOIN t USING (parent)
 WHERE rank <= 10""", "files"))
 def q_dir_listing(spark, sf_dir):
     """Ten most recently modified entries of every directory, with entry totals."""
@@ -148,7 +148,7 @@ def _line(n: int) -> str:
 @query("doc_search", W(f"""
 WITH m AS (SELECT * FROM docs WHERE level = 'ERROR')
 SELECT idx, doc_id, ts, {_line(300)} AS line, row_number() OVER (ORDER BY value DESC NULLS LAST, doc_id) AS rank,
-       (SELECT count(*) FROM m) AS total
+       (SELECT count(*) FROM m) AS total, 'ok' AS status
 FROM m QUALIFY rank <= 10""", "docs"))
 def q_doc_search(spark, sf_dir):
     """ERROR documents: exact total and the 10 with the highest value."""
@@ -168,7 +168,7 @@ def q_terms_agg(spark, sf_dir):
 @query("recent_docs", W(f"""
 WITH m AS (SELECT * FROM docs WHERE ts >= TIMESTAMP '{METRICS_AS_OF}' - INTERVAL 10080 MINUTE AND level = 'ERROR')
 SELECT idx, doc_id, substr(CAST(ts AS VARCHAR), 1, 19) AS ts19, {_line(260)} AS line,
-       row_number() OVER (ORDER BY ts DESC, doc_id DESC) AS rank, (SELECT count(*) FROM m) AS total
+       row_number() OVER (ORDER BY ts DESC, doc_id DESC) AS rank, (SELECT count(*) FROM m) AS total, 'ok' AS status
 FROM m QUALIFY rank <= 50""", "docs"))
 def q_recent_docs(spark, sf_dir):
     """The 50 newest ERROR documents of the last 7 days, with the exact total."""
@@ -182,7 +182,7 @@ WITH per AS (SELECT idx, count(*) AS docs,
                     regexp_matches(idx, '^(?:logs-2024-01-1.)$') AS visible
              FROM docs WHERE regexp_matches(idx, '^(?:logs-.*)$') GROUP BY idx)
 SELECT idx, docs, CAST(bytes AS BIGINT) AS bytes, row_number() OVER (ORDER BY idx) AS rank,
-       (SELECT count(*) FILTER (WHERE visible) FROM per) AS n_visible, (SELECT count(*) FILTER (WHERE NOT visible) FROM per) AS n_hidden
+       (SELECT count(*) FILTER (WHERE visible) FROM per) AS n_visible, (SELECT count(*) FILTER (WHERE NOT visible) FROM per) AS n_hidden, 'ok' AS status
 FROM per WHERE visible QUALIFY rank <= 200""", "docs"))
 def q_index_catalog(spark, sf_dir):
     """Indices matching logs-*: documents and bytes of the allowed ones, count of the hidden ones."""

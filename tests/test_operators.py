@@ -294,3 +294,20 @@ def test_index_globs(spark):
     assert got == [False, False, False, False, True, False]
     got = [r[0] for r in df.select(Qp.index_glob(F.col("x"), "a?")).collect()]
     assert got == [False, False, False, False, True, True]
+
+
+def test_empty_listings_say_why(spark):
+    from clusterlens.operators import files as Fi
+    d = spark.createDataFrame([("secret-1", 1, T0, "I", 5.0), ("secret-2", 2, T0, "E", 6.0)], "idx string, doc_id long, ts timestamp_ntz, level string, value double")
+    assert [(r["status"], r["total"], r["doc_id"]) for r in D.doc_search(d, "level = 'X'").collect()] == [("no_match", 0, None)]
+    assert [(r["status"], r["total"]) for r in D.doc_search(d, "level = 'E'").collect()] == [("ok", 1)]
+    assert [(r["status"], r["total"]) for r in D.recent_docs(d, "2024-03-01 00:00:00").collect()] == [("no_match", 0)]
+    assert [(r["status"], r["n_visible"], r["n_hidden"]) for r in D.index_catalog(d, "*", allowed=["logs-*"]).collect()] == [("all_hidden", 0, 2)]
+    assert [(r["status"], r["n_hidden"]) for r in D.index_catalog(d, "none-*").collect()] == [("no_match", 0)]
+    pr = spark.createDataFrame([("1", "p", 5)], "job_id string, partition string, priority bigint")
+    assert [(r["status"], r["total"]) for r in Qo.pending_priority(pr, partition="q").collect()] == [("none_pending", 0)]
+    files = spark.createDataFrame([("/a", "/", "a", "d", None, T0, "u"), ("/a/f", "/a", "f", "f", 3, T0, "u"), ("/e", "/", "e", "d", None, T0, "u")],
+                                  "path string, parent string, name string, kind string, size bigint, mtime timestamp_ntz, owner string")
+    dirs = spark.createDataFrame([("/a",), ("/e",), ("/a/f",), ("/x",)], "path string")
+    assert {r["parent"]: (r["status"], r["n_entries"]) for r in Fi.dir_listing(files, dirs).collect()} == {
+        "/a": ("ok", 1), "/e": ("empty", 0), "/a/f": ("not_a_directory", 0), "/x": ("unknown_key", 0)}
