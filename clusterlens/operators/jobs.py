@@ -80,7 +80,7 @@ def failure_clusters(
 
     Columns: ``by``…, pattern, state, n, n_users, users (first
     ``users_shown`` sorted), exits (top ``exits_shown`` exit codes with
-    counts), sample_job / sample_end (latest ended job; ties → larger id),
+    counts), n_exits (all of them), sample_job / sample_end (latest ended job; ties → larger id),
     rank. Users and exit codes are pre-aggregated per cluster before any
     per-cluster window, so a cluster holding a third of all jobs is still
     split across tasks.
@@ -110,11 +110,12 @@ def failure_clusters(
              .groupBy(*keys).agg(F.array_sort(F.collect_list("_user")).alias("users")))
 
     exits = base.groupBy(*keys, "exit_code").agg(F.count(F.lit(1)).alias("c"))
+    n_exits = exits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_exits"))
     exits_top = (top_per_group(exits, keys, [F.desc("c"), F.asc("exit_code")], exits_shown, "_r")
                  .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_r", "exit_code", "c"))).alias("_e"))
                  .select(*keys, F.transform("_e", lambda e: F.struct(e["exit_code"].alias("exit_code"), e["c"].alias("n"))).alias("exits")))
 
-    return ranked.join(n_users, keys, "left").join(shown, keys, "left").join(exits_top, keys, "left")
+    return ranked.join(n_users, keys, "left").join(shown, keys, "left").join(exits_top, keys, "left").join(n_exits, keys, "left")
 
 
 def exit_histogram(jobs: DataFrame, top: int = 3, min_size: int = 5) -> DataFrame:

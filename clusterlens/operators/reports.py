@@ -48,8 +48,11 @@ def members(assoc: DataFrame, shown: int = 15) -> DataFrame:
 
 
 def user_overview(logins: DataFrame, users: DataFrame, jobs: DataFrame, queue: DataFrame, shares: DataFrame,
-                  as_of: str, days: float = 7, running_shown: int = 12, fair_rows: int = 8) -> DataFrame:
-    """State of each requested login: queue, window history, failure clusters, fair share."""
+                  as_of: str, days: float = 7, running_shown: int = 12, fair_rows: int = 8, log_lines: DataFrame | None = None) -> DataFrame:
+    """State of each requested login: queue, window history, failure clusters with exit codes, fair share.
+
+    With ``log_lines`` also ``cluster_logs``: the log tails of the representative jobs of the 2 largest clusters.
+    """
     req = _request(logins, "user_name", users, Q.valid_name)
     ok = req.where(F.col("status") == "ok").select("user_name")
     q = Qo.current(queue, as_of).join(ok, "user_name", "left_semi")
@@ -60,18 +63,22 @@ def user_overview(logins: DataFrame, users: DataFrame, jobs: DataFrame, queue: D
     states = _ranked_list(J.state_histogram(jw, ["user_name"]), ["user_name"], [F.desc("n"), F.asc("state")], 1 << 20, ["state", "n"], "states")
     parts = _ranked_list(J.partition_histogram(jw, ["user_name"], 6), ["user_name"], [F.asc("rank")], 6, ["partition", "n"], "partitions")
     cl = _ranked_list(J.failure_clusters(jw, by=["user_name"]), ["user_name"], [F.asc("rank")], 3,
-                      ["pattern", "state", "n", "sample_job"], "clusters")
+                      ["pattern", "state", "n", "sample_job", "exits", "n_exits"], "clusters")
     fs = Qo.fairshare_lookup(Qo.current(shares, as_of).join(ok, "user_name", "left_semi"))
     fair = _ranked_list(fs, ["user_name"], [F.asc("account")], fair_rows, ["account", "level_fs"], "fairshare")
     out = req.drop("_valid", "_known")
-    for part in (run_n, run_ids, hist, states, parts, cl, fair):
+    logs = [] if log_lines is None else [_log_list(jw, log_lines, "user_name")]
+    for part in (run_n, run_ids, hist, states, parts, cl, fair, *logs):
         out = out.join(part, "user_name", "left")
     return out
 
 
 def account_overview(accounts: DataFrame, assoc: DataFrame, jobs: DataFrame, queue: DataFrame, as_of: str,
-                     days: float = 7, top_users: int = 8) -> DataFrame:
-    """State of each requested account: members, queue by state and user, history, top members, clusters with users."""
+                     days: float = 7, top_users: int = 8, log_lines: DataFrame | None = None) -> DataFrame:
+    """State of each requested account: members, queue by state and user, history, top members, clusters with users and exit codes.
+
+    With ``log_lines`` also ``cluster_logs``: the log tails of the representative jobs of the 2 largest clusters.
+    """
     req = _request(accounts, "account", assoc, Q.valid_name)
     ok = req.where(F.col("status") == "ok").select("account")
     mem = members(assoc.join(ok, "account", "left_semi"))
@@ -87,9 +94,10 @@ def account_overview(accounts: DataFrame, assoc: DataFrame, jobs: DataFrame, que
     tm = _ranked_list(J.top_members(jw, ["account"], top_users), ["account"], [F.asc("rank")], top_users,
                       ["user_name", "n_jobs", "cpu_hours"], "top_members")
     cl = _ranked_list(J.failure_clusters(jw, by=["account"]), ["account"], [F.asc("rank")], 3,
-                      ["pattern", "state", "n", "n_users", "users", "sample_job"], "clusters")
+                      ["pattern", "state", "n", "n_users", "users", "sample_job", "exits", "n_exits"], "clusters")
     out = req.drop("_valid", "_known")
-    for part in (mem, q_n, q_states, q_users, hist, states, tm, cl):
+    logs = [] if log_lines is None else [_log_list(jw, log_lines, "account")]
+    for part in (mem, q_n, q_states, q_users, hist, states, tm, cl, *logs):
         out = out.join(part, "account", "left")
     return out
 
@@ -102,6 +110,32 @@ def cluster_logs(jobs: DataFrame, log_lines: DataFrame, by: Sequence[str] = ("ac
     return top.join(tail, "job_id", "left")
 
 
+def _log_list(jobs: DataFrame, log_lines: DataFrame, by: str) -> DataFrame:
+    """``cluster_logs`` per group: the lines of ``cluster_logs`` in order, each with its file's exact line count; guard rows keep their status."""
+    tail = cluster_logs(jobs, log_lines, [by])
+    paths = tail.select("path").distinct()
+    sizes = log_lines.join(paths, "path", "left_semi").groupBy("path").agg(F.count(F.lit(1)).alias("n_lines"))
+    fields = ["rank", "label", "lineno", "pattern", "state", "n", "job_id", "path", "line", "n_lines", "status"]
+    return tail.join(sizes, "path", "left").groupBy(by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("cluster_logs"))
+
+
+def _mem_used_pct(samples: DataFrame) -> DataFrame:
+    """Used memory in percent as a series: total less free, cached and buffers, where one node has all four at one time."""
+    total, *rest = (f"node_memory_{m}_bytes" for m in ("MemTotal", "MemFree", "Cached", "Buffers"))
+    value = {m: F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in (total, *rest)}
+    at = samples.where(F.col("metric").isin(total, *rest)).groupBy(F.col("labels")["instance"].alias("_i"), "ts").agg(*value.values())
+    used = F.col(total) - F.col(rest[0]) - (F.col(rest[1]) + F.col(rest[2]))
+    return at.select(F.lit("mem_used_pct").alias("metric"), F.create_map(F.lit("instance"), F.col("_i")).alias("labels"), "ts",
+                     F.when(F.col(total) > 0, used / F.col(total) * 100).alias("value")).where("value is not null")
+
+
+def _summary(of: Column, name: str) -> list[Column]:
+    """min, max, avg and sample count over the per-node summaries of one metric."""
+    mine = lambda c: F.when(of, F.col(c))
+    return [F.min(mine("min")).alias(f"{name}_min"), F.max(mine("max")).alias(f"{name}_max"),
+            (F.sum(F.when(of, F.col("avg") * F.col("n"))) / F.sum(mine("n"))).alias(f"{name}_avg"), F.sum(mine("n")).alias(f"{name}_samples")]
+
+
 def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue: DataFrame, nodes: DataFrame,
                   scripts: DataFrame, files: DataFrame, log_lines: DataFrame, samples: DataFrame, as_of: str,
                   metrics_as_of: str | None = None, metric_jobs: DataFrame | None = None,
@@ -110,8 +144,10 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
 
     One row per requested id. A job whose queue rows are all PENDING gets the
     pending context (of its row of highest priority); the others get efficiency and
-    verdicts, script facts with the file check of the first 5 paths and the
-    parallelism note, their log tail size, node load during the run (from
+    verdicts, script facts with the file check of all paths and the
+    parallelism note, their log tail (``log_tail``, the last ``log_n`` lines of each
+    file; ``log_lines`` counts these, ``log_lines_total`` all lines of the files),
+    node load and used memory during the run (min, max, avg; from
     ``metric_jobs`` intervals, default ``jobs``) and the short-job note.
     ``status``: ``pending``, ``ok``, ``unknown_key``, ``invalid_key``.
     """
@@ -135,26 +171,29 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
         "job_id", "is_service", "alloc_cpus", "n_nodes", "cpu_eff", "mem_eff", "time_eff", "verdicts")
     sf = Fi.script_facts(mine, scripts.join(ok, "job_id", "left_semi"), roots).select(
         "job_id", "modules", "mechanisms", F.col("status").alias("script_status"))
-    fc = Fi.file_check(scripts.join(ok, "job_id", "left_semi"), files, roots, 5).groupBy("job_id").agg(
+    fc = Fi.file_check(scripts.join(ok, "job_id", "left_semi"), files, roots, (1 << 31) - 1).groupBy("job_id").agg(
         F.count_if(F.col("check") == "OK").alias("files_ok"), F.count_if(F.col("check") == "ABSENT").alias("files_absent"))
-    # Only the size of each tail is reported here: lines per file (capped at
-    # log_n) summed per job, without carrying the lines themselves.
     paths = L.job_log_paths(mine)
     per_file = log_lines.join(paths.select("path").distinct(), "path", "left_semi").groupBy("path").agg(
-        F.least(F.count(F.lit(1)), F.lit(log_n)).alias("_n"))
+        F.count(F.lit(1)).alias("_all"), F.least(F.count(F.lit(1)), F.lit(log_n)).alias("_n"))
     logs = mine.select("job_id").join(paths.join(per_file, "path", "left"), "job_id", "left").groupBy("job_id").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("log_lines"),
+        F.coalesce(F.sum("_all"), F.lit(0)).alias("log_lines_total"),
         F.count_if(F.col("path").isNotNull() & F.col("_n").isNull()).alias("log_files_missing"))
+    # at most log_n lines of two files a job
+    tail = L.job_log_tail(mine, log_lines, log_n).where("status = 'ok'").groupBy("job_id").agg(
+        F.sort_array(F.collect_list(F.struct("label", "lineno", "path", "line"))).alias("log_tail"))
     mj = (metric_jobs if metric_jobs is not None else jobs).join(ok, "job_id", "left_semi")
-    met = I.join_interval_metrics(mj, samples, metrics_as_of or as_of, ["node_load5"]).groupBy("job_id").agg(
-        F.max("max").alias("load5_max"), F.sum("n").alias("load5_samples"))
+    series = samples.where(F.col("metric") == "node_load5").select("metric", "labels", "ts", "value").unionByName(_mem_used_pct(samples))
+    met = I.join_interval_metrics(mj, series, metrics_as_of or as_of, ["node_load5", "mem_used_pct"])
+    met = met.groupBy("job_id").agg(*(c for m, name in (("node_load5", "load5"), ("mem_used_pct", "mem_used_pct")) for c in _summary(F.col("metric") == m, name)))
     short = J.short_job_stats(jobs, as_of, 7).select("user_name", F.col("total_short").alias("short_total"),
                                                       F.col("median_elapsed").alias("short_median"))
     same = J.short_name_counts(jobs, as_of, 7).withColumnRenamed("same_name", "short_same_name")
     me = mine.select("job_id", "user_name", "job_name", "elapsed_s", "state")
 
     out = req.join(qb, "job_id", "left").join(me, "job_id", "left")
-    for part in (eff, sf, fc, logs, met):
+    for part in (eff, sf, fc, logs, tail, met):
         out = out.join(part, "job_id", "left")
     out = out.join(short, "user_name", "left").join(same, ["user_name", "job_name"], "left")
     svc = F.coalesce(F.col("is_service"), F.lit(False))
@@ -166,7 +205,7 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
         "job_id", status.alias("status"), "queue_rows", "queue_state", "reason", "priority", "partition", "pending_in_partition",
         "state", "elapsed_s", *(F.when(~F.coalesce(all_pending, F.lit(False)), F.col(c)).alias(c) for c in ("cpu_eff", "mem_eff", "time_eff", "verdicts")), "modules", "script_status", "files_ok", "files_absent",
         F.when(F.col("script_status") == "ok", S.parallel_note(F.col("mechanisms"), F.col("alloc_cpus"), F.col("n_nodes"))).alias("parallel_note"),
-        "log_lines", "log_files_missing", "load5_max", "load5_samples",
+        "log_lines", "log_lines_total", "log_tail", "log_files_missing", *(f"{m}_{x}" for m in ("load5", "mem_used_pct") for x in ("min", "max", "avg", "samples")),
         J.short_job_note(F.coalesce(F.col("elapsed_s"), F.lit(0)), svc, F.col("short_total")).alias("short_note"),
         "short_total", "short_same_name", "short_median",
     )

@@ -61,7 +61,7 @@ def render_clusters(df):
 def q_failure_clusters(spark, sf_dir):
     """Top 3 clusters of similar failing jobs in every account (size ≥ 5)."""
     t = Tables(spark, sf_dir)
-    return render_clusters(J.failure_clusters(t.jobs, by=["account"], min_size=5, top=3))
+    return render_clusters(J.failure_clusters(t.jobs, by=["account"], min_size=5, top=3).drop("n_exits"))
 
 
 # ---------------------------------------------------------------------------------------------
