@@ -29,6 +29,11 @@ from clusterlens.llm.common import small_batches, utf8
 MAX_PAGES = 1500
 #: Cost of contradicting an element that names its role, in the classifier's log-odds.
 ROLE_COST = 8.0
+#: Cost of contradicting a class or id word, for an element with little of its surroundings' text; less, the more it has.
+#: The classifier (4 at most) and the edges of a block (3 at most) can outvote it.
+WORD_COST = 6.0
+#: An element with such a share of its surroundings' text keeps their role, whatever its class and id say.
+MOSTLY = 0.75
 #: Capacity of the edge between neighbouring blocks of one parent, and of blocks of one parent that are not neighbours.
 NEXT, SIBLING = 1.2, 0.3
 SCALE = 1 << 16
@@ -65,33 +70,68 @@ class Block:
     path: tuple[int, ...]
     role: int  # 1: inside content elements, -1: inside boilerplate elements, 0: neither says
     features: np.ndarray = field(default_factory=lambda: np.empty(0))
+    mark: int = -1  # number of the innermost element around it whose class or id names boilerplate, of those inside the same content element
+    scope: int = 0  # number of the innermost content element around it, 0: the page
+    cost: float = 0.0  # of keeping the block, by class and id words
 
 
-def _role(name: str, attrs: str, outer: int, parent: str) -> int:
-    """The role that an element gives its blocks: its own, else that of the elements around it."""
+def _role(name: str, attrs: str, outer: int, parent: str) -> tuple[int, bool, bool]:
+    """The role that an element gives its blocks (its own, else that of the elements around it), whether its class or id names boilerplate, and whether it is a content element."""
     if name in BOILER_TAGS and not (name == "header" and outer > 0):
-        return -1
-    found = 0
+        return -1, False, False
+    found, worded = 0, False
     if attrs.strip():
         for key, *values in _ATTR.findall(attrs):
             key, value = key.lower(), "".join(values).lower()
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return -1
+                return -1, False, False
             if key == "role" and (roles := set(value.split())):
                 found = -1 if roles & BOILER_ROLES else 1 if roles & CONTENT_ROLES else found
             if key in ("class", "id") and name not in ("html", "body") and set(_WORDS.findall(value)) & BOILER_WORDS:
-                found = found or -1
+                worded = True
     if name in CONTENT_TAGS:
-        return -1 if found < 0 or outer < 0 and parent in ("aside", "nav", "footer") else 1
-    return found or outer
+        found = -1 if found < 0 or outer < 0 and parent in ("aside", "nav", "footer") else 1
+    return found or outer, worded and not found, found > 0
+
+
+def _weigh_words(out: list[Block], marks: list[tuple[int, int]], holds: list[bool], scopes: list[int]) -> None:
+    """Turn class and id words into costs of their blocks; ``marks``: (mark around it, scope) of each worded element, ``scopes``: the scope around each.
+
+    An element that holds a content element costs nothing. Text of boilerplate elements does not count towards shares.
+    """
+    in_mark, in_scope = [0] * len(marks), [0] * len(scopes)
+    for b in out:
+        if b.role >= 0:
+            in_scope[b.scope] += len(b.text)
+            if b.mark >= 0:
+                in_mark[b.mark] += len(b.text)
+    for m in range(len(marks) - 1, -1, -1):
+        if marks[m][0] >= 0:
+            in_mark[marks[m][0]] += in_mark[m]
+    for k in range(len(scopes) - 1, 0, -1):
+        in_scope[scopes[k]] += in_scope[k]
+    costs: list[tuple[float, bool]] = []  # of each mark with those around it: the greatest cost, and whether all have most of the text
+    for m, (outer, scope) in enumerate(marks):
+        cost, mostly = costs[outer] if outer >= 0 else (0.0, True)
+        if not holds[m]:
+            share = in_mark[m] / max(1, in_scope[scope])
+            cost, mostly = max(cost, WORD_COST * (1 - share)), mostly and share >= MOSTLY
+        costs.append((cost, mostly))
+    for b in out:
+        if b.mark >= 0 and b.role >= 0:
+            b.cost, mostly = costs[b.mark]
+            b.role = b.role if mostly else 0
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. White space inside a block is one space, character references are decoded."""
     out: list[Block] = []
-    # of each open block-level element: name, role, its number among its parent's children
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]
+    # of each open block-level element: name, role, its number among its parent's children, mark, scope
+    stack: list[tuple[str, int, int, int, int]] = [("", 0, 0, -1, 0)]
     children = [0]
+    marks: list[tuple[int, int]] = []
+    holds: list[bool] = []  # of each mark: whether a content element is inside
+    scopes = [-1]
     text: list[str] = []
     linked, in_link = 0, 0
 
@@ -99,7 +139,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal text, linked
         joined = " ".join("".join(text).split())
         if joined:
-            out.append(Block(joined, min(linked, len(joined)), stack[-1][0], tuple(s[2] for s in stack), stack[-1][1]))
+            out.append(Block(joined, min(linked, len(joined)), stack[-1][0], tuple(s[2] for s in stack), stack[-1][1], mark=stack[-1][3], scope=stack[-1][4]))
         text, linked = [], 0
 
     def say(raw: str) -> None:
@@ -154,13 +194,25 @@ def blocks_of(page: str) -> list[Block]:
             while len(stack) > 1 and (name in CLOSES_P and stack[-1][0] == "p" or name == stack[-1][0] and name in ("li", "p", "dt", "dd", "tr", "td", "th")):
                 stack.pop(), children.pop()
             if name not in VOID:
-                role = _role(name, m["attrs"], stack[-1][1], stack[-1][0])
+                mark, scope = stack[-1][3:]
+                role, worded, content = _role(name, m["attrs"], stack[-1][1], stack[-1][0])
+                if content:
+                    held = mark
+                    while held >= 0 and not holds[held]:
+                        holds[held], held = True, marks[held][0]
+                    scopes.append(scope)
+                    mark, scope = -1, len(scopes) - 1
+                elif worded:
+                    marks.append((mark, scope))
+                    holds.append(False)
+                    mark = len(marks) - 1
                 if name in HEADINGS and stack[-1][0] == "header" and any(s[0] in CONTENT_TAGS for s in stack):
-                    role = 1
+                    role, mark = 1, -1
                 children[-1] += 1
-                stack.append((name, role, children[-1]))
+                stack.append((name, role, children[-1], mark, scope))
                 children.append(0)
     flush()
+    _weigh_words(out, marks, holds, scopes)
     return out
 
 
@@ -319,7 +371,7 @@ def extract_text(page: str, weights: np.ndarray) -> str:
     found = blocks_of(page)
     if not found:
         return ""
-    gains = np.clip(features_of(found) @ weights, -4, 4) + ROLE_COST * np.array([b.role for b in found])
+    gains = np.clip(features_of(found) @ weights, -4, 4) + ROLE_COST * np.array([b.role for b in found]) - np.array([b.cost for b in found])
     labels = minimum_cut([int(g * SCALE) for g in gains], [(a, b, int(c * SCALE)) for a, b, c in edges_of(found)])
     return "\n\n".join(b.text for b, keep in zip(found, labels, strict=True) if keep)
 

@@ -286,6 +286,35 @@ def test_html_extract(spark):
     assert (html_extract.train(pages.limit(0)) == 0).all()
 
 
+@pytest.fixture(scope="module")
+def html_weights(spark):
+    rng = random.Random(8)
+    body = lambda: "".join(f"<p>{prose(rng, 30)}. {prose(rng, 20)}, {prose(rng, 9)}.</p>" for _ in range(4))
+    rows = [(k, f"<nav><a href=/>{prose(rng, 2)}</a></nav><article><h1>{prose(rng, 4)}</h1>{body()}</article><footer>{prose(rng, 3)}</footer>") for k in range(40)]
+    return html_extract.train(spark.createDataFrame(rows, "page_id long, html string"))
+
+
+@pytest.mark.parametrize("page", [
+    '<article class="post category-social">{}</article>',
+    '<main class="content has-sidebar">{}</main>',
+    '<div class="with-comments">{}</div>',
+    '<div id="sidebar-left"><div><article>{}</article></div><aside>Aside</aside></div>',
+    '<article><div class="entry social">{}</div></article>',
+])
+def test_html_words_of_wrappers_do_not_drop_the_text(html_weights, page):
+    rng = random.Random(9)
+    body = [f"{prose(rng, 30)}. {prose(rng, 20)}, {prose(rng, 9)}." for _ in range(4)]
+    page = "<nav><a href=/>Home</a></nav>" + page.format("".join(f"<p>{t}</p>" for t in body)) + '<div class="ad">Buy now</div><footer>us</footer>'
+    assert html_extract.extract_text(page, html_weights) == "\n\n".join(body)
+
+
+def test_html_words_still_drop_small_parts(html_weights):
+    rng = random.Random(10)
+    body = [f"{prose(rng, 30)}. {prose(rng, 20)}, {prose(rng, 9)}." for _ in range(4)]
+    page = '<article><header class="entry-header"><h1>The title</h1></header>' + "".join(f"<p>{t}</p>" for t in body) + '<div class="share"><a href=/>Share</a></div></article>'
+    assert html_extract.extract_text(page, html_weights) == "\n\n".join(["The title", *body])
+
+
 # pipeline
 def test_pipeline_stages(spark, docs, empty):
     import corpus_pipeline as P
