@@ -40,13 +40,18 @@ SCALE = 1 << 16
 
 # Element names of the HTML standard, by what they do here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math select option xmp noframes".split())
+RAW = frozenset("script style textarea title iframe xmp noframes".split())
+# Elements whose text is no text of the page. Their tags count, as end tags may be missing.
+UNSHOWN = frozenset("noscript template object svg select datalist optgroup option".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input "
+    "math mi mo mn ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction semantics".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
+# What cannot stand in a form's list or a drawing: it ends one that was not closed.
+ENDS_LISTS = CLOSES_P - {"div", "hr"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT_TAGS, BOILER_TAGS = frozenset("article main".split()), frozenset("nav footer aside form menu dialog header button fieldset head".split())
 CONTENT_ROLES, BOILER_ROLES = frozenset("main article".split()), frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar toolbar status alertdialog".split())
@@ -57,7 +62,7 @@ BOILER_WORDS = frozenset(
     "breadcrumb breadcrumbs footer header masthead pagination pager toolbar search skip".split()
 )
 
-_TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]{0,4096}"|'[^']{0,4096}'|[^>"'])*+["']?[^>]*)>|[!?/][^>]*>)""", re.S)
+_TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)|=)*+)>|[!?/][^>]*>)""", re.S)
 _ATTR = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
 
@@ -123,6 +128,30 @@ def _weigh_words(out: list[Block], marks: list[tuple[int, int]], holds: list[boo
             b.role = b.role if mostly else 0
 
 
+def _stays_unshown(name: str, closing: bool, attrs: str, unshown: list[str], stack: list[tuple]) -> bool:
+    """Whether a tag inside an unshown element concerns that element alone; else the element ends before it."""
+    if closing:
+        for k in range(len(unshown) - 1, -1, -1):
+            if unshown[k] == name:
+                del unshown[k:]
+                return True
+        # the end tag of an element around it
+        if not any(s[0] == name for s in stack):
+            return True
+    elif name == "body" and not any(s[0] == "body" for s in stack):
+        pass
+    elif name in ENDS_LISTS and not {"template", "noscript", "object", "foreignobject"} & set(unshown):
+        pass
+    else:
+        if name in ("option", "optgroup") and unshown[-1] in ("option", name):
+            unshown.pop()
+        if name not in VOID and not attrs.endswith("/"):
+            unshown.append(name)
+        return True
+    unshown.clear()
+    return False
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. White space inside a block is one space, character references are decoded."""
     out: list[Block] = []
@@ -134,6 +163,8 @@ def blocks_of(page: str) -> list[Block]:
     scopes = [-1]
     text: list[str] = []
     linked, in_link = 0, 0
+    # an unshown element that is open and the elements opened inside it
+    unshown: list[str] = []
 
     def flush() -> None:
         nonlocal text, linked
@@ -144,7 +175,7 @@ def blocks_of(page: str) -> list[Block]:
 
     def say(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and not unshown:
             piece = html_lib.unescape(raw)
             text.append(piece)
             if in_link:
@@ -170,8 +201,13 @@ def blocks_of(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(m["close"])
-        if name == "br":
+        if unshown and name not in RAW and _stays_unshown(name, closing, m["attrs"], unshown, stack):
+            continue
+        if name in ("br", "mtd", "annotation", "annotation-xml"):
             text.append(" ")
+        elif name in UNSHOWN:
+            if not closing and not (name == "svg" and m["attrs"].endswith("/")):
+                unshown.append(name)
         elif name in RAW:
             if not closing and not m["attrs"].endswith("/"):
                 stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)

@@ -315,6 +315,34 @@ def test_html_words_still_drop_small_parts(html_weights):
     assert html_extract.extract_text(page, html_weights) == "\n\n".join(["The title", *body])
 
 
+@pytest.mark.parametrize("part, left", [
+    ("<datalist><option value=a><option value=b></datalist>", ""),
+    ("<select><optgroup label=x><option>one<option>two</select>", ""),
+    ("<p>Choose <select><option>one<option>two</select> now</p>", "Choose now"),
+    ("<p>a<svg><path d='M0'/><title>icon</title><text>drawn</text></svg>b</p>", "ab"),
+    ("<svg><g><path d=M0>", ""),
+    ("<p>x</p><select><option>one", "x"),
+    ("<template><article><p>never shown</p></article></template>", ""),
+    ("<noscript><div><p>no script</p></div></noscript>", ""),
+    ("<div><object data=x><p>fallback</div>", ""),
+    ("<p>where <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> holds</p>", "where x=2 holds"),
+    (f"<p data-x='{'<b>>' * 3000}'>long</p>", "long"),
+    (f'<p data-x="{"<b>>" * 3000}">long</p>', "long"),
+    ("<p it's>one</p>", "one"),
+    ("<p title=it's>one</p><p title = 'a>b'>two</p>", "one two"),
+    ("<p a= b=\"x>y\">one</p>", "y\">one"),
+    ("<script>if (a < b) '<p>no</p>'</script><textarea><p>no</textarea>", ""),
+])
+def test_html_unshown_elements_and_long_attributes(part, left):
+    found = " ".join(b.text for b in html_extract.blocks_of(f"<body><div>{part}</div><article><p>The text.</p></article>"))
+    assert found == f"{left} The text.".strip()
+
+
+def test_html_unfinished_lists_keep_the_article():
+    for part in ("<datalist><option value=a><option value=b></datalist>", "<select><option>one", "<svg><g>"):
+        assert [(b.text, b.role) for b in html_extract.blocks_of(f"{part}<article><p>The text.</p></article>")] == [("The text.", 1)]
+
+
 # pipeline
 def test_pipeline_stages(spark, docs, empty):
     import corpus_pipeline as P
