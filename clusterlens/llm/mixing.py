@@ -4,7 +4,8 @@ Every source's documents are dealt into blocks by a hash of the id, whose
 order is the source's random permutation. The words that a source is to give
 become exact block quotas: whole passes over all its blocks, then the first
 blocks of the permutation up to the target, and of the block where the target
-falls, single documents. A binary tree over the output shards splits the
+falls, single documents. Documents larger than what is left are set aside, and
+the permutation goes on behind them until nothing fits. A binary tree over the output shards splits the
 vector of quotas: at each node the left half's share of every source is drawn
 from the multivariate hypergeometric distribution, so shards get equal
 numbers of blocks and, in expectation, the mix of the whole. Shards then take
@@ -34,6 +35,8 @@ MAX_BLOCKS = 4096
 MAX_SOURCES = 100_000
 #: No document is used more often.
 MAX_REPEATS = 2.0
+#: Where nothing more fits and a source misses its target by more than this share, its smallest unused document may replace others.
+CLOSE = 0.0001
 SEED = 20
 
 
@@ -118,15 +121,14 @@ def mix(docs: DataFrame, weights: list[float], share: float, n_shards: int = 16,
     placed = sized.join(F.broadcast(table), "source_key").withColumn("block", F.pmod(F.shiftright("h", 20), F.col("blocks")).cast("int"))
 
     # The permutation of a source's blocks is their number: ids are dealt to numbers by a hash. MAX_BLOCKS bounds the window.
-    by_block = placed.groupBy("source_key", "block").agg(F.sum("size").alias("words"), F.count("*").alias("docs"), F.first("rest").alias("rest"))
-    upto = Window.partitionBy("source_key").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = by_block.withColumn("upto", F.sum("words").over(upto)).withColumn("room", F.col("rest") - (F.col("upto") - F.col("words")))
-    run = run.withColumn("extra", F.when(F.col("room") >= F.col("words"), "all").when(F.col("room") > 0, "part").otherwise("none"))
-    run = stored(run.select("source_key", "block", "words", "docs", "room", "extra"), "mix-blocks")
-
-    # One block a source is divided, as often as it takes to reach few documents: by its hash's next bits.
-    part = run.where("extra = 'part'").select("source_key", "block", "room", "docs")
-    extra = _last_documents(placed, part)
+    units = stored(placed.groupBy("source_key", "block", "h").agg(F.sum("size").alias("size")), "mix-units")
+    rests = {r["source_key"]: float(g - p * s) for r, s, g, p in zip(totals, sizes, goal, passes, strict=True)}
+    whole, extra = _extra_documents(units, rests, {r["source_key"]: float(g) for r, g in zip(totals, goal, strict=True)})
+    run = placed.groupBy("source_key", "block").agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
+    run = run.join(whole.withColumn("whole", F.lit(True)), ["source_key", "block"], "left")
+    run = run.join(extra.select("source_key", "block").distinct().withColumn("some", F.lit(True)), ["source_key", "block"], "left")
+    run = run.withColumn("extra", F.when(F.col("whole"), "all").when(F.col("some"), "part").otherwise("none"))
+    run = stored(run.select("source_key", "block", "words", "docs", "extra"), "mix-blocks")
     n_blocks = run.count()
     marked = join_ids(placed, run.select("source_key", "block", "extra"), ["source_key", "block"], "inner", n_blocks)
     marked = join_ids(marked, extra, ["source_key", "block", "h"], "left", extra.count())
@@ -155,56 +157,106 @@ def mix(docs: DataFrame, weights: list[float], share: float, n_shards: int = 16,
 
 
 def fill(sizes: np.ndarray, room: float) -> np.ndarray:
-    """Of documents in a random order, take each that still fits. Where the smallest one left then comes nearer, take it
-    too, and leave out others as far as it reaches beyond."""
+    """Of documents in their order, take each that still fits."""
     taken = np.zeros(len(sizes), bool)
     for k, size in enumerate(sizes):
         if size <= room:
             taken[k] = True
             room -= size
-    left = np.flatnonzero(~taken)
-    if len(left) and room > 0:
-        least = left[np.argmin(sizes[left])]
-        beyond, out = sizes[least] - room, []
-        for k in np.flatnonzero(taken)[np.argsort(-sizes[taken], kind="stable")]:
-            if 0 < sizes[k] <= beyond:
-                out.append(k)
-                beyond -= sizes[k]
-        if beyond < room:
-            taken[least] = True
-            taken[out] = False
     return taken
 
 
-def _last_documents(placed: DataFrame, part: DataFrame) -> DataFrame:
-    """(source_key, block, h, taken) of the documents taken from each source's divided block.
+BLOCK, UNIT = ["source_key", "block"], ["source_key", "block", "h"]
 
-    The block is divided twice by further bits of the hash, into pieces of
-    about BLOCK_DOCS documents (1024 pieces each time at most). Pieces in
-    front of the target are taken whole; the documents of the one across it
-    are few, and are taken one by one as they fit.
+
+def _extra_documents(units: DataFrame, rests: dict[str, float], goals: dict[str, float]) -> tuple[DataFrame, DataFrame]:
+    """What each source gives beyond its whole passes: blocks of which all is taken (source_key, block), and the
+    documents taken of other blocks (source_key, block, h, taken). ``units``: (source_key, block, h, size)."""
+    whole, parts, left = _fill(units, rests)
+    short = [(s, r) for s, r in left.items() if r > CLOSE * goals[s]]
+    if short:
+        # Nothing fits any more. If the smallest document left comes nearer, it is taken, and others are left out as far as it reaches beyond.
+        own = units.join(F.broadcast(units.sparkSession.createDataFrame(short, "source_key string, room double")), "source_key").drop("room")
+        own = join_ids(own, whole.withColumn("whole", F.lit(True)), BLOCK, "left", whole.count())
+        own = join_ids(own, parts.select(UNIT).withColumn("part", F.lit(True)), UNIT, "left", parts.count())
+        own = stored(own.select(*UNIT, "size", F.coalesce("whole", "part", F.lit(False)).alias("in")), "mix-short")
+        least = {r["source_key"]: r["l"] for r in own.where("not in and size > 0").groupBy("source_key").agg(F.min(F.struct("size", "block", "h")).alias("l")).collect()}
+        room = dict(short)
+        out_blocks, out, still = _fill(own.where("in").drop("in"), {s: least[s]["size"] - room[s] for s in least}, largest=True)
+        better = [(s, least[s]["block"], least[s]["h"], least[s]["size"]) for s in least if still[s] < room[s]]
+        if better:
+            added = units.sparkSession.createDataFrame(better, parts.schema)
+            stays = join_ids(own.where("in").drop("in"), added.select("source_key"), ["source_key"], "left_semi", len(better))
+            stays = join_ids(join_ids(stays, out_blocks, BLOCK, "left_anti", out_blocks.count()), out.select(UNIT), UNIT, "left_anti", out.count())
+            whole = join_ids(whole, added.select("source_key"), ["source_key"], "left_anti", len(better))
+            parts = join_ids(parts, added.select("source_key"), ["source_key"], "left_anti", len(better)).unionByName(stays).unionByName(added)
+    return whole, stored(parts.select(UNIT).withColumn("taken", F.lit(True)), "mix-last")
+
+
+def _fill(units: DataFrame, rooms: dict[str, float], largest: bool = False) -> tuple[DataFrame, DataFrame, dict[str, float]]:
+    """Fill each source's room with units (source_key, block, h, size) in the order of its permutation.
+
+    Every round walks along the permutation with the units that fit the room:
+    blocks in front of the place where it is full are taken whole; the block
+    across it is divided twice by further bits of the hash, into pieces of
+    about BLOCK_DOCS documents (1024 pieces each time at most), and of the
+    piece across it, which is small, units are taken one by one as they fit
+    (``largest``: the largest first). What is left then is less than a unit of
+    that piece, and the next round goes on with the units that fit it, until
+    none does. Returns blocks taken whole (source_key, block), the other
+    units taken, and the room left of each source.
     """
-    rows = placed.join(F.broadcast(part), ["source_key", "block"]).select("source_key", "block", "h", "size", "room", "docs")
-    whole = None
-    for step in (40, 52):
-        pieces = F.least(F.lit(1024), F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK_DOCS)))
-        rows = rows.withColumn("cut", F.pmod(F.shiftrightunsigned("h", step), pieces))
-        sums = rows.groupBy("source_key", "block", "cut").agg(F.sum("size").alias("words"), F.count("*").alias("n"), F.first("room").alias("room"))
-        upto = Window.partitionBy("source_key", "block").orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = sums.withColumn("left", F.col("room") - (F.sum("words").over(upto) - F.col("words")))
-        sums = stored(sums.where("left > 0").select("source_key", "block", "cut", "left", "words", "n"), "mix-pieces")
-        rows = rows.drop("room", "docs").join(sums, ["source_key", "block", "cut"])
-        full = rows.where("left >= words").select("source_key", "block", "h")
-        whole = full if whole is None else whole.unionByName(full)
-        rows = rows.where("left < words").select("source_key", "block", "h", "size", F.col("left").alias("room"), F.col("n").alias("docs"))
+    spark = units.sparkSession
+    rooms = dict(rooms)
+    blocks = spark.createDataFrame([], "source_key string, block int")
+    taken = spark.createDataFrame([], units.select(*UNIT, "size").schema)
+    n_blocks = n_taken = 0
+    todo, first = {s: r for s, r in rooms.items() if r >= 1}, True
 
     def choose(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values("h", kind="stable")
-        return batch.loc[fill(batch["size"].to_numpy(), float(batch["room"].iloc[0])), ["source_key", "block", "h"]]
+        batch = batch.sort_values(["size", "h"], ascending=[False, True]) if largest else batch.sort_values("h")
+        return batch.loc[fill(batch["size"].to_numpy(), float(batch["room"].iloc[0])), [*UNIT, "size"]]
 
-    one = rows.groupBy("source_key", "block", "h").agg(F.sum("size").alias("size"), F.first("room").alias("room"))
-    single = one.groupBy("source_key", "block").applyInPandas(choose, "source_key string, block int, h long")
-    return stored(whole.unionByName(single).distinct().withColumn("taken", F.lit(True)), "mix-last")
+    while todo:
+        fits = units.join(F.broadcast(spark.createDataFrame(list(todo.items()), "source_key string, room double")), "source_key").where("size <= room")
+        if not first:  # documents without words are dealt in the first round
+            fits = fits.where("size > 0")
+            fits = join_ids(join_ids(fits, blocks, BLOCK, "left_anti", n_blocks), taken.select(UNIT), UNIT, "left_anti", n_taken)
+        upto = Window.partitionBy("source_key").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = fits.groupBy(BLOCK).agg(F.sum("size").alias("words"), F.count("*").alias("docs"), F.first("room").alias("room"))
+        sums = sums.withColumn("left", F.col("room") - (F.sum("words").over(upto) - F.col("words"))).where("left > 0")
+        if first:  # later rounds fill less than one document: few blocks, listed by document
+            n_units = units.groupBy(BLOCK).agg(F.count("*").alias("units"))
+            sums = sums.join(n_units, BLOCK).withColumn("all", (F.col("left") >= F.col("words")) & (F.col("docs") == F.col("units")))
+        else:
+            sums = sums.withColumn("all", F.lit(False))
+        sums = stored(sums.select(*BLOCK, "words", "docs", "left", "all"), "mix-reached")
+        rows = join_ids(fits.drop("room"), sums.where("not all").drop("all"), BLOCK, "inner", sums.count())
+        found = [rows.where("left >= words").select(*UNIT, "size")]
+        rows = rows.where("left < words").select(*UNIT, "size", F.col("left").alias("room"), "docs")
+        for step in (40, 52):
+            pieces = F.least(F.lit(1024), F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK_DOCS)))
+            rows = rows.withColumn("cut", F.pmod(F.shiftrightunsigned("h", step), pieces))
+            cuts = rows.groupBy(*BLOCK, "cut").agg(F.sum("size").alias("words"), F.count("*").alias("n"), F.first("room").alias("room"))
+            upto = Window.partitionBy(BLOCK).orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            cuts = cuts.withColumn("left", F.col("room") - (F.sum("words").over(upto) - F.col("words"))).where("left > 0")
+            cuts = stored(cuts.select(*BLOCK, "cut", "left", "words", "n"), "mix-pieces")
+            rows = rows.drop("room", "docs").join(cuts, [*BLOCK, "cut"])
+            found.append(rows.where("left >= words").select(*UNIT, "size"))
+            rows = rows.where("left < words").select(*UNIT, "size", F.col("left").alias("room"), F.col("n").alias("docs"))
+        found.append(rows.groupBy(BLOCK).applyInPandas(choose, taken.schema))
+        if first:
+            blocks = sums.where("all").select(BLOCK)
+            n_blocks = blocks.count()
+        got = stored(found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3]), "mix-taken")
+        words = got.groupBy("source_key").agg(F.sum("size").alias("words")).unionByName(sums.where("all").groupBy("source_key").agg(F.sum("words").alias("words")))
+        gained = {r["source_key"]: r["words"] for r in words.groupBy("source_key").agg(F.sum("words").alias("words")).collect()}
+        for s in todo:
+            rooms[s] -= gained.get(s, 0)
+        taken = taken.unionByName(got)
+        n_taken += got.count()
+        todo, first = {s: rooms[s] for s in todo if gained.get(s, 0) > 0 and rooms[s] >= 1}, False
+    return blocks, taken, rooms
 
 
 def mixed_rows(docs: DataFrame, found: Mix, n_shards: int, seed: int = SEED) -> DataFrame:

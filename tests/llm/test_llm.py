@@ -178,6 +178,16 @@ def test_mixing(spark, docs, texts, empty):
     assert mixing.mix(empty, [1.0], 1.5).docs.count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_mixing_passes_over_long_documents(spark, seed):
+    rng = random.Random(seed)
+    sizes = [rng.randrange(100, 700) for _ in range(500)] + [200_000]
+    own = spark.createDataFrame([(k, "w " * n, "a") for k, n in enumerate(sizes)], "doc_id long, text string, source string").repartition(4)
+    rows = mixing.mix(own, [1.0], 1.5, n_shards=3, seed=seed).docs.collect()
+    assert len(rows) == 501 and {r["copies"] for r in rows} <= {1, 2}
+    assert abs(sum(r["size"] * r["copies"] for r in rows) - 1.5 * sum(sizes)) <= 100
+
+
 def test_splitting_tree_is_exact():
     quotas = np.array([100, 7, 0, 33])
     deal = mixing.split_quotas(quotas, 6, np.random.default_rng(1))
