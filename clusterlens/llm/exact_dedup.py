@@ -51,8 +51,10 @@ def duplicate_groups(docs: DataFrame, prefix: int = PREFIX) -> Groups:
     lengths = keys.groupBy("len").agg(F.count("*").alias("n")).where("n > 1").select("len")
     # There are no more lengths than the longest text has characters; a length shared by a third of all rows stays where it is read.
     prefixes = join_ids(keys, lengths, ["len"], "left_semi", lengths.count()).groupBy("len", "pre").agg(F.count("*").alias("n")).where("n > 1").select("len", "pre")
-    survivors = stored(keys.join(prefixes, ["len", "pre"], "left_semi").select("doc_id").distinct(), "dedup-survivors")
-    full = join_ids(docs.select("doc_id", "text"), survivors, ["doc_id"], "left_semi", survivors.count())
+    # Rows are found again by what their text gives, as ids can be null.
+    survivors = stored(prefixes, "dedup-survivors")
+    found_again = docs.select("doc_id", "text", F.length(text).alias("len"), F.xxhash64(F.substring(text, 1, prefix)).alias("pre"))
+    full = join_ids(found_again, survivors, ["len", "pre"], "left_semi", survivors.count())
     by_id = full.select("doc_id", text_sha256(F.col("text")).alias("sha")).groupBy("sha", "doc_id").agg(F.count("*").alias("rows"))
     groups = by_id.groupBy("sha").agg(F.min("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"), F.min_by("rows", F.coalesce(F.col("doc_id"), F.lit(2**63 - 1))).alias("keep_rows"))
     return Groups(stored(groups.where("group_size > 1"), "dedup-groups"))

@@ -157,6 +157,18 @@ def test_exact_dedup(docs, texts, empty):
     assert exact_dedup.mark(empty, exact_dedup.duplicate_groups(empty)).count() == 0
 
 
+def test_exact_dedup_of_null_ids(spark):
+    rows = [(1, "one  copy with an id"), (None, "one copy with an id"), (None, "no id at all"), (None, "no id  at all"), (None, "no id at all"), (2, "alone"), (None, "alone, too"), (None, "")]
+    own = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = exact_dedup.duplicate_groups(own)
+    got = sorted((r["text_sha256"], r["doc_id"] or 0, r["keep_id"] or 0, r["group_size"]) for r in exact_dedup.mark(own, found).collect())
+    sha = lambda t: hashlib.sha256(re.sub(" +", " ", t).encode()).hexdigest()
+    want = {"one copy with an id": (1, 2), "no id at all": (0, 3), "alone": (2, 1), "alone, too": (0, 1), "": (0, 1)}
+    assert got == sorted((sha(t), i or 0, *want[re.sub(" +", " ", t)]) for i, t in rows)
+    left = exact_dedup.drop_duplicates(own, found).collect()
+    assert sorted((r["doc_id"] or 0, re.sub(" +", " ", r["text"])) for r in left) == sorted((k, t) for t, (k, _) in want.items())
+
+
 # 6
 def test_mixing(spark, docs, texts, empty):
     found = mixing.mix(docs, [3.0, 1.0, 2.0], 1.5, n_shards=5)
