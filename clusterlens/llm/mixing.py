@@ -44,6 +44,10 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def source_key() -> Column:
+    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))  # 't' sorts the null source last
+
+
 def targets(sizes: np.ndarray, weights: np.ndarray, total: float, most: float = MAX_REPEATS) -> np.ndarray:
     """Shares of ``total`` by weight; a share stops at ``most`` times its size, and the excess is shared again among
     the rest by weight until none is above. If all stop, the sum stays below ``total``."""
@@ -100,9 +104,8 @@ def mix(docs: DataFrame, weights: list[float], share: float, n_shards: int = 16,
     draws derive from ids and ``seed``.
     """
     spark = docs.sparkSession
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))  # 't' sorts the null source last
     hashed = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    sized = stored(docs.select("doc_id", key.alias("source_key"), "source", n_words(F.col("text")).alias("size"), hashed.alias("h")), "mix-sizes")
+    sized = stored(docs.select("doc_id", source_key().alias("source_key"), "source", n_words(F.col("text")).alias("size"), hashed.alias("h")), "mix-sizes")
     totals = sized.groupBy("source_key").agg(F.sum("size").alias("size"), F.count("*").alias("docs")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: give them a coarser key")
@@ -263,8 +266,9 @@ def mixed_rows(docs: DataFrame, found: Mix, n_shards: int, seed: int = SEED) ->
     """The mix itself: every chosen row of docs once for each use, dealt to its shards and shuffled within them."""
     names = docs.columns
     used = found.docs.where("copies > 0").select("h", "source_key", "block", "copies").distinct()
-    uses = used.join(found.shards, ["source_key", "block"]).where("copy < copies").groupBy("h").agg(F.collect_list(F.struct("copy", "shard")).alias("__uses"))
-    keyed = docs.withColumn("__h", F.xxhash64(F.lit(seed), F.col("doc_id")))
-    rows = join_ids(keyed, uses.withColumnRenamed("h", "__h"), ["__h"], "inner", uses.count(), limit=500_000)
-    rows = rows.withColumn("__use", F.explode("__uses")).withColumn("__shard", F.col("__use.shard")).withColumn("__order", F.xxhash64("__h", "__use.copy", F.lit(seed + 1)))
+    uses = used.join(found.shards, ["source_key", "block"]).where("copy < copies").groupBy("source_key", "h").agg(F.collect_list(F.struct("copy", "shard")).alias("__uses"))
+    keyed = docs.withColumn("__mix_h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("__mix_source", source_key())
+    uses = uses.withColumnsRenamed({"source_key": "__mix_source", "h": "__mix_h"})
+    rows = join_ids(keyed, uses, ["__mix_source", "__mix_h"], "inner", uses.count(), limit=500_000)
+    rows = rows.withColumn("__use", F.explode("__uses")).withColumn("__shard", F.col("__use.shard")).withColumn("__order", F.xxhash64("__mix_h", "__use.copy", F.lit(seed + 1)))
     return rows.repartition(n_shards, "__shard").sortWithinPartitions("__shard", "__order").select(*names)

@@ -200,6 +200,18 @@ def test_mixing_passes_over_long_documents(spark, seed):
     assert abs(sum(r["size"] * r["copies"] for r in rows) - 1.5 * sum(sizes)) <= 100
 
 
+def test_mixing_of_ids_in_several_sources(spark):
+    rows = [(i, f"{s} " * 10, s) for s in ("a", "b", None) for i in [*range(30), None, 5]]
+    own = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = mixing.mix(own, [4.0, 1.0, 1.0], 1.2, n_shards=3)
+    planned = Counter()
+    for r in found.docs.collect():
+        planned[r["doc_id"], r["source"]] += r["copies"]
+    assert len(found.docs.select("copies").distinct().collect()) > 1
+    mixed = mixing.mixed_rows(own, found, 3)
+    assert Counter((r["doc_id"], r["source"]) for r in mixed.collect()) == +planned
+
+
 def test_splitting_tree_is_exact():
     quotas = np.array([100, 7, 0, 33])
     deal = mixing.split_quotas(quotas, 6, np.random.default_rng(1))
