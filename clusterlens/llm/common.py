@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -12,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import clusterlens.session
 from clusterlens.session import checkpoint_dir
 
 #: White space of the word contracts: space and U+0009..U+000D, nothing else.
@@ -22,6 +26,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Up to so many rows of (id, small value) are broadcast by ``keep_ids``; more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 
+_shipped: set[str] = set()
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -35,6 +40,26 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(_BATCH, str(rows))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors, once per application: a zip in the run's shared folder, added as a Python file."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(clusterlens.session.__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(os.path.join(top, "clusterlens")):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), top))
+    jvm, place = spark.sparkContext._jvm, f"{run_folder(spark, 'library')}/clusterlens.zip"
+    path = jvm.org.apache.hadoop.fs.Path(place)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(path)
+    out.write(packed.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(files.makeQualified(path).toString())
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder of this run below the shared folder that the cluster names."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm import byte_bpe, exact_dedup, html_extract, jaccard_join, latent_vote, mixing, rule_forest, toxicity, url_filter, wavelet_tokens
+from clusterlens.llm import byte_bpe, exact_dedup, html_extract, jaccard_join, latent_vote, mixing, rule_forest, token_counts, toxicity, url_filter, wavelet_tokens
 from clusterlens.llm.common import held_out, read, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,8 @@ URL_RULES = [
 SOURCE_WEIGHTS, MIX_SHARE = [3.0, 1.0, 2.0], 1.5
 #: Scores from here on count as label 1.
 QUALITY_CUT, TOXIC_CUT = 0.3, 0.5
+#: Documents with more tokens are over the limit.
+TOKEN_LIMIT = 1024
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +111,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_CUT).cast("int"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is over the limit."""
+    found = token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filter": op2_url_filter,
@@ -120,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html_extract": op9_html_extract,
     "op10_toxicity": op10_toxicity,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE: dict[str, str] = {
