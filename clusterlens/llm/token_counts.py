@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +36,14 @@ HOT_TOKENS = 1 << 17
 #: Longer pre-tokens are joined by their SHA-256, so a key is never longer than this.
 KEY_CHARS = 72
 #: Texts are worked on together up to about so many bytes.
-BATCH_BYTES = 6 << 20
-#: Distinct stretches, and sums of pre-tokens, that a worker holds before it lets them go.
-HELD = 400_000
+BATCH_BYTES = 4 << 20
+#: Stretches beyond plain ASCII that a worker remembers.
+HELD = 100_000
 
-#: Fixed value: the byte-level split pattern where all text is ASCII.
-ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+#: Fixed value: the byte-level split pattern for plain characters, which are ASCII and U+00C0..U+017F.
+PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ſ0-9]+|\s+(?!\S)|\s+", re.ASCII)
+#: UTF-8 bytes of no plain character.
+NOT_PLAIN = np.array([b == 0xC2 or b > 0xC5 for b in range(256)])
 
 _splitters: dict[str, "Splitter"] = {}
 
@@ -72,7 +73,8 @@ class Splitter:
             raise ValueError(f"{path}: a byte-level split without prefix space, without normaliser and with plain added tokens is needed")
         self.special = [t.content.encode() for t in added]
         self.split = split.pre_tokenize_str
-        self.spelling = {c: split.pre_tokenize_str(chr(c))[0][0] for c in range(0x80)}
+        self.spelling = {c: split.pre_tokenize_str(chr(c))[0][0] for c in (*range(0x80), *range(0xC0, 0x180))}
+        self.width = np.array([len(self.spelling.get(c, "").encode()) for c in range(0x180)])
         self.known: dict[bytes, tuple[tuple[str, ...], int]] = {}
 
     def stretch(self, stretch: bytes) -> tuple[tuple[str, ...], int]:
@@ -87,18 +89,20 @@ class Splitter:
         size = np.fromiter(map(len, distinct), np.int64, len(distinct))
         joined = b"".join(distinct)
         starts, raw = np.cumsum(size) - size, np.frombuffer(joined, np.uint8)
-        # ASCII stretches from white space to a visible character are split together: no match spans two of them.
-        plain = (np.maximum.reduceat(raw, starts) < 128) & ((raw[starts] == 32) | ((raw[starts] >= 9) & (raw[starts] <= 13))) & (raw[starts + size - 1] > 32)
+        # Stretches of plain characters, from white space to a visible one, are split together: no match spans two of them.
+        plain = ~np.maximum.reduceat(NOT_PLAIN[raw], starts) & ((raw[starts] == 32) | ((raw[starts] >= 9) & (raw[starts] <= 13))) & (raw[starts + size - 1] > 32)
         if any(s in joined for s in self.special):
             plain &= ~np.array([any(s in d for s in self.special) for d in distinct])
-        together = raw[np.repeat(plain, size)].tobytes().decode("ascii")
-        own_size = np.fromiter(map(len, ASCII_SPLIT.findall(together)), np.int64)
+        text = raw[np.repeat(plain, size)].tobytes().decode()
+        own_size = np.fromiter(map(len, PLAIN_SPLIT.findall(text)), np.int64)
         ends = np.cumsum(own_size)
-        spelled, begins = together.translate(self.spelling), ends - own_size
         lengths, outside = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        first = np.cumsum(size[plain]) - size[plain]
-        lengths[plain] = np.diff(np.append(np.searchsorted(begins, first), len(ends)))
-        found = [spelled[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+        characters = np.add.reduceat((raw & 0xC0) != 0x80, starts)[plain]
+        lengths[plain] = np.diff(np.append(np.searchsorted(ends - own_size, np.cumsum(characters) - characters), len(ends)))
+        # the library's spelling of these characters, and where each pre-token ends in its bytes
+        width = self.width[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        spelled = np.concatenate(([0], np.cumsum(width)))[np.concatenate(([0], ends)).astype(np.int64)]
+        found = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(spelled.astype(np.int64)), pa.py_buffer(text.translate(self.spelling).encode()))
         odd = np.flatnonzero(~plain)
         if len(self.known) + len(odd) > HELD:
             self.known.clear()
@@ -114,7 +118,7 @@ class Splitter:
         offsets = np.cumsum(lengths) - lengths
         place[ragged(offsets[plain], lengths[plain])] = np.arange(len(found))
         place[ragged(offsets[odd], lengths[odd])] = len(found) + np.arange(len(rest))
-        return pa.array(found + rest, pa.large_string()).take(pa.array(place)).dictionary_encode(), lengths, outside
+        return pa.concat_arrays([found, pa.array(rest, pa.large_string())]).take(pa.array(place)).dictionary_encode(), lengths, outside
 
     def pieces(self, pre_token: str) -> int:
         return len(self.tokenizer.model.tokenize(pre_token))
@@ -126,9 +130,15 @@ def splitter(path: str) -> Splitter:
     return _splitters[path]
 
 
-def join_key(pre_token: str) -> str:
-    """The pre-token itself, or its SHA-256 behind a mark that makes it longer than any pre-token that is its own key."""
-    return pre_token if len(pre_token) < KEY_CHARS else "sha256:" + hashlib.sha256(pre_token.encode()).hexdigest() + "~"
+def join_keys(pre_tokens: pa.Array) -> pa.Array:
+    """The pre-tokens themselves; of those from KEY_CHARS bytes on, the SHA-256 behind a mark that makes it longer than any other key."""
+    long = np.flatnonzero(pc.binary_length(pre_tokens).to_numpy(zero_copy_only=False) >= KEY_CHARS)
+    if not len(long):
+        return pre_tokens
+    short = [f"sha256:{hashlib.sha256(t.encode()).hexdigest()}~" for t in pre_tokens.take(pa.array(long)).to_pylist()]
+    place = np.arange(len(pre_tokens))
+    place[long] = len(pre_tokens) + np.arange(len(long))
+    return pa.concat_arrays([pre_tokens, pa.array(short, pre_tokens.type)]).take(pa.array(place))
 
 
 def cut(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
@@ -166,14 +176,14 @@ class Counted:
         codes, stretches, first_of = cut(b"".join(texts.to_pylist()), np.cumsum(self.n_bytes))
         if not stretches:
             self.codes = self.text_of = np.empty(0, np.int64)
-            self.distinct, self.outside = [], np.zeros(len(texts), np.int64)
+            self.distinct, self.outside = pa.array([], pa.large_string()), np.zeros(len(texts), np.int64)
             return
         split, lengths, outside = own.pre_tokens(stretches)
         flat = split.indices.to_numpy().astype(np.int64)
         of = np.repeat(np.arange(len(texts)), np.diff(first_of))
         self.codes = flat[ragged((np.cumsum(lengths) - lengths)[codes], lengths[codes])]
         self.text_of = np.repeat(of, lengths[codes])
-        self.distinct = split.dictionary.to_pylist()
+        self.distinct = split.dictionary
         self.outside = np.bincount(of, outside[codes], len(texts)).astype(np.int64)
 
 
@@ -197,33 +207,35 @@ def piece_counts(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, sums = splitter(tokenizer_file), Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"piece": pa.array(list(sums), pa.string()), "occurrences": pa.array(list(sums.values()), pa.int64())})
-
+        own = splitter(tokenizer_file)
         for batch in _slices(batches):
             found = Counted(batch.column("text"), own)
-            for piece, n in zip(found.distinct, np.bincount(found.codes, minlength=len(found.distinct)).tolist(), strict=True):
-                sums[piece] += n
-            if len(sums) > HELD:
-                yield out()
-                sums.clear()
-        if sums:
-            yield out()
+            yield pa.RecordBatch.from_pydict({"piece": found.distinct.cast(pa.string()), "occurrences": pa.array(np.bincount(found.codes, minlength=len(found.distinct)))})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = splitter(tokenizer_file)
         for batch in batches:
-            pieces = batch.column("piece").to_pylist()
-            yield pa.RecordBatch.from_pydict(
-                {"key": pa.array(map(join_key, pieces), pa.string()), "occurrences": batch.column("occurrences"), "n_tokens": pa.array(map(own.pieces, pieces), pa.int64())}
-            )
+            pieces = batch.column("piece")
+            yield pa.RecordBatch.from_pydict({"key": join_keys(pieces), "occurrences": batch.column("occurrences"), "n_tokens": pa.array(map(own.pieces, pieces.to_pylist()), pa.int64())})
 
     distinct = docs.select("text").mapInArrow(occurrences, "piece string, occurrences long").groupBy("piece").agg(F.sum("occurrences").alias("occurrences"))
     return stored(distinct.mapInArrow(count, "key string, occurrences long, n_tokens long"), "piece-counts")
 
 
+def _hot_from(table: DataFrame, most: int) -> int:
+    """From how many occurrences on a pre-token is listed: the smallest such number that lists at most ``most`` of them."""
+    # Counted by rounded occurrences (four bits of the number are kept): a few hundred rows for any table.
+    rounded = F.expr("shiftleft(shiftright(occurrences, greatest(length(bin(occurrences)) - 4, 0)), greatest(length(bin(occurrences)) - 4, 0))")
+    sizes = table.groupBy(rounded.alias("least")).agg(F.count("*").alias("n")).collect()
+    listed, least = 0, 1 << 62
+    for r in sorted(sizes, key=lambda r: -r["least"]):
+        listed += r["n"]
+        if listed > most:
+            break
+        least = r["least"]
+    return least
+
+
 def count_tokens(docs: DataFrame, tokenizer_file: str, hot_tokens: int = HOT_TOKENS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes (UTF-8), n_tokens.
 
@@ -236,23 +248,24 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, hot_tokens: int = HOT_TOK
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     table = piece_counts(docs, tokenizer_file)
-    top = table.orderBy(F.desc("occurrences"), "key").limit(hot_tokens)
-    hot = spark.sparkContext.broadcast({r["key"]: r["n_tokens"] for r in top.collect()})
+    is_hot = F.col("occurrences") >= _hot_from(table, hot_tokens)
+    listed = table.where(is_hot).select("key", "n_tokens").toArrow()
+    hot = spark.sparkContext.broadcast((listed.column("key").to_pylist(), listed.column("n_tokens").to_numpy()))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = splitter(tokenizer_file), hot.value
+        own, (hot_keys, hot_tokens_of) = splitter(tokenizer_file), hot.value
+        known, tokens_of = pa.array(hot_keys, pa.large_string()), np.append(hot_tokens_of, -1)
         row = TaskContext.get().partitionId() << 33
         for batch in _slices(batches):
             found = Counted(batch.column("text"), own)
             n = batch.num_rows
-            keys = [join_key(p) for p in found.distinct]
-            tokens = np.array([known.get(k, -1) for k in keys], np.int64)
-            each = tokens[found.codes]
+            keys = join_keys(found.distinct)
+            each = tokens_of[pc.fill_null(pc.index_in(keys, value_set=known), len(known)).to_numpy()][found.codes]
             sums = found.outside + np.bincount(found.text_of, np.where(each > 0, each, 0), n).astype(np.int64)
             rare = each < 0
             width = max(1, len(keys))
             pairs, freq = np.unique(found.text_of[rare] * width + found.codes[rare], return_counts=True)
-            names = pa.array(keys, pa.string()).take(pa.array(pairs % width))
+            names = keys.take(pa.array(pairs % width)).cast(pa.string())
             offsets = np.searchsorted(pairs, np.arange(n + 1) * width)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([names, pa.array(freq, pa.int64())], ["key", "freq"]))
             yield pa.RecordBatch.from_arrays(
@@ -267,7 +280,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, hot_tokens: int = HOT_TOK
     own_entry = F.struct(F.concat(F.lit("row "), F.col("row").cast("string")).alias("key"), F.col("known").alias("freq"), F.lit(True).alias("own"))
     entries = F.concat(F.array(own_entry), F.transform("rare", lambda x: F.struct(x["key"], x["freq"], F.lit(False).alias("own"))))
     flat = rows.select("row", "doc_id", "n_bytes", F.explode(entries).alias("e")).select("row", "e.*", *[F.when(F.col("e.own"), F.col(c)).alias(c) for c in ("doc_id", "n_bytes")])
-    rest = table.join(F.broadcast(top.select("key")), "key", "left_anti").select("key", "n_tokens")
+    rest = table.where(~is_hot).select("key", "n_tokens")
     missing = F.raise_error(F.lit("a pre-token of the second pass was not met in the first")).cast("long")
     pieces = F.when(F.col("own"), 1).when(F.col("n_tokens").isNotNull(), F.col("n_tokens")).otherwise(missing)
     return (
