@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm import byte_bpe, exact_dedup, html_extract, jaccard_join, latent_vote, mixing, rule_forest, token_counts, toxicity, url_filter, wavelet_tokens
+from clusterlens.llm import byte_bpe, exact_dedup, hard_negatives, html_extract, jaccard_join, latent_vote, mixing, rule_forest, token_counts, toxicity, url_filter, wavelet_tokens
 from clusterlens.llm.common import held_out, read, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +111,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_CUT).cast("int"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, against all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), hard_negatives.whole_components(F.col("embedding"), 256).alias("vector"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it is over the limit."""
     found = token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -128,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html_extract": op9_html_extract,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -150,5 +158,16 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM ran
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha FROM documents),
 g AS (SELECT sha, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY sha)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, n.sha AS text_sha256 FROM n JOIN g USING (sha)
+""",
+    "op11_hard_negatives": r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM (SELECT * FROM v WHERE vec_id % 100 = 0) a JOIN v b ON a.vec_id <> b.vec_id),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """,
 }
