@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm import byte_bpe, exact_dedup, hard_negatives, html_extract, jaccard_join, latent_vote, mixing, rule_forest, token_counts, toxicity, url_filter, wavelet_tokens
+from clusterlens.llm import byte_bpe, exact_dedup, hard_negatives, html_extract, jaccard_join, latent_vote, mixing, rule_forest, token_counts, toxicity, url_filter, wavelet_tokens, whitening
 from clusterlens.llm.common import held_out, read, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,8 @@ URL_RULES = [
 SOURCE_WEIGHTS, MIX_SHARE = [3.0, 1.0, 2.0], 1.5
 #: Scores from here on count as label 1.
 QUALITY_CUT, TOXIC_CUT = 0.3, 0.5
+#: Fixed value of the task: added to each whole component before whitening.
+WHITENING_SHIFT = 1_000_000
 #: Documents with more tokens are over the limit.
 TOKEN_LIMIT = 1024
 
@@ -118,6 +120,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen whitened coordinates of every vector."""
+    whole = F.transform(hard_negatives.whole_components(F.col("embedding"), 64), lambda x: x + WHITENING_SHIFT)
+    found = whitening.whiten(read(spark, sf_dir, "embeddings").select("vec_id", whole.alias("vector")), n_components=16)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it is over the limit."""
     found = token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -136,6 +145,7 @@ QUERIES: dict[str, Query] = {
     "op9_html_extract": op9_html_extract,
     "op10_toxicity": op10_toxicity,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_token_counts": op13_token_counts,
 }
 
