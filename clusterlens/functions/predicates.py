@@ -99,6 +99,13 @@ def request_allowed(pattern: str, allowed: Sequence[str] | None) -> bool:
     return bool(parts) and all(any(re.match(glob_to_regex(a), p) for a in allowed) for p in parts)
 
 
+def index_refusal(pattern: str, allowed: Sequence[str] | None) -> str | None:
+    """Why a requested comma list of indices is refused: ``invalid_index``, ``not_allowed``, or None (it is not)."""
+    if not re.match(INDEX_RX, pattern or ""):
+        return "invalid_index"
+    return None if request_allowed(pattern, allowed) else "not_allowed"
+
+
 def normalize_path(c) -> Column:
     """Lexical normalisation of an absolute path: ``.`` and empty parts dropped, ``..`` folded."""
     parts = F.split(col_or_lit(c), "/")

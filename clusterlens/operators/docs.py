@@ -1,21 +1,20 @@
 """Log-document operators over ``docs(idx, doc_id, ts, ...fields)``: search, terms, recent, catalogs.
 
-Predicates are Spark Columns or SQL text (the free-text query languages of
-other engines are not rebuilt). Under ANSI mode a type mismatch raises, so
-lenient predicates should use ``try_cast``: a mismatch then does not match.
+Predicates are Spark Columns, SQL text, or trees of comparisons (the free-text
+query languages of other engines are not rebuilt). Under ANSI mode a type
+mismatch in a Column or SQL text fails the job; in a tree it does not match
+(``lenient``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import operator
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql import types as T
 
 from ..functions import predicates as Q
 from ..functions import render as R
@@ -24,12 +23,118 @@ from .guards import attach_row, positive, top_per_group, with_status, with_total
 SOURCE_FIELDS = ("idx", "doc_id", "level", "host", "event_type", "message", "value", "props")
 
 
-def _pred(p: Column | str | None) -> Column:
+COMPARE = {"eq": operator.eq, "lt": operator.lt, "le": operator.le, "gt": operator.gt, "ge": operator.ge}
+
+
+def _literal(value, kind: T.DataType) -> Column | None:
+    """``value`` as a literal of the field's type; None where it can never match. No cast of it can fail."""
+    if isinstance(kind, T.StringType):
+        return F.lit(str(value).lower() if isinstance(value, bool) else str(value))
+    if isinstance(kind, T.BooleanType):
+        text = str(value).lower()
+        return F.lit(text == "true") if text in ("true", "false") else None
+    if isinstance(kind, T.NumericType):
+        if isinstance(value, str):
+            try:
+                value = int(value) if value.strip().lstrip("+-").isdecimal() else float(value)
+            except ValueError:
+                return None
+        return F.lit(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else None
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) and isinstance(value, (str, date, datetime)):
+        return F.lit(str(value)).try_cast(kind)
+    return None
+
+
+def _compare(field: Column, kind: T.DataType, op: str, value) -> Column:
+    if isinstance(kind, T.ArrayType):  # any element
+        return F.exists(field, lambda x: F.coalesce(_compare(x, kind.elementType, op, value), F.lit(False)))
+    if op == "like":
+        return field.rlike(Q.glob_to_regex(str(value))) if isinstance(kind, T.StringType) else F.lit(False)
+    if op == "in":
+        wanted = [w for w in (_literal(v, kind) for v in value) if w is not None]
+        return field.isin(*wanted) if wanted else F.lit(False)
+    wanted = _literal(value, kind)
+    return F.lit(False) if wanted is None else COMPARE[op](field, wanted)
+
+
+def _resolve(docs: DataFrame, name: str, value) -> tuple[Column, T.DataType] | None:
+    """The named column, a field of a struct, or a dotted path inside a column of JSON text (typed like ``value``)."""
+    head, _, rest = name.partition(".")
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    if name in kinds:
+        return F.col(f"`{name}`"), kinds[name]
+    kind, field = kinds.get(head), F.col(f"`{head}`")
+    while rest and isinstance(kind, T.StructType):
+        own, _, rest = rest.partition(".")
+        if own not in kind.names:
+            return None
+        kind, field = kind[own].dataType, field[own]
+    if not rest:
+        return None if kind is None else (field, kind)
+    if not isinstance(kind, T.StringType):
+        return None
+    first = value[0] if isinstance(value, (list, tuple)) and value else value
+    kind = T.BooleanType() if isinstance(first, bool) else T.DoubleType() if isinstance(first, (int, float)) else T.StringType()
+    path = "$" + "".join("['" + p.replace("\\", "\\\\").replace("'", "\\'") + "']" for p in rest.split("."))
+    return F.try_variant_get(F.try_parse_json(field), path, kind.simpleString()), kind
+
+
+def lenient(docs: DataFrame, tree: Mapping) -> Column:
+    """A tree of comparisons as a predicate that never fails: what cannot be compared does not match.
+
+    ``{"all": [...]}``, ``{"any": [...]}``, ``{"not": tree}``, or one comparison
+    ``{"field": name, op: value}`` with op ``eq``, ``lt``, ``le``, ``gt``, ``ge``, ``in`` (a list), ``like`` (a glob
+    on text) or ``exists`` (true or false). The value takes the field's type, so the field itself is compared as it
+    is stored and the comparison reaches the scan; text that is no number, date or boolean matches nothing where one
+    is stored. Of an array any element may match. Null and unknown fields do not match; ``not`` then holds. (A comparison
+    with a null field stays null, which a filter takes as no match and the scan can push down.)
+    """
+    if "all" in tree or "any" in tree:
+        parts = [lenient(docs, t) for t in tree.get("all", tree.get("any"))]
+        out = F.lit("all" in tree)
+        for p in parts:
+            out = out & p if "all" in tree else out | p
+        return out
+    if "not" in tree:
+        return ~F.coalesce(lenient(docs, tree["not"]), F.lit(False))
+    (op, value), = ((k, v) for k, v in tree.items() if k != "field")
+    if op not in (*COMPARE, "in", "like", "exists"):
+        raise ValueError(f"unknown comparison {op}")
+    found = _resolve(docs, tree["field"], value)
+    if op == "exists":
+        there = F.lit(False) if found is None else found[0].isNotNull()
+        return there if value else ~there
+    return F.lit(False) if found is None else _compare(*found, op, value)
+
+
+Predicate = Column | str | Mapping | None
+
+
+def _pred(docs: DataFrame, p: Predicate) -> Column:
     if p is None:
         return F.lit(True)
+    if isinstance(p, Mapping):
+        return lenient(docs, p)
     return F.expr(p) if isinstance(p, str) else p
 
 
+def _scoped(docs: DataFrame, index: str | None, allowed: Sequence[str] | None, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``run`` over the documents of the requested indices, or its guard row saying why there are none.
+
+    ``index`` is a comma list of globs over ``idx``; with ``idx`` a partition column they prune whole partitions.
+    ``status``: ``invalid_index``; ``not_allowed`` (a part of the list is outside the allowlist: no part is searched);
+    ``unknown_index`` (no index has such a name), which is not ``no_match``.
+    """
+    if index is None:
+        return run(docs.where(Q.index_allowed("idx", allowed)) if allowed else docs)
+    why = Q.index_refusal(index, allowed)
+    if why:
+        return run(docs.where(F.lit(False))).withColumn("status", F.lit(why))
+    own = docs.where(Q.index_glob("idx", index))
+    known = own.limit(1).agg(F.count(F.lit(1))).scalar() > 0
+    return run(own).withColumn("status", F.when((F.col("status") == "no_match") & ~known, "unknown_index").otherwise(F.col("status")))
+
+
 def doc_line(docs: DataFrame, max_len: int = 300) -> Column:
     """One-line rendering: first non-blank message-like string field, else the JSON of the source."""
     fields = {c: F.col(c) for c in R.MESSAGE_FIELDS if c in docs.columns and dict(docs.dtypes)[c] == "string"}
@@ -37,15 +142,19 @@ def doc_line(docs: DataFrame, max_len: int = 300) -> Column:
     return R.doc_line(fields, whole, max_len)
 
 
-def doc_search(docs: DataFrame, predicate: Column | str | None = None, top: int = 10,
-               sort_field: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+def doc_search(docs: DataFrame, predicate: Predicate = None, top: int = 10, sort_field: str | None = None,
+               by: Sequence[str] = (), index: str | None = None, allowed: Sequence[str] | None = None) -> DataFrame:
     """Matching documents: exact total plus the top ``top``; ``status``: ``ok``, or one ``no_match`` row of total 0.
 
-    Per group (``by``), groups without a match have no row.     With ``sort_field``: descending, documents missing the field last;
-    otherwise by document id. Ties break on the document id.
+    Per group (``by``), groups without a match have no row. With ``sort_field``: descending, documents missing the field last;
+    otherwise by document id. Ties break on the document id. ``index`` and ``allowed``: see ``_scoped`` for further statuses.
     """
     positive(top, "top")
-    m = docs.where(_pred(predicate))
+    return _scoped(docs, index, allowed, lambda own: _search(own, predicate, top, sort_field, by))
+
+
+def _search(docs: DataFrame, predicate: Predicate, top: int, sort_field: str | None, by: Sequence[str]) -> DataFrame:
+    m = docs.where(_pred(docs, predicate))
     if sort_field and sort_field in docs.columns:
         order = [F.col(sort_field).desc_nulls_last(), F.asc("doc_id")]
     else:
@@ -54,15 +163,20 @@ def doc_search(docs: DataFrame, predicate: Column | str | None = None, top: int
     return with_total(shown, m, list(by)).withColumn("status", F.lit("ok")) if by else with_status(shown, m)
 
 
-def terms_agg(docs: DataFrame, field: str, predicate: Column | str | None = None, top: int = 20) -> DataFrame:
+def terms_agg(docs: DataFrame, field: str, predicate: Predicate = None, top: int = 20,
+              index: str | None = None, allowed: Sequence[str] | None = None) -> DataFrame:
     """Counts per value of ``field`` among matching documents: top ``top``, ``other``, exact total.
 
     ``status``: ``ok``; ``no_match`` (nothing matches); ``field_absent``
     (documents match, but none has the field). Guard statuses come as a
-    single row.
+    single row. ``index`` and ``allowed``: see ``_scoped`` for further statuses.
     """
     positive(top, "top")
-    m = docs.where(_pred(predicate))
+    return _scoped(docs, index, allowed, lambda own: _terms(own, field, predicate, top))
+
+
+def _terms(docs: DataFrame, field: str, predicate: Predicate, top: int) -> DataFrame:
+    m = docs.where(_pred(docs, predicate))
     total = m.agg(F.count(F.lit(1)).alias("total"), F.count(F.col(field)).alias("with_field"))
     buckets = m.where(F.col(field).isNotNull()).groupBy(F.col(field).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     shown = top_per_group(buckets, [], [F.desc("n"), F.asc("value")], top)
@@ -77,16 +191,20 @@ def terms_agg(docs: DataFrame, field: str, predicate: Column | str | None = None
     return out.unionByName(guard)
 
 
-def recent_docs(docs: DataFrame, as_of: str, minutes: int = 60, predicate: Column | str | None = None,
-                top: int = 50, time_field: str = "ts") -> DataFrame:
+def recent_docs(docs: DataFrame, as_of: str, minutes: int = 60, predicate: Predicate = None, top: int = 50,
+                time_field: str = "ts", index: str | None = None, allowed: Sequence[str] | None = None) -> DataFrame:
     """Documents with ``time_field >= as_of - minutes``, newest first, top ``top``, exact total; ``status``: ``ok`` or one ``no_match`` row.
 
     The range predicate is a plain column comparison, so it is pushed to
-    the scan and prunes date partitions.
+    the scan and prunes date partitions. ``index`` and ``allowed``: see ``_scoped`` for further statuses.
     """
     positive(minutes, "minutes")
     positive(top, "top")
-    m = docs.where((F.col(time_field) >= Q.lookback_start(as_of, minutes=minutes)) & _pred(predicate))
+    return _scoped(docs, index, allowed, lambda own: _recent(own, as_of, minutes, predicate, top, time_field))
+
+
+def _recent(docs: DataFrame, as_of: str, minutes: int, predicate: Predicate, top: int, time_field: str) -> DataFrame:
+    m = docs.where((F.col(time_field) >= Q.lookback_start(as_of, minutes=minutes)) & _pred(docs, predicate))
     shown = top_per_group(m, [], [F.desc(time_field), F.desc("doc_id")], top).select(
         "idx", "doc_id", F.substring(F.col(time_field).cast("string"), 1, 19).alias("ts19"), doc_line(m, 260).alias("line"), "rank")
     return with_status(shown, m)
@@ -114,71 +232,67 @@ def index_catalog(docs: DataFrame, pattern: str = "*", allowed: Sequence[str] |
 
 # ---------------------------------------------------------------- field catalog
 
-def _leaves(schema_text: str) -> list[tuple[str, str]]:
-    """``OBJECT<a: BIGINT, b: OBJECT<c: STRING>>`` → [(a, bigint), (b.c, string)]."""
-    out: list[tuple[str, str]] = []
-
-    def split_top(s: str) -> list[str]:
-        parts, depth, cur = [], 0, []
-        for ch in s:
-            if ch in "<(":
-                depth += 1
-            elif ch in ">)":
-                depth -= 1
-            if ch == "," and depth == 0:
-                parts.append("".join(cur))
-                cur = []
-            else:
-                cur.append(ch)
-        if cur:
-            parts.append("".join(cur))
-        return [p.strip() for p in parts if p.strip()]
-
-    def walk(t: str, prefix: str) -> None:
-        t = t.strip()
-        if t.upper().startswith("OBJECT<") and t.endswith(">"):
-            for f in split_top(t[7:-1]):
-                name, _, sub = f.partition(":")
-                name = name.strip().strip("`")
-                walk(sub, f"{prefix}{name}.")
-        elif prefix:
-            out.append((prefix[:-1], t.lower()))
-
-    walk(schema_text or "", "")
-    return out
-
-
-_LEAF = ArrayType(StructType([StructField("field", StringType()), StructField("type", StringType())]))
-
-# Ship this module's functions to the Python workers by value, so the schema
-# parser runs even where the package is not installed on the executors.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-@F.pandas_udf(_LEAF)
-def _leaves_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: [{"field": f, "type": t} for f, t in _leaves(x)] if isinstance(x, str) else [])
-
-
-def field_catalog(docs: DataFrame, json_fields: Sequence[str] = ("props",), top: int = 200) -> DataFrame:
-    """Dotted leaf fields and their types, per index: the table's own columns plus the leaves of JSON columns.
-
-    JSON schemas are merged per index by ``schema_of_variant_agg`` (a
-    partial/final aggregate); only the merged schema text — one short string
-    per index — goes through a small Arrow-batched parser.
+#: Levels of nesting that the catalogue follows; what lies deeper is listed as an object (or array) where it starts.
+MAX_DEPTH = 20
+
+
+def _kind(sql_type: Column) -> Column:
+    """Catalogue name of a Spark type: long, double, string, boolean, date, object, array; null for a JSON null."""
+    t = F.upper(sql_type)
+    return (F.when(t.rlike(r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\([0-9]+,0\))$"), "long")
+            .when(t.rlike("^(FLOAT|DOUBLE|DECIMAL)"), "double").when(t.rlike("^(DATE|TIMESTAMP)"), "date")
+            .when(t == "VOID", None).when(t.rlike("^(OBJECT|STRUCT|MAP)"), "object").otherwise(F.lower(F.regexp_replace(t, "<.*$", ""))))
+
+
+def json_leaves(text: Column, prefix: str, depth: int = MAX_DEPTH) -> Column:
+    """Distinct (path, kind) of the leaves of a JSON text: array of structs; null for text that is no JSON.
+
+    Walks the VARIANT level by level: each step replaces every object by its members and every array by its elements
+    (which keep the array's path, so objects in arrays are walked, too). Nulls and empty arrays name no field, an
+    empty object is one of kind object. Keys are taken as they are, whatever characters they hold.
+    """
+    none = F.lit(None).cast("string")
+    root = F.try_parse_json(text)
+
+    def node(path, value, kind=none):
+        return F.struct(path.alias("path"), value.alias("value"), kind.alias("kind"))
+
+    def open_up(e: Column) -> Column:
+        members = F.try_variant_get(e["value"], "$", "map<string,variant>")
+        elements = F.try_variant_get(e["value"], "$", "array<variant>")
+        return (F.when(e["kind"].isNotNull(), F.array(e))
+                .when(F.size(members) > 0, F.transform(F.map_entries(members), lambda m: node(F.concat(e["path"], F.lit("."), m["key"]), m["value"])))
+                .when(elements.isNotNull(), F.transform(elements, lambda x: node(e["path"], x)))
+                .otherwise(F.array(node(e["path"], e["value"], F.coalesce(_kind(F.schema_of_variant(e["value"])), F.lit("null"))))))
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(depth + 1)), F.array(node(F.lit(prefix), root)), lambda nodes, _: F.flatten(F.transform(nodes, open_up)))
+    leaves = F.transform(walked, lambda e: F.struct(e["path"].alias("field"), F.coalesce(e["kind"], _kind(F.schema_of_variant(e["value"]))).alias("type")))
+    return F.when(root.isNotNull(), F.array_distinct(F.filter(leaves, lambda x: x["type"] != "null")))
+
+
+def field_catalog(docs: DataFrame, json_fields: Sequence[str] = ("props",), top: int = 200, by: Sequence[str] = ("idx",), depth: int = MAX_DEPTH) -> DataFrame:
+    """Leaf fields and their types, per index (``by``; empty: over all indices): the table's own columns and the leaves of JSON columns.
+
+    field, type (several, where documents disagree, joined by ``|``, and then ``conflict``), n_docs (documents that
+    have it), rank by name among ``top``, n_fields (exact), n_docs_total and n_unreadable (documents with a JSON
+    column that does not parse). A field of the table that is null everywhere is listed with n_docs 0. Everything is
+    one pass of built-in expressions and a partial/final aggregate.
     """
-    plain = [(c, t) for c, t in docs.dtypes if c not in json_fields and c != "idx"]
-    # the table's own columns, listed for every index (a literal array, no join)
-    cols = F.array(*[F.struct(F.lit(c).alias("field"), F.lit(t).alias("type")) for c, t in plain])
-    base = docs.select("idx").distinct().select("idx", F.explode(cols).alias("c")).select("idx", "c.field", "c.type")
-    frames = [base]
-    for jf in json_fields:
-        agg = docs.groupBy("idx").agg(F.schema_of_variant_agg(F.try_parse_json(jf)).alias("_schema"))
-        leaves = agg.select("idx", F.explode(_leaves_udf("_schema")).alias("l")).select(
-            "idx", F.concat(F.lit(jf + "."), F.col("l.field")).alias("field"), F.col("l.type").alias("type"))
-        frames.append(leaves)
-    allf = frames[0]
-    for f in frames[1:]:
-        allf = allf.unionByName(f)
-    allf = allf.distinct()
-    return with_total(top_per_group(allf, ["idx"], [F.asc("field")], top), allf, ["idx"], "n_fields")
+    own = [(c, t) for c, t in docs.dtypes if c not in json_fields and c != "idx"]
+    by = list(by)
+    no = F.lit(None).cast("string")
+    entry = lambda field, kind, n: F.struct(field.alias("field"), kind.alias("type"), n.cast("long").alias("n"))
+    plain = [entry(F.lit(c), _kind(F.lit(t)), F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0)) for c, t in own]
+    found = [F.coalesce(json_leaves(F.col(f"`{j}`"), j, depth), F.array().cast("array<struct<field:string,type:string>>")) for j in json_fields]
+    # each distinct (field, type) of a document once, without a count, and each field once, counted
+    nested = [x for f in found for x in (F.transform(f, lambda e: entry(e["field"], e["type"], F.lit(0))),
+                                         F.transform(F.array_distinct(F.transform(f, lambda e: e["field"])), lambda p: entry(p, no, F.lit(1))))]
+    unreadable = F.lit(False)
+    for j in json_fields:
+        unreadable = unreadable | (F.col(f"`{j}`").isNotNull() & F.try_parse_json(F.col(f"`{j}`")).isNull())
+    per = docs.select(*by, F.explode(F.concat(F.array(*plain), *nested)).alias("e")).select(*by, "e.*").groupBy(*by, "field").agg(
+        F.array_join(F.array_sort(F.collect_set("type")), "|").alias("type"), F.sum("n").alias("n_docs"))
+    per = per.withColumn("conflict", F.contains("type", F.lit("|")))
+    totals = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("n_docs_total"), F.count_if(unreadable).alias("n_unreadable"))
+    shown = with_total(top_per_group(per, by, [F.asc("field")], top), per, by, "n_fields")
+    return shown.join(totals, by, "left") if by else attach_row(shown, totals)

@@ -189,7 +189,127 @@ def q_index_catalog(spark, sf_dir):
     return D.index_catalog(Tables(spark, sf_dir).docs, "logs-*", allowed=["logs-2024-01-1?"])
 
 
-@query("field_catalog")
+# JSON payloads of the documents, nested, with awkward names, disagreeing types and one that is no JSON.
+ATTRS = (
+    '{"a:b":1,"tags":["x","y"],"when":"noon"}',
+    '{"a:b":"one","items":[{"n":1,"f":0.5},{"n":2}]}',
+    '{"o":{"p":{"q d":true}},"e":{},"z":null,"none":[]}',
+    "not json{",
+    None,
+)
+
+
+def _attrs(docs):
+    """The documents with ``attrs``: one of ``ATTRS`` in turn, and else a payload of the document's own number."""
+    own = F.concat(F.lit('{"v":'), F.col("doc_id").cast("string"), F.lit(',"nest":[[1],["s"]],"tags":[2.5]}'))
+    turn = F.col("doc_id") % (len(ATTRS) + 2)
+    picked = own
+    for k, text in enumerate(ATTRS):
+        picked = F.when(turn == k, F.lit(text)).otherwise(picked)
+    return docs.withColumn("attrs", picked)
+
+
+_ATTRS_SQL = ("CASE doc_id % 7 " + " ".join(f"WHEN {k} THEN {'NULL' if text is None else chr(39) + text + chr(39)}" for k, text in enumerate(ATTRS))
+              + """ ELSE concat('{"v":', doc_id, ',"nest":[[1],["s"]],"tags":[2.5]}') END""")
+_PLAIN = {"doc_id": "long", "ts": "date", "level": "string", "host": "string", "event_type": "string", "message": "string", "value": "double"}
+
+
+def _catalog_sql(by: str) -> str:
+    """``by``: 'idx' or nothing."""
+    key, keys, using = (f"{by}, ", f"GROUP BY {by}", f"JOIN t USING ({by})") if by else ("", "", "CROSS JOIN t")
+    plain = " UNION ALL ".join(f"SELECT {key}'{c}' AS field, '{t}' AS type, count({c}) AS n_docs FROM d {keys}" for c, t in _PLAIN.items())
+    order = f"PARTITION BY {by} ORDER BY field" if by else "ORDER BY field"
+    part = f"PARTITION BY {by}" if by else ""
+    return f"""
+WITH d AS (SELECT *, {_ATTRS_SQL} AS attrs FROM docs),
+j AS (SELECT idx, doc_id, 'props' AS head, props AS text FROM d WHERE json_valid(props) UNION ALL SELECT idx, doc_id, 'attrs', attrs FROM d WHERE json_valid(attrs)),
+x AS (SELECT j.idx, j.doc_id, concat(head, replace(substr(regexp_replace(fullkey, '\\[[0-9]+\\]', '', 'g'), 2), '"', '')) AS field,
+        CASE WHEN type IN ('BIGINT', 'UBIGINT') THEN 'long' WHEN type = 'DOUBLE' THEN 'double' WHEN type = 'VARCHAR' THEN 'string'
+             WHEN type = 'BOOLEAN' THEN 'boolean' WHEN type = 'OBJECT' THEN 'object' END AS type
+      FROM j, json_tree(j.text) WHERE type NOT IN ('ARRAY', 'NULL') AND (type != 'OBJECT' OR value = '{{}}')),
+f AS ({plain}
+  UNION ALL SELECT {key}field, string_agg(DISTINCT type, '|' ORDER BY type), count(DISTINCT doc_id) FROM x GROUP BY {key}field),
+t AS (SELECT {key}count(*) AS n_docs_total, count(*) FILTER (WHERE (props IS NOT NULL AND NOT json_valid(props)) OR (attrs IS NOT NULL AND NOT json_valid(attrs))) AS n_unreadable
+      FROM d {keys})
+SELECT f.*, contains(type, '|') AS conflict, row_number() OVER ({order}) AS rank, count(*) OVER ({part}) AS n_fields, n_docs_total, n_unreadable
+FROM f {using} QUALIFY rank <= 200"""
+
+
+@query("field_catalog", W(_catalog_sql("idx"), "docs"))
 def q_field_catalog(spark, sf_dir):
-    """Dotted leaf fields and types of every index, JSON payload included (rows-only check)."""
-    return D.field_catalog(Tables(spark, sf_dir).docs, ["props"])
+    """Leaf fields and types of every index, JSON payloads included, with documents per field and type conflicts."""
+    return D.field_catalog(_attrs(Tables(spark, sf_dir).docs), ["props", "attrs"])
+
+
+@query("field_union", W(_catalog_sql(""), "docs"))
+def q_field_union(spark, sf_dir):
+    """The same over all indices together: the union of their mappings."""
+    return D.field_catalog(_attrs(Tables(spark, sf_dir).docs), ["props", "attrs"], by=())
+
+
+#: name → (comparison tree, the same in DuckDB).
+LENIENT = {
+    "number_on_text": ({"field": "level", "eq": 5}, "level = '5'"),
+    "text_on_number": ({"field": "value", "gt": "abc"}, "FALSE"),
+    "number_as_text": ({"field": "value", "ge": "50"}, "value >= 50"),
+    "no_date": ({"field": "ts", "ge": "not a date"}, "FALSE"),
+    "date_as_text": ({"field": "ts", "lt": "2024-01-10"}, "ts < TIMESTAMP '2024-01-10'"),
+    "inside_json": ({"field": "props.k", "lt": 20}, "TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) < 20"),
+    "unknown_field": ({"field": "nothing", "eq": 1}, "FALSE"),
+    "negated": ({"not": {"field": "doc_id", "eq": "x1"}}, "TRUE"),
+    "tree": ({"all": [{"field": "host", "in": ["node1", 2, "node3"]}, {"any": [{"field": "level", "like": "ERR*"}, {"field": "value", "lt": 5}]}, {"not": {"field": "message", "eq": ""}}]},
+             "host IN ('node1', '2', 'node3') AND (level LIKE 'ERR%' OR value < 5) AND message != ''"),
+    "exists": ({"all": [{"field": "props.k", "exists": True}, {"field": "props.none", "exists": False}]}, "json_extract_string(props, '$.k') IS NOT NULL"),
+}
+
+
+@query("lenient_predicate", W("\nUNION ALL ".join(
+    f"SELECT idx, '{name}' AS predicate, count(*) FILTER (WHERE {sql}) AS n FROM docs GROUP BY idx" for name, (_, sql) in LENIENT.items()), "docs"))
+def q_lenient_predicate(spark, sf_dir):
+    """Documents of every index that match each of some comparison trees; what cannot be compared does not match."""
+    docs = Tables(spark, sf_dir).docs
+    counts = [F.struct(F.lit(name).alias("predicate"), F.col(name).alias("n")) for name in LENIENT]
+    per = docs.groupBy("idx").agg(*[F.count_if(D.lenient(docs, tree)).alias(name) for name, (tree, _) in LENIENT.items()])
+    return per.select("idx", F.explode(F.array(*counts)).alias("c")).select("idx", "c.*")
+
+
+#: Requested index lists, each with the statuses it must get, over an allowlist.
+SCOPES = ("logs-2024-01-0*,logs-2024-01-2*", "logs-2024-01-03,audit-2024", "logs-2024-01-0*,logs-2024-02-01", "logs-2099-*", "Logs;", "logs-2024-01-15")
+SCOPE_ALLOWED = ("logs-2024-01-*", "logs-20[0-9]9-*", "logs-2024-02-*")
+
+
+def _scope_sql(k: int, kind: str) -> str:
+    scope = SCOPES[k]
+    glob = "regexp_matches(idx, '^(?:" + "|".join(g.replace("*", ".*").replace("?", ".") for g in scope.split(",")) + ")$')"
+    own = f"(SELECT * FROM docs WHERE {glob} AND level = 'ERROR')"
+    refused = {1: "not_allowed", 4: "invalid_index"}.get(k)
+    if refused:
+        return f"SELECT {k} AS request, '{kind}' AS operator, NULL AS key, NULL AS n, NULL AS rank, 0 AS total, '{refused}' AS status"
+    shown = {"search": "SELECT CAST(doc_id AS VARCHAR) AS key, NULL AS n, row_number() OVER (ORDER BY doc_id) AS rank FROM own QUALIFY rank <= 5",
+             "terms": "SELECT host AS key, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, host) AS rank FROM own GROUP BY host QUALIFY rank <= 5",
+             "recent": f"SELECT CAST(doc_id AS VARCHAR) AS key, NULL AS n, row_number() OVER (ORDER BY ts DESC, doc_id DESC) AS rank FROM own WHERE ts >= TIMESTAMP '{METRICS_AS_OF}' - INTERVAL 40320 MINUTE QUALIFY rank <= 5"}[kind]
+    counted = "own" if kind != "recent" else f"(SELECT * FROM own WHERE ts >= TIMESTAMP '{METRICS_AS_OF}' - INTERVAL 40320 MINUTE)"
+    return f"""SELECT * FROM (WITH own AS {own}, shown AS ({shown})
+  SELECT {k} AS request, '{kind}' AS operator, key, n, rank, (SELECT count(*) FROM {counted}) AS total, 'ok' AS status FROM shown
+  UNION ALL SELECT {k}, '{kind}', NULL, NULL, NULL, 0, CASE WHEN (SELECT count(*) FROM docs WHERE {glob}) = 0 THEN 'unknown_index' ELSE 'no_match' END
+  WHERE (SELECT count(*) FROM {counted}) = 0)"""
+
+
+@query("index_scope", W("SELECT request, operator, CAST(key AS VARCHAR) AS key, CAST(n AS BIGINT) AS n, CAST(rank AS BIGINT) AS rank, CAST(total AS BIGINT) AS total, status FROM (\n"
+                        + "\nUNION ALL ".join(_scope_sql(k, kind) for k in range(len(SCOPES)) for kind in ("search", "terms", "recent")) + ")", "docs"))
+def q_index_scope(spark, sf_dir):
+    """Search, terms and recent documents of requested index lists under an allowlist, with a status where there are none."""
+    docs, out = Tables(spark, sf_dir).docs, []
+    error, none = {"field": "level", "eq": "ERROR"}, F.lit(None).cast("bigint").alias("n")
+    for k, scope in enumerate(SCOPES):
+        where = {"index": scope, "allowed": SCOPE_ALLOWED}
+        found = {
+            "search": D.doc_search(docs, error, 5, **where).select(F.col("doc_id").cast("string").alias("key"), none, "rank", "total", "status"),
+            "terms": D.terms_agg(docs, "host", error, 5, **where).select(F.col("value").alias("key"), "n", "rank", "total", "status"),
+            "recent": D.recent_docs(docs, METRICS_AS_OF, 40320, error, 5, **where).select(F.col("doc_id").cast("string").alias("key"), none, "rank", "total", "status"),
+        }
+        out += [df.select(F.lit(k).alias("request"), F.lit(name).alias("operator"), "*") for name, df in found.items()]
+    whole = out[0]
+    for df in out[1:]:
+        whole = whole.unionByName(df)
+    return whole

@@ -18,7 +18,6 @@ OWN = {k: v for k, v in E.queries().items() if k in QUERIES}
 OWN_SQL = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 SF = "/root/testdata/sf0.001"
-PY_ALLOWED = {"field_catalog"}  # parses one short schema text per index
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +31,7 @@ def duck():
 def test_every_query_has_an_oracle_or_is_listed():
     q, o = OWN, OWN_SQL
     assert set(o) <= set(q)
-    assert set(q) - set(o) <= {"field_catalog"}
+    assert set(q) == set(o)
 
 
 @pytest.mark.parametrize("key", sorted(OWN_SQL))
@@ -47,8 +46,7 @@ def test_query_matches_duckdb(spark, duck, key):
 @pytest.mark.parametrize("key", sorted(OWN))
 def test_plan_stays_in_the_jvm(spark, key):
     plan = OWN[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    if key not in PY_ALLOWED:
-        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
 
 
 def test_entry_smoke(spark):
