@@ -158,31 +158,29 @@ def limit_minutes(c) -> Column:
 
 
 def host_list(c) -> Column:
-    """Expand a host list ``a[001-003,007],b1`` → array of hosts.
+    """Expand a host list ``a[001-003,007],b1,r[1-2]n[08-10]`` → array of hosts.
 
-    Zero padding of the lower bound is kept; an item without brackets is
-    itself. Each comma-separated item may hold one bracket group.
+    Each comma-separated item may hold any number of bracket groups; they are
+    multiplied out, the last one running fastest. Zero padding of a range's
+    lower bound is kept; a range without two numbers is taken as it is. An
+    item without brackets is itself.
     """
     s = col_or_lit(c)
     items = F.split(s, r",(?![^\[]*\])")
 
+    def part(p: Column) -> Column:
+        lo, hi = F.substring_index(p, "-", 1), F.substring_index(p, "-", -1)
+        padded = lambda i: F.lpad(i.cast("string"), F.greatest(F.length(lo), F.length(i.cast("string"))), F.lit("0"))
+        return F.when(p.rlike("^[0-9]+-[0-9]+$"), F.transform(F.sequence(lo.try_cast("bigint"), hi.try_cast("bigint")), padded)).otherwise(F.array(p))
+
+    def choices(segment: Column) -> Column:
+        inner = F.regexp_extract(segment, r"^\[([^\]]*)\]$", 1)
+        return F.when(segment.startswith("["), F.flatten(F.transform(F.split(inner, ","), part))).otherwise(F.array(segment))
+
     def expand(item: Column) -> Column:
-        prefix = F.regexp_extract(item, r"^([^\[]*)\[", 1)
-        inner = F.regexp_extract(item, r"\[([^\]]*)\]", 1)
-        suffix = F.regexp_extract(item, r"\](.*)$", 1)
-
-        def part(p: Column) -> Column:
-            lo = F.substring_index(p, "-", 1)
-            hi = F.substring_index(p, "-", -1)
-            return F.when(
-                F.instr(p, "-") > 0,
-                F.transform(
-                    F.sequence(lo.try_cast("int"), hi.try_cast("int")),
-                    lambda i: F.concat(prefix, F.lpad(i.cast("string"), F.length(lo), "0"), suffix),
-                ),
-            ).otherwise(F.array(F.concat(prefix, p, suffix)))
-
-        return F.when(item.contains("["), F.flatten(F.transform(F.split(inner, ","), part))).otherwise(F.array(item))
+        segments = F.regexp_extract_all(item, F.lit(r"\[[^\]]*\]|[^\[]+"), F.lit(0))
+        return F.aggregate(segments, F.array(F.lit("")), lambda done, segment: F.flatten(
+            F.transform(done, lambda d: F.transform(choices(segment), lambda x: F.concat(d, x)))))
 
     return F.when(s.isNull() | (F.trim(s) == ""), F.array().cast("array<string>")).otherwise(
         F.filter(F.flatten(F.transform(items, expand)), lambda h: h != "")

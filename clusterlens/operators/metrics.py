@@ -130,14 +130,16 @@ def series_summary(points: DataFrame) -> DataFrame:
 
 def range_summary(samples: DataFrame, metric: str, as_of: str, hours: float = 24, step: str = "30m",
                   lookback: str | int = "5m", top: int = 10, retry_step: str | None = "5m", **kw) -> DataFrame:
-    """Per-series summary over a range; when the grid is empty, retried once at ``retry_step``.
+    """Per-series summary over a range, with the ``step`` used; a grid without any value is retried at ``retry_step``.
 
-    The emptiness probe is the only driver round trip (``isEmpty`` reads one row).
+    The choice is made inside the plan: the samples of the second grid pass a filter on the first grid's number of
+    points, a scalar subquery, so nothing runs while the plan is built and at most one of the grids is expanded.
     """
-    pts = range_points(samples, metric, as_of, hours, step, lookback, **kw)
-    if retry_step and step != retry_step and pts.isEmpty():
-        pts = range_points(samples, metric, as_of, hours, retry_step, lookback, **kw)
-    summ = series_summary(pts)
+    pts = range_points(samples, metric, as_of, hours, step, lookback, **kw).withColumn("step", F.lit(step))
+    if retry_step and step != retry_step:
+        empty = pts.select(F.count(F.lit(1))).scalar() == 0
+        pts = pts.unionByName(range_points(samples.where(empty), metric, as_of, hours, retry_step, lookback, **kw).withColumn("step", F.lit(retry_step)))
+    summ = series_summary(pts.withColumn("series", F.struct("series", "step"))).select("metric", "series.series", "first", "min", "max", "avg", "last", "n", "series.step")
     return with_total(top_per_group(summ, [], [F.asc("metric"), F.asc("series")], top), summ, (), "n_series")
 
 

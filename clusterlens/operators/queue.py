@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import parse as P
@@ -180,36 +181,27 @@ def stuck_jobs(queue: DataFrame, as_of: str, by: Sequence[str] = (), top_users:
         P.age_hours("submit_ts", F.to_timestamp_ntz(F.lit(as_of))).alias("age_h"),
     ).withColumn("bucket", _reason_class(F.col("reason")))
 
-    totals = pend.groupBy(*by).agg(
-        F.sum("tasks").alias("n_tasks"),
-        F.sum(F.when(F.col("bucket") == "FATAL", F.col("tasks")).otherwise(0)).alias("n_fatal"),
-        F.sum(F.when(F.col("bucket") == "SUSPECT", F.col("tasks")).otherwise(0)).alias("n_suspect"),
-    )
-    flagged = pend.where(F.col("bucket") != "NORMAL")
+    # One row per (reason, user); all levels above come from it in one pass of grouping sets.
     rk = [*by, "bucket", "reason"]
-    per_user = flagged.groupBy(*rk, "user_name").agg(
-        F.sum("tasks").alias("user_tasks"),
-        F.greatest(F.lit(0.0), F.max("age_h")).alias("oldest_h"),
-    )
-    # reason totals from the per-user rows: distinct users counted without a distinct aggregate
-    per_reason = per_user.groupBy(*rk).agg(F.sum("user_tasks").alias("reason_tasks"), F.count(F.lit(1)).alias("reason_users"))
-    top_u = top_per_group(per_user, rk, [F.desc("user_tasks"), F.asc("user_name")], top_users, "user_rank")
-    ids = flagged.select(*rk, "user_name", "job_id")
-    smp = (top_per_group(ids, [*rk, "user_name"], [F.asc("job_id")], samples, "_r")
+    per_user = pend.groupBy(*rk, "user_name").agg(F.sum("tasks").alias("user_tasks"), F.greatest(F.lit(0.0), F.max("age_h")).alias("oldest_h"))
+    of = lambda bucket: F.sum(F.when(F.col("_class") == bucket, F.col("user_tasks")).otherwise(0))
+    levels = per_user.withColumn("_class", F.col("bucket")).groupingSets([rk, list(by)], *rk).agg(
+        F.grouping_id().alias("_level"), F.sum("user_tasks").alias("n_tasks"), F.count(F.lit(1)).alias("n_users"),
+        of("FATAL").alias("n_fatal"), of("SUSPECT").alias("n_suspect"))
+    totals = levels.where("_level != 0").select(*by, "n_tasks", "n_fatal", "n_suspect")
+    per_reason = levels.where("_level = 0").select(*rk, F.col("n_tasks").alias("reason_tasks"), F.col("n_users").alias("reason_users"))
+
+    flagged = F.col("bucket") != "NORMAL"
+    top_u = top_per_group(per_user.where(flagged), rk, [F.desc("user_tasks"), F.asc("user_name")], top_users, "user_rank")
+    smp = (top_per_group(pend.where(flagged).select(*rk, "user_name", "job_id"), [*rk, "user_name"], [F.asc("job_id")], samples, "_r")
            .groupBy(*rk, "user_name").agg(F.array_sort(F.collect_list("job_id")).alias("samples")))
-    flagged_rows = top_u.join(per_reason, rk, "left").join(smp, [*rk, "user_name"], "left")
-
-    normal = pend.where(F.col("bucket") == "NORMAL").groupBy(*rk).agg(F.sum("tasks").alias("reason_tasks"))
-    normal = top_per_group(normal, list(by), [F.desc("reason_tasks"), F.asc("reason")], top_normal, "reason_rank")
-    normal_rows = normal.select(
-        *rk, F.lit(None).cast("string").alias("user_name"), F.lit(None).cast("bigint").alias("user_tasks"),
-        F.lit(None).cast("double").alias("oldest_h"), F.lit(None).cast("bigint").alias("user_rank"),
-        "reason_tasks", F.lit(None).cast("bigint").alias("reason_users"),
-        F.lit(None).cast("array<string>").alias("samples"), "reason_rank")
-    rr = per_reason.select(*rk, "reason_tasks")
-    reason_rank = top_per_group(rr, [*by, "bucket"], [F.desc("reason_tasks"), F.asc("reason")], 1 << 30, "reason_rank").drop("reason_tasks")
-    flagged_rows = flagged_rows.join(reason_rank, rk, "left").select(*normal_rows.columns)
-    rows = flagged_rows.unionByName(normal_rows)
+    # reasons per class are few (scheduler constants and their spellings), so all are ranked
+    ranked = per_reason.withColumn("reason_rank", F.row_number().over(
+        Window.partitionBy(*by, "bucket").orderBy(F.desc("reason_tasks"), F.asc("reason"))).cast("bigint"))
+    shown = [*rk, "user_name", "user_tasks", "oldest_h", "user_rank", "reason_tasks", "reason_users", "samples", "reason_rank"]
+    flagged_rows = top_u.join(ranked, rk, "left").join(smp, [*rk, "user_name"], "left").select(shown)
+    normal_rows = ranked.where(~flagged & (F.col("reason_rank") <= top_normal)).drop("reason_users")
+    rows = flagged_rows.unionByName(normal_rows, allowMissingColumns=True)
     if by:
         return rows.join(totals, list(by), "left")
     return G.attach_row(rows, totals)
@@ -283,12 +275,14 @@ def memory_overreservation(queue: DataFrame, nodes: DataFrame, overrides: Mappin
 def running_counts(queue: DataFrame, by: str = "account", top_users: int = 8, as_of: str | None = None) -> DataFrame:
     """Queue rows of each group counted by state and by user (top ``top_users``), as (dim, value, n, rank)."""
     q = snapshot_at(queue, as_of).select(by, "state", "user_name")
-    by_state = q.groupBy(by, "state").agg(F.count(F.lit(1)).alias("n"))
-    by_state = top_per_group(by_state, [by], [F.desc("n"), F.asc("state")], 1 << 30).select(
-        by, F.lit("state").alias("dim"), F.col("state").alias("value"), "n", "rank")
-    by_user = q.groupBy(by, "user_name").agg(F.count(F.lit(1)).alias("n"))
-    by_user = top_per_group(by_user, [by], [F.desc("n"), F.asc("user_name")], top_users).select(
-        by, F.lit("user").alias("dim"), F.col("user_name").alias("value"), "n", "rank")
+    counts = q.groupingSets([[by, "state"], [by, "user_name"]], by, "state", "user_name").agg(
+        F.grouping("state").alias("_of_users"), F.count(F.lit(1)).alias("n"))
+    counts = counts.select(by, F.when(F.col("_of_users") == 1, "user").otherwise("state").alias("dim"),
+                           F.when(F.col("_of_users") == 1, F.col("user_name")).otherwise(F.col("state")).alias("value"), "n")
+    order = [F.desc("n"), F.asc("value")]
+    # users of a group are cut before they are sorted; its states are few
+    by_user = top_per_group(counts.where("dim = 'user'"), [by, "dim"], order, top_users)
+    by_state = counts.where("dim = 'state'").withColumn("rank", F.row_number().over(Window.partitionBy(by, "dim").orderBy(*order)).cast("bigint"))
     return by_state.unionByName(by_user)
 
 

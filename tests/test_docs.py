@@ -77,7 +77,7 @@ def test_field_catalog_walks_everything(spark):
         "j.big": ("long", 1, False), "j": ("double|long", 2, True), "j" + ".d" * 20 + ".d": ("object", 1, False),
     }
     per = D.field_catalog(df, ["j"], top=2).collect()
-    assert {(r["idx"], r["n_docs_total"], r["n_unreadable"], r["n_fields"]) for r in per} == {("i0", 4, 1, 6), ("i1", 3, 0, 4)} and len(per) == 4
+    assert {(r["idx"], r["n_docs_total"], r["n_unreadable"], r["n_fields"]) for r in per} == {("i0", 4, 1, 7), ("i1", 3, 0, 4)} and len(per) == 4
     assert D.field_catalog(df.limit(0), ["j"]).count() == 0
     plan = D.field_catalog(df, ["j"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan

@@ -311,3 +311,30 @@ def test_empty_listings_say_why(spark):
     dirs = spark.createDataFrame([("/a",), ("/e",), ("/a/f",), ("/x",)], "path string")
     assert {r["parent"]: (r["status"], r["n_entries"]) for r in Fi.dir_listing(files, dirs).collect()} == {
         "/a": ("ok", 1), "/e": ("empty", 0), "/a/f": ("not_a_directory", 0), "/x": ("unknown_key", 0)}
+
+
+def test_counts_of_all_levels_share_one_pass(spark):
+    """Queue counts by state and user come from grouping sets over one scan; totals and reasons of stuck jobs from one row a user."""
+    q = spark.createDataFrame([("1", "u1", "a", "PENDING", "p", "Licenses", dt.datetime(2024, 1, 1)), ("2_[1-9]", "u2", "a", "PENDING", "p", "JobHeldUser", None),
+                               ("3", None, None, "RUNNING", "p", None, None), ("4", "u1", "b", "PENDING", "p", "Priority", None)],
+                              "job_id string, user_name string, account string, state string, partition string, reason string, submit_ts timestamp_ntz")
+    counts = Qo.running_counts(q, "account", 1)
+    got = {(r["account"], r["dim"], r["value"]): (r["n"], r["rank"]) for r in counts.collect()}
+    assert got == {("a", "state", "PENDING"): (2, 1), ("a", "user", "u1"): (1, 1), (None, "state", "RUNNING"): (1, 1), (None, "user", None): (1, 1),
+                   ("b", "state", "PENDING"): (1, 1), ("b", "user", "u1"): (1, 1)}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") >= 1
+    stuck = Qo.stuck_jobs(q, "2024-01-02 00:00:00").collect()
+    assert {(r["reason"], r["bucket"], r["user_name"], r["reason_tasks"], r["n_tasks"], r["n_fatal"], r["n_suspect"]) for r in stuck} >= {("Priority", "NORMAL", None, 1, 11, r0["n_fatal"], r0["n_suspect"]) for r0 in stuck[:1]}
+    assert all(r["n_tasks"] == 11 and r["n_fatal"] + r["n_suspect"] <= 10 for r in stuck)
+    by = Qo.stuck_jobs(q, "2024-01-02 00:00:00", by=["account"]).collect()
+    assert {(r["account"], r["n_tasks"]) for r in by} == {("a", 10), ("b", 1)}
+
+
+def test_retry_step_is_chosen_inside_the_plan(spark):
+    base = dt.datetime(2024, 1, 2)
+    rows = [("m", {"instance": "n1:9100"}, base - dt.timedelta(minutes=7 + 10 * k), float(k)) for k in range(30)]
+    s = spark.createDataFrame(rows, "metric string, labels map<string,string>, ts timestamp_ntz, value double")
+    run = lambda **kw: [(r["n"], r["step"]) for r in M.range_summary(s, "m", "2024-01-02 00:00:00", hours=5, **kw).collect()]
+    assert run(step="30m", lookback="2m", retry_step="1m") == [(60, "1m")]
+    assert run(step="30m", lookback="8m", retry_step="1m") == [(10, "30m")] and run(step="30m", lookback="2m", retry_step=None) == []

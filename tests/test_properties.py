@@ -1,10 +1,11 @@
 """Property tests: Column expressions against small Python models of the documented rules."""
 
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clusterlens.functions import parse as P
+from conftest import one
 
 
 def model_duration(s):
@@ -70,3 +71,30 @@ def test_duration_matches_model(spark, xs):
 def test_array_task_count_matches_model(spark, xs):
     got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x string").select(P.array_task_count(F.col("x"))).collect()]
     assert got == [model_tasks(x) for x in xs], xs
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.one_of(st.sampled_from(["node", "r", "-ib", "x1"]), st.lists(st.one_of(
+    st.tuples(st.integers(0, 12), st.integers(0, 3), st.integers(1, 4)), st.integers(0, 120)), min_size=1, max_size=3)), min_size=1, max_size=4), min_size=1, max_size=3))
+def test_host_lists_with_many_groups(spark, items):
+    """Bracket groups multiply out; padding follows each range's lower bound, also where the upper one is longer."""
+    texts, want = [], []
+    for item in items:
+        text, hosts = "", [""]
+        for seg in item:
+            if isinstance(seg, str):
+                text, hosts = text + seg, [h + seg for h in hosts]
+                continue
+            parts, choices = [], []
+            for p in seg:
+                if isinstance(p, int):
+                    parts.append(str(p))
+                    choices.append(str(p))
+                else:
+                    lo, extra, width = p
+                    parts.append(f"{lo:0{width}d}-{lo + extra:0{width}d}")
+                    choices += [f"{k:0{width}d}" for k in range(lo, lo + extra + 1)]
+            text, hosts = text + "[" + ",".join(parts) + "]", [h + c for h in hosts for c in choices]
+        texts.append(text)
+        want += hosts
+    assert one(spark, P.host_list("x"), "x string", [(",".join(texts),)]) == [want]
