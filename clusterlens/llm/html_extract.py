@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -67,12 +67,37 @@ _ATTR = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 _WORDS = re.compile(r"[a-z]+")
 
 
+@dataclass
+class Tree:
+    """Block-level elements by number: the parent and the depth of each. Element 0 is the page."""
+
+    parent: list[int] = field(default_factory=lambda: [-1])
+    depth: list[int] = field(default_factory=lambda: [0])
+
+    def add(self, parent: int) -> int:
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
+        return len(self.parent) - 1
+
+    def distance(self, a: int, b: int) -> int:
+        """Steps from one element to the other. Over blocks in page order they sum to no more than the page's tags."""
+        steps = 0
+        while a != b:
+            if self.depth[a] >= self.depth[b]:
+                a = self.parent[a]
+            else:
+                b = self.parent[b]
+            steps += 1
+        return steps
+
+
 @dataclass
 class Block:
     text: str
     linked: int
     tag: str
-    path: tuple[int, ...]
+    element: int  # number of the innermost block-level element around it
+    tree: Tree
     role: int  # 1: inside content elements, -1: inside boilerplate elements, 0: neither says
     features: np.ndarray = field(default_factory=lambda: np.empty(0))
     mark: int = -1  # number of the innermost element around it whose class or id names boilerplate, of those inside the same content element
@@ -128,7 +153,7 @@ def _weigh_words(out: list[Block], marks: list[tuple[int, int]], holds: list[boo
             b.role = b.role if mostly else 0
 
 
-def _stays_unshown(name: str, closing: bool, attrs: str, unshown: list[str], stack: list[tuple]) -> bool:
+def _stays_unshown(name: str, closing: bool, attrs: str, unshown: list[str], opened: Counter) -> bool:
     """Whether a tag inside an unshown element concerns that element alone; else the element ends before it."""
     if closing:
         for k in range(len(unshown) - 1, -1, -1):
@@ -136,9 +161,9 @@ def _stays_unshown(name: str, closing: bool, attrs: str, unshown: list[str], sta
                 del unshown[k:]
                 return True
         # the end tag of an element around it
-        if not any(s[0] == name for s in stack):
+        if not opened[name]:
             return True
-    elif name == "body" and not any(s[0] == "body" for s in stack):
+    elif name == "body" and not opened["body"]:
         pass
     elif name in ENDS_LISTS and not {"template", "noscript", "object", "foreignobject"} & set(unshown):
         pass
@@ -155,9 +180,10 @@ def _stays_unshown(name: str, closing: bool, attrs: str, unshown: list[str], sta
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. White space inside a block is one space, character references are decoded."""
     out: list[Block] = []
-    # of each open block-level element: name, role, its number among its parent's children, mark, scope
+    tree = Tree()
+    # of each open block-level element: name, role, number, mark, scope
     stack: list[tuple[str, int, int, int, int]] = [("", 0, 0, -1, 0)]
-    children = [0]
+    opened: Counter[str] = Counter()
     marks: list[tuple[int, int]] = []
     holds: list[bool] = []  # of each mark: whether a content element is inside
     scopes = [-1]
@@ -170,9 +196,14 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal text, linked
         joined = " ".join("".join(text).split())
         if joined:
-            out.append(Block(joined, min(linked, len(joined)), stack[-1][0], tuple(s[2] for s in stack), stack[-1][1], mark=stack[-1][3], scope=stack[-1][4]))
+            out.append(Block(joined, min(linked, len(joined)), stack[-1][0], stack[-1][2], tree, stack[-1][1], mark=stack[-1][3], scope=stack[-1][4]))
         text, linked = [], 0
 
+    def leave(k: int) -> None:
+        for s in stack[k:]:
+            opened[s[0]] -= 1
+        del stack[k:]
+
     def say(raw: str) -> None:
         nonlocal linked
         if raw and not unshown:
@@ -201,7 +232,7 @@ def blocks_of(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(m["close"])
-        if unshown and name not in RAW and _stays_unshown(name, closing, m["attrs"], unshown, stack):
+        if unshown and name not in RAW and _stays_unshown(name, closing, m["attrs"], unshown, opened):
             continue
         if name in ("br", "mtd", "annotation", "annotation-xml"):
             text.append(" ")
@@ -218,17 +249,15 @@ def blocks_of(page: str) -> list[Block]:
         elif closing:
             flush()
             in_link = 0
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:], children[k:]
-                    break
+            if opened[name]:
+                leave(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
         else:
             flush()
             in_link = 0
             if name == "body":  # what stands in the head ends here
-                del stack[1:], children[1:]
+                leave(1)
             while len(stack) > 1 and (name in CLOSES_P and stack[-1][0] == "p" or name == stack[-1][0] and name in ("li", "p", "dt", "dd", "tr", "td", "th")):
-                stack.pop(), children.pop()
+                leave(len(stack) - 1)
             if name not in VOID:
                 mark, scope = stack[-1][3:]
                 role, worded, content = _role(name, m["attrs"], stack[-1][1], stack[-1][0])
@@ -242,11 +271,10 @@ def blocks_of(page: str) -> list[Block]:
                     marks.append((mark, scope))
                     holds.append(False)
                     mark = len(marks) - 1
-                if name in HEADINGS and stack[-1][0] == "header" and any(s[0] in CONTENT_TAGS for s in stack):
+                if name in HEADINGS and stack[-1][0] == "header" and any(opened[c] for c in CONTENT_TAGS):
                     role, mark = 1, -1
-                children[-1] += 1
-                stack.append((name, role, children[-1], mark, scope))
-                children.append(0)
+                stack.append((name, role, tree.add(stack[-1][2]), mark, scope))
+                opened[name] += 1
     flush()
     _weigh_words(out, marks, holds, scopes)
     return out
@@ -299,20 +327,14 @@ def fit(rows: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return w
 
 
-def _distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    common = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        common += 1
-    return len(a) + len(b) - 2 * common
-
-
 def edges_of(found: list[Block]) -> list[tuple[int, int, float]]:
-    out = [(k, k + 1, 2 * NEXT / (1 + max(1, _distance(found[k].path, found[k + 1].path)))) for k in range(len(found) - 1)]
-    last: dict[tuple[int, ...], int] = {}
+    if not found:
+        return []
+    tree = found[0].tree
+    out = [(k, k + 1, 2 * NEXT / (1 + max(1, tree.distance(found[k].element, found[k + 1].element)))) for k in range(len(found) - 1)]
+    last: dict[int, int] = {}
     for k, b in enumerate(found):
-        parent = b.path[:-1]
+        parent = tree.parent[b.element]
         if parent in last and last[parent] < k - 1:
             out.append((last[parent], k, SIBLING))
         last[parent] = k
