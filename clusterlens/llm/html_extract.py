@@ -62,6 +62,10 @@ BOILER_WORDS = frozenset(
     "breadcrumb breadcrumbs footer header masthead pagination pager toolbar search skip".split()
 )
 
+# First words of class and id names that name reader comments, and words behind them that tell a state of the page instead.
+COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+COMMENT_STATES = frozenset("open closed enabled disabled on off page template".split())
+
 _TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)|=)*+)>|[!?/][^>]*>)""", re.S)
 _ATTR = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
@@ -105,23 +109,36 @@ class Block:
     cost: float = 0.0  # of keeping the block, by class and id words
 
 
-def _role(name: str, attrs: str, outer: int, parent: str) -> tuple[int, bool, bool]:
-    """The role that an element gives its blocks (its own, else that of the elements around it), whether its class or id names boilerplate, and whether it is a content element."""
+def _names_comments(value: str) -> bool:
+    names = [_WORDS.findall(name) for name in value.split()]
+    return any(n and n[0] in COMMENT_WORDS and not COMMENT_STATES & set(n[1:]) for n in names)
+
+
+def _role(name: str, attrs: str, outer: int, parent: str, in_comments: bool) -> tuple[int, bool, bool, bool]:
+    """The role that an element gives its blocks (its own, else that of the elements around it), whether its class or id names boilerplate, whether it is a content element, and whether it holds reader comments.
+
+    What stands inside comments is a comment, an article too. A content element that is in no other is never taken for
+    comments by its class or id.
+    """
+    if in_comments:
+        return -1, False, False, True
     if name in BOILER_TAGS and not (name == "header" and outer > 0):
-        return -1, False, False
+        return -1, False, False, False
     found, worded = 0, False
     if attrs.strip():
         for key, *values in _ATTR.findall(attrs):
             key, value = key.lower(), "".join(values).lower()
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return -1, False, False
+                return -1, False, False, False
             if key == "role" and (roles := set(value.split())):
                 found = -1 if roles & BOILER_ROLES else 1 if roles & CONTENT_ROLES else found
-            if key in ("class", "id") and name not in ("html", "body") and set(_WORDS.findall(value)) & BOILER_WORDS:
-                worded = True
+            if key in ("class", "id") and name not in ("html", "body"):
+                if _names_comments(value) and (outer > 0 or name not in CONTENT_TAGS):
+                    return -1, False, False, True
+                worded = worded or bool(set(_WORDS.findall(value)) & BOILER_WORDS)
     if name in CONTENT_TAGS:
         found = -1 if found < 0 or outer < 0 and parent in ("aside", "nav", "footer") else 1
-    return found or outer, worded and not found, found > 0
+    return found or outer, worded and not found, found > 0, False
 
 
 def _weigh_words(out: list[Block], marks: list[tuple[int, int]], holds: list[bool], scopes: list[int]) -> None:
@@ -181,8 +198,8 @@ def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. White space inside a block is one space, character references are decoded."""
     out: list[Block] = []
     tree = Tree()
-    # of each open block-level element: name, role, number, mark, scope
-    stack: list[tuple[str, int, int, int, int]] = [("", 0, 0, -1, 0)]
+    # of each open block-level element: name, role, number, mark, scope, whether it holds reader comments
+    stack: list[tuple[str, int, int, int, int, bool]] = [("", 0, 0, -1, 0, False)]
     opened: Counter[str] = Counter()
     marks: list[tuple[int, int]] = []
     holds: list[bool] = []  # of each mark: whether a content element is inside
@@ -259,8 +276,8 @@ def blocks_of(page: str) -> list[Block]:
             while len(stack) > 1 and (name in CLOSES_P and stack[-1][0] == "p" or name == stack[-1][0] and name in ("li", "p", "dt", "dd", "tr", "td", "th")):
                 leave(len(stack) - 1)
             if name not in VOID:
-                mark, scope = stack[-1][3:]
-                role, worded, content = _role(name, m["attrs"], stack[-1][1], stack[-1][0])
+                mark, scope, in_comments = stack[-1][3:]
+                role, worded, content, in_comments = _role(name, m["attrs"], stack[-1][1], stack[-1][0], in_comments)
                 if content:
                     held = mark
                     while held >= 0 and not holds[held]:
@@ -271,9 +288,9 @@ def blocks_of(page: str) -> list[Block]:
                     marks.append((mark, scope))
                     holds.append(False)
                     mark = len(marks) - 1
-                if name in HEADINGS and stack[-1][0] == "header" and any(opened[c] for c in CONTENT_TAGS):
+                if name in HEADINGS and not in_comments and stack[-1][0] == "header" and any(opened[c] for c in CONTENT_TAGS):
                     role, mark = 1, -1
-                stack.append((name, role, tree.add(stack[-1][2]), mark, scope))
+                stack.append((name, role, tree.add(stack[-1][2]), mark, scope, in_comments))
                 opened[name] += 1
     flush()
     _weigh_words(out, marks, holds, scopes)
