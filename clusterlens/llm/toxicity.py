@@ -49,10 +49,14 @@ def swaps(groups: dict[str, list[str]]) -> dict[str, str]:
 
 
 def swap_terms(text: str, change: dict[str, str]) -> str | None:
-    """The text with its identity terms swapped; None when it names none."""
+    """The text with its identity terms swapped; None when it names none.
+
+    Ignoring case, a pattern also matches letters that no lower-casing maps to the term's (a long s, a dotless i); what
+    has no term of its own stays as it is.
+    """
     pattern = re.compile(r"\b(%s)\b" % "|".join(sorted(map(re.escape, change), key=len, reverse=True)), re.I)
-    out, n = pattern.subn(lambda m: change[m.group().lower()], text)
-    return out if n else None
+    out = pattern.sub(lambda m: change.get(m.group().lower(), m.group()), text)
+    return out if out != text else None
 
 
 def of_word(word: bytes) -> tuple[int, ...]:
