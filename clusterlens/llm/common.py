@@ -96,8 +96,12 @@ def labelled_sample(labels: DataFrame, label: str, max_rows: int, worse: str = "
 
 
 def sample_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """(doc_id, text, y) of the sampled ids. The sample's size is a documented bound, so it is broadcast."""
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
+    """(doc_id, text, y) of the sampled ids, one row each: of a repeated id the smallest text that is not null.
+
+    The sample's size is a documented bound, so it is broadcast, and what the driver gets is bounded, however often an
+    id is repeated: each task sends one text an id at most.
+    """
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
 
 
 def join_ids(df: DataFrame, ids: DataFrame, on: list[str], how: str, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:

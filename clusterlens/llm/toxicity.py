@@ -143,7 +143,7 @@ def difference(found: Sparse, swapped: Sparse, of: np.ndarray) -> Sparse:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled: int = MAX_LABELLED, groups: dict[str, list[str]] | None = None) -> Linear:
-    """Fit on labelled rows outside the held-out fold. Repeated ids count with their higher label.
+    """Fit on labelled rows outside the held-out fold. Repeated ids count once, with their higher label.
 
     Features are found on the executors; the driver gets the bounded sample's
     feature numbers only.
