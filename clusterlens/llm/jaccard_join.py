@@ -325,7 +325,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         for batch in gathered(batches, "text", BATCH_CHARS):
             sets = token_sets([utf8(t) for t in batch["text"]])
             node = pd.array([set_id(t) if len(t) else None for t in sets], dtype="Int64")
-            yield pd.DataFrame({"doc_id": pd.array(batch["doc_id"], dtype="Int64"), "n_shingles": [len(t) for t in sets], "node": node, "parity": [parity(t) if len(t) else None for t in sets]})
+            yield pd.DataFrame({"doc_key": batch["doc_key"], "n_shingles": [len(t) for t in sets], "node": node, "parity": [parity(t) if len(t) else None for t in sets]})
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # of this task's documents: a group of copies sends its signatures once a task
@@ -342,8 +342,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             if sigs:
                 yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(np.array(nodes, np.int64), sizes), "n": np.repeat(np.array(counts, np.int32), sizes)})
 
-    # doc_id goes through pandas as it is; nulls by way of text keep integers whole
-    members = stored(docs.mapInPandas(name, "doc_id long, n_shingles long, node long, parity binary"), "members")
+    # ids pass pandas as text: beside a null, a batch of integers would become floats, which round those from 2^53 on
+    id_type = docs.schema["doc_id"].dataType
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_key"), "text").mapInPandas(name, "doc_key string, n_shingles long, node long, parity binary")
+    members = stored(named.select(F.col("doc_key").cast(id_type).alias("doc_id"), "n_shingles", "node", "parity"), "members")
 
     # A posting is live if a neighbour by size is another node of fitting size.
     by_size = Window.partitionBy("sig").orderBy("n", "node")
