@@ -15,10 +15,12 @@ the one below).
 
 Documents with equal token sets are one node. Of nodes that share a signature
 and whose sizes allow the similarity, first every node is compared with one
-centre of its signature, then, of signatures that still hold different
-components, every pair across them. Pairs inside one component can change
-nothing, so most of a group of near copies costs one verification a node, and
-no link is lost. Every node has a parity bitmap, a few bits a token: two
+centre of its signature. Of signatures that still hold different components,
+crowded ones make families, of which the nodes outside the largest component
+meet all others once, in blocks, however many signatures they share; of the
+rest every pair across components is compared. Pairs inside one component can
+change nothing, so most of a group of near copies costs one verification a
+node, and no link is lost. Every node has a parity bitmap, a few bits a token: two
 bitmaps differ in no more bits than their token sets do, so a pair whose
 bitmaps differ too much is no link. The pairs that pass are verified, exactly,
 on their texts, and only those texts are fetched.
@@ -52,6 +54,8 @@ SMALL = 8
 BATCH_CHARS = 4 << 20
 #: Cells counted together by one task before they are sent.
 CHUNK_CELLS = 2_000_000
+#: Open signatures of more nodes make families, whose nodes are compared once; of others every pair is.
+CROWDED = 64
 #: Nodes of a family in one block, on average: what one comparing task holds.
 FAMILY_BLOCK = 128
 
@@ -234,13 +238,6 @@ def _sizes_fit(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
 
 
-def _may_link() -> str:
-    """What c shared signatures still allow. Of two prefixes of single tokens, the one that ends first misses, for good,
-    all of its tokens but the c shared ones; what is left of its document must reach the overlap that the similarity asks."""
-    overlap = f"ceil({PERCENT} * (n + ny) / {100 + PERCENT}.0)"
-    return f"not (single and sy) or {overlap} <= greatest(n - (n div 4 + 1) + c, ny - (ny div 4 + 1) + c)"
-
-
 def _with(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
     """(a, b) pairs with columns of both nodes: <column>_a and <column>_b."""
     for side in "ab":
@@ -334,11 +331,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             for tokens in token_sets([utf8(t) for t in batch["text"]]):
                 if len(tokens) and (node := set_id(tokens)) not in seen:
                     seen.add(node)
-                    own, single = signatures(tokens, shared.value)
+                    own, _ = signatures(tokens, shared.value)
                     sigs.append(own.astype(np.int64))
                     nodes.append(node)
                     sizes.append(len(own))
-                    counts.append(len(tokens) if single else -len(tokens))
+                    counts.append(len(tokens))
             if sigs:
                 yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(np.array(nodes, np.int64), sizes), "n": np.repeat(np.array(counts, np.int32), sizes)})
 
@@ -350,11 +347,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # A posting is live if a neighbour by size is another node of fitting size.
     by_size = Window.partitionBy("sig").orderBy("n", "node")
     index = docs.select("text").mapInPandas(sign, "sig long, node long, n int")
-    index = index.withColumn("single", F.col("n") > 0).withColumn("n", F.abs("n"))
     for side, step in (("before", F.lag), ("behind", F.lead)):
         index = index.withColumn(side, step(F.struct("node", "n")).over(by_size))
     fits = " or ".join(f"({x}.node <> node and {_sizes_fit('n', x + '.n')})" for x in ("before", "behind"))
-    live = stored(index.where(fits).select("sig", "node", "n", "single").distinct(), "live-signatures")
+    live = stored(index.where(fits).select("sig", "node", "n").distinct(), "live-signatures")
     worded = members.where("n_shingles > 0")
     by_node = worded.groupBy("node").agg(F.min("doc_id").alias("first"))
     maps = worded.join(live.select("node").distinct(), "node", "left_semi").select("node", F.col("n_shingles").alias("n"), "parity").dropDuplicates(["node"])
@@ -384,29 +380,38 @@ def _link(live: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
     # What is left open: signatures of three nodes or more in different components (two nodes have just been compared).
     now = live.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    spans = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("sig", "m", F.col("lo").alias("c"))
-    now = stored(now.join(spans.select("sig"), "sig", "left_semi"), "open-signatures")
+    spans = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("sig", "m")
+    now = stored(now.join(spans, "sig"), "open-signatures")
     if now.isEmpty():
         return labels
-    # Families: nodes that open signatures connect.
-    first = now.groupBy("sig").agg(F.min("node").alias("b"), F.count("*").alias("m"))
-    families = components(now.join(first, "sig").select(F.col("node").alias("a"), "b")).select("node", F.col("comp").alias("family"))
-    sizes = families.groupBy("family").agg(F.count("*").alias("s"))
-    shared = first.select(F.col("b").alias("node"), "m").join(families, "node").groupBy("family").agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("by_sig"))
-    # Of the two ways to compare what remains, the one with fewer pairs: all of a family, or those of each signature.
-    plan = stored(sizes.join(shared, "family").select("family", "s", (F.col("s") * (F.col("s") - 1) / 2 <= F.col("by_sig")).alias("whole")), "families")
-    members = stored(now.select("node", "n", "comp").distinct().join(families, "node").join(plan, "family"), "family-nodes")
-
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("s") / FAMILY_BLOCK)).cast("int")
-    dealt = members.where("whole").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("s") / FAMILY_BLOCK) - 1).cast("int"))))
-    dealt = dealt.select("family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "n", "comp")
-    more = dealt.join(nodes.select("node", "parity"), "node").groupBy("family", "lo", "hi").applyInPandas(_compare_blocks, "a long, b long")
-
-    rest = live.join(members.where("not whole").select("node", "comp"), "node")
-    other = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("single").alias("sy"), F.col("comp").alias("cy"))
-    shared = rest.join(other, "sig").where("comp < cy").where(_sizes_fit("n", "ny"))
-    shared = shared.groupBy("node", "y").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("ny").alias("ny"), F.first("single").alias("single"), F.first("sy").alias("sy"))
-    pairs = shared.where(_may_link()).select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b"))
+
+    # Families: nodes that crowded open signatures connect. A family is compared once, however many signatures it shares.
+    crowded = now.where(F.col("m") > CROWDED)
+    first = crowded.groupBy("sig").agg(F.min("node").alias("b"))
+    families = components(crowded.join(first, "sig").select(F.col("node").alias("a"), "b")).select("node", F.col("comp").alias("family"))
+    members = stored(crowded.select("node", "n", "comp").distinct().join(families, "node"), "family-nodes")
+    # Most of a family is one component by now. Its nodes need not meet each other, only the family's other nodes do.
+    sizes = members.groupBy("family", "comp").agg(F.count("*").alias("s"))
+    main = sizes.groupBy("family").agg(F.max(F.struct("s", "comp")).alias("main"), F.sum("s").alias("s"))
+    blocks = lambda s: F.ceil(s / FAMILY_BLOCK).cast("int")
+    own_blocks = main.select("family", F.col("main.comp").alias("main"), blocks(F.col("main.s")).alias("g"), blocks(F.col("s") - F.col("main.s")).alias("o")).where("o > 0")
+    dealt = members.join(own_blocks, "family").join(nodes.select("node", "parity"), "node")
+    block = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+    each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    cols = ["family", "among", "lo", "hi", "left", "node", "n", "comp", "parity"]
+    outer, inner = dealt.where("comp <> main").withColumn("block", block("o")), dealt.where("comp = main").withColumn("hi", block("g"))
+    yes, no = F.lit(True), F.lit(False)
+    more = inner.withColumn("lo", each("o")).withColumns({"among": no, "left": no}).select(cols)
+    more = more.unionByName(outer.withColumn("lo", F.col("block")).withColumn("hi", each("g")).withColumns({"among": no, "left": yes}).select(cols))
+    others = outer.withColumn("other", each("o")).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other"), "among": yes})
+    more = more.unionByName(others.withColumn("left", F.col("block") == F.col("lo")).select(cols))
+    more = more.groupBy("family", "among", "lo", "hi").applyInPandas(_compare_blocks, "a long, b long")
+
+    # All other open signatures hold CROWDED nodes at most, so pairs of a signature stay in proportion to its nodes.
+    rest = now.where(F.col("m") <= CROWDED).select("sig", "node", "n", "comp").join(families, "node", "left")
+    other = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("family").alias("fy"))
+    met = rest.join(other, "sig").where("comp < cy and not coalesce(family = fy, false)").where(_sizes_fit("n", "ny"))
+    pairs = met.select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b")).distinct()
     return components(edges.unionByName(links(plausible(pairs, nodes).unionByName(more), "rest")))
 
 
@@ -414,8 +419,8 @@ def _compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
     """Pairs of two blocks of a family (or inside one) that lie in different components and that the bitmaps do not rule out."""
     rows = rows.sort_values("n", ignore_index=True)
     node, comp, n = (rows[c].to_numpy() for c in ("node", "comp", "n"))
-    own = (rows["own"] == rows["lo"]).to_numpy()
-    inside = rows["lo"].iloc[0] == rows["hi"].iloc[0]
+    own = rows["left"].to_numpy(bool)
+    inside = rows["among"].iloc[0] and rows["lo"].iloc[0] == rows["hi"].iloc[0]
     left, right = (np.arange(len(rows)),) * 2 if inside else (np.flatnonzero(own), np.flatnonzero(~own))
     maps = [np.frombuffer(x, np.uint64) for x in rows["parity"]]
     found = []
