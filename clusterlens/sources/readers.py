@@ -44,10 +44,12 @@ def parse_kv_records(text) -> Column:
     key is the text before the first ``=``; the last duplicate wins.
     """
     toks = F.filter(F.split(F.coalesce(col_or_lit(text), F.lit("")), r"\s+"), lambda t: F.instr(t, "=") > 0)
-    keys = F.reverse(F.transform(toks, lambda t: F.substring_index(t, "=", 1)))
-    last = F.filter(toks, lambda t, i: F.array_position(keys, F.substring_index(t, "=", 1)) == F.size(toks) - i)
-    return F.map_from_entries(F.transform(last, lambda t: F.struct(
-        F.substring_index(t, "=", 1).alias("key"), F.substring(t, F.instr(t, "=") + 1, 1 << 30).alias("value"))))
+    # sorted by key and place once; an entry stays if the next one has another key
+    pairs = F.array_sort(F.transform(toks, lambda t, i: F.struct(
+        F.substring_index(t, "=", 1).alias("key"), i.alias("at"), F.substr(t, F.instr(t, "=") + 1).alias("value"))))
+    last = F.zip_with(pairs, F.slice(pairs, 2, F.greatest(F.size(toks), F.lit(1))), lambda own, following: F.when(
+        following["key"].isNull() | (own["key"] != following["key"]), F.struct(own["key"].alias("key"), own["value"].alias("value"))))
+    return F.map_from_entries(F.filter(last, lambda e: e.isNotNull()))
 
 
 def read_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -55,18 +57,20 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
     Files may be split across tasks. Each split's rows keep their order and
     carry consecutive ids, so a line's number is (lines in the earlier
-    splits of its file) + (position inside its split). Only the per-split
-    line counts — a handful of rows per file — are ranked; no file is ever
-    sorted whole.
+    splits of its file) + (position inside its split). The files are read
+    once: rows are dealt by split, and both the lines and the splits' line
+    counts come from that one exchange. Only the counts, a handful of rows
+    per file, are ranked; no file is ever sorted whole or held by one task.
     """
     raw = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("mid"), F.col("value").alias("line"))
-    splits = raw.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("mid").alias("base"))
+        F.monotonically_increasing_id().alias("mid"), F.col("value").alias("line")).repartition("path", "block")
+    # counting the lines themselves keeps all columns in the exchange, which is what lets both sides share it
+    splits = raw.groupBy("path", "block").agg(F.count("line").alias("n"), F.min("mid").alias("base"))
     w = F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     splits = splits.withColumn("offset", F.coalesce(w, F.lit(0)))
     out = raw.join(splits.select("path", "block", "base", "offset"), ["path", "block"], "inner")
-    return out.select(F.regexp_replace("path", "^file:", "").alias("path"),
+    return out.select(F.regexp_replace("path", "^file:(//)?", "").alias("path"),
                       (F.col("offset") + F.col("mid") - F.col("base") + 1).alias("lineno"), "line")
 
 
@@ -103,25 +107,40 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("metric", "labels", "ts", "value")
 
 
-_PROM = StructType([StructField("data", StructType([StructField("result", ArrayType(StructType([
+_SERIES = StructType([
     StructField("metric", MapType(StringType(), StringType())),
     StructField("value", ArrayType(StringType())),
     StructField("values", ArrayType(ArrayType(StringType()))),
-])))]))])
+])
+_ANSWER = StructType([StructField("data", StructType([StructField("result", ArrayType(_SERIES))]))])
 
 
-def read_metric_answers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Saved metrics-API answers (vector ``value`` or matrix ``values``) → samples.
+def read_metric_answers(spark: SparkSession, paths: str | Sequence[str], whole: bool = False) -> DataFrame:
+    """Saved metrics-API answers (vector ``value`` or matrix ``values``) → samples; a file may hold several answers.
 
-    ``__name__`` becomes ``metric``; ``"NaN"`` parses to NaN (filtered by
-    the operators that need it).
+    Answers are cut into series at the key ``"metric"``, with which every
+    series begins, so a file of one huge answer is still split across tasks.
+    What is cut elsewhere (a label named ``metric``, a series with other keys
+    first) does not parse and fails the job; ``whole`` reads such files, one
+    task and one answer a file. ``__name__`` becomes ``metric``; times keep
+    microseconds; ``"NaN"`` parses to NaN (filtered by the operators that need it).
     """
-    df = spark.read.schema(_PROM).option("multiLine", True).json(paths if isinstance(paths, str) else list(paths))
-    r = df.select(F.explode("data.result").alias("r"))
-    pts = r.select("r.metric", F.explode(F.coalesce(F.col("r.values"), F.array(F.col("r.value")))).alias("p")).where(F.col("p").isNotNull())
+    paths = paths if isinstance(paths, str) else list(paths)
+    if whole:
+        series = spark.read.schema(_ANSWER).option("multiLine", True).json(paths).select(F.explode("data.result").alias("r"))
+    else:
+        text = F.col("value")
+        parts = spark.read.option("lineSep", '"metric"').text(paths).where(F.trim(text) != "").withColumn("starts", F.regexp_extract("value", r"^\s*(.)", 1))
+        parsed = parts.select("starts", F.when(F.col("starts") == ":", F.from_json(F.concat(F.lit('{"metric"'), text), _SERIES)).alias("r"))
+        broken = F.when(F.col("starts") == ":", F.col("r.metric").isNull() | (F.col("r.value").isNull() & F.col("r.values").isNull())).otherwise(~F.col("starts").isin("{", "["))
+        wrong = F.raise_error(F.lit("an answer is not cut at its series (a label named metric, or other keys before it): read it with whole=True"))
+        series = parsed.select(F.when(broken, wrong.cast(_SERIES)).otherwise(F.col("r")).alias("r")).where("r is not null")
+    points = F.coalesce(F.col("r.values"), F.when(F.col("r.value").isNotNull(), F.array(F.col("r.value"))))
+    pts = series.select("r.metric", F.explode(points).alias("p"))
+    seconds = F.coalesce(F.col("p")[0].try_cast("decimal(24,6)"), F.col("p")[0].try_cast("double").try_cast("decimal(24,6)"))
     return pts.select(
         F.col("metric")["__name__"].alias("metric"),
         F.map_filter("metric", lambda k, v: k != "__name__").alias("labels"),
-        F.timestamp_micros((F.col("p")[0].try_cast("double") * 1e6).cast("bigint")).cast("timestamp_ntz").alias("ts"),
+        F.timestamp_micros((seconds * 1_000_000).cast("bigint")).cast("timestamp_ntz").alias("ts"),
         F.col("p")[1].try_cast("double").alias("value"),
     )

@@ -67,3 +67,52 @@ def test_read_docs_and_metric_answers(spark):
         json.dump(ans, f)
     s = Rd.read_metric_answers(spark, os.path.join(d, "ans.json")).orderBy("ts").collect()
     assert [r["metric"] for r in s] == ["node_load1"] * 2 and s[0]["labels"] == {"instance": "n1:9100"} and s[0]["value"] == 1.5
+
+
+def test_kv_records_of_many_tokens_and_odd_values(spark):
+    rows = [(None, {}), ("", {}), ("a= b==x =v c", {"a": "", "b": "=x", "": "v"}), (" ".join(f"k{i % 700}=v{i}" for i in range(2000)), {f"k{i % 700}": f"v{i}" for i in range(2000)})]
+    got = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "k int, t string").select("k", Rd.parse_kv_records(F.col("t")).alias("m")).collect()
+    assert {r["k"]: r["m"] for r in got} == {k: m for k, (_, m) in enumerate(rows)}
+
+
+def test_log_lines_are_read_once(spark):
+    d = _scratch()
+    with open(os.path.join(d, "a.log"), "w") as f:
+        f.write("\n".join(f"line {i}" for i in range(5000)) + "\n")
+    for key, value in (("spark.sql.files.maxPartitionBytes", "4096"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(key, value)
+    try:
+        df = Rd.read_log_lines(spark, d)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("FileScan text") == 1
+
+
+def test_metric_answers_in_splits(spark):
+    import pytest
+
+    d = _scratch()
+    series = [{"metric": {"__name__": "m", "instance": f"n{k}"}, "values": [[1704164645.123456 + j, str(k + j)] for j in range(20)]} for k in range(300)]
+    vector = {"status": "success", "data": {"resultType": "vector", "result": [{"metric": {"__name__": "v"}, "value": [1.5, "NaN"]}]}}
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write(json.dumps({"status": "success", "data": {"resultType": "matrix", "result": series}}, separators=(",", ":")) + "\n" + json.dumps(vector, indent=2) + "\n")
+        f.write(json.dumps({"status": "success", "data": {"resultType": "matrix", "result": []}}))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        df = Rd.read_metric_answers(spark, d)
+        assert df.rdd.getNumPartitions() > 5
+        rows = df.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 6001 and sum(r["value"] for r in rows if r["metric"] == "m") == sum(k + j for k in range(300) for j in range(20))
+    assert {r["ts"].microsecond for r in rows if r["metric"] == "m"} == {123456}
+    odd = _scratch()
+    with open(os.path.join(odd, "a.json"), "w") as f:
+        json.dump({"data": {"result": [{"metric": {"__name__": "m", "metric": "x"}, "value": [1, "2"]}]}}, f)
+    with pytest.raises(Exception, match="whole=True"):
+        Rd.read_metric_answers(spark, odd).collect()
+    assert [(r["metric"], r["labels"], r["value"]) for r in Rd.read_metric_answers(spark, odd, whole=True).collect()] == [("m", {"metric": "x"}, 2.0)]
