@@ -19,6 +19,11 @@ NAMES = ("({r}_base = {q}_base AND ({r}_part IS NULL OR {q}_part = {r}_part OR (
          "BETWEEN TRY_CAST(split_part(p, '-', 1) AS BIGINT) AND TRY_CAST(split_part(p, '-', -1) AS BIGINT))) > 0)))")
 
 
+# The same rule's last case alone: a pending array row that holds the requested task.
+_HOLDS = (r"starts_with({q}_part, '[') AND list_bool_or([TRY_CAST({r}_part AS BIGINT) BETWEEN TRY_CAST(split_part(p, '-', 1) AS BIGINT) AND TRY_CAST(split_part(p, '-', -1) AS BIGINT) "
+          r"FOR p IN string_split(split_part(regexp_extract({q}_part, '^\[([^\]]*)\]', 1), '%', 1), ',')])")
+
+
 def id_parts(x: str, p: str) -> str:
     return f"{_BASE_ID.format(x=x)} AS {p}_base, {_PART.format(x=x)} AS {p}_part"
 
@@ -219,17 +224,21 @@ def q_fairshare_lookup(spark, sf_dir):
 WITH r AS (SELECT DISTINCT job_id AS req_id, {_VALID_ID.format(x='job_id')} AS valid, {id_parts('job_id', 'r')} FROM job_requests),
 q AS (SELECT {id_parts('job_id', 'q')}, job_id AS queue_job_id, state AS queue_state, reason, partition, submit_ts, node_list FROM queue),
 s AS (SELECT {id_parts('step_id', 's')}, step_id, state AS acct_state, elapsed_s, max_rss FROM job_steps),
+v AS (SELECT * FROM r WHERE valid),
+qa AS (SELECT req_id, q.* EXCLUDE (q_base, q_part) FROM v JOIN q ON r_base = q_base WHERE r_part IS NULL
+       UNION ALL SELECT req_id, q.* EXCLUDE (q_base, q_part) FROM v JOIN q ON r_base = q_base AND r_part = q_part
+       UNION ALL SELECT req_id, q.* EXCLUDE (q_base, q_part) FROM v JOIN q ON r_base = q_base WHERE r_part IS NOT NULL AND {_HOLDS.format(r='r', q='q')}),
+sa AS (SELECT req_id, s.* EXCLUDE (s_base, s_part) FROM v JOIN s ON r_base = s_base WHERE r_part IS NULL
+       UNION ALL SELECT req_id, s.* EXCLUDE (s_base, s_part) FROM v JOIN s ON r_base = s_base AND r_part = s_part
+       UNION ALL SELECT req_id, s.* EXCLUDE (s_base, s_part) FROM v JOIN s ON r_base = s_base WHERE r_part IS NOT NULL AND {_HOLDS.format(r='r', q='s')}),
 a AS (SELECT req_id, 'queue' AS part, queue_job_id, queue_state, reason, partition, submit_ts, node_list,
-             NULL::VARCHAR AS step_id, NULL::VARCHAR AS acct_state, NULL::BIGINT AS elapsed_s, NULL::VARCHAR AS max_rss
-      FROM r JOIN q ON {NAMES.format(r='r', q='q')} AND valid
+             NULL::VARCHAR AS step_id, NULL::VARCHAR AS acct_state, NULL::BIGINT AS elapsed_s, NULL::VARCHAR AS max_rss FROM qa
       UNION ALL
-      SELECT req_id, 'accounting', NULL, NULL, NULL, NULL, NULL, NULL, step_id, acct_state, elapsed_s, max_rss
-      FROM r JOIN s ON {NAMES.format(r='r', q='s')} AND valid)
+      SELECT req_id, 'accounting', NULL, NULL, NULL, NULL, NULL, NULL, step_id, acct_state, elapsed_s, max_rss FROM sa)
 SELECT r.req_id AS job_id, a.* EXCLUDE (req_id), NULL::VARCHAR AS exit_code,
        CASE WHEN NOT r.valid THEN 'invalid_key' WHEN a.part IS NULL THEN 'unknown_key'
-            WHEN r.req_id NOT IN (SELECT req_id FROM a WHERE part = 'queue') THEN 'not_in_queue'
-            WHEN r.req_id NOT IN (SELECT req_id FROM a WHERE part = 'accounting') THEN 'no_accounting' ELSE 'ok' END AS status
-FROM r LEFT JOIN a USING (req_id)""", "queue", "job_steps", "job_requests"))
+            WHEN iq.req_id IS NULL THEN 'not_in_queue' WHEN ia.req_id IS NULL THEN 'no_accounting' ELSE 'ok' END AS status
+FROM r LEFT JOIN a USING (req_id) LEFT JOIN (SELECT DISTINCT req_id FROM qa) iq USING (req_id) LEFT JOIN (SELECT DISTINCT req_id FROM sa) ia USING (req_id)""", "queue", "job_steps", "job_requests"))
 def q_job_details(spark, sf_dir):
     """Live record and all accounting rows of every requested job id."""
     t = Tables(spark, sf_dir)
