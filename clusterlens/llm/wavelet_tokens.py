@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
@@ -57,7 +58,8 @@ class WordEncoder:
     """
 
     #: The contractions that the vocabulary's split pattern names, then letters, one digit, and the rest.
-    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ɏß]+|[0-9]|[^a-zà-öø-ɏß0-9]+")
+    #: A line feed, which no word holds, stands between words that are split together.
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ɏß]+|[0-9]|[^a-zà-öø-ɏß0-9\n]+|\n")
     PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
 
     def __init__(self, path: str):
@@ -71,34 +73,58 @@ class WordEncoder:
         self.spelling = {c: spelled(chr(c))[0][0] for c in range(0x80, 0x180)}
         self.words: dict[bytes, tuple[int, ...]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def word(self, word: bytes) -> tuple[int, ...]:
-        text = word.decode("utf-8", "replace")
-        if not self.PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        out: tuple[int, ...] = ()
-        for piece in self.PIECE.findall(text.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                if len(self.pieces) >= CACHE_WORDS:
-                    self.pieces.clear()
-                ids = self.pieces[piece] = tuple(t.id for t in self.tokenizer.model.tokenize(piece.translate(self.spelling)))
-            out += ids
-        return out
+        # 0: in plain words, 1: in words that the pattern has to look at, 2: in no plain word
+        self.kind = np.array([0 if 0x21 <= b <= 0x7E else 1 if 0x80 <= b < 0xC0 or 0xC3 <= b <= 0xC5 else 2 for b in range(256)], np.uint8)
+
+    def plain(self, distinct: list[bytes]) -> np.ndarray:
+        """Which words are split here."""
+        joined, size = b"".join(distinct), np.fromiter(map(len, distinct), np.int64, len(distinct))
+        worst = np.maximum.reduceat(self.kind[np.frombuffer(joined, np.uint8)], np.cumsum(size) - size)
+        for k in np.flatnonzero(worst == 1).tolist():
+            worst[k] = 0 if self.PLAIN.fullmatch(distinct[k].decode("utf-8", "replace")) else 2
+        if any(s.encode() in joined for s in self.special):
+            worst[[any(s.encode() in w for s in self.special) for w in distinct]] = 2
+        return worst == 0
+
+    def piece(self, piece: str) -> tuple[int, ...]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= CACHE_WORDS:
+                self.pieces.clear()
+            ids = self.pieces[piece] = tuple(t.id for t in self.tokenizer.model.tokenize(piece.translate(self.spelling)))
+        return ids
+
+    def plain_words(self, distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words one after another, and how many each has."""
+        found = pa.array(self.PIECE.findall(b"\n".join(distinct).decode().lower()), pa.large_string()).dictionary_encode()
+        codes, names = found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+        between = codes == (names.index("\n") if "\n" in names else -1)
+        own = [() if n == "\n" else self.piece(n) for n in names]
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter(itertools.chain.from_iterable(own), np.uint32, int(size.sum()))
+        ids = flat[ragged((np.cumsum(size) - size)[codes], size[codes])]
+        return ids, np.bincount(np.cumsum(between), size[codes], len(distinct)).astype(np.int64)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         words = words_of(texts)
-        if len(self.words) + len(words.distinct) > CACHE_WORDS:
+        if not words.distinct:
+            return [np.empty(0, np.uint32)] * len(texts)
+        plain = self.plain(words.distinct)
+        flat, own = self.plain_words([w for w, p in zip(words.distinct, plain.tolist(), strict=True) if p]) if plain.any() else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        rest = []
+        if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        known, found = self.words, []
-        for w in words.distinct:
-            ids = known.get(w)
+        for k in np.flatnonzero(~plain).tolist():
+            w = words.distinct[k]
+            ids = self.words.get(w)
             if ids is None:
-                ids = known[w] = self.word(w)
-            found.append(ids)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
-        first = np.cumsum(lengths) - lengths
+                ids = self.words[w] = tuple(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids)
+            rest.append(ids)
+        lengths, first = np.empty(len(plain), np.int64), np.empty(len(plain), np.int64)
+        lengths[plain], lengths[~plain] = own, [len(x) for x in rest]
+        first[plain] = np.cumsum(own) - own
+        first[~plain] = len(flat) + np.cumsum(lengths[~plain]) - lengths[~plain]
+        flat = np.concatenate((flat, np.fromiter(itertools.chain.from_iterable(rest), np.uint32)))
         ids = flat[ragged(first[words.codes], lengths[words.codes])]
         ends = np.concatenate(([0], np.cumsum(lengths[words.codes])))[words.starts]
         return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
