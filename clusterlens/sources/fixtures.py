@@ -10,6 +10,7 @@ All derivations are narrow projections or joins against the small
 
 from __future__ import annotations
 
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -243,14 +244,9 @@ def _instance(user_id: Column) -> Column:
     return F.concat(F.lit("node"), _pad3(user_id), F.lit(":9100"))
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metric samples (events): node exporter and GPU series with a label map.
-
-    click → load5 and boot time; view → load1; signup → memory gauges;
-    error → counters (idle CPU seconds, network bytes, XID errors) that
-    reset every 7 samples; purchase → five per-GPU gauges.
-    """
-    ev = table(spark, sf_dir, "events").withColumn("_d", F.to_date("ts"))
+def _with_counter(events: DataFrame) -> DataFrame:
+    """Events with their place in their (type, user) series, modulo 7: a counter that is reset now and then."""
+    ev = events.withColumn("_d", F.to_date("ts"))
     # Counter = position of the event in its (type, user) series, mod 7. The
     # position is numbered per day and offset by the counts of earlier days,
     # so a user holding a third of all events is still split across tasks.
@@ -260,7 +256,18 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_day = per_day.withColumn("_off", F.coalesce(F.sum("_n").over(
         Window.partitionBy(*g).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ev = ev.withColumn("_r", in_day).join(per_day.select(*g, "_d", "_off"), [*g, "_d"], "inner")
-    ev = ev.withColumn("counter", ((F.col("_off") + F.col("_r")) % 7).cast("double"))
+    return ev.withColumn("counter", ((F.col("_off") + F.col("_r")) % 7).cast("double"))
+
+
+def samples(spark: SparkSession, sf_dir: str, metrics: Collection[str] | None = None) -> DataFrame:
+    """Metric samples (events): node exporter and GPU series with a label map; of ``metrics`` alone, if given.
+
+    click → load5 and boot time; view → load1; signup → memory gauges;
+    error → counters (idle CPU seconds, network bytes, XID errors) that
+    reset every 7 samples; purchase → five per-GPU gauges. Events of a type
+    without a wanted metric are not read.
+    """
+    events = table(spark, sf_dir, "events")
     inst = _instance(F.col("user_id"))
     host = F.concat(F.lit("node"), _pad3(F.col("user_id")))
     gpu = _s(F.col("event_id") % 4)
@@ -268,13 +275,18 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     fb = F.floor(v) * 64
     none = F.lit(None).cast("string")
 
-    def emit(event_type: str, rows: list[tuple]) -> DataFrame:
+    def emit(event_type: str, rows: list[tuple]) -> DataFrame | None:
+        rows = [r for r in rows if metrics is None or r[0] in metrics]
+        if not rows:
+            return None
+        ev = events.where(F.col("event_type") == event_type)
+        ev = _with_counter(ev) if event_type == "error" else ev
         parts = [
             F.struct(F.lit(m).alias("metric"), val.cast("double").alias("value"),
                      F.map_filter(F.create_map(*[x for kv in labels for x in kv]), lambda _k, lv: lv.isNotNull()).alias("labels"))
             for m, val, labels in rows
         ]
-        return ev.where(F.col("event_type") == event_type).select("ts", F.explode(F.array(*parts)).alias("s"))
+        return ev.select("ts", F.explode(F.array(*parts)).alias("s"))
 
     node_l = [(F.lit("instance"), inst)]
     gpu_l = [(F.lit("instance"), F.concat(host, F.lit(":9400"))), (F.lit("Hostname"), host), (F.lit("gpu"), gpu),
@@ -297,6 +309,9 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
                           ("DCGM_FI_DEV_GPU_TEMP", 30 + F.floor(v) % 50, gpu_l),
                           ("DCGM_FI_DEV_POWER_USAGE", 100 + v, gpu_l)]),
     ]
+    frames = [f for f in frames if f is not None]
+    if not frames:
+        raise ValueError(f"no such metrics: {metrics}")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -440,5 +455,9 @@ class Tables:
             self._cache[name] = TABLES[name](self.spark, self.sf_dir)
         return self._cache[name]
 
+    def samples_of(self, *metrics: str) -> DataFrame:
+        """The samples of these metrics, as a store partitioned by metric gives them."""
+        return samples(self.spark, self.sf_dir, metrics)
+
     def raw(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
