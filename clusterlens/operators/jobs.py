@@ -163,6 +163,12 @@ def job_history(
     return with_total(limited, j, by)
 
 
+def short_histogram(jobs: DataFrame, as_of: str, days: float = 7, max_elapsed_s: int = 300) -> DataFrame:
+    """Short jobs (0 < elapsed < ``max_elapsed_s``) of the window counted by user, job name and elapsed seconds."""
+    short = in_window(jobs, as_of, days).where((F.col("elapsed_s") > 0) & (F.col("elapsed_s") < max_elapsed_s))
+    return short.groupBy(_user().alias("user_name"), "job_name", "elapsed_s").agg(F.count(F.lit(1)).alias("c"))
+
+
 def short_job_stats(jobs: DataFrame, as_of: str, days: float = 7, max_elapsed_s: int = 300) -> DataFrame:
     """Per user: short jobs (0 < elapsed < ``max_elapsed_s``) of the window and their upper median.
 
@@ -170,8 +176,12 @@ def short_job_stats(jobs: DataFrame, as_of: str, days: float = 7, max_elapsed_s:
     the per-user histogram of elapsed seconds — at most ``max_elapsed_s``
     values per user — so no user's jobs are ever sorted in one task.
     """
-    short = in_window(jobs, as_of, days).where((F.col("elapsed_s") > 0) & (F.col("elapsed_s") < max_elapsed_s))
-    hist = short.groupBy(_user().alias("user_name"), "elapsed_s").agg(F.count(F.lit(1)).alias("c"))
+    return short_stats_of(short_histogram(jobs, as_of, days, max_elapsed_s))
+
+
+def short_stats_of(histogram: DataFrame) -> DataFrame:
+    """``short_job_stats`` out of a ``short_histogram``."""
+    hist = histogram.groupBy("user_name", "elapsed_s").agg(F.sum("c").alias("c"))
     w = Window.partitionBy("user_name").orderBy("elapsed_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("cum", F.sum("c").over(w)).withColumn("total_short", F.sum("c").over(Window.partitionBy("user_name")))
     return hist.groupBy("user_name").agg(
@@ -180,10 +190,9 @@ def short_job_stats(jobs: DataFrame, as_of: str, days: float = 7, max_elapsed_s:
     )
 
 
-def short_name_counts(jobs: DataFrame, as_of: str, days: float = 7, max_elapsed_s: int = 300) -> DataFrame:
-    """Short jobs per (user, job name) of the window."""
-    short = in_window(jobs, as_of, days).where((F.col("elapsed_s") > 0) & (F.col("elapsed_s") < max_elapsed_s))
-    return short.groupBy(_user().alias("user_name"), "job_name").agg(F.count(F.lit(1)).alias("same_name"))
+def short_names_of(histogram: DataFrame) -> DataFrame:
+    """Short jobs per (user, job name) out of a ``short_histogram``."""
+    return histogram.groupBy("user_name", "job_name").agg(F.sum("c").alias("same_name"))
 
 
 def short_job_note(elapsed: Column, is_service: Column, total_short: Column) -> Column:

@@ -139,7 +139,8 @@ def _summary(of: Column, name: str) -> list[Column]:
 def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue: DataFrame, nodes: DataFrame,
                   scripts: DataFrame, files: DataFrame, log_lines: DataFrame, samples: DataFrame, as_of: str,
                   metrics_as_of: str | None = None, metric_jobs: DataFrame | None = None,
-                  interactive_partitions: Sequence[str] = ("visu",), roots: Sequence[str] = ("/work",), log_n: int = 30) -> DataFrame:
+                  interactive_partitions: Sequence[str] = ("visu",), roots: Sequence[str] = ("/work",), log_n: int = 30,
+                  metric_lookback: str | int | None = None) -> DataFrame:
     """Full diagnosis of each requested job in one plan.
 
     One row per requested id. A job whose queue rows are all PENDING gets the
@@ -148,7 +149,9 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
     parallelism note, their log tail (``log_tail``, the last ``log_n`` lines of each
     file; ``log_lines`` counts these, ``log_lines_total`` all lines of the files),
     node load and used memory during the run (min, max, avg; from
-    ``metric_jobs`` intervals, default ``jobs``) and the short-job note.
+    ``metric_jobs`` intervals, default ``jobs``) and the short-job note. With
+    ``metric_lookback`` these are values on the run's own grid of about 100
+    points, each the latest sample in the lookback; else all samples of the run.
     ``status``: ``pending``, ``ok``, ``unknown_key``, ``invalid_key``.
     """
     req, queue = Qo.requested_ids(ids), Qo.current(queue, as_of)
@@ -173,27 +176,27 @@ def job_diagnosis(ids: DataFrame, jobs: DataFrame, job_steps: DataFrame, queue:
         "job_id", "modules", "mechanisms", F.col("status").alias("script_status"))
     fc = Fi.file_check(scripts.join(ok, "job_id", "left_semi"), files, roots, (1 << 31) - 1).groupBy("job_id").agg(
         F.count_if(F.col("check") == "OK").alias("files_ok"), F.count_if(F.col("check") == "ABSENT").alias("files_absent"))
-    paths = L.job_log_paths(mine)
-    per_file = log_lines.join(paths.select("path").distinct(), "path", "left_semi").groupBy("path").agg(
-        F.count(F.lit(1)).alias("_all"), F.least(F.count(F.lit(1)), F.lit(log_n)).alias("_n"))
-    logs = mine.select("job_id").join(paths.join(per_file, "path", "left"), "job_id", "left").groupBy("job_id").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("log_lines"),
-        F.coalesce(F.sum("_all"), F.lit(0)).alias("log_lines_total"),
-        F.count_if(F.col("path").isNotNull() & F.col("_n").isNull()).alias("log_files_missing"))
-    # at most log_n lines of two files a job
-    tail = L.job_log_tail(mine, log_lines, log_n).where("status = 'ok'").groupBy("job_id").agg(
-        F.sort_array(F.collect_list(F.struct("label", "lineno", "path", "line"))).alias("log_tail"))
+    # at most log_n lines of two files a job; the number of a file's last line is its number of lines
+    line = F.struct("label", "lineno", "path", "line")
+    logs = L.job_log_tail(mine, log_lines, log_n).groupBy("job_id").agg(
+        F.count("lineno").alias("log_lines"),
+        F.coalesce(F.sum(F.when(F.col("from_end") == 1, F.col("lineno"))), F.lit(0)).alias("log_lines_total"),
+        F.count_if(F.col("status") == "file_not_found").alias("log_files_missing"),
+        F.sort_array(F.collect_list(F.when(F.col("status") == "ok", line))).alias("log_tail"))
     mj = (metric_jobs if metric_jobs is not None else jobs).join(ok, "job_id", "left_semi")
-    series = samples.where(F.col("metric") == "node_load5").select("metric", "labels", "ts", "value").unionByName(_mem_used_pct(samples))
-    met = I.join_interval_metrics(mj, series, metrics_as_of or as_of, ["node_load5", "mem_used_pct"])
-    met = met.groupBy("job_id").agg(*(c for m, name in (("node_load5", "load5"), ("mem_used_pct", "mem_used_pct")) for c in _summary(F.col("metric") == m, name)))
-    short = J.short_job_stats(jobs, as_of, 7).select("user_name", F.col("total_short").alias("short_total"),
-                                                      F.col("median_elapsed").alias("short_median"))
-    same = J.short_name_counts(jobs, as_of, 7).withColumnRenamed("same_name", "short_same_name")
+    if metric_lookback is None:
+        series = samples.where(F.col("metric") == "node_load5").select("metric", "labels", "ts", "value").unionByName(_mem_used_pct(samples))
+        met = I.join_interval_metrics(mj, series, metrics_as_of or as_of, ["node_load5", "mem_used_pct"]).replace("node_load5", "load5", ["metric"])
+    else:
+        met = I.run_grid_metrics(mj, samples, metrics_as_of or as_of, lookback=metric_lookback)
+    met = met.groupBy("job_id").agg(*(c for m in ("load5", "mem_used_pct") for c in _summary(F.col("metric") == m, m)))
+    histogram = J.short_histogram(jobs, as_of, 7)
+    short = J.short_stats_of(histogram).select("user_name", F.col("total_short").alias("short_total"), F.col("median_elapsed").alias("short_median"))
+    same = J.short_names_of(histogram).withColumnRenamed("same_name", "short_same_name")
     me = mine.select("job_id", "user_name", "job_name", "elapsed_s", "state")
 
     out = req.join(qb, "job_id", "left").join(me, "job_id", "left")
-    for part in (eff, sf, fc, logs, tail, met):
+    for part in (eff, sf, fc, logs, met):
         out = out.join(part, "job_id", "left")
     out = out.join(short, "user_name", "left").join(same, ["user_name", "job_name"], "left")
     svc = F.coalesce(F.col("is_service"), F.lit(False))
