@@ -96,20 +96,19 @@ def failure_clusters(
         F.col("end_ts").alias("_end"),
     ).where(F.col("state").isNotNull())
 
-    sample_key = F.when(F.col("_end").isNotNull(), F.struct("_end", "_job"))
-    clusters = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max_by("_job", sample_key).alias("sample_job"),
-        F.max("_end").alias("sample_end"),
-    ).where(F.col("n") >= min_size)
+    # One aggregate by user and exit code; clusters, their users and their codes are sums over it.
+    per = base.groupBy(*keys, "_user", "exit_code").agg(
+        F.count(F.lit(1)).alias("c"), F.max(F.when(F.col("_end").isNotNull(), F.struct("_end", "_job"))).alias("_latest"))
+    clusters = per.groupBy(*keys).agg(F.sum("c").alias("n"), F.max("_latest").alias("_latest")).where(F.col("n") >= min_size)
+    clusters = clusters.select(*keys, "n", F.col("_latest")["_job"].alias("sample_job"), F.col("_latest")["_end"].alias("sample_end"))
     ranked = top_per_group(clusters, by, [F.desc("n"), F.asc("pattern"), F.asc("state")], top)
 
-    users = base.select(*keys, "_user").distinct()
+    users = per.select(*keys, "_user").distinct()
     n_users = users.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_users"))
     shown = (top_per_group(users, keys, [F.asc("_user")], users_shown, "_r")
              .groupBy(*keys).agg(F.array_sort(F.collect_list("_user")).alias("users")))
 
-    exits = base.groupBy(*keys, "exit_code").agg(F.count(F.lit(1)).alias("c"))
+    exits = per.groupBy(*keys, "exit_code").agg(F.sum("c").alias("c"))
     n_exits = exits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_exits"))
     exits_top = (top_per_group(exits, keys, [F.desc("c"), F.asc("exit_code")], exits_shown, "_r")
                  .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_r", "exit_code", "c"))).alias("_e"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import parse as P
@@ -113,10 +113,10 @@ def cluster_logs(jobs: DataFrame, log_lines: DataFrame, by: Sequence[str] = ("ac
 def _log_list(jobs: DataFrame, log_lines: DataFrame, by: str) -> DataFrame:
     """``cluster_logs`` per group: the lines of ``cluster_logs`` in order, each with its file's exact line count; guard rows keep their status."""
     tail = cluster_logs(jobs, log_lines, [by])
-    paths = tail.select("path").distinct()
-    sizes = log_lines.join(paths, "path", "left_semi").groupBy("path").agg(F.count(F.lit(1)).alias("n_lines"))
+    # the tail ends with the file's last line, whose number is the file's number of lines
+    tail = tail.withColumn("n_lines", F.max("lineno").over(Window.partitionBy(by, "rank", "path")))
     fields = ["rank", "label", "lineno", "pattern", "state", "n", "job_id", "path", "line", "n_lines", "status"]
-    return tail.join(sizes, "path", "left").groupBy(by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("cluster_logs"))
+    return tail.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("cluster_logs"))
 
 
 def _mem_used_pct(samples: DataFrame) -> DataFrame:
