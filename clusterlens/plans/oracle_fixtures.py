@@ -25,15 +25,29 @@ _STATE = f"""CASE {K} % 10 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'TIMEOUT' WHEN 2 THE
       WHEN 3 THEN 'NODE_FAIL' WHEN 4 THEN concat('CANCELLED by ', o_custkey) WHEN 5 THEN '' ELSE 'COMPLETED' END"""
 
 _ELAPSED = "CAST(floor(o_totalprice) AS BIGINT) % 7200"
-_TWO_NODES = f"concat('node[', lpad(CAST({K} % 100 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 AS VARCHAR))) AS INTEGER), '0'), '-', lpad(CAST({K} % 100 + 1 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 + 1 AS VARCHAR))) AS INTEGER), '0'), ']')"
+# Jobs are dealt over all hosts with samples and all log files, however many there are.
+_HOSTS = "(SELECT max(user_id) + 1 FROM events)"
+_FILES = "(SELECT count(*) FROM documents)"
+
+
+def _pad3(x: str) -> str:
+    return f"lpad(CAST({x} AS VARCHAR), CAST(greatest(3, length(CAST({x} AS VARCHAR))) AS INTEGER), '0')"
+
+
+def _node_range(more: int = 1) -> str:
+    first = f"({K} % {_HOSTS})"
+    return f"concat('node[', {_pad3(first)}, '-', {_pad3(f'{first} + {more}')}, ']')"
+
+
+_TWO_NODES = _node_range()
 
 
 def _log(expr: str) -> str:
     return f"concat('/work/logs/', {expr}, '.log')"
 
 
-_STDOUT = f"""CASE {K} % 4 WHEN 0 THEN {_log(f'{K} % 1000')} WHEN 1 THEN '%x_%j.log' WHEN 2 THEN '/dev/null'
-      ELSE {_log(f'({K} + 1) % 1000')} END"""
+_STDOUT = f"""CASE {K} % 4 WHEN 0 THEN {_log(f'{K} % {_FILES}')} WHEN 1 THEN '%x_%j.log' WHEN 2 THEN '/dev/null'
+      ELSE {_log(f'({K} + 1) % {_FILES}')} END"""
 
 
 def _hms(t: str) -> str:
@@ -56,7 +70,7 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     concat('/work/u', o_custkey) AS work_dir,
     CASE WHEN {K} % 13 = 0 THEN 0 ELSE 1 END AS batch_flag,
     {_STDOUT} AS stdout,
-    CASE WHEN {K} % 3 = 0 THEN {_STDOUT} WHEN {K} % 3 = 1 THEN {_log(f'({K} * 7) % 1000')} ELSE '' END AS stderr
+    CASE WHEN {K} % 3 = 0 THEN {_STDOUT} WHEN {K} % 3 = 1 THEN {_log(f'({K} * 7) % {_FILES}')} ELSE '' END AS stderr
   FROM orders JOIN customer ON o_custkey = c_custkey""", ()),
     "job_steps": (f"""SELECT CAST({K} AS VARCHAR) AS step_id, concat('u', o_custkey) AS user_name,
     concat(substr(o_orderpriority, 3), '_', {K} % 97, '_step', {K} % 11) AS job_name,
@@ -83,7 +97,7 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
       WHEN 2 THEN 'ReqNodeNotAvail, UnavailableNodes:node001' WHEN 3 THEN 'Licenses' WHEN 4 THEN 'Resources'
       WHEN 5 THEN '' ELSE 'Priority' END AS reason,
     CAST(floor(o_totalprice) AS BIGINT) % 100000 AS priority,
-    concat('node[', lpad(CAST({K} % 100 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 AS VARCHAR))) AS INTEGER), '0'), '-', lpad(CAST({K} % 100 + 2 AS VARCHAR), CAST(greatest(3, length(CAST({K} % 100 + 2 AS VARCHAR))) AS INTEGER), '0'), ']') AS node_list
+    {_node_range(2)} AS node_list
   FROM (SELECT *, unnest(CASE WHEN {K} % 10 = 7 THEN [concat({K}, '_1'), concat({K}, '_2'), concat({K}, '_[3-6%2]')]
       WHEN {K} % 6 = 0 THEN [concat({K}, '_[1-', 1 + {K} % 20, '%4]')] WHEN {K} % 6 = 1 THEN [concat({K}, '_[1,3,5-7]')]
       ELSE [CAST({K} AS VARCHAR)] END) AS job_id

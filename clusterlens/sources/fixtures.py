@@ -73,8 +73,19 @@ def _elapsed() -> Column:
     return F.floor(F.col("o_totalprice")).cast("bigint") % 7200
 
 
-def _two_nodes(k: Column) -> Column:
-    return F.concat(F.lit("node["), _pad3(k % 100), F.lit("-"), _pad3(k % 100 + 1), F.lit("]"))
+def _hosts(spark: SparkSession, sf_dir: str) -> Column:
+    """Number of hosts with samples: jobs are dealt over all of them, however many there are."""
+    return table(spark, sf_dir, "events").agg(F.max("user_id") + 1).scalar()
+
+
+def _log_files(spark: SparkSession, sf_dir: str) -> Column:
+    """Number of log files, one for each document."""
+    return table(spark, sf_dir, "documents").agg(F.count(F.lit(1))).scalar()
+
+
+def _node_range(k: Column, hosts: Column, more: int = 1) -> Column:
+    first = k % hosts
+    return F.concat(F.lit("node["), _pad3(first), F.lit("-"), _pad3(first + more), F.lit("]"))
 
 
 def _log_file(c: Column) -> Column:
@@ -83,10 +94,10 @@ def _log_file(c: Column) -> Column:
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounting rows, one per job (orders ⋈ customer)."""
-    k = _k()
-    stdout = (F.when(k % 4 == 0, _log_file(k % 1000)).when(k % 4 == 1, F.lit("%x_%j.log"))
-              .when(k % 4 == 2, F.lit("/dev/null")).otherwise(_log_file((k + 1) % 1000)))
-    stderr = F.when(k % 3 == 0, stdout).when(k % 3 == 1, _log_file((k * 7) % 1000)).otherwise(F.lit(""))
+    k, hosts, files = _k(), _hosts(spark, sf_dir), _log_files(spark, sf_dir)
+    stdout = (F.when(k % 4 == 0, _log_file(k % files)).when(k % 4 == 1, F.lit("%x_%j.log"))
+              .when(k % 4 == 2, F.lit("/dev/null")).otherwise(_log_file((k + 1) % files)))
+    stderr = F.when(k % 3 == 0, stdout).when(k % 3 == 1, _log_file((k * 7) % files)).otherwise(F.lit(""))
     tres = F.concat(
         F.lit("cpu="), _s(1 + k % 64), F.lit(",mem="), _s(1 + k % 512), _mem_unit(k), F.lit(",node="), _s(1 + k % 4),
         F.when(k % 5 == 0, F.concat(F.lit(",gres/gpu="), _s(1 + k % 8))).otherwise(F.lit("")),
@@ -97,7 +108,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         _job_state(k).alias("state"),
         _elapsed().alias("elapsed_s"),
         tres.alias("alloc_tres"),
-        _two_nodes(k).alias("node_list"),
+        _node_range(k, hosts).alias("node_list"),
         F.timestamp_add("SECOND", -_elapsed(), F.col("o_orderdate")).alias("start_ts"),
         F.col("o_orderdate").alias("end_ts"),
         F.concat(_s(k % 3), F.lit(":0")).alias("exit_code"),
@@ -115,7 +126,7 @@ def _hms(t: Column) -> Column:
 
 def job_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounting rows with steps: one main row per order, one step per (order, line number)."""
-    k = _k()
+    k, hosts = _k(), _hosts(spark, sf_dir)
     cpu_s = F.floor(_elapsed() * (1 + k % 4) * (k % 10) / 10).cast("bigint")
     main = _orders_customer(spark, sf_dir).select(
         _s(k).alias("step_id"),
@@ -129,7 +140,7 @@ def job_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(_s(1 + k % 8), F.when(k % 4 == 0, "Gc").when(k % 4 == 1, "Gn").otherwise("G")).alias("req_mem"),
         F.when(k % 7 == 0, F.concat(_s(k % 4000), F.lit("M"))).otherwise(F.lit("")).alias("max_rss"),
         F.when(k % 9 == 0, F.lit("UNLIMITED")).otherwise(_s(30 + k % 600)).alias("timelimit_min"),
-        _two_nodes(k).alias("node_list"),
+        _node_range(k, hosts).alias("node_list"),
         F.col("o_orderdate").alias("end_ts"),
     )
     li = table(spark, sf_dir, "lineitem")
@@ -188,7 +199,7 @@ def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("submit_ts"),
         reason.alias("reason"),
         (F.floor(F.col("o_totalprice")).cast("bigint") % 100000).alias("priority"),
-        F.concat(F.lit("node["), _pad3(k % 100), F.lit("-"), _pad3(k % 100 + 2), F.lit("]")).alias("node_list"),
+        _node_range(k, _hosts(spark, sf_dir), 2).alias("node_list"),
     )
 
 
@@ -403,7 +414,7 @@ def jobs_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")))
     return table(spark, sf_dir, "orders").select(
         _s(k).alias("job_id"),
-        _two_nodes(k).alias("node_list"),
+        _node_range(k, _hosts(spark, sf_dir)).alias("node_list"),
         F.timestamp_add("SECOND", -_elapsed() * 12, end).alias("start_ts"),
         F.when(k % 20 != 0, end).alias("end_ts"),
     )
