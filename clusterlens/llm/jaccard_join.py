@@ -303,13 +303,14 @@ def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of (doc_id, text): doc_id, n_shingles, component_id, node.
+    """One row per row of (doc_id, text): doc_id, n_shingles, component_id, node, component, text_key.
 
     component_id is the smallest doc_id reachable by links. Texts that are
     null, empty or white space have no shingles and no links; their
     component_id is their own doc_id. Rows of equal shingle sets (copies,
     repeated rows) link with each other. Null doc_ids are never the smallest
-    while a component has another. An empty table gives no rows.
+    while a component has another. ``component`` is alike for linked rows, ``text_key`` is a hash of the text. An empty
+    table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -322,7 +323,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         for batch in gathered(batches, "text", BATCH_CHARS):
             sets = token_sets([utf8(t) for t in batch["text"]])
             node = pd.array([set_id(t) if len(t) else None for t in sets], dtype="Int64")
-            yield pd.DataFrame({"doc_key": batch["doc_key"], "n_shingles": [len(t) for t in sets], "node": node, "parity": [parity(t) if len(t) else None for t in sets]})
+            yield pd.DataFrame({"doc_key": batch["doc_key"], "text_key": batch["text_key"], "n_shingles": [len(t) for t in sets], "node": node, "parity": [parity(t) if len(t) else None for t in sets]})
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # of this task's documents: a group of copies sends its signatures once a task
@@ -341,8 +342,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # ids pass pandas as text: beside a null, a batch of integers would become floats, which round those from 2^53 on
     id_type = docs.schema["doc_id"].dataType
-    named = docs.select(F.col("doc_id").cast("string").alias("doc_key"), "text").mapInPandas(name, "doc_key string, n_shingles long, node long, parity binary")
-    members = stored(named.select(F.col("doc_key").cast(id_type).alias("doc_id"), "n_shingles", "node", "parity"), "members")
+    keyed = docs.select(F.col("doc_id").cast("string").alias("doc_key"), F.xxhash64("text").alias("text_key"), "text")
+    named = keyed.mapInPandas(name, "doc_key string, text_key long, n_shingles long, node long, parity binary")
+    members = stored(named.select(F.col("doc_key").cast(id_type).alias("doc_id"), "text_key", "n_shingles", "node", "parity"), "members")
 
     # A posting is live if a neighbour by size is another node of fitting size.
     by_size = Window.partitionBy("sig").orderBy("n", "node")
@@ -357,10 +359,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     chosen = stored(maps.join(by_node, "node"), "live-nodes")
     labels = _link(live, chosen, docs)
     least = chosen.join(labels, "node").groupBy("comp").agg(F.min("first").alias("least"))
-    placed = labels.join(least, "comp").select("node", "least")
-    node_ids = by_node.select("node", "first").join(placed, "node", "left").select("node", F.coalesce("least", "first").alias("component_id"))
-    placed = worded.join(node_ids, "node").select("doc_id", "n_shingles", "component_id", "node")
-    return placed.unionByName(members.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node"))
+    placed = labels.join(least, "comp").select("node", "least", "comp")
+    node_ids = by_node.select("node", "first").join(placed, "node", "left")
+    node_ids = node_ids.select("node", F.coalesce("least", "first").alias("component_id"), F.coalesce("comp", "node").alias("component"))
+    shown = ["doc_id", "n_shingles", "component_id", "node", "component", "text_key"]
+    no_words = members.where("n_shingles = 0").withColumn("component_id", F.col("doc_id")).withColumn("component", F.col("node"))
+    return worded.join(node_ids, "node").select(shown).unionByName(no_words.select(shown))
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the one with the smallest doc_id stays.
+
+    Rows go by id and text, not by id alone: of two rows of one id whose texts link, one stays (that of the smaller text
+    hash), and a row whose id is also that of a duplicate, with a text of its own, stays, too. A row without an id goes
+    if its component has a row with one; of a component without any, one row stays. Rows equal in id and text stay or
+    go together. Texts without words are no duplicates.
+    """
+    found = near_duplicates(docs).where("n_shingles > 0")
+    # Candidates to stay are few: one row of each component, but for repeated ids and components without any id.
+    first = found.where("doc_id <=> component_id")
+    stays = first.groupBy("component").agg(F.min("text_key").alias("stay_key"))
+    others = first.join(stays, "component").where("text_key <> stay_key").select("doc_id", "text_key")
+    gone = found.where("not (doc_id <=> component_id)").select("doc_id", "text_key").unionByName(others)
+    gone = stored(gone.distinct().withColumnsRenamed({"doc_id": "__id", "text_key": "__key"}), "near-duplicates")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__key"]), "left_anti")
 
 
 def _link(live: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
