@@ -65,3 +65,17 @@ def test_crowded_groups_lose_no_link_and_add_none(spark):
     want = brute(rows)
     assert len({c for _, _, c in want}) < len(rows) - 200  # many do link
     assert found(spark, rows) == want
+
+
+def test_duplicates_go_by_id_and_text(spark):
+    rng = random.Random(4)
+    a, b, c = ([f"{x}{rng.randrange(500)}" for _ in range(100)] for x in "abc")
+    near = lambda w, k: " ".join([*w[:-1], f"end{k}"])
+    rows = [(5, near(a, 0), "x"), (3, near(a, 1), "x"), (5, "a text of its own under a repeated id", "x"), (None, near(a, 2), "x"), (7, near(b, 0), "x"), (7, near(b, 1), "y"),
+            (None, near(c, 0), "z"), (None, near(c, 1), "z"), (None, near(c, 2), "z"), (None, None, "n"), (9, "", "n"), (9, None, "n"), (2, "x", "s"), (2, "x", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_key string").repartition(3)
+    kept = [tuple(r) for r in jaccard_join.drop_near_duplicates(docs).collect()]
+    assert {r for r in kept if r[1] in (near(a, 0), near(a, 1), near(a, 2))} == {(3, near(a, 1), "x")}
+    assert len([r for r in kept if r[0] == 7]) == 1 and len([r for r in kept if r[2] == "z"]) == 1
+    assert (5, "a text of its own under a repeated id", "x") in kept and len([r for r in kept if r[2] == "n"]) == 3 and len([r for r in kept if r[2] == "s"]) == 2
+    assert jaccard_join.drop_near_duplicates(docs.limit(0)).count() == 0
