@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterlens.llm import byte_bpe, exact_dedup, jaccard_join, latent_vote, mixing
-from clusterlens.llm.common import join_ids, read, small_batches, stored
+from clusterlens.llm.common import read, ship, small_batches, stored
 from clusterlens.llm.queries import MIX_SHARE, QUALITY_CUT, SOURCE_WEIGHTS
 
 
@@ -29,10 +29,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component, the document with the smallest doc_id. Rows without a doc_id stay."""
-    found = jaccard_join.near_duplicates(docs)
-    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    return join_ids(docs, gone, ["doc_id"], "left_anti", gone.count())
+    """Of each near-duplicate component, the row with the smallest doc_id."""
+    return jaccard_join.drop_near_duplicates(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,6 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
