@@ -56,6 +56,8 @@ BATCH_CHARS = 4 << 20
 CHUNK_CELLS = 2_000_000
 #: Open signatures of more nodes make families, whose nodes are compared once; of others every pair is.
 CROWDED = 64
+#: Partners that a node of a family tries first, in each block.
+NEAREST = 3
 #: Nodes of a family in one block, on average: what one comparing task holds.
 FAMILY_BLOCK = 128
 
@@ -401,7 +403,7 @@ def _link(live: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     labels = components(edges)
 
     # What is left open: signatures of three nodes or more in different components (two nodes have just been compared).
-    now = live.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    now = _with_component(live, labels)
     spans = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("sig", "m")
     now = stored(now.join(spans, "sig"), "open-signatures")
     if now.isEmpty():
@@ -411,34 +413,59 @@ def _link(live: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     crowded = now.where(F.col("m") > CROWDED)
     first = crowded.groupBy("sig").agg(F.min("node").alias("b"))
     families = components(crowded.join(first, "sig").select(F.col("node").alias("a"), "b")).select("node", F.col("comp").alias("family"))
-    members = stored(crowded.select("node", "n", "comp").distinct().join(families, "node"), "family-nodes")
-    # Most of a family is one component by now. Its nodes need not meet each other, only the family's other nodes do.
+    sized = crowded.select("node", "n").distinct().join(families, "node").join(nodes.select("node", "parity"), "node")
+    sized = stored(sized, "family-nodes")
+    # Each node outside a family's largest component first meets its nearest ones in every block: as a rule one of them
+    # is a link, and then the node's other pairs can change nothing. What still is outside meets all others.
+    if not sized.isEmpty():
+        edges = stored(edges.unionByName(links(_family_pairs(sized, labels, NEAREST), "nearest")), "links")
+        labels = components(edges)
+    more = _family_pairs(sized, labels, None)
+
+    # All other open signatures hold CROWDED nodes at most, so pairs of a signature stay in proportion to its nodes.
+    rest = _with_component(now.where(F.col("m") <= CROWDED).select("sig", "node", "n"), labels).join(families, "node", "left")
+    other = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("family").alias("fy"))
+    met = rest.join(other, "sig").where("comp < cy and not coalesce(family = fy, false)").where(_sizes_fit("n", "ny"))
+    pairs = met.select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b")).distinct()
+    return components(edges.unionByName(links(plausible(pairs, nodes).unionByName(more), "rest")))
+
+
+def _with_component(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``nodes`` with their component: by ``labels`` (node, comp), else their own."""
+    return nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _family_pairs(sized: DataFrame, labels: DataFrame, nearest: int | None) -> DataFrame:
+    """(a, b) pairs across components of each family of ``sized`` (node, n, family, parity) that the bitmaps allow.
+
+    Of each node at most the ``nearest`` ones in every block, if given. Most of a family is one component by now. Its
+    nodes need not meet each other, only the family's other nodes do, so they are dealt in blocks of their own.
+    """
+    members = _with_component(sized, labels)
     sizes = members.groupBy("family", "comp").agg(F.count("*").alias("s"))
     main = sizes.groupBy("family").agg(F.max(F.struct("s", "comp")).alias("main"), F.sum("s").alias("s"))
     blocks = lambda s: F.ceil(s / FAMILY_BLOCK).cast("int")
     own_blocks = main.select("family", F.col("main.comp").alias("main"), blocks(F.col("main.s")).alias("g"), blocks(F.col("s") - F.col("main.s")).alias("o")).where("o > 0")
-    dealt = members.join(own_blocks, "family").join(nodes.select("node", "parity"), "node")
+    dealt = members.join(own_blocks, "family")
     block = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
     each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     cols = ["family", "among", "lo", "hi", "left", "node", "n", "comp", "parity"]
     outer, inner = dealt.where("comp <> main").withColumn("block", block("o")), dealt.where("comp = main").withColumn("hi", block("g"))
     yes, no = F.lit(True), F.lit(False)
-    more = inner.withColumn("lo", each("o")).withColumns({"among": no, "left": no}).select(cols)
-    more = more.unionByName(outer.withColumn("lo", F.col("block")).withColumn("hi", each("g")).withColumns({"among": no, "left": yes}).select(cols))
+    met = inner.withColumn("lo", each("o")).withColumns({"among": no, "left": no}).select(cols)
+    met = met.unionByName(outer.withColumn("lo", F.col("block")).withColumn("hi", each("g")).withColumns({"among": no, "left": yes}).select(cols))
     others = outer.withColumn("other", each("o")).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other"), "among": yes})
-    more = more.unionByName(others.withColumn("left", F.col("block") == F.col("lo")).select(cols))
-    more = more.groupBy("family", "among", "lo", "hi").applyInPandas(_compare_blocks, "a long, b long")
+    met = met.unionByName(others.withColumn("left", F.col("block") == F.col("lo")).select(cols))
 
-    # All other open signatures hold CROWDED nodes at most, so pairs of a signature stay in proportion to its nodes.
-    rest = now.where(F.col("m") <= CROWDED).select("sig", "node", "n", "comp").join(families, "node", "left")
-    other = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("family").alias("fy"))
-    met = rest.join(other, "sig").where("comp < cy and not coalesce(family = fy, false)").where(_sizes_fit("n", "ny"))
-    pairs = met.select(F.greatest("node", "y").alias("a"), F.least("node", "y").alias("b")).distinct()
-    return components(edges.unionByName(links(plausible(pairs, nodes).unionByName(more), "rest")))
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        return _compare_blocks(rows, nearest)
+
+    return met.groupBy("family", "among", "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
-def _compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of two blocks of a family (or inside one) that lie in different components and that the bitmaps do not rule out."""
+def _compare_blocks(rows: pd.DataFrame, nearest: int | None) -> pd.DataFrame:
+    """Pairs of two blocks of a family (or inside one) that lie in different components and that the bitmaps do not rule out;
+    of each left node the ``nearest`` alone, if given."""
     rows = rows.sort_values("n", ignore_index=True)
     node, comp, n = (rows[c].to_numpy() for c in ("node", "comp", "n"))
     own = rows["left"].to_numpy(bool)
@@ -456,5 +483,8 @@ def _compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
             small = min(words, len(maps[k]))
             other = folded(theirs[np.searchsorted(those, fits)], small)
             differ = np.bitwise_count(other ^ folded(maps[k][None, :], small)).sum(axis=1, dtype=np.int64)
-            found += [(max(node[k], node[j]), min(node[k], node[j])) for j in fits[_near(differ, n[fits] + n[k])]]
+            near = np.flatnonzero(_near(differ, n[fits] + n[k]))
+            if nearest is not None and len(near) > nearest:
+                near = near[np.argsort(differ[near] / (n[fits[near]] + n[k]), kind="stable")[:nearest]]
+            found += [(max(node[k], node[j]), min(node[k], node[j])) for j in fits[near]]
     return pd.DataFrame(found, columns=["a", "b"]).drop_duplicates().astype("int64")
