@@ -254,11 +254,23 @@ GPU_GAUGES = {
 }
 
 
-def gpu_host_detail(samples: DataFrame, as_of: str, lookback: str | int = "5m", host_pattern: str | None = None) -> DataFrame:
+def gpu_host_detail(samples: DataFrame, as_of: str, lookback: str | int = "5m", host_pattern: str | None = None,
+                    wanted: DataFrame | None = None) -> DataFrame:
     """Per (host, GPU): utilisation, framebuffer used / total GiB, temperature, power, model.
 
-    Keyed by (host, gpu) — the GPU index alone repeats across hosts.
+    Keyed by (host, gpu) — the GPU index alone repeats across hosts. Of ``wanted`` hosts (host), each keeps a row with a
+    ``status``: ``ok``; ``no_gpu`` (the host has samples in the lookback, but none of a GPU); ``no_metrics`` (it has
+    none at all, which says nothing about its GPUs); ``invalid_key``.
     """
+    if wanted is not None:
+        wanted = wanted.select("host").distinct()
+        valid = Q.valid_name("host")
+        own = samples.withColumn("host", R.host_of(F.col("labels"))).join(wanted.where(valid), "host", "left_semi")
+        found = gpu_host_detail(own.drop("host"), as_of, lookback, host_pattern)
+        seen = own.where((F.col("ts") > _since(as_of, duration_us(lookback))) & (F.col("ts") <= _asof(as_of))).select("host").distinct().withColumn("_seen", F.lit(True))
+        quiet = wanted.join(found.select("host").distinct(), "host", "left_anti").join(seen, "host", "left")
+        why = F.when(~valid, "invalid_key").when(F.col("_seen"), "no_gpu").otherwise("no_metrics")
+        return found.withColumn("status", F.lit("ok")).unionByName(quiet.select("host", why.alias("status")), allowMissingColumns=True)
     v = instant_vector(samples, list(GPU_GAUGES), as_of, lookback)
     v = v.select(R.host_of(F.col("labels")).alias("host"), F.col("labels")["gpu"].alias("gpu"),
                  F.col("labels")["modelName"].alias("model"), "metric", "value")

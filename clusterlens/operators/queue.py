@@ -310,7 +310,7 @@ def fairshare_lookup(shares: DataFrame, user: str | None = None, account: str |
     """Share rows by mode: user only, account only, exactly the pair, or all.
 
     LevelFS falls back to FairShare; ``below_share`` = LevelFS < 1. When a
-    user and an account are both given and no row matches, one row with
+    user or an account is given and no row matches, one row with
     ``status = no_association`` is returned.
     """
     s = snapshot_at(shares, as_of)
@@ -325,9 +325,9 @@ def fairshare_lookup(shares: DataFrame, user: str | None = None, account: str |
     if top:
         s = top_per_group(s, [], [F.asc("account"), F.asc("user_name")], top)
     s = s.withColumn("status", F.lit("ok"))
-    if user and account:
+    if user or account:
         probe = s.sparkSession.range(1).select(
-            F.lit(account).alias("account"), F.lit(user).alias("user_name"), F.lit(None).cast("double").alias("norm_shares"),
+            F.lit(account or None).cast("string").alias("account"), F.lit(user or None).cast("string").alias("user_name"), F.lit(None).cast("double").alias("norm_shares"),
             F.lit(None).cast("double").alias("norm_usage"), F.lit(None).cast("double").alias("level_fs"),
             F.lit(None).cast("boolean").alias("below_share"), F.lit("no_association").alias("status"))
         found = s.agg(F.count(F.lit(1)).alias("_n"))

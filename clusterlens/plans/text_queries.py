@@ -114,6 +114,32 @@ _MODULES = r"""flatten(list_transform(regexp_extract_all(script, '(?m)^\s*module
     lambda ln: list_filter(regexp_split_to_array(trim(ln), '\s+'), lambda t: t != '' AND NOT starts_with(t, '-'))))"""
 
 
+@query("tail_lines_requested", W("""
+WITH w AS (SELECT DISTINCT path FROM (SELECT path FROM files UNION ALL SELECT path FROM log_lines UNION ALL SELECT concat('/work/logs/none', r_regionkey, '.log') FROM region)),
+n AS (SELECT path, count(*) AS n_lines FROM log_lines GROUP BY path),
+k AS (SELECT path, max(kind) AS kind FROM files GROUP BY path),
+t AS (SELECT path, lineno, line, row_number() OVER (PARTITION BY path ORDER BY lineno DESC) AS from_end FROM log_lines QUALIFY from_end <= 2)
+SELECT w.path, t.lineno, t.line, t.from_end, coalesce(n.n_lines, 0) AS n_lines,
+       CASE WHEN t.path IS NOT NULL THEN 'ok' WHEN k.kind = 'f' THEN 'empty' WHEN k.kind IS NOT NULL THEN 'not_a_file' ELSE 'file_not_found' END AS status
+FROM w LEFT JOIN t USING (path) LEFT JOIN n USING (path) LEFT JOIN k USING (path)""", "files", "log_lines"))
+def q_tail_lines_requested(spark, sf_dir):
+    """Last 2 lines of every log file, file and directory of the inventory and some paths that are nowhere, with a status."""
+    t = Tables(spark, sf_dir)
+    nowhere = t.raw("region").select(F.concat(F.lit("/work/logs/none"), F.col("r_regionkey").cast("string"), F.lit(".log")).alias("path"))
+    wanted = t.files.select("path").unionByName(t.log_lines.select("path")).unionByName(nowhere)
+    return L.tail_lines(t.log_lines, 2, wanted=wanted, files=t.files)
+
+
+@query("job_logs_requested", W("WITH mine AS (SELECT * FROM jobs WHERE job_id IN (SELECT job_id FROM job_requests)),\n" + log_tail_ctes("mine", 5) + """,
+u AS (SELECT DISTINCT job_id FROM job_requests WHERE job_id NOT IN (SELECT job_id FROM jobs))
+SELECT * FROM lt_out UNION ALL SELECT job_id, NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN regexp_matches(replace(replace(job_id, '_', ''), '.', ''), '^[A-Za-z0-9]+$') THEN 'unknown_key' ELSE 'invalid_key' END FROM u""", "jobs", "log_lines", "job_requests"))
+def q_job_logs_requested(spark, sf_dir):
+    """Last 5 lines of the files of every requested job, with a status for jobs that are unknown or without files."""
+    t = Tables(spark, sf_dir)
+    return L.job_log_tail(t.jobs, t.log_lines, 5, ids=t.job_requests)
+
+
 @query("script_facts", W(f"""
 SELECT j.job_id, length(s.script) AS script_chars, array_to_string({_MODULES}, ',') AS modules,
        array_to_string({_PATHS}[1:8], ',') AS paths, CASE WHEN s.script IS NULL THEN -1 ELSE len({_PATHS}) END AS n_paths, {_MECH} AS mechanisms,
