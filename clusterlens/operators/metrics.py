@@ -7,6 +7,7 @@ Times are TIMESTAMP_NTZ and every "now" is an explicit ``as_of``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -197,8 +198,13 @@ def counter_increase(samples: DataFrame, metric: str | Sequence[str], as_of: str
 
 
 def topk_nodes(samples: DataFrame, as_of: str, pattern: str = ".*", top: int = 10, lookback: str | int = "5m") -> DataFrame:
-    """The ``top`` (1..50) highest load5 among instances fully matching ``pattern`` (optional ``:9100``)."""
+    """The ``top`` (1..50) highest load5 among instances fully matching ``pattern`` (optional ``:9100``).
+
+    A pattern with other characters than those of host patterns is an error of the caller.
+    """
     positive(top, "top")
+    if not re.match(Q.PATTERN_RX, pattern):
+        raise ValueError(f"not a host pattern: {pattern!r}")
     v = instant_vector(samples, "node_load5", as_of, lookback, regex_matchers={"instance": f"(?:{pattern})(:9100)?"})
     v = v.select(R.strip_port(F.col("labels")["instance"]).alias("node"), "value", "series")
     return top_per_group(v, [], [F.desc("value"), F.asc("node"), F.asc("series")], top).drop("series")

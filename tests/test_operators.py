@@ -338,3 +338,16 @@ def test_retry_step_is_chosen_inside_the_plan(spark):
     run = lambda **kw: [(r["n"], r["step"]) for r in M.range_summary(s, "m", "2024-01-02 00:00:00", hours=5, **kw).collect()]
     assert run(step="30m", lookback="2m", retry_step="1m") == [(60, "1m")]
     assert run(step="30m", lookback="8m", retry_step="1m") == [(10, "30m")] and run(step="30m", lookback="2m", retry_step=None) == []
+
+
+def test_host_patterns_are_checked(spark):
+    import pytest
+    s = spark.createDataFrame([], "metric string, labels map<string,string>, ts timestamp_ntz, value double")
+    with pytest.raises(ValueError, match="host pattern"):
+        M.topk_nodes(s, "2024-01-02 00:00:00", "node'; x")
+
+
+def test_relative_logs_of_jobs_without_a_work_dir(spark):
+    from clusterlens.functions import scripts as S
+    rows = spark.createDataFrame([("x.log", None), ("x.log", ""), ("x.log", "/w//"), ("/a/x.log", "/w")], "p string, w string")
+    assert [r[0] for r in rows.select(S.absolute_log_path(F.col("p"), F.col("w"))).collect()] == ["x.log", "x.log", "/w/x.log", "/a/x.log"]
