@@ -86,20 +86,25 @@ class WordEncoder:
             worst[[any(s.encode() in w for s in self.special) for w in distinct]] = 2
         return worst == 0
 
-    def piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            ids = self.pieces[piece] = tuple(t.id for t in self.tokenizer.model.tokenize(piece.translate(self.spelling)))
-        return ids
+    def pieces_of(self, names: list[str]) -> list[tuple[int, ...]]:
+        """Ids of distinct pieces; each new one goes to the library's model once. A line feed has none."""
+        if len(self.pieces) + len(names) > CACHE_WORDS:
+            self.pieces.clear()
+        self.pieces["\n"] = ()
+        known, tokenize = self.pieces, self.tokenizer.model.tokenize
+        found = [known.get(n) for n in names]
+        for k, ids in enumerate(found):
+            if ids is None:
+                n = names[k]  # plain ASCII is spelled as it is
+                found[k] = known[n] = tuple([t.id for t in tokenize(n if n.isascii() else n.translate(self.spelling))])
+        return found
 
     def plain_words(self, distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of plain words one after another, and how many each has."""
         found = pa.array(self.PIECE.findall(b"\n".join(distinct).decode().lower()), pa.large_string()).dictionary_encode()
         codes, names = found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
         between = codes == (names.index("\n") if "\n" in names else -1)
-        own = [() if n == "\n" else self.piece(n) for n in names]
+        own = self.pieces_of(names)
         size = np.fromiter(map(len, own), np.int64, len(own))
         flat = np.fromiter(itertools.chain.from_iterable(own), np.uint32, int(size.sum()))
         ids = flat[ragged((np.cumsum(size) - size)[codes], size[codes])]
