@@ -278,7 +278,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
     Returns the manifest, itself written there: part, seq, file, docs, ids.
     ``end_id`` closes every document (None: nothing added). Null texts count
     as empty; a null doc_id comes first; rows of one doc_id follow each other
-    by their texts. An empty table writes no file. ``folder`` may be a path or
+    by a hash of their texts. An empty table writes no file. ``folder`` may be a path or
     a URI of a file system that pyarrow opens (file, hdfs, s3, gs).
     """
     spark = docs.sparkSession
@@ -311,8 +311,10 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
 
     dealt = (
         docs.select(F.col("doc_id").cast("string").alias("doc_key"), F.col("doc_id").alias("doc_order"), "text")
-        .repartitionByRange(n_parts, "doc_order")
-        .sortWithinPartitions("doc_order", "text")
+        # the text's hash splits an id, or the null id, that holds many rows
+        .withColumn("text_hash", F.xxhash64("text"))
+        .repartitionByRange(n_parts, "doc_order", "text_hash")
+        .sortWithinPartitions("doc_order", "text_hash", "text")
         .select("doc_key", "text")
     )
     manifest = dealt.mapInPandas(encode, "part int, seq int, file string, docs long, ids long")
