@@ -61,7 +61,11 @@ def duplicate_groups(docs: DataFrame, prefix: int = PREFIX) -> Groups:
 
 
 def mark(docs: DataFrame, found: Groups) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+
+    ``kept`` goes by id: all rows that carry the id that stays are kept, as are all rows of a group without any id, since
+    no id tells them apart. ``drop_duplicates`` keeps one of them.
+    """
     own = docs.select("doc_id", text_sha256(F.col("text")).alias("sha"))
     joined = own.join(found.groups, "sha", "left")
     return joined.select(
