@@ -21,7 +21,7 @@ import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import utf8
+from clusterlens.llm.common import give_back, utf8
 
 #: Texts above so many characters are encoded in chunks of about this many.
 CHUNK = 1 << 16
@@ -114,5 +114,6 @@ def round_trip(text: Column, rank_file: str, pattern: str) -> Column:
         for texts in batches:
             ids = [own.encode(utf8(t).decode("utf-8", "replace")) for t in texts]
             yield pd.DataFrame({"ids": [x.tobytes() for x in ids], "decoded": [own.decode(x) for x in ids]}, dtype=object)
+        give_back()
 
     return both(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import uuid
@@ -27,6 +28,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 2_000_000
 
 _shipped: set[str] = set()
+_libc = ctypes.CDLL(None)
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -167,6 +169,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(shift, lengths) + np.arange(total)
 
 
+def give_back() -> None:
+    """Return memory that a worker no longer uses to the system: workers live on, and else keep the most they ever took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def gathered(batches: Iterator[pd.DataFrame], column: str, size: int) -> Iterator[pd.DataFrame]:
     """The same rows in frames of about ``size`` characters of the text column."""
     held, total = [], 0
@@ -178,3 +188,5 @@ def gathered(batches: Iterator[pd.DataFrame], column: str, size: int) -> Iterato
             held, total = [], 0
     if held:
         yield pd.concat(held, ignore_index=True)
+    held.clear()
+    give_back()

@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import gathered, join_ids, small_batches, stored, utf8, words_of
+from clusterlens.llm.common import gathered, give_back, join_ids, small_batches, stored, utf8, words_of
 
 SHINGLE = 5
 #: Similarity of linked documents: at least 75 hundredths.
@@ -282,6 +282,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 last = batch["b"].iloc[-1]
                 centre = (last, own[last])
             yield batch.loc[linked, ["a", "b"]]
+        give_back()
 
     return _with(pairs, texts, ["packed"]).mapInPandas(check, "a long, b long")
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import gathered, labelled_sample, sample_texts, small_batches, utf8, words_of
+from clusterlens.llm.common import gathered, give_back, labelled_sample, sample_texts, small_batches, utf8, words_of
 from clusterlens.llm.features import Sparse, bucket, counted, plain, shape, spread, summed
 
 #: The classifier is fitted on at most so many labelled rows (smallest hashes of the id).
@@ -173,5 +173,6 @@ def score(text: Column, voter: Voter) -> Column:
     def vote(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.round(shared.value.score(terms([utf8(t) for t in texts])), 9))
+        give_back()
 
     return vote(text)
