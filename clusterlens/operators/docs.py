@@ -265,7 +265,9 @@ def json_leaves(text: Column, prefix: str, depth: int = MAX_DEPTH) -> Column:
                 .when(elements.isNotNull(), F.transform(elements, lambda x: node(e["path"], x)))
                 .otherwise(F.array(node(e["path"], e["value"], F.coalesce(_kind(F.schema_of_variant(e["value"])), F.lit("null"))))))
 
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(depth + 1)), F.array(node(F.lit(prefix), root)), lambda nodes, _: F.flatten(F.transform(nodes, open_up)))
+    # most texts are shallow: once every node has its kind the levels left change nothing
+    step = lambda nodes, _: F.when(F.exists(nodes, lambda e: e["kind"].isNull()), F.flatten(F.transform(nodes, open_up))).otherwise(nodes)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(depth + 1)), F.array(node(F.lit(prefix), root)), step)
     leaves = F.transform(walked, lambda e: F.struct(e["path"].alias("field"), F.coalesce(e["kind"], _kind(F.schema_of_variant(e["value"]))).alias("type")))
     return F.when(root.isNotNull(), F.array_distinct(F.filter(leaves, lambda x: x["type"] != "null")))
 
@@ -283,16 +285,21 @@ def field_catalog(docs: DataFrame, json_fields: Sequence[str] = ("props",), top:
     no = F.lit(None).cast("string")
     entry = lambda field, kind, n: F.struct(field.alias("field"), kind.alias("type"), n.cast("long").alias("n"))
     plain = [entry(F.lit(c), _kind(F.lit(t)), F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0)) for c, t in own]
-    found = [F.coalesce(json_leaves(F.col(f"`{j}`"), j, depth), F.array().cast("array<struct<field:string,type:string>>")) for j in json_fields]
+    # each text is walked once, in a projection of its own; unreadable ones have no array
+    walked = docs.select("*", *[json_leaves(F.col(f"`{j}`"), j, depth).alias(f"_leaves{k}") for k, j in enumerate(json_fields)])
+    found = [F.coalesce(F.col(f"_leaves{k}"), F.array().cast("array<struct<field:string,type:string>>")) for k in range(len(json_fields))]
     # each distinct (field, type) of a document once, without a count, and each field once, counted
     nested = [x for f in found for x in (F.transform(f, lambda e: entry(e["field"], e["type"], F.lit(0))),
                                          F.transform(F.array_distinct(F.transform(f, lambda e: e["field"])), lambda p: entry(p, no, F.lit(1))))]
     unreadable = F.lit(False)
     for j in json_fields:
         unreadable = unreadable | (F.col(f"`{j}`").isNotNull() & F.try_parse_json(F.col(f"`{j}`")).isNull())
-    per = docs.select(*by, F.explode(F.concat(F.array(*plain), *nested)).alias("e")).select(*by, "e.*").groupBy(*by, "field").agg(
+    per = walked.select(*by, F.explode(F.concat(F.array(*plain), *nested)).alias("e")).select(*by, "e.*").groupBy(*by, "field").agg(
         F.array_join(F.array_sort(F.collect_set("type")), "|").alias("type"), F.sum("n").alias("n_docs"))
     per = per.withColumn("conflict", F.contains("type", F.lit("|")))
     totals = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("n_docs_total"), F.count_if(unreadable).alias("n_unreadable"))
-    shown = with_total(top_per_group(per, by, [F.asc("field")], top), per, by, "n_fields")
+    # fields are counted by a condition that always holds but needs all columns, so that the documents are walked once for both
+    n_fields = F.count_if((F.length("type") >= 0) & (F.col("n_docs") >= 0)).alias("n_fields")
+    shown = top_per_group(per, by, [F.asc("field")], top)
+    shown = shown.join(per.groupBy(*by).agg(n_fields), by, "left") if by else attach_row(shown, per.agg(n_fields))
     return shown.join(totals, by, "left") if by else attach_row(shown, totals)
