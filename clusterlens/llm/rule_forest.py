@@ -4,13 +4,14 @@ Each document's statistics (words, symbols, repeated lines and 8-word
 windows, case, punctuation) are exact counts over its whole text. Random
 splits isolate unusual documents in few steps; the mean path length over all
 trees gives an anomaly score, and the cut between kept and dropped is set on
-labelled rows, so that at most ``GOOD_LOSS`` of the good ones fall.
+all labelled rows, so that at most ``GOOD_LOSS`` of the good ones fall. As the
+method has it, each tree is grown over a draw of ``SUBSAMPLE`` of all good rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,13 +19,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import gathered, labelled_sample, ragged, sample_texts, small_batches, utf8, words_of
+from clusterlens.llm.common import gathered, give_back, labelled_ids, labelled_texts, ragged, small_batches, stored, utf8, words_of
+from clusterlens.operators.guards import top_per_group
 
-#: Forest and cut are fitted on at most so many labelled rows (smallest hashes of the id).
-MAX_LABELLED = 8000
 TREES, SUBSAMPLE, DEPTH = 128, 256, 12
 #: Share of the good labelled rows that the cut may lose.
 GOOD_LOSS = 0.002
+#: Scores are counted in so many steps to set the cut.
+SCORE_STEPS = 1 << 18
 WINDOW = 8
 BATCH_CHARS = 4 << 20
 
@@ -171,16 +173,14 @@ class Forest:
         return out
 
 
-def grow(rows: np.ndarray, reach: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, depth: int = DEPTH, seed: int = 11) -> Forest:
-    """Trees over subsamples of the usual rows. Cuts are drawn from the range that each feature has in ``reach``,
+def grow(draws: Iterable[np.ndarray], size: int, low: np.ndarray, high: np.ndarray, depth: int = DEPTH, seed: int = 11) -> Forest:
+    """One tree over each draw of ``size`` usual rows. Cuts are drawn from the range ``low`` .. ``high`` that each feature has in
     all labelled rows, so a feature that never varies among usual rows still isolates rows that depart in it."""
     rng = np.random.default_rng(seed)
-    size = min(subsample, len(rows))
-    low, high = (reach.min(axis=0), reach.max(axis=0)) if len(reach) else (np.zeros(0), np.zeros(0))
     grown = []
-    for _ in range(trees if len(rows) > 1 and (high > low).any() else 0):
+    for drawn in draws if size > 1 and (high > low).any() else ():
         nodes: list[list[float]] = [[-1, 0.0, 0, 0.0]]
-        todo = [(0, rows[rng.choice(len(rows), size, replace=False)], 0, low, high)]
+        todo = [(0, drawn, 0, low, high)]
         while todo:
             k, own, level, lo, hi = todo.pop()
             if level >= depth or len(own) <= 1:
@@ -203,31 +203,58 @@ def grow(rows: np.ndarray, reach: np.ndarray, trees: int = TREES, subsample: int
     return Forest(flat[:, :, 0].astype(np.int64), flat[:, :, 1], flat[:, :, 2].astype(np.int64), flat[:, :, 3], _steps(size))
 
 
-def fit(found: pd.DataFrame, labels: np.ndarray, loss: float = GOOD_LOSS) -> Forest:
-    """The forest over good rows that pass the base rules, and the cut calibrated on all labelled rows.
+def cut_of(scores: np.ndarray, good: np.ndarray, bad: np.ndarray, loss: float = GOOD_LOSS) -> float:
+    """The cut for distinct ascending ``scores``, of which so many good and bad rows have each.
 
-    The cut is the score with the best difference of dropped bad and dropped
-    good shares, among those that lose at most ``loss`` of the good rows.
-    Without any good row nothing is dropped.
+    It is the score with the best difference of dropped bad and dropped good shares, among those that lose at most
+    ``loss`` of the good rows; the middle of several equal ones if no good row lies between. Without any good row nothing is dropped.
     """
+    n_good, n_bad = int(good.sum()), int(bad.sum())
+    if not n_good:
+        return np.inf
+    kept = np.cumsum(good)
+    first = int(np.searchsorted(kept, max(1, int(np.ceil(n_good * (1 - loss))))))
+    gain = (n_bad - np.cumsum(bad)) / max(1, n_bad) - (n_good - kept) / n_good
+    best = first + np.flatnonzero(gain[first:] >= gain[first:].max() - 1e-12)
+    best = best[good[best] + bad[best] > 0]
+    alone = good[best[0] + 1 : best[-1] + 1].sum() == 0
+    return float(scores[best].mean()) if len(best) > 1 and alone else float(scores[best[0]])
+
+
+def fit(found: pd.DataFrame, labels: np.ndarray, loss: float = GOOD_LOSS, seed: int = 11) -> Forest:
+    """The forest over good rows that pass the base rules, and the cut calibrated on all labelled rows, of rows in memory."""
     passed = ~base_failed(found)
     rows, y = found.loc[passed, FEATURES].to_numpy(float), labels[passed]
-    if not (y == 1).any():
-        return grow(rows[:0], rows)
-    forest = grow(rows[y == 1], rows)
-    scores = forest.score(rows)
-    good, bad = np.sort(scores[y == 1]), scores[y != 1]
-    least = good[max(0, int(np.ceil(len(good) * (1 - loss))) - 1)]
-    options = np.unique(np.concatenate(([least], good[good >= least], bad[bad >= least])))
-    gain = [(bad > c).mean() - (good > c).mean() if len(bad) else -(good > c).mean() for c in options]
-    best = np.flatnonzero(np.array(gain) >= max(gain) - 1e-12)
-    forest.limit = float(options[best].mean()) if len(best) > 1 and not ((good > options[best[0]]) & (good <= options[best[-1]])).any() else float(options[best[0]])
+    usual, rng = rows[y == 1], np.random.default_rng(seed)
+    size = min(SUBSAMPLE, len(usual))
+    low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (np.zeros(0), np.zeros(0))
+    forest = grow((usual[rng.choice(len(usual), size, replace=False)] for _ in range(TREES)), size, low, high)
+    scores, at = np.unique(forest.score(rows), return_inverse=True)
+    forest.limit = cut_of(scores, np.bincount(at, y == 1, len(scores)), np.bincount(at, y != 1, len(scores)), loss)
     return forest
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled: int = MAX_LABELLED) -> Forest:
-    """Fit on labelled rows outside the held-out fold; the driver gets a few numbers of each sampled row."""
-    small_batches(docs.sparkSession)
+def draws(good: DataFrame, n_good: int) -> list[np.ndarray]:
+    """For each tree ``SUBSAMPLE`` of all ``good`` rows (all, if fewer), taken by the smallest hashes of id and tree, so reruns agree.
+
+    A row is dealt to as many trees as it takes to give each some two subsamples to choose from: to all of them
+    where rows are few, to one where they are many. The driver gets the chosen rows alone.
+    """
+    times = min(TREES, -(-2 * TREES * SUBSAMPLE // max(1, n_good)))
+    tree = F.explode(F.transform(F.sequence(F.lit(0), F.lit(times - 1)), lambda k: F.pmod(F.xxhash64("doc_id") + k, F.lit(TREES))))
+    dealt = good.select("doc_id", *FEATURES, tree.alias("tree")).withColumn("h", F.xxhash64("doc_id", "tree"))
+    rows = top_per_group(dealt, ["tree"], [F.asc("h"), F.asc("doc_id")], SUBSAMPLE).toPandas().sort_values(["tree", "rank"])
+    return [own[FEATURES].to_numpy(float) for _, own in rows.groupby("tree")]
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Forest:
+    """Fit on all labelled rows outside the held-out fold.
+
+    Their statistics are stored in the shared folder; the driver gets the features' ranges, the rows drawn for the trees and the number
+    of good and bad rows at each step of the score, none of which grows with the table.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in gathered(batches, "text", BATCH_CHARS):
@@ -235,9 +262,27 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labell
             yield out.assign(doc_id=batch["doc_id"].to_numpy(), y=batch["y"].to_numpy())
 
     schema = "n_words long, n_repeat_words long, " + ", ".join(f"{f} double" for f in FEATURES) + ", doc_id long, y int"
-    rows = sample_texts(docs, labelled_sample(labels, label, max_labelled)).mapInPandas(measure, schema).toPandas()
-    rows = rows.sort_values(["doc_id", *FEATURES], kind="stable").reset_index(drop=True)
-    return fit(rows, rows["y"].to_numpy())
+    measured = stored(labelled_texts(docs, labelled_ids(labels, label)).mapInPandas(measure, schema), "rule-statistics")
+    rows = measured.where((F.col("n_words") >= 20) & (100 * F.col("n_repeat_words") <= 30 * F.col("n_words")))
+    good = rows.where("y = 1")
+    reach = rows.agg(F.count_if(F.col("y") == 1).alias("n_good"), *[g(f).alias(f"{g.__name__}_{f}") for g in (F.min, F.max) for f in FEATURES]).first()
+    if not reach["n_good"]:
+        return grow((), 0, np.zeros(0), np.zeros(0))
+    low, high = (np.array([reach[f"{g}_{f}"] for f in FEATURES]) for g in ("min", "max"))
+    forest = grow(draws(good, reach["n_good"]), min(SUBSAMPLE, reach["n_good"]), low, high)
+    shared = spark.sparkContext.broadcast(forest)
+
+    def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            scores = shared.value.score(batch[FEATURES].to_numpy(float))
+            yield pd.DataFrame({"step": np.ceil(scores * SCORE_STEPS).astype(np.int64), "good": batch["y"].to_numpy() == 1})
+        give_back()
+
+    counts = rows.select("y", *FEATURES).mapInPandas(steps, "step long, good boolean").groupBy("step").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).toPandas().sort_values("step")
+    # rounded up: a row's score is at most its step
+    forest.limit = cut_of(counts["step"].to_numpy() / SCORE_STEPS, counts["good"].to_numpy(), counts["bad"].to_numpy())
+    return forest
 
 
 def judge(text: Column, forest: Forest) -> Column:

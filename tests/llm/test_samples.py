@@ -1,5 +1,8 @@
 """What classifiers learn from: bounded samples, one row an id, and swaps of odd letters."""
 
+import zlib
+
+import numpy as np
 import pytest
 
 from clusterlens.llm import latent_vote, rule_forest, toxicity
@@ -28,3 +31,36 @@ def test_training_takes_repeated_ids_and_odd_letters(spark, train, label):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(40)], f"doc_id long, {label} int")
     assert train(docs, labels, label) is not None
+
+
+def test_the_rule_forest_learns_from_every_labelled_row(spark, monkeypatch):
+    """Odd good rows are 1 in 1,000 (kept: at most 2 in 1,000 may fall) and bad rows have marks of their own; cut and ranges are those of all rows."""
+    usual = " ".join(f"word{k}" for k in range(30))
+    rows = [(k, usual + f" tail{k % 50}" + (" ! ? !" if k % 500 == 7 else "") if k % 10 else usual + " ###" * (k % 7 + 1)) for k in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k % 10 > 0)) for k in range(12_000)], "doc_id long, quality int")
+    counted = []
+    cut_of = rule_forest.cut_of
+    monkeypatch.setattr(rule_forest, "cut_of", lambda s, good, bad, *a: counted.append((good.sum(), bad.sum())) or cut_of(s, good, bad, *a))
+    forest = rule_forest.train(docs, labels)
+    taught = [k for k in range(12_000) if zlib.crc32(str(k).encode()) % 5]
+    assert len(taught) > 9000 and counted == [(sum(k % 10 > 0 for k in taught), sum(k % 10 == 0 for k in taught))]
+    assert len(forest.feature) == rule_forest.TREES and 0 < forest.limit < 1
+    again = rule_forest.train(docs.repartition(3), labels)
+    assert again.limit == forest.limit and (again.cut == forest.cut).all()
+
+
+def test_the_cut_is_that_of_single_scores():
+    """Counts at distinct scores give the cut that every candidate tried by itself gives."""
+    rng = np.random.default_rng(4)
+    for n_good, n_bad, loss in ((500, 40, 0.002), (500, 40, 0.05), (30, 0, 0.1), (1, 5, 0.002), (400, 400, 0.2)):
+        good, bad = np.round(rng.normal(0.45, 0.05, n_good), 2), np.round(rng.normal(0.6, 0.08, n_bad), 2)
+        least = np.sort(good)[max(0, int(np.ceil(n_good * (1 - loss))) - 1)]
+        options = np.unique(np.concatenate(([least], good[good >= least], bad[bad >= least])))
+        gain = np.array([((bad > c).mean() if n_bad else 0) - (good > c).mean() for c in options])
+        best = options[gain >= gain.max() - 1e-12]
+        want = best.mean() if not ((good > best[0]) & (good <= best[-1])).any() else best[0]
+        scores = np.unique(np.concatenate((good, bad)))
+        got = rule_forest.cut_of(scores, (good == scores[:, None]).sum(axis=1), (bad == scores[:, None]).sum(axis=1), loss)
+        assert abs(got - want) < 1e-12
+    assert rule_forest.cut_of(np.array([0.5]), np.array([0]), np.array([3])) == np.inf
