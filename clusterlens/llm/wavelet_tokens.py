@@ -15,6 +15,7 @@ and finds its occurrences from the planes, decompressing only frames it needs.
 
 from __future__ import annotations
 
+import array
 import itertools
 import json
 import os
@@ -61,6 +62,8 @@ class WordEncoder:
     #: A line feed, which no word holds, stands between words that are split together.
     PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ɏß]+|[0-9]|[^a-zà-öø-ɏß0-9\n]+|\n")
     PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+    #: The characters between U+00C0 and U+017F that it leaves out: signs, and a letter that two lower-case ones replace.
+    NOT_PLAIN = [c.encode() for c in "\u00d7\u00f7\u0130"]
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,42 +75,55 @@ class WordEncoder:
         spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {c: spelled(chr(c))[0][0] for c in range(0x80, 0x180)}
         self.words: dict[bytes, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        # 0: in plain words, 1: in words that the pattern has to look at, 2: in no plain word
-        self.kind = np.array([0 if 0x21 <= b <= 0x7E else 1 if 0x80 <= b < 0xC0 or 0xC3 <= b <= 0xC5 else 2 for b in range(256)], np.uint8)
+        # Numbers of the pieces; the ids of piece k are flat[first[k] : first[k + 1]].
+        self.pieces: dict[str, int] = {}
+        self.flat, self.first = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        # Bytes of no plain word. A line feed stands behind each.
+        self.odd = np.array([not (b == 0x0A or 0x21 <= b <= 0x7E or 0x80 <= b < 0xC0 or 0xC3 <= b <= 0xC5) for b in range(256)])
 
     def plain(self, distinct: list[bytes]) -> np.ndarray:
-        """Which words are split here."""
-        joined, size = b"".join(distinct), np.fromiter(map(len, distinct), np.int64, len(distinct))
-        worst = np.maximum.reduceat(self.kind[np.frombuffer(joined, np.uint8)], np.cumsum(size) - size)
-        for k in np.flatnonzero(worst == 1).tolist():
-            worst[k] = 0 if self.PLAIN.fullmatch(distinct[k].decode("utf-8", "replace")) else 2
+        """Which words are split here: those that ``PLAIN`` fits. They hold ASCII, and whole pairs of bytes from C3 80 on."""
+        joined, size = b"\n".join(distinct) + b"\n", np.fromiter(map(len, distinct), np.int64, len(distinct)) + 1
+        raw = np.frombuffer(joined, np.uint8)
+        first, second = raw[:-1], raw[1:]
+        odd = self.odd[raw]
+        leads, follows = (first >= 0xC3) & (first <= 0xC5), (second >= 0x80) & (second < 0xC0)
+        odd[:-1] |= leads & ~follows
+        odd[1:] |= follows & ~leads
+        for pair in self.NOT_PLAIN:
+            odd[:-1] |= (first == pair[0]) & (second == pair[1])
+        worst = np.logical_or.reduceat(odd, np.cumsum(size) - size)
         if any(s.encode() in joined for s in self.special):
-            worst[[any(s.encode() in w for s in self.special) for w in distinct]] = 2
-        return worst == 0
+            worst[[any(s.encode() in w for s in self.special) for w in distinct]] = True
+        return ~worst
 
-    def pieces_of(self, names: list[str]) -> list[tuple[int, ...]]:
-        """Ids of distinct pieces; each new one goes to the library's model once. A line feed has none."""
+    def pieces_of(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where ``flat`` holds the ids of distinct pieces, and how many each has; a new one goes to the library's model once. A line feed has none."""
         if len(self.pieces) + len(names) > CACHE_WORDS:
             self.pieces.clear()
-        self.pieces["\n"] = ()
+            self.flat, self.first = np.empty(0, np.uint32), np.zeros(1, np.int64)
         known, tokenize = self.pieces, self.tokenizer.model.tokenize
-        found = [known.get(n) for n in names]
-        for k, ids in enumerate(found):
-            if ids is None:
-                n = names[k]  # plain ASCII is spelled as it is
-                found[k] = known[n] = tuple([t.id for t in tokenize(n if n.isascii() else n.translate(self.spelling))])
-        return found
+        own = np.fromiter(map(known.get, names, itertools.repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(own < 0)
+        ids, ends = array.array("I"), []
+        for k in new.tolist():
+            n = names[k]  # plain ASCII is spelled as it is
+            if n != "\n":
+                ids.extend([t.id for t in tokenize(n if n.isascii() else n.translate(self.spelling))])
+            known[n] = len(known)
+            ends.append(len(ids))
+        own[new] = np.arange(len(known) - len(new), len(known))
+        self.first = np.concatenate((self.first, self.first[-1] + np.array(ends, np.int64)))
+        self.flat = np.concatenate((self.flat, np.array(ids, np.uint32)))
+        return self.first[own], self.first[own + 1] - self.first[own]
 
     def plain_words(self, distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of plain words one after another, and how many each has."""
         found = pa.array(self.PIECE.findall(b"\n".join(distinct).decode().lower()), pa.large_string()).dictionary_encode()
-        codes, names = found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+        codes, names = found.indices.to_numpy(), found.dictionary.to_numpy(zero_copy_only=False).tolist()
         between = codes == (names.index("\n") if "\n" in names else -1)
-        own = self.pieces_of(names)
-        size = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter(itertools.chain.from_iterable(own), np.uint32, int(size.sum()))
-        ids = flat[ragged((np.cumsum(size) - size)[codes], size[codes])]
+        first, size = self.pieces_of(names)
+        ids = self.flat[ragged(first[codes], size[codes])]
         return ids, np.bincount(np.cumsum(between), size[codes], len(distinct)).astype(np.int64)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -159,12 +175,12 @@ def build_file(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -
     top = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     level = ids.astype(np.uint16 if top <= 16 else np.uint32)
     for bit in range(top - 1, -1, -1):
-        ones = (level >> bit) & 1 == 1
+        ones = level & level.dtype.type(1 << bit) != 0
         packed = np.packbits(ones, bitorder="little")
         frames = [put(packed[k : k + FRAME_BITS // 8].tobytes()) for k in range(0, len(packed), FRAME_BITS // 8)]
         counts = np.cumsum([0, *(int(np.bitwise_count(packed[k : k + FRAME_BITS // 8]).sum()) for k in range(0, len(packed), FRAME_BITS // 8))])
         header["planes"].append({"bit": bit, "zeros": int(len(level) - counts[-1]), "frames": frames, "before": counts[:-1].tolist()})
-        level = np.concatenate((level[~ones], level[ones]))
+        level = np.concatenate((level.compress(~ones), level.compress(ones)))
     head = json.dumps(header, separators=(",", ":")).encode()
     return b"".join((MAGIC, struct.pack("<Q", len(head)), head, *body))
 
@@ -256,8 +272,9 @@ class WaveletFile:
         for p in range(len(self.planes) - 1, -1, -1):
             bits, zeros = self._bits(p), self.planes[p]["zeros"]
             up = np.empty_like(out)
-            up[~bits] = out[:zeros]
-            up[bits] = out[zeros:] | out.dtype.type(1 << self.planes[p]["bit"])
+            # by place: a mask of mixed bits is slow to assign through
+            up[np.flatnonzero(~bits)] = out[:zeros]
+            up[np.flatnonzero(bits)] = out[zeros:] | out.dtype.type(1 << self.planes[p]["bit"])
             out = up
         return out
 
