@@ -51,7 +51,8 @@ CELL_BITS, BUCKET_BITS = 28, 8
 SIGNATURE = np.uint64((1 << 48) - 1)
 #: Documents of fewer tokens sign every token alone.
 SMALL = 8
-BATCH_CHARS = 4 << 20
+#: Texts analysed together up to about so many characters: what was made of 4 << 20 took some 190 MB of a worker.
+BATCH_CHARS = 1 << 19
 #: Cells counted together by one task before they are sent.
 CHUNK_CELLS = 2_000_000
 #: Open signatures of more nodes make families, whose nodes are compared once; of others every pair is.

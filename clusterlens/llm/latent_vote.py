@@ -34,6 +34,8 @@ NEIGHBOURS = 31
 SHARPNESS = 8
 BATCH_CHARS = 4 << 20
 BLOCK = 512
+#: Rows of the sample that are weighted at a time.
+FIT_BLOCK = 64
 
 
 def terms(texts: list[bytes]) -> Sparse:
@@ -122,14 +124,19 @@ def fit(found: Sparse, labels: np.ndarray, rank: int = RANK) -> Voter:
     """Latent space and labelled vectors. Without labelled rows every text scores one half; a single label is the answer for all."""
     keep = np.diff(found.starts) > 0
     prior = float(labels.mean()) if len(labels) else 0.5
-    rows = found.dense(0, len(found), DIMS)[keep]
     labels = labels[keep].astype(float)
-    idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1
+    idf = np.log((1 + len(labels)) / (1 + np.bincount(found.columns[found.values > 0], minlength=DIMS))).astype(np.float32) + 1
     voter = Voter(idf, np.zeros((DIMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), prior)
-    if not len(rows):
+    if not len(labels):
         return voter
-    weighted = voter.weighted(rows)
-    basis = np.random.default_rng(7).standard_normal((DIMS, min(rank + 16, len(rows)))).astype(np.float32)
+    # The one dense matrix of the driver, filled a few rows at a time: its counts and its parts never stand beside it whole.
+    weighted, at = np.empty((len(labels), DIMS), np.float32), 0
+    for lo in range(0, len(found), FIT_BLOCK):
+        hi = min(lo + FIT_BLOCK, len(found))
+        rows = found.dense(lo, hi, DIMS)[keep[lo:hi]]
+        weighted[at : at + len(rows)] = voter.weighted(rows)
+        at += len(rows)
+    basis = np.random.default_rng(7).standard_normal((DIMS, min(rank + 16, len(labels)))).astype(np.float32)
     for _ in range(4):  # subspace iteration for the leading right singular vectors
         basis = np.linalg.qr(weighted.T @ (weighted @ basis))[0]
     _, _, right = np.linalg.svd(weighted @ basis, full_matrices=False)
@@ -160,7 +167,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labell
     """Fit on labelled rows outside the held-out fold. Repeated ids count with their lower label."""
     small_batches(docs.sparkSession)
     sample = labelled_sample(labels, label, max_labelled)
-    return fit(*collect_terms(sample_texts(docs, sample)))
+    voter = fit(*collect_terms(sample_texts(docs, sample)))
+    give_back()
+    return voter
 
 
 def score(text: Column, voter: Voter) -> Column:

@@ -269,6 +269,7 @@ def mixed_rows(docs: DataFrame, found: Mix, n_shards: int, seed: int = SEED) ->
     uses = used.join(found.shards, ["source_key", "block"]).where("copy < copies").groupBy("source_key", "h").agg(F.collect_list(F.struct("copy", "shard")).alias("__uses"))
     keyed = docs.withColumn("__mix_h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("__mix_source", source_key())
     uses = uses.withColumnsRenamed({"source_key": "__mix_source", "h": "__mix_h"})
-    rows = join_ids(keyed, uses, ["__mix_source", "__mix_h"], "inner", uses.count(), limit=500_000)
+    # Uses grow with the documents: no hint, so that the driver holds them only where Spark finds them small.
+    rows = keyed.join(uses, ["__mix_source", "__mix_h"])
     rows = rows.withColumn("__use", F.explode("__uses")).withColumn("__shard", F.col("__use.shard")).withColumn("__order", F.xxhash64("__mix_h", "__use.copy", F.lit(seed + 1)))
     return rows.repartition(n_shards, "__shard").sortWithinPartitions("__shard", "__order").select(*names)

@@ -1,11 +1,12 @@
 """What classifiers learn from: bounded samples, one row an id, and swaps of odd letters."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
-from clusterlens.llm import latent_vote, rule_forest, toxicity
+from clusterlens.llm import latent_vote, mixing, rule_forest, toxicity
 from clusterlens.llm.common import labelled_sample, sample_texts
 
 
@@ -64,3 +65,34 @@ def test_the_cut_is_that_of_single_scores():
         got = rule_forest.cut_of(scores, (good == scores[:, None]).sum(axis=1), (bad == scores[:, None]).sum(axis=1), loss)
         assert abs(got - want) < 1e-12
     assert rule_forest.cut_of(np.array([0.5]), np.array([0]), np.array([3])) == np.inf
+
+
+def test_the_fit_holds_one_dense_matrix():
+    """What the driver needs beside the weighted rows of the sample is small, and the fit is that of the whole matrices."""
+    rng = np.random.default_rng(9)
+    found = latent_vote.terms([" ".join(f"word{w}" for w in rng.zipf(1.4, 60) % 5000).encode() for _ in range(1500)] + [b"", b" "])
+    labels = rng.integers(0, 2, len(found)).astype(float)
+    tracemalloc.start()
+    voter = latent_vote.fit(found, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.6 * 1500 * latent_vote.DIMS * 4
+    rows = found.dense(0, len(found), latent_vote.DIMS)[:1500]
+    assert (voter.idf == np.log(1501 / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1).all()
+    assert np.allclose(voter.vectors, voter.latent(rows), atol=1e-5) and (voter.labels == labels[:1500]).all() and voter.prior == labels.mean()
+
+
+def test_the_uses_of_a_mix_are_not_sent_to_the_driver(spark):
+    """Uses are as many as documents: only Spark's own measure of their size may have them broadcast."""
+    docs = spark.createDataFrame([(k, f"some words {k}", "ab"[k % 2]) for k in range(400)], "doc_id long, text string, source string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = mixing.mix(docs, [3.0, 1.0], 1.5, n_shards=4)
+        rows = mixing.mixed_rows(docs, found, 4)
+        joins = [x for x in rows._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x and "__mix_h" in x]
+        assert joins and not any("broadcast" in x for x in joins)
+        used = {r["doc_id"]: r["count"] for r in rows.groupBy("doc_id").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert used == {r["doc_id"]: r["copies"] for r in found.docs.where("copies > 0").collect()}
