@@ -2,8 +2,12 @@
 
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from clusterlens.llm import jaccard_join
+from clusterlens.llm.common import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
@@ -79,3 +83,15 @@ def test_duplicates_go_by_id_and_text(spark):
     assert len([r for r in kept if r[0] == 7]) == 1 and len([r for r in kept if r[2] == "z"]) == 1
     assert (5, "a text of its own under a repeated id", "x") in kept and len([r for r in kept if r[2] == "n"]) == 3 and len([r for r in kept if r[2] == "s"]) == 2
     assert jaccard_join.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {n for n in disk.getAllBlocks().mkString(" ").split() if n.startswith("shuffle_")}
+    before = files()
+    kept = stored(spark.range(50_000).groupBy((F.col("id") % 97).alias("k")).count(), "test-stored")
+    until = time.monotonic() + 20  # files are removed beside the work
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert sorted(r["k"] for r in kept.collect()) == list(range(97))
