@@ -85,6 +85,11 @@ def test_duplicates_go_by_id_and_text(spark):
     assert jaccard_join.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_tokens_indexed_alone_are_not_crowded_in_large_corpora():
+    """What more documents share makes families, whose blocks grow with the square of their nodes: three million documents need none for single tokens."""
+    assert jaccard_join.least_frequency(3_100_000) <= jaccard_join.CROWDED
+
+
 def test_stored_tables_leave_no_shuffle_files(spark):
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     files = lambda: {n for n in disk.getAllBlocks().mkString(" ").split() if n.startswith("shuffle_")}
