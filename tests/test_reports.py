@@ -1,10 +1,13 @@
 """Reports on hand-made rows: what stands beside every shortened list is exact."""
 
 import datetime as dt
+import os
+import random
 
 import pytest
 from test_operators import JOBS, STEPS, _job, _step
 
+from clusterlens.operators import intervals as I
 from clusterlens.operators import reports as Rp
 
 END = dt.datetime(2024, 1, 10)
@@ -54,3 +57,15 @@ def test_overviews_have_exit_codes_and_cluster_logs(spark, tables):
         (cluster,) = r["clusters"]
         assert [tuple(e) for e in cluster["exits"]] == [("1:0", 2), ("2:0", 2), ("0:0", 1)] and cluster["n_exits"] == 5
         assert [(x["job_id"], x["lineno"], x["n_lines"]) for x in r["cluster_logs"]] == [("7", k, 40) for k in range(29, 41)]
+
+
+def test_parts_of_the_nodes_make_the_whole(spark):
+    """Samples of whole runs are met by parts of the nodes: each node in one part."""
+    jobs = spark.createDataFrame([(str(k), f"n[{k}-{k + 3}]", END - dt.timedelta(hours=k), END) for k in range(1, 20)], "job_id string, node_list string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    rows = [("node_load5", {"instance": f"n{k}:9100"}, END - dt.timedelta(minutes=7 * m), float(k * m)) for k in range(1, 23) for m in range(40)]
+    samples = spark.createDataFrame(rows, "metric string, labels map<string,string>, ts timestamp_ntz, value double")
+    for met in (lambda **kw: I.join_interval_metrics(jobs, samples, AS_OF, ["node_load5"], **kw), lambda **kw: I.run_grid_metrics(jobs, samples, AS_OF, lookback="1h", **kw)):
+        whole = sorted(map(tuple, met().collect()))
+        parts = [sorted(map(tuple, met(part=(k, 3)).collect())) for k in range(3)]
+        assert whole == sorted(r for p in parts for r in p) and all(parts)
+        assert sum(len({r[1] for r in p}) for p in parts) == len({r[1] for r in whole})
