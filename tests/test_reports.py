@@ -59,6 +59,31 @@ def test_overviews_have_exit_codes_and_cluster_logs(spark, tables):
         assert [(x["job_id"], x["lineno"], x["n_lines"]) for x in r["cluster_logs"]] == [("7", k, 40) for k in range(29, 41)]
 
 
+def test_jobs_that_share_files_share_the_texts(spark, tables):
+    """Sixty jobs with one log of 120 KB: the texts are shuffled once, not for every job; a job without a file has no lines, one without a log none either."""
+    rng = random.Random(1)
+    text = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=4000)) for _ in range(30)]
+    jobs = [_job(k, stdout="/work/logs/all.log", stderr="/work/logs/gone.log", end_ts=END) for k in range(100, 160)]
+    jobs += [_job(160, stdout="/work/logs/gone.log", stderr="", end_ts=END), _job(161, stdout="/dev/null", stderr="", end_ts=END), _job(162, stdout="/work/logs/b.log", stderr="/work/logs/all.log", end_ts=END)]
+    own = tables | {
+        "ids": spark.createDataFrame([(str(k),) for k in range(100, 164)], "job_id string"),
+        "jobs": spark.createDataFrame(jobs, JOBS).repartition(3),
+        "log_lines": spark.createDataFrame([("/work/logs/all.log", k + 5, x) for k, x in enumerate(text)] + [("/work/logs/b.log", 1, "b")], "path string, lineno bigint, line string"),
+    }
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {n for n in disk.getAllFiles().mkString("\n").split() if "/shuffle_" in n}
+    before = files()
+    rows = {r["job_id"]: r for r in Rp.job_diagnosis(**own, as_of=AS_OF).collect()}
+    assert sum(os.path.getsize(f) for f in files() - before if os.path.exists(f)) < 2_000_000
+    want = [("StdOut", k + 5, "/work/logs/all.log", x) for k, x in enumerate(text)]
+    for k in range(100, 160):
+        r = rows[str(k)]
+        assert (r["log_lines"], r["log_lines_total"], r["log_files_missing"]) == (30, 34, 1) and [tuple(x) for x in r["log_tail"]] == want
+    assert [(rows[k]["log_lines"], rows[k]["log_lines_total"], rows[k]["log_files_missing"], rows[k]["log_tail"]) for k in ("160", "161", "163")] == [(0, 0, 1, []), (0, 0, 0, []), (None,) * 4]
+    assert [tuple(x) for x in rows["162"]["log_tail"]] == [("StdErr", *w[1:]) for w in want] + [("StdOut", 1, "/work/logs/b.log", "b")]
+    assert Rp.job_diagnosis(**own, as_of=AS_OF, log_texts=False).where("log_lines = 30 and size(log_tail) = 0").count() == 60
+
+
 def test_parts_of_the_nodes_make_the_whole(spark):
     """Samples of whole runs are met by parts of the nodes: each node in one part."""
     jobs = spark.createDataFrame([(str(k), f"n[{k}-{k + 3}]", END - dt.timedelta(hours=k), END) for k in range(1, 20)], "job_id string, node_list string, start_ts timestamp_ntz, end_ts timestamp_ntz")
