@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import discard, gathered, give_back, join_ids, run_folder, shuffles_removed, small_batches, stored, utf8, words_of
+from clusterlens.llm.common import gathered, give_back, join_ids, shuffles_removed, small_batches, stored, utf8, words_of
 
 SHINGLE = 5
 #: Similarity of linked documents: at least 75 hundredths.
@@ -331,36 +331,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     frequent = frequent_cells(docs, least_frequency(n_docs))
     shared = spark.sparkContext.broadcast(frequent)
 
+    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in gathered(batches, "text", BATCH_CHARS):
+            sets = token_sets([utf8(t) for t in batch["text"]])
+            node = pd.array([set_id(t) if len(t) else None for t in sets], dtype="Int64")
+            yield pd.DataFrame({"doc_key": batch["doc_key"], "text_key": batch["text_key"], "n_shingles": [len(t) for t in sets], "node": node, "parity": [parity(t) if len(t) else None for t in sets]})
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # of this task's documents: a group of copies sends its signatures once a task
         for batch in gathered(batches, "text", BATCH_CHARS):
-            sets = token_sets([utf8(t) for t in batch["text"]])
-            nodes = [set_id(t) if len(t) else None for t in sets]
-            sigs = []
-            for tokens, node in zip(sets, nodes, strict=True):
-                new = node is not None and node not in seen
-                sigs.append(signatures(tokens, shared.value)[0].astype(np.int64) if new else None)
-                seen.add(node)
-            yield pd.DataFrame({"doc_key": batch["doc_key"], "text_key": batch["text_key"], "n_shingles": [len(t) for t in sets], "node": pd.array(nodes, dtype="Int64"),
-                                "parity": [parity(t) if len(t) else None for t in sets], "sigs": sigs})
-
-    # Texts are hashed once for all of this: a document's signatures are stored beside it and laid out from there.
+            sigs, nodes, sizes, counts = [], [], [], []
+            for tokens in token_sets([utf8(t) for t in batch["text"]]):
+                if len(tokens) and (node := set_id(tokens)) not in seen:
+                    seen.add(node)
+                    own, _ = signatures(tokens, shared.value)
+                    sigs.append(own.astype(np.int64))
+                    nodes.append(node)
+                    sizes.append(len(own))
+                    counts.append(len(tokens))
+            if sigs:
+                yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.repeat(np.array(nodes, np.int64), sizes), "n": np.repeat(np.array(counts, np.int32), sizes)})
+
     # ids pass pandas as text: beside a null, a batch of integers would become floats, which round those from 2^53 on
     id_type = docs.schema["doc_id"].dataType
     keyed = docs.select(F.col("doc_id").cast("string").alias("doc_key"), F.xxhash64("text").alias("text_key"), "text")
-    named = keyed.mapInPandas(sign, "doc_key string, text_key long, n_shingles long, node long, parity binary, sigs array<long>")
-    place = run_folder(spark, "signed")
-    signed = stored(named.select(F.col("doc_key").cast(id_type).alias("doc_id"), "text_key", "n_shingles", "node", "parity", "sigs"), "signed", place)
-    members = stored(signed.drop("sigs"), "members")
+    named = keyed.mapInPandas(name, "doc_key string, text_key long, n_shingles long, node long, parity binary")
+    members = stored(named.select(F.col("doc_key").cast(id_type).alias("doc_id"), "text_key", "n_shingles", "node", "parity"), "members")
 
     # A posting is live if a neighbour by size is another node of fitting size.
     by_size = Window.partitionBy("sig").orderBy("n", "node")
-    index = signed.select(F.explode("sigs").alias("sig"), "node", F.col("n_shingles").cast("int").alias("n"))
+    index = docs.select("text").mapInPandas(sign, "sig long, node long, n int")
     for side, step in (("before", F.lag), ("behind", F.lead)):
         index = index.withColumn(side, step(F.struct("node", "n")).over(by_size))
     fits = " or ".join(f"({x}.node <> node and {_sizes_fit('n', x + '.n')})" for x in ("before", "behind"))
     live = stored(index.where(fits).select("sig", "node", "n").distinct(), "live-signatures")
-    discard(spark, place)
     worded = members.where("n_shingles > 0")
     by_node = worded.groupBy("node").agg(F.min("doc_id").alias("first"))
     maps = worded.join(live.select("node").distinct(), "node", "left_semi").select("node", F.col("n_shingles").alias("n"), "parity").dropDuplicates(["node"])
